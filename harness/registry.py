@@ -9,11 +9,12 @@ from pyspark.sql.types import DateType, DecimalType
 
 from farestar.functions.calendar import date_key_of, minutes_between
 from farestar.functions.numbers import code, money
+from farestar.lake import DIM_DATE, DIM_PAYMENT_TYPE, FACT_CORRECTIONS, FACT_TRIPS
 from farestar.operators import cleaning, dimensions, facts, profiles, quality
 from farestar.operators.star import star_join
 from farestar.plans import reports
 from farestar.sources import bronze, months
-from harness.trips import landed_lake, raw_fields, raw_trips, silver_trips
+from harness.trips import gold_tables, landed_lake, raw_fields, raw_trips, silver_trips
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,10 @@ def airport_fee_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cleaning --------------------------------------------------------------------------------
 
 
+def cleaned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_trips(raw_trips(spark, sf_dir))
+
+
 def silver_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = (
         "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
@@ -205,15 +210,16 @@ def fact_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.fact_corrections(silver_trips(spark, sf_dir))
 
 
-def _published_dates(spark: SparkSession) -> DataFrame:
-    return dimensions.dim_date(dimensions.date_bounds(spark))
+def _star(fact: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold = gold_tables(spark, sf_dir)
+        return star_join(gold[fact], gold[DIM_DATE], gold[DIM_PAYMENT_TYPE])
+
+    return query
 
 
 def star_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = star_join(
-        fact_trips(spark, sf_dir), _published_dates(spark), dimensions.dim_payment_type(spark)
-    )
-    return joined.select(
+    return _star(FACT_TRIPS)(spark, sf_dir).select(
         "date_key", "full_date", "day_name", "year_month", "quarter", "payment_key",
         "payment_name", "payment_category", "pickup_location_id", "dropoff_location_id",
         "pickup_hour", "trip_count", "total_revenue",
@@ -221,10 +227,7 @@ def star_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = star_join(
-        fact_corrections(spark, sf_dir), _published_dates(spark), dimensions.dim_payment_type(spark)
-    )
-    return joined.select(
+    return _star(FACT_CORRECTIONS)(spark, sf_dir).select(
         "date_key", "full_date", "month_name", "year_month", "weekday_num", "payment_key",
         "payment_name", "payment_category", "pickup_location_id", "correction_count",
         "total_refunded_amount",
@@ -243,20 +246,17 @@ def quality_data_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_trips(spark, sf_dir)
+    gold = gold_tables(spark, sf_dir)
     return quality.quality_gold(
-        _published_dates(spark),
-        dimensions.dim_payment_type(spark),
-        facts.fact_trips(silver),
-        facts.fact_corrections(silver),
-        silver,
+        gold[DIM_DATE], gold[DIM_PAYMENT_TYPE], gold[FACT_TRIPS], gold[FACT_CORRECTIONS],
+        silver_trips(spark, sf_dir),
     )
 
 
 def quality_cross_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_trips(spark, sf_dir)
+    gold = gold_tables(spark, sf_dir)
     return quality.quality_cross_layer(
-        facts.fact_trips(silver), facts.fact_corrections(silver), silver
+        gold[FACT_TRIPS], gold[FACT_CORRECTIONS], silver_trips(spark, sf_dir)
     )
 
 
@@ -268,12 +268,12 @@ def dim_date_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orphans(fact: Query) -> Query:
+def _orphans(fact: str) -> Query:
     """Fact rows without a payment type, for the whole dimension and for one of its categories."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = fact(spark, sf_dir)
-        types = dimensions.dim_payment_type(spark)
+        gold = gold_tables(spark, sf_dir)
+        rows, types = gold[fact], gold[DIM_PAYMENT_TYPE]
         others = types.where(F.col("payment_category") == "Others")
         whole = quality.orphan_check(rows, types).withColumn("lookup", F.lit("whole"))
         part = quality.orphan_check(rows, others).withColumn("lookup", F.lit("others"))
@@ -285,30 +285,12 @@ def _orphans(fact: Query) -> Query:
 # --- reports ---------------------------------------------------------------------------------
 
 
-def report_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.overview(
-        fact_trips(spark, sf_dir), _published_dates(spark), dimensions.dim_payment_type(spark)
-    )
-
-
-def report_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.revenue(
-        fact_trips(spark, sf_dir), _published_dates(spark), dimensions.dim_payment_type(spark)
-    )
-
-
-def report_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.zones(fact_trips(spark, sf_dir))
-
-
-def report_temporal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.temporal(fact_trips(spark, sf_dir), _published_dates(spark))
-
+def _report(build: Callable[..., DataFrame], *tables: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold = gold_tables(spark, sf_dir)
+        return build(*(gold[name] for name in tables))
 
-def report_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.corrections(
-        fact_corrections(spark, sf_dir), _published_dates(spark), dimensions.dim_payment_type(spark)
-    )
+    return query
 
 
 _QUERIES: dict[str, Query] = {
@@ -319,7 +301,7 @@ _QUERIES: dict[str, Query] = {
     "bronze_scan": bronze_scan,
     "bronze_airport_fee": bronze_airport_fee,
     "airport_fee_merge": airport_fee_merge,
-    "silver_trips": silver_trips,
+    "silver_trips": cleaned_trips,
     "silver_money": silver_money,
     "silver_codes": silver_codes,
     "silver_null_fix": silver_null_fix,
@@ -342,13 +324,15 @@ _QUERIES: dict[str, Query] = {
     "quality_cross_layer": quality_cross_layer,
     "quality_data_loss": quality_data_loss,
     "dim_date_key_unique": dim_date_key_unique,
-    "orphan_payment_trips": _orphans(fact_trips),
-    "orphan_payment_corrections": _orphans(fact_corrections),
-    "report_overview": report_overview,
-    "report_revenue": report_revenue,
-    "report_zones": report_zones,
-    "report_temporal": report_temporal,
-    "report_corrections": report_corrections,
+    "orphan_payment_trips": _orphans(FACT_TRIPS),
+    "orphan_payment_corrections": _orphans(FACT_CORRECTIONS),
+    "report_overview": _report(reports.overview, FACT_TRIPS, DIM_DATE, DIM_PAYMENT_TYPE),
+    "report_revenue": _report(reports.revenue, FACT_TRIPS, DIM_DATE, DIM_PAYMENT_TYPE),
+    "report_zones": _report(reports.zones, FACT_TRIPS),
+    "report_temporal": _report(reports.temporal, FACT_TRIPS, DIM_DATE),
+    "report_corrections": _report(
+        reports.corrections, FACT_CORRECTIONS, DIM_DATE, DIM_PAYMENT_TYPE
+    ),
 }
 
 

@@ -6,13 +6,17 @@ string type.  Amounts carry two decimals, so both engines round them alike.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farestar.lake import Lake
 from farestar.operators.cleaning import clean_trips
+from farestar.plans.medallion import build_gold
 from farestar.session import scratch_folder
 from farestar.sources.bronze import merge_airport_fee
 from farestar.sources.landing import land_months
+from farestar.sources.tables import create_table_as
 
 RAW_SQL = """
 SELECT vid AS VendorID,
@@ -61,19 +65,55 @@ FROM (
 """
 
 
-def raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 21 declared raw fields, the two cased airport fees still apart."""
+def derive_raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     text = RAW_SQL.replace("{ntz}", "_NTZ").replace("{text}", "STRING")
     return spark.sql(text, lineitem=lineitem)
 
 
+_STAGED: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, stage: str, build: Callable[[], object]):
+    """Result of ``build``, run once in an application for each table folder.
+
+    Later layers read the written Parquet of earlier ones, as they do in production, so their
+    plans prune columns and push filters, and no query repeats the derivation.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, stage)
+    if key not in _STAGED:
+        _STAGED[key] = build()
+    return _STAGED[key]
+
+
+def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
+    return _once(spark, sf_dir, "lake", lambda: Lake(scratch_folder(spark, "lake")))
+
+
+def raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 21 declared raw fields, the two cased airport fees still apart."""
+    path = f"{lake_of(spark, sf_dir).root}/raw"
+    return _once(
+        spark, sf_dir, "raw", lambda: create_table_as(derive_raw_fields(spark, sf_dir), path)
+    )
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_airport_fee(raw_fields(spark, sf_dir))
 
 
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_trips(raw_trips(spark, sf_dir))
+    """The cleaned table, written and read back."""
+    raw = raw_trips(spark, sf_dir)
+    path = lake_of(spark, sf_dir).silver_trips
+    return _once(spark, sf_dir, "silver", lambda: create_table_as(clean_trips(raw), path))
+
+
+def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four star-schema tables, written and read back."""
+    silver_trips(spark, sf_dir)
+    lake = lake_of(spark, sf_dir)
+    return _once(spark, sf_dir, "gold", lambda: build_gold(spark, lake))
 
 
 # (first year, last year, names and types as published in those years)
@@ -114,31 +154,25 @@ def _publish(raw: DataFrame, folder: str) -> None:
         )
 
 
-_LANDED: dict[tuple[str, str], Lake] = {}
-
-
 def landed_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """A lake whose bronze layer holds the derived trips, landed month by month.
+    """A lake whose bronze layer holds the derived trips, landed month by month."""
 
-    Kept for the application, so queries over the same tables share one landing.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
-        root = scratch_folder(spark, "lake")
-        published = f"{root}/published"
+    def land() -> Lake:
+        lake = lake_of(spark, sf_dir)
+        published = f"{lake.root}/published"
         raw = raw_fields(spark, sf_dir)
         _publish(raw, published)
         pickup = F.col("tpep_pickup_datetime")
-        months = raw.groupBy(
+        months = raw.select(
             F.year(pickup).cast("string").alias("year"),
             F.lpad(F.month(pickup).cast("string"), 2, "0").alias("month"),
-        ).count()
-        lake = Lake(root)
+        ).distinct()
         land_months(
             spark,
             sorted((row.year, row.month) for row in months.collect()),
             lambda year, month: f"{published}/published={year}-{month}",
             lake,
         )
-        _LANDED[key] = lake
-    return _LANDED[key]
+        return lake
+
+    return _once(spark, sf_dir, "landed", land)
