@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from farestar.functions.numbers import TOTAL, sum_cents, total
 from farestar.operators.cleaning import CORRECTION, VALID
-from farestar.operators.star import orphan_keys, rows_not_in
+from farestar.operators.star import orphan_keys
 
 
 @dataclass(frozen=True)
@@ -163,12 +163,16 @@ def date_key_counts(dates: DataFrame) -> DataFrame:
 
 def _payment_measures(payment_types: DataFrame) -> DataFrame:
     unmapped = "payment_category NOT IN ('Credit Card', 'Cash', 'Others')"
-    return payment_types.agg(F.count("*").alias("G04"), _violations(unmapped, "G05"))
+    return payment_types.agg(
+        F.count("*").alias("G04"),
+        _violations(unmapped, "G05"),
+        _violations("payment_key IS NULL", "null_payment_types"),
+    )
 
 
-def _trips_per_key(fact: DataFrame) -> DataFrame:
-    """Everything the rules need from fact_trips, in one pass, a row per payment key."""
-    return fact.groupBy("payment_key").agg(
+def _trip_measures(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
+    """Everything the rules need from fact_trips, in one pass over it."""
+    per_key = fact.groupBy("payment_key").agg(
         F.count("*").alias("fact_rows"),
         _violations("total_revenue < 0", "negative"),
         _violations("trip_count <= 0", "empty"),
@@ -176,18 +180,56 @@ def _trips_per_key(fact: DataFrame) -> DataFrame:
         F.sum("trip_count").alias("trips"),
         F.sum("total_revenue").alias("revenue"),
     )
+    return _marked_unlisted(per_key, payment_types).agg(
+        _sum_or_zero("fact_rows", "G06"),
+        _sum_or_zero("negative", "G07"),
+        _sum_or_zero("empty", "G08"),
+        _sum_or_zero("cost", "G09"),
+        _sum_or_zero("unlisted_rows", "unlisted_trips"),
+        _sum_or_zero("trips", "gold_trips"),
+        _revenue_or_zero(F.sum("revenue")).alias("gold_revenue"),
+    )
 
 
-def _corrections_per_key(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("payment_key").agg(
+def _correction_measures(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
+    per_key = fact.groupBy("payment_key").agg(
         F.count("*").alias("fact_rows"),
         _violations("correction_count <= 0", "empty"),
         F.sum("correction_count").alias("corrections"),
     )
+    return _marked_unlisted(per_key, payment_types).agg(
+        _sum_or_zero("fact_rows", "G11"),
+        _sum_or_zero("empty", "G12"),
+        _sum_or_zero("unlisted_rows", "unlisted_corrections"),
+        _sum_or_zero("corrections", "gold_corrections"),
+    )
 
 
-def _orphans(per_key: DataFrame, payment_types: DataFrame, code: str) -> DataFrame:
-    return rows_not_in(per_key, "payment_key", payment_types).agg(_sum_or_zero("fact_rows", code))
+def _marked_unlisted(per_key: DataFrame, payment_types: DataFrame) -> DataFrame:
+    """Adds the fact rows of a non-NULL key that the dimension does not list.
+
+    An outer join, because an anti join would need a second pass over the fact.
+    """
+    listed = payment_types.select("payment_key").distinct().withColumn("listed", F.lit(True))
+    unlisted = F.col("listed").isNull() & F.col("payment_key").isNotNull()
+    return per_key.join(listed, "payment_key", "left").withColumn(
+        "unlisted_rows", F.when(unlisted, F.col("fact_rows"))
+    )
+
+
+def _with_orphans(measures: DataFrame) -> DataFrame:
+    """G10 and G13: fact rows whose key is NOT IN the dimension, as SQL defines it."""
+
+    def orphans(unlisted: str, fact_rows: str) -> Column:
+        return (
+            F.when(F.col("G04") == 0, F.col(fact_rows))
+            .when(F.col("null_payment_types") > 0, 0)
+            .otherwise(F.col(unlisted))
+        )
+
+    return measures.withColumns(
+        {"G10": orphans("unlisted_trips", "G06"), "G13": orphans("unlisted_corrections", "G11")}
+    )
 
 
 def _revenue_or_zero(revenue: Column) -> Column:
@@ -223,30 +265,16 @@ def quality_gold(
     corrections: DataFrame,
     silver: DataFrame,
 ) -> DataFrame:
-    """All 16 rules, with one pass over each of the five tables."""
-    trip_keys = _trips_per_key(trips)
-    correction_keys = _corrections_per_key(corrections)
+    """All 16 rules, with one pass over each fact, each dimension and the cleaned table."""
     measures = _meet(
         date_key_counts(dates),
         _payment_measures(payment_types),
-        trip_keys.agg(
-            _sum_or_zero("fact_rows", "G06"),
-            _sum_or_zero("negative", "G07"),
-            _sum_or_zero("empty", "G08"),
-            _sum_or_zero("cost", "G09"),
-            _sum_or_zero("trips", "gold_trips"),
-            _revenue_or_zero(F.sum("revenue")).alias("gold_revenue"),
-        ),
-        _orphans(trip_keys, payment_types, "G10"),
-        correction_keys.agg(
-            _sum_or_zero("fact_rows", "G11"),
-            _sum_or_zero("empty", "G12"),
-            _sum_or_zero("corrections", "gold_corrections"),
-        ),
-        _orphans(correction_keys, payment_types, "G13"),
+        _trip_measures(trips, payment_types),
+        _correction_measures(corrections, payment_types),
         _silver_totals(silver),
     )
-    return _report(_with_pairs(measures), (*TABLE_RULES, *CROSS_LAYER_RULES))
+    judged = _with_pairs(_with_orphans(measures))
+    return _report(judged, (*TABLE_RULES, *CROSS_LAYER_RULES))
 
 
 def quality_cross_layer(trips: DataFrame, corrections: DataFrame, silver: DataFrame) -> DataFrame:

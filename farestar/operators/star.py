@@ -18,20 +18,19 @@ def star_join(fact: DataFrame, dates: DataFrame, payment_types: DataFrame) -> Da
 def rows_not_in(rows: DataFrame, key: str, lookup: DataFrame) -> DataFrame:
     """Rows whose key is NOT IN the lookup, with SQL's treatment of NULL.
 
-    A NULL key is never reported, and a NULL in the lookup hides every row; a plain anti join
-    would do neither.
+    A NULL key is never reported, and a NULL in the lookup hides every row; an empty lookup
+    reports all rows.  A plain anti join keeps NULL keys, so both cases are decided from two
+    counts of the lookup.  Spark plans the SQL form only as a broadcast of the lookup,
+    whatever its size; here the optimizer picks the join by size.
     """
-    return rows.sparkSession.sql(
-        f"SELECT * FROM {{rows}} WHERE {key} NOT IN (SELECT {key} FROM {{lookup}})",
-        rows=rows,
-        lookup=lookup,
-    )
+    keys = lookup.select(key)
+    size = keys.agg(F.count("*")).scalar()
+    nulls = keys.agg(F.count_if(F.col(key).isNull())).scalar()
+    known = F.col(key).isNotNull() & (nulls == 0)
+    return rows.join(keys, key, "left_anti").where((size == 0) | known)
 
 
 def orphan_keys(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
-    """Payment keys missing from the dimension, with their number of fact rows.
-
-    Counted per key first, so the anti join sees a handful of rows instead of the fact.
-    """
+    """Payment keys missing from the dimension, with their number of fact rows."""
     per_key = fact.groupBy("payment_key").agg(F.count("*").alias("fact_rows"))
     return rows_not_in(per_key, "payment_key", payment_types)

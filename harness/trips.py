@@ -65,8 +65,17 @@ FROM (
 """
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spreads an input of fewer splits than cores, hence of a few hundred MB at most.
+
+    A larger input already has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def derive_raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lineitem = _spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     text = RAW_SQL.replace("{ntz}", "_NTZ").replace("{text}", "STRING")
     return spark.sql(text, lineitem=lineitem)
 
