@@ -16,23 +16,17 @@ MONTH_NAMES = (
     "August", "September", "October", "November", "December",
 )
 
-# Any instant before the earliest timestamp works; year 1 keeps every index positive.
-_ORIGIN = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
-
-
-def minute_index(ts: Column) -> Column:
-    """Whole minutes since the origin (BIGINT), seconds and fractions dropped."""
-    return (ts - F.expr(_ORIGIN)).cast("interval minute").cast("bigint")
-
-
 def minutes_between(start: Column, end: Column) -> Column:
     """Number of minute boundaries crossed from ``start`` to ``end`` (BIGINT).
 
     10:00:59 -> 10:01:01 is 1 and 10:00:01 -> 10:00:59 is 0: both sides drop their seconds
-    first, the elapsed time is never truncated.  BIGINT, because a broken clock (year 9999)
-    would overflow an INT before the row can be filtered.
+    first, the elapsed time is never truncated.  Elapsed seconds less the difference of the
+    two second fields is a whole number of minutes, up to the dropped fractions of a second
+    that rounding removes.  BIGINT, because a broken clock (year 9999) would overflow an INT
+    before the row can be filtered.
     """
-    return minute_index(end) - minute_index(start)
+    elapsed = (end - start).cast("interval second").cast("bigint")
+    return F.rint((elapsed - F.second(end) + F.second(start)) / 60).cast("bigint")
 
 
 def weekday_number(day: Column) -> Column:

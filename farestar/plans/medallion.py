@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from farestar import lake as names
 from farestar.lake import Lake
 from farestar.operators import cleaning, dimensions, facts, quality
-from farestar.sources.bronze import read_bronze
+from farestar.sources.bronze import read_bronze_trips
 from farestar.sources.tables import create_table_as, read_table
 
 
 def build_silver(spark: SparkSession, lake: Lake, overwrite: bool = False) -> DataFrame:
     """Raw months -> cleaned trips.  Map-only, from scan to write."""
-    raw = read_bronze(spark, lake, code_type="double")
+    raw = read_bronze_trips(spark, lake)
     return create_table_as(cleaning.clean_trips(raw), lake.silver_trips, overwrite)
 
 
@@ -41,7 +41,7 @@ def read_gold(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def check_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    raw = read_bronze(spark, lake, code_type="double")
+    raw = read_bronze_trips(spark, lake)
     return quality.quality_silver(read_table(spark, lake.silver_trips), raw)
 
 

@@ -45,10 +45,10 @@ RAW_FIELDS = (
 # Columns whose physical type drifts; the view shows them as text.
 CODE_FIELDS = ("passenger_count", "RatecodeID", "payment_type")
 
-VIEW_COLUMNS = (
-    *(name for name, _, _ in RAW_FIELDS[:18]),
-    "airport_fee", "cbd_congestion_fee", "source_file", "source_year",
+TRIP_COLUMNS = (
+    *(name for name, _, _ in RAW_FIELDS[:18]), "airport_fee", "cbd_congestion_fee",
 )
+SOURCE_COLUMNS = ("source_file", "source_year")
 
 # .../<dataset>/<year>/<month>.parquet, a file or a folder of part files.
 _MONTH_IN_PATH = rf"^(.*/{TRIP_DATASET}/([^/]+)/([^/]+\.parquet))(/[^/]+)?$"
@@ -122,7 +122,7 @@ def _schema_groups(spark: SparkSession, lake: Lake) -> list[tuple[StructType, li
     return list(groups.values())
 
 
-def _bind(group: DataFrame, code_type: str) -> DataFrame:
+def _bind(group: DataFrame, code_type: str, with_source: bool) -> DataFrame:
     """Projects one natively scanned group onto the declared fields."""
     physical = {field.name: field.dataType.simpleString() for field in group.schema.fields}
 
@@ -134,26 +134,34 @@ def _bind(group: DataFrame, code_type: str) -> DataFrame:
         # An unneeded cast would keep a filter from reaching the scan.
         return (stored if physical[stored_as] == wanted else stored.cast(wanted)).alias(name)
 
-    path = F.col("_metadata.file_path")
-    return group.select(
-        *(column(*field) for field in RAW_FIELDS),
-        F.regexp_extract(path, _MONTH_IN_PATH, 3).alias("source_file"),
-        F.regexp_extract(path, _MONTH_IN_PATH, 2).alias("source_year"),
-    )
-
+    columns = [column(*field) for field in RAW_FIELDS]
+    if with_source:
+        path = F.col("_metadata.file_path")
+        columns.append(F.regexp_extract(path, _MONTH_IN_PATH, 3).alias("source_file"))
+        columns.append(F.regexp_extract(path, _MONTH_IN_PATH, 2).alias("source_year"))
+    return group.select(*columns)
 
-def read_bronze(spark: SparkSession, lake: Lake, code_type: str = "string") -> DataFrame:
-    """All landed trips under the declared schema (22 columns).
 
-    ``code_type`` is the type of the three drifting code columns: ``string`` is the published
-    view; ``double`` spares the cleaning step a format-and-parse of every value.
-    """
+def _read(spark: SparkSession, lake: Lake, code_type: str, with_source: bool) -> DataFrame:
     groups = [
-        _bind(spark.read.schema(schema).parquet(*paths), code_type)
+        _bind(spark.read.schema(schema).parquet(*paths), code_type, with_source)
         for schema, paths in _schema_groups(spark, lake)
     ]
-    united = reduce(DataFrame.unionByName, groups)
-    return merge_airport_fee(united).select(*VIEW_COLUMNS)
+    return merge_airport_fee(reduce(DataFrame.unionByName, groups))
+
+
+def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The published view: all landed trips under the declared schema, 22 columns."""
+    return _read(spark, lake, "string", with_source=True).select(*TRIP_COLUMNS, *SOURCE_COLUMNS)
+
+
+def read_bronze_trips(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The same trips, shaped for the cleaning step: no source columns, codes as DOUBLE.
+
+    Spark builds the file metadata of every row once a query has mentioned it, even if the
+    column is dropped later, and codes as text would be formatted only to be parsed again.
+    """
+    return _read(spark, lake, "double", with_source=False).select(*TRIP_COLUMNS)
 
 
 def create_raw_view(spark: SparkSession, lake: Lake, name: str = "vw_yellow_taxi_raw") -> None:
