@@ -7,8 +7,6 @@ whole-stage codegen (no formatter objects per row).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # English names as the reports print them, Sunday and January first.
 WEEKDAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 MONTH_NAMES = (
@@ -16,7 +14,8 @@ MONTH_NAMES = (
     "August", "September", "October", "November", "December",
 )
 
-def minutes_between(start: Column, end: Column) -> Column:
+
+def minutes_between(start: str, end: str) -> str:
     """Number of minute boundaries crossed from ``start`` to ``end`` (BIGINT).
 
     10:00:59 -> 10:01:01 is 1 and 10:00:01 -> 10:00:59 is 0: both sides drop their seconds
@@ -25,39 +24,42 @@ def minutes_between(start: Column, end: Column) -> Column:
     that rounding removes.  BIGINT, because a broken clock (year 9999) would overflow an INT
     before the row can be filtered.
     """
-    elapsed = (end - start).cast("interval second").cast("bigint")
-    return F.rint((elapsed - F.second(end) + F.second(start)) / 60).cast("bigint")
+    elapsed = f"CAST(CAST({end} - {start} AS INTERVAL SECOND) AS BIGINT)"
+    return f"CAST(rint(({elapsed} - second({end}) + second({start})) / 60) AS BIGINT)"
 
 
-def weekday_number(day: Column) -> Column:
+def weekday_number(day: str) -> str:
     """Sunday = 1 ... Saturday = 7."""
-    return F.dayofweek(day)
+    return f"dayofweek({day})"
 
 
-def _pick(names: tuple[str, ...], position: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(n) for n in names)), position)
+def _pick(names: tuple[str, ...], position: str) -> str:
+    listed = ", ".join(f"'{name}'" for name in names)
+    return f"element_at(array({listed}), {position})"
 
 
-def weekday_name(day: Column) -> Column:
+def weekday_name(day: str) -> str:
     return _pick(WEEKDAY_NAMES, weekday_number(day))
 
 
-def month_name(day: Column) -> Column:
-    return _pick(MONTH_NAMES, F.month(day))
+def month_name(day: str) -> str:
+    return _pick(MONTH_NAMES, f"month({day})")
+
+
+def two_digits(number: str) -> str:
+    return f"lpad(CAST({number} AS STRING), 2, '0')"
 
 
-def year_month(day: Column) -> Column:
+def year_month(day: str) -> str:
     """``2021-03``"""
-    return F.concat_ws(
-        "-", F.year(day).cast("string"), F.lpad(F.month(day).cast("string"), 2, "0")
-    )
+    return f"concat(CAST(year({day}) AS STRING), '-', {two_digits(f'month({day})')})"
 
 
-def date_key(year: Column, month: Column, day: Column) -> Column:
+def date_key(year: str, month: str, day: str) -> str:
     """yyyyMMdd as INT from its three parts."""
-    return (year * 10000 + month * 100 + day).cast("int")
+    return f"CAST({year} * 10000 + {month} * 100 + {day} AS INT)"
 
 
-def date_key_of(day: Column) -> Column:
+def date_key_of(day: str) -> str:
     """yyyyMMdd as INT from a date or timestamp."""
-    return date_key(F.year(day), F.month(day), F.day(day))
+    return date_key(f"year({day})", f"month({day})", f"day({day})")

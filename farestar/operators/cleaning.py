@@ -5,101 +5,70 @@ One map-only stage: no operator here shuffles.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from farestar.functions.calendar import minutes_between, weekday_name
 from farestar.functions.numbers import code, money, money_or_zero
 
 VALID, CORRECTION = "valid", "correction"
 
-
-def _pickup() -> Column:
-    return F.col("tpep_pickup_datetime")
-
-
-def _dropoff() -> Column:
-    return F.col("tpep_dropoff_datetime")
-
-
-def _duration() -> Column:
-    return minutes_between(_pickup(), _dropoff())
-
-
-def keep_rules() -> dict[str, Column]:
-    """A row is kept when every rule is true; a NULL input drops it.
-
-    Cheap comparisons that the Parquet scan can use come first, the computed duration last.
-    """
-    first, beyond = (F.lit(day).cast("timestamp_ntz") for day in ("2021-01-01", "2026-01-01"))
-    distance = F.col("trip_distance")
-    return {
-        "vendor": F.col("VendorID").isin(1, 2),
-        "distance": (distance > 0) & (distance < 500),
-        "zones": F.col("PULocationID").between(1, 265) & F.col("DOLocationID").between(1, 265),
-        "date_range": (_pickup() >= first) & (_pickup() < beyond),
-        "time_order": _dropoff() > _pickup(),
-        # 1 to 1440 minutes as one comparison: a BETWEEN is split into two conjuncts, and each
-        # would compute the duration of every row again.
-        "duration": F.abs(_duration() - 720.5) < 720,
-    }
-
-
-def keep_all_rules() -> Column:
-    return reduce(and_, keep_rules().values())
-
-
-def trip_status() -> Column:
-    """``correction`` for refunds, disputes and absurd totals, judged on the raw amounts.
-
-    A NULL amount decides nothing by itself, so a row of NULL amounts counts as valid.
-    """
-    fare, total = F.col("fare_amount"), F.col("total_amount")
-    return F.when((fare <= 0) | (total <= 0) | (total > 1000), CORRECTION).otherwise(VALID)
-
-
-def _cleaned_columns() -> dict[str, Column]:
-    day = _pickup().cast("date")
-    return {
-        "vendor_id": F.col("VendorID"),
-        "pickup_location_id": F.col("PULocationID"),
-        "dropoff_location_id": F.col("DOLocationID"),
-        "pickup_datetime": _pickup(),
-        "dropoff_datetime": _dropoff(),
-        "passenger_count": F.coalesce(code(F.col("passenger_count")), F.lit(1)),
-        "trip_distance_miles": money(F.col("trip_distance")),
-        "rate_code_id": F.coalesce(code(F.col("RatecodeID")), F.lit(1)),
-        "store_and_fwd_flag": F.coalesce(F.col("store_and_fwd_flag"), F.lit("N")),
-        "payment_type": code(F.col("payment_type")),
-        "fare_amount": money(F.col("fare_amount")),
-        "extra_amount": money(F.col("extra")),
-        "mta_tax": money(F.col("mta_tax")),
-        "tip_amount": money(F.col("tip_amount")),
-        "tolls_amount": money(F.col("tolls_amount")),
-        "improvement_surcharge": money(F.col("improvement_surcharge")),
-        "total_amount": money(F.col("total_amount")),
-        "congestion_surcharge": money_or_zero(F.col("congestion_surcharge")),
-        "airport_fee": money_or_zero(F.col("airport_fee")),
-        "cbd_congestion_fee": money_or_zero(F.col("cbd_congestion_fee")),
-        "trip_duration_minutes": _duration().cast("int"),
-        "trip_year": F.year(day),
-        "trip_month": F.month(day),
-        "trip_day": F.day(day),
-        "trip_weekday": weekday_name(day),
-        "pickup_hour": F.hour(_pickup()),
-        "trip_status": trip_status(),
-    }
+PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+DURATION = minutes_between(PICKUP, DROPOFF)
+
+# A row is kept when every rule is true; a NULL input drops it.  Cheap comparisons that the
+# Parquet scan can use come first, the computed duration last.
+KEEP_RULES = {
+    "vendor": "VendorID IN (1, 2)",
+    "distance": "trip_distance > 0 AND trip_distance < 500",
+    "zones": "PULocationID BETWEEN 1 AND 265 AND DOLocationID BETWEEN 1 AND 265",
+    "date_range": f"{PICKUP} >= TIMESTAMP_NTZ'2021-01-01' AND {PICKUP} < TIMESTAMP_NTZ'2026-01-01'",
+    "time_order": f"{DROPOFF} > {PICKUP}",
+    # 1 to 1440 minutes as one comparison: a BETWEEN is split into two conjuncts, and each
+    # would compute the duration of every row again.
+    "duration": f"abs({DURATION} - 720.5D) < 720",
+}
+KEEP_ALL = " AND ".join(f"({rule})" for rule in KEEP_RULES.values())
+
+# ``correction`` marks refunds, disputes and absurd totals, judged on the raw amounts.  A NULL
+# amount decides nothing by itself, so a row of NULL amounts counts as valid.
+TRIP_STATUS = (
+    "CASE WHEN fare_amount <= 0 OR total_amount <= 0 OR total_amount > 1000"
+    f" THEN '{CORRECTION}' ELSE '{VALID}' END"
+)
+
+CLEANED_COLUMNS = {
+    "vendor_id": "VendorID",
+    "pickup_location_id": "PULocationID",
+    "dropoff_location_id": "DOLocationID",
+    "pickup_datetime": PICKUP,
+    "dropoff_datetime": DROPOFF,
+    "passenger_count": f"coalesce({code('passenger_count')}, 1)",
+    "trip_distance_miles": money("trip_distance"),
+    "rate_code_id": f"coalesce({code('RatecodeID')}, 1)",
+    "store_and_fwd_flag": "coalesce(store_and_fwd_flag, 'N')",
+    "payment_type": code("payment_type"),
+    "fare_amount": money("fare_amount"),
+    "extra_amount": money("extra"),
+    "mta_tax": money("mta_tax"),
+    "tip_amount": money("tip_amount"),
+    "tolls_amount": money("tolls_amount"),
+    "improvement_surcharge": money("improvement_surcharge"),
+    "total_amount": money("total_amount"),
+    "congestion_surcharge": money_or_zero("congestion_surcharge"),
+    "airport_fee": money_or_zero("airport_fee"),
+    "cbd_congestion_fee": money_or_zero("cbd_congestion_fee"),
+    "trip_duration_minutes": f"CAST({DURATION} AS INT)",
+    "trip_year": f"year({PICKUP})",
+    "trip_month": f"month({PICKUP})",
+    "trip_day": f"day({PICKUP})",
+    "trip_weekday": weekday_name(PICKUP),
+    "pickup_hour": f"hour({PICKUP})",
+    "trip_status": TRIP_STATUS,
+}
 
 
 def clean_trips(raw: DataFrame) -> DataFrame:
     """The silver table: 27 typed columns of the rows that pass every rule."""
-    columns = _cleaned_columns()
-    return raw.where(keep_all_rules()).select(*(c.alias(n) for n, c in columns.items()))
-
-
-def clean_columns(raw: DataFrame, *names: str) -> DataFrame:
-    """Raw inputs next to the named silver columns (prefixed ``new_``), rows unfiltered."""
-    columns = _cleaned_columns()
-    return raw.select("*", *(columns[n].alias(f"new_{n}") for n in names))
+    return raw.where(KEEP_ALL).selectExpr(
+        *(f"{sql} AS {name}" for name, sql in CLEANED_COLUMNS.items())
+    )

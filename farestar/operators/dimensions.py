@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from farestar.functions.calendar import (
     date_key_of, month_name, weekday_name, weekday_number, year_month,
@@ -24,27 +24,24 @@ PAYMENT_TYPES = (
 
 
 def date_bounds(spark: SparkSession, first: str = FIRST_DAY, last: str = LAST_DAY) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(first).cast("date").alias("first_day"), F.lit(last).cast("date").alias("last_day")
+    return spark.range(1).selectExpr(
+        f"DATE'{first}' AS first_day", f"DATE'{last}' AS last_day"
     )
 
 
 def dim_date(bounds: DataFrame) -> DataFrame:
     """One row for each day from ``first_day`` to ``last_day``, both included."""
-    day = F.col("full_date")
-    return bounds.select(
-        F.explode(F.sequence("first_day", "last_day")).alias("full_date")
-    ).select(
-        date_key_of(day).alias("date_key"),
-        day,
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.day(day).alias("day"),
-        weekday_name(day).alias("day_name"),
-        month_name(day).alias("month_name"),
-        year_month(day).alias("year_month"),
-        weekday_number(day).alias("weekday_num"),
-        F.quarter(day).alias("quarter"),
+    return bounds.selectExpr("explode(sequence(first_day, last_day)) AS full_date").selectExpr(
+        f"{date_key_of('full_date')} AS date_key",
+        "full_date",
+        "year(full_date) AS year",
+        "month(full_date) AS month",
+        "day(full_date) AS day",
+        f"{weekday_name('full_date')} AS day_name",
+        f"{month_name('full_date')} AS month_name",
+        f"{year_month('full_date')} AS year_month",
+        f"{weekday_number('full_date')} AS weekday_num",
+        "quarter(full_date) AS quarter",
     )
 
 

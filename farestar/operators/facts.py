@@ -8,18 +8,17 @@ time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from farestar.functions.calendar import date_key
-from farestar.functions.numbers import (
-    average, integer_average, ratio_or_zero, sum_cents, total,
-)
+from farestar.functions.numbers import average, integer_average, ratio_or_zero, sum_cents, total
 from farestar.operators.cleaning import CORRECTION, VALID
 
-
-def _date_key() -> Column:
-    return date_key(F.col("trip_year"), F.col("trip_month"), F.col("trip_day")).alias("date_key")
-
+_KEYS = (
+    f"{date_key('trip_year', 'trip_month', 'trip_day')} AS date_key",
+    "payment_type AS payment_key",
+    "pickup_location_id",
+)
 
 # Fact measure -> cleaned amount it sums, in output order.
 _SUMMED = {
@@ -45,67 +44,55 @@ _AVERAGED = {
 
 def fact_trips(silver: DataFrame) -> DataFrame:
     """Valid trips by day, payment type, pickup zone, dropoff zone and hour."""
+    keys = ("date_key", "payment_key", "pickup_location_id", "dropoff_location_id", "pickup_hour")
+    measures = (
+        "count(*) AS trip_count",
+        "sum(passenger_count) AS total_passengers",
+        "sum(trip_duration_minutes) AS total_duration_minutes",
+        *(f"{sum_cents(amount)} AS {name}" for name, amount in _SUMMED.items()),
+        # Averages skip NULL amounts, so each needs its own count.
+        *(f"count({_SUMMED[name]}) AS {name}_rows" for name in _AVERAGED.values()),
+    )
     cells = (
-        silver.where(F.col("trip_status") == VALID)
-        .groupBy(
-            _date_key(),
-            F.col("payment_type").alias("payment_key"),
-            "pickup_location_id",
-            "dropoff_location_id",
-            "pickup_hour",
-        )
-        .agg(
-            F.count("*").alias("trip_count"),
-            F.sum("passenger_count").alias("total_passengers"),
-            F.sum("trip_duration_minutes").alias("total_duration_minutes"),
-            *(sum_cents(F.col(amount)).alias(name) for name, amount in _SUMMED.items()),
-            # Averages skip NULL amounts, so each needs its own count.
-            *(F.count(_SUMMED[s]).alias(f"{s}_rows") for s in _AVERAGED.values()),
+        silver.where(f"trip_status = '{VALID}'")
+        .selectExpr(
+            *_KEYS, "dropoff_location_id", "pickup_hour",
+            "passenger_count", "trip_duration_minutes", *_SUMMED.values(),
         )
+        .groupBy(*keys)
+        .agg(*map(F.expr, measures))
     )
-    return cells.select(
-        "date_key",
-        "payment_key",
-        "pickup_location_id",
-        "dropoff_location_id",
-        "pickup_hour",
+    return cells.selectExpr(
+        *keys,
         "trip_count",
         "total_passengers",
-        *(total(F.col(name)).alias(name) for name in _SUMMED),
+        *(f"{total(name)} AS {name}" for name in _SUMMED),
         "total_duration_minutes",
-        *(average(F.col(s), F.col(f"{s}_rows")).alias(name) for name, s in _AVERAGED.items()),
-        integer_average(F.col("total_duration_minutes"), F.col("trip_count")).alias(
-            "avg_duration_minutes"
-        ),
-        ratio_or_zero(F.col("total_revenue"), F.col("total_distance_miles")).alias(
-            "revenue_per_mile"
-        ),
+        *(f"{average(name, f'{name}_rows')} AS {alias}" for alias, name in _AVERAGED.items()),
+        f"{integer_average('total_duration_minutes', 'trip_count')} AS avg_duration_minutes",
+        f"{ratio_or_zero('total_revenue', 'total_distance_miles')} AS revenue_per_mile",
     )
 
 
 def fact_corrections(silver: DataFrame) -> DataFrame:
     """Corrections by day, payment type and pickup zone."""
-    fare, amount, rows = F.col("fare"), F.col("amount"), F.col("fare_rows")
+    keys = ("date_key", "payment_key", "pickup_location_id")
+    measures = (
+        "count(*) AS correction_count",
+        f"{sum_cents('fare_amount')} AS fare",
+        f"{sum_cents('total_amount')} AS amount",
+        "count(fare_amount) AS fare_rows",
+    )
     return (
-        silver.where(F.col("trip_status") == CORRECTION)
-        .groupBy(
-            _date_key(),
-            F.col("payment_type").alias("payment_key"),
-            "pickup_location_id",
-        )
-        .agg(
-            F.count("*").alias("correction_count"),
-            sum_cents(F.col("fare_amount")).alias("fare"),
-            sum_cents(F.col("total_amount")).alias("amount"),
-            F.count("fare_amount").alias("fare_rows"),
-        )
-        .select(
-            "date_key",
-            "payment_key",
-            "pickup_location_id",
+        silver.where(f"trip_status = '{CORRECTION}'")
+        .selectExpr(*_KEYS, "fare_amount", "total_amount")
+        .groupBy(*keys)
+        .agg(*map(F.expr, measures))
+        .selectExpr(
+            *keys,
             "correction_count",
-            total(fare).alias("total_refunded_fare"),
-            total(amount).alias("total_refunded_amount"),
-            average(fare, rows).alias("avg_refunded_fare"),
+            f"{total('fare')} AS total_refunded_fare",
+            f"{total('amount')} AS total_refunded_amount",
+            f"{average('fare', 'fare_rows')} AS avg_refunded_fare",
         )
     )

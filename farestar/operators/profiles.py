@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from farestar.operators.cleaning import (
-    CORRECTION, VALID, keep_all_rules, keep_rules, trip_status,
-)
+from farestar.operators.cleaning import CORRECTION, KEEP_ALL, KEEP_RULES, TRIP_STATUS, VALID
+from farestar.operators.lines import as_lines, text
 
 REPAIRED_COLUMNS = (
     "passenger_count", "RatecodeID", "store_and_fwd_flag",
@@ -16,9 +15,9 @@ REPAIRED_COLUMNS = (
 )
 
 
-def _share(part: Column, whole: Column) -> Column:
+def _share(part: str) -> str:
     """NULL for an empty table."""
-    return F.try_divide(part.cast("double"), whole)
+    return f"try_divide(CAST({part} AS DOUBLE), rows)"
 
 
 def filter_profile(raw: DataFrame) -> DataFrame:
@@ -26,77 +25,60 @@ def filter_profile(raw: DataFrame) -> DataFrame:
 
     The last row, ``any``, counts the rows that at least one rule removes.
     """
-    failed = {name: ~F.coalesce(rule, F.lit(False)) for name, rule in keep_rules().items()}
-    first = F.coalesce(*(F.when(test, F.lit(name)) for name, test in failed.items()))
-    flags = raw.select(first.alias("first"), *(t.alias(n) for n, t in failed.items()))
-    counts = flags.agg(
-        F.count("*").alias("rows"),
-        F.count("first").alias("any"),
-        *(F.count_if(name).alias(name) for name in failed),
-        *(F.count_if(F.col("first") == name).alias(f"first_{name}") for name in failed),
-    )
-    lines = [(n, F.col(n), F.col(f"first_{n}")) for n in failed]
-    lines.append(("any", F.col("any"), F.col("any")))
-    return counts.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(name).alias("rule"),
-                        alone.alias("removed_alone"),
-                        in_order.alias("removed_in_order"),
-                        _share(alone, F.col("rows")).alias("share_alone"),
-                    )
-                    for name, alone, in_order in lines
-                )
-            )
+    failed = [f"NOT coalesce({rule}, false) AS {name}" for name, rule in KEEP_RULES.items()]
+    first = "CASE " + " ".join(f"WHEN {name} THEN '{name}'" for name in KEEP_RULES) + " END"
+    counts = (
+        raw.selectExpr(*failed)
+        .selectExpr("*", f"{first} AS first")
+        .agg(
+            F.expr("count(*) AS rows"),
+            F.expr("count(first) AS any"),
+            *(F.expr(f"count_if({name}) AS {name}") for name in KEEP_RULES),
+            *(F.expr(f"count_if(first = '{name}') AS first_{name}") for name in KEEP_RULES),
         )
     )
+    lines = [(name, name, f"first_{name}") for name in KEEP_RULES] + [("any", "any", "any")]
+    return as_lines(
+        counts,
+        (
+            {
+                "rule": text(rule),
+                "removed_alone": alone,
+                "removed_in_order": in_order,
+                "share_alone": _share(alone),
+            }
+            for rule, alone, in_order in lines
+        ),
+    )
 
 
 def null_profile(raw: DataFrame, columns: Sequence[str] = REPAIRED_COLUMNS) -> DataFrame:
     """NULL rows and NULL share of each column."""
     counts = raw.agg(
-        F.count("*").alias("rows"), *(F.count(name).alias(f"n_{name}") for name in columns)
+        F.expr("count(*) AS rows"), *(F.expr(f"count({name}) AS n_{name}") for name in columns)
     )
-    return counts.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(name).alias("column_name"),
-                        (F.col("rows") - F.col(f"n_{name}")).alias("null_rows"),
-                        _share(F.col("rows") - F.col(f"n_{name}"), F.col("rows")).alias(
-                            "null_share"
-                        ),
-                    )
-                    for name in columns
-                )
-            )
-        )
+    return as_lines(
+        counts,
+        (
+            {
+                "column_name": text(name),
+                "null_rows": f"rows - n_{name}",
+                "null_share": _share(f"rows - n_{name}"),
+            }
+            for name in columns
+        ),
     )
 
 
 def status_profile(raw: DataFrame) -> DataFrame:
     """Rows and share of the raw table by outcome: valid, correction or removed."""
-    kept = F.coalesce(keep_all_rules(), F.lit(False))
-    outcome = F.when(kept, trip_status()).otherwise("removed")
     outcomes = (VALID, CORRECTION, "removed")
-    counts = raw.select(outcome.alias("outcome")).agg(
-        F.count("*").alias("rows"),
-        *(F.count_if(F.col("outcome") == name).alias(name) for name in outcomes),
+    outcome = f"CASE WHEN {KEEP_ALL} THEN {TRIP_STATUS} ELSE 'removed' END AS outcome"
+    counts = raw.selectExpr(outcome).agg(
+        F.expr("count(*) AS rows"),
+        *(F.expr(f"count_if(outcome = '{name}') AS {name}") for name in outcomes),
     )
-    return counts.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(name).alias("trip_status"),
-                        F.col(name).alias("trips"),
-                        _share(F.col(name), F.col("rows")).alias("share"),
-                    )
-                    for name in outcomes
-                )
-            )
-        )
+    return as_lines(
+        counts,
+        ({"trip_status": text(o), "trips": o, "share": _share(o)} for o in outcomes),
     )

@@ -7,30 +7,57 @@ is a row of the report, not an error.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from farestar.functions.numbers import TOTAL, sum_cents, total
 from farestar.operators.cleaning import CORRECTION, VALID
+from farestar.operators.lines import as_lines, meet, text
 from farestar.operators.star import orphan_keys
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Printed name, and how its measure (a column named by the rule's code) is judged."""
+    """Printed name, and how the measure (``{}``, a column named by the code) is judged."""
 
     name: str
-    passes: Callable[[Column], Column] = lambda violations: violations == 0
-    details: Callable[[Column], Column] = lambda measure: measure.cast("string")
+    passes: str = "{} = 0"
+    details: str = "CAST({} AS STRING)"
 
     @property
     def code(self) -> str:
         return self.name.split(":")[0]
 
 
+def _report(measures: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(test, result, details), a row per rule; a NULL measure fails."""
+    return as_lines(
+        measures,
+        (
+            {
+                "test": text(rule.name),
+                "result": f"if({rule.passes.format(rule.code)}, 'PASS', 'FAIL')",
+                "details": rule.details.format(rule.code),
+            }
+            for rule in rules
+        ),
+    )
+
+
+def _violations(condition: str, alias: str) -> Column:
+    return F.expr(f"count_if({condition}) AS {alias}")
+
+
+def _sum_or_zero(name: str, alias: str) -> Column:
+    return F.expr(f"coalesce(sum({name}), 0) AS {alias}")
+
+
+def _rows(alias: str) -> Column:
+    return F.expr(f"count(*) AS {alias}")
+
+
 # --- cleaned trips ---------------------------------------------------------------------------
 
 # Violations counted for each rule of the cleaned table.  As in any SQL filter, a condition
@@ -51,21 +78,15 @@ SILVER_VIOLATIONS = {
     "S14": "trip_status = 'correction' AND fare_amount > 0 AND total_amount > 0",
     "S15": "passenger_count IS NULL OR rate_code_id IS NULL OR store_and_fwd_flag IS NULL"
     " OR congestion_surcharge IS NULL OR airport_fee IS NULL OR cbd_congestion_fee IS NULL",
-    "S16": "pickup_datetime < TIMESTAMP_NTZ'2021-01-01' OR pickup_datetime >= TIMESTAMP_NTZ'2026-01-01'",
+    "S16": "pickup_datetime < TIMESTAMP_NTZ'2021-01-01'"
+    " OR pickup_datetime >= TIMESTAMP_NTZ'2026-01-01'",
     "S17": "trip_year IS NULL OR trip_month IS NULL OR trip_day IS NULL"
     " OR trip_weekday IS NULL OR pickup_hour IS NULL OR trip_duration_minutes IS NULL",
 }
 
-
-def _lost_text(kept_share: Column) -> Column:
-    """``4.34% lost``; a whole number prints without a fraction."""
-    lost = F.round((1 - kept_share) * 100, 2).cast("string")
-    return F.concat(F.regexp_replace(lost, r"\.0$", ""), F.lit("% lost"))
-
-
 # The printed names.
 SILVER_RULES = (
-    Rule("S01: Silver not empty", passes=lambda rows: rows > 0),
+    Rule("S01: Silver not empty", passes="{} > 0"),
     Rule("S02: vendor_id in {1,2}"),
     Rule("S03: pickup < dropoff"),
     Rule("S04: duration 1-1440 min"),
@@ -83,88 +104,79 @@ SILVER_RULES = (
     Rule("S16: dates in 2021-2025"),
     Rule("S17: derived cols not NULL"),
 )
-DATA_LOSS_RULE = Rule("S18: data loss < 10%", passes=lambda s: s > 0.90, details=_lost_text)
+DATA_LOSS_RULE = Rule(
+    "S18: data loss < 10%",
+    passes="{} > 0.90",
+    # A whole number prints without a fraction.
+    details="concat(regexp_replace(CAST(round((1 - {}) * 100, 2) AS STRING), '[.]0$', ''),"
+    " '% lost')",
+)
 
 
 def _silver_measures(silver: DataFrame) -> DataFrame:
     return silver.agg(
-        F.count("*").alias("S01"),
-        *(_violations(test, code) for code, test in SILVER_VIOLATIONS.items()),
+        _rows("S01"), *(_violations(test, code) for code, test in SILVER_VIOLATIONS.items())
     )
 
 
 def _with_kept_share(measures: DataFrame) -> DataFrame:
     """S18 from the two counts; NULL, hence FAIL, for an empty raw table."""
-    share = F.try_divide(F.col("S01").cast("double"), F.col("raw_rows"))
-    return measures.withColumn("S18", share)
+    return measures.selectExpr("*", "try_divide(CAST(S01 AS DOUBLE), raw_rows) AS S18")
 
 
 def quality_silver(silver: DataFrame, raw: DataFrame) -> DataFrame:
     """All 18 rules: one pass over the cleaned table and one count of the raw one."""
-    measures = _meet(_silver_measures(silver), raw.agg(F.count("*").alias("raw_rows")))
+    measures = meet(_silver_measures(silver), raw.agg(_rows("raw_rows")))
     return _report(_with_kept_share(measures), (*SILVER_RULES, DATA_LOSS_RULE))
 
 
 def quality_data_loss(silver: DataFrame, raw: DataFrame) -> DataFrame:
-    measures = _meet(
-        silver.agg(F.count("*").alias("S01")), raw.agg(F.count("*").alias("raw_rows"))
-    )
+    measures = meet(silver.agg(_rows("S01")), raw.agg(_rows("raw_rows")))
     return _report(_with_kept_share(measures), (DATA_LOSS_RULE,))
 
 
 # --- star schema -----------------------------------------------------------------------------
 
-
-def _agree(pair: Column) -> Column:
-    return F.abs(pair["gold"] - pair["silver"]) == 0
-
-
-def _agree_within_one(pair: Column) -> Column:
-    return F.abs(pair["gold"] - pair["silver"]) < 1
-
-
-def _both_sides(pair: Column) -> Column:
-    gold, silver = (pair[side].cast("string") for side in ("gold", "silver"))
-    return F.concat(F.lit("Gold="), gold, F.lit(" Silver="), silver)
-
+_BOTH_SIDES = "concat('Gold=', CAST({0}.gold AS STRING), ' Silver=', CAST({0}.silver AS STRING))"
 
 # The printed names.
 TABLE_RULES = (
-    Rule("G01: dim_date not empty", passes=lambda rows: rows > 0),
+    Rule("G01: dim_date not empty", passes="{} > 0"),
     Rule("G02: dates 2021-2025"),
-    Rule("G03: no duplicate date_key", passes=lambda most: most == 1),
-    Rule("G04: dim_payment_type count = 7", passes=lambda rows: rows == 7),
+    Rule("G03: no duplicate date_key", passes="{} = 1"),
+    Rule("G04: dim_payment_type count = 7", passes="{} = 7"),
     Rule("G05: payment_category mapped"),
-    Rule("G06: fact_trips not empty", passes=lambda rows: rows > 0),
+    Rule("G06: fact_trips not empty", passes="{} > 0"),
     Rule("G07: total_revenue >= 0"),
     Rule("G08: trip_count > 0"),
     Rule("G09: avg_trip_cost <= 1000"),
     Rule("G10: valid payment types"),
-    Rule("G11: fact_corrections not empty", passes=lambda rows: rows > 0),
+    Rule("G11: fact_corrections not empty", passes="{} > 0"),
     Rule("G12: correction_count is positive"),
     Rule("G13: valid payment types (corrections)"),
 )
 CROSS_LAYER_RULES = (
-    Rule("G14: Gold = Silver valid count", _agree, _both_sides),
-    Rule("G15: Gold = Silver correction count", _agree, _both_sides),
-    Rule("G16: Gold revenue = Silver valid revenue", _agree_within_one, _both_sides),
+    Rule("G14: Gold = Silver valid count", "abs({0}.gold - {0}.silver) = 0", _BOTH_SIDES),
+    Rule("G15: Gold = Silver correction count", "abs({0}.gold - {0}.silver) = 0", _BOTH_SIDES),
+    Rule("G16: Gold revenue = Silver valid revenue", "abs({0}.gold - {0}.silver) < 1", _BOTH_SIDES),
 )
 
 
 def date_key_counts(dates: DataFrame) -> DataFrame:
     """Rows, rows outside the years and the most rows of one key, in one pass."""
-    per_key = dates.groupBy("date_key").agg(
-        F.count("*").alias("rows"), _violations("full_date < DATE'2021-01-01' OR full_date >= DATE'2026-01-01'", "out")
-    )
+    outside = "full_date < DATE'2021-01-01' OR full_date >= DATE'2026-01-01'"
+    per_key = dates.groupBy("date_key").agg(_rows("key_rows"), _violations(outside, "outside"))
     return per_key.agg(
-        _sum_or_zero("rows", "G01"), _sum_or_zero("out", "G02"), F.max("rows").alias("G03")
+        _sum_or_zero("key_rows", "G01"),
+        _sum_or_zero("outside", "G02"),
+        F.expr("max(key_rows) AS G03"),
     )
 
 
 def _payment_measures(payment_types: DataFrame) -> DataFrame:
     unmapped = "payment_category NOT IN ('Credit Card', 'Cash', 'Others')"
     return payment_types.agg(
-        F.count("*").alias("G04"),
+        _rows("G04"),
         _violations(unmapped, "G05"),
         _violations("payment_key IS NULL", "null_payment_types"),
     )
@@ -173,12 +185,12 @@ def _payment_measures(payment_types: DataFrame) -> DataFrame:
 def _trip_measures(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
     """Everything the rules need from fact_trips, in one pass over it."""
     per_key = fact.groupBy("payment_key").agg(
-        F.count("*").alias("fact_rows"),
+        _rows("fact_rows"),
         _violations("total_revenue < 0", "negative"),
         _violations("trip_count <= 0", "empty"),
         _violations("avg_trip_cost <= 0 OR avg_trip_cost > 1000", "cost"),
-        F.sum("trip_count").alias("trips"),
-        F.sum("total_revenue").alias("revenue"),
+        F.expr("sum(trip_count) AS trips"),
+        F.expr("sum(total_revenue) AS revenue"),
     )
     return _marked_unlisted(per_key, payment_types).agg(
         _sum_or_zero("fact_rows", "G06"),
@@ -187,15 +199,15 @@ def _trip_measures(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
         _sum_or_zero("cost", "G09"),
         _sum_or_zero("unlisted_rows", "unlisted_trips"),
         _sum_or_zero("trips", "gold_trips"),
-        _revenue_or_zero(F.sum("revenue")).alias("gold_revenue"),
+        _revenue_or_zero("sum(revenue)", "gold_revenue"),
     )
 
 
 def _correction_measures(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
     per_key = fact.groupBy("payment_key").agg(
-        F.count("*").alias("fact_rows"),
+        _rows("fact_rows"),
         _violations("correction_count <= 0", "empty"),
-        F.sum("correction_count").alias("corrections"),
+        F.expr("sum(correction_count) AS corrections"),
     )
     return _marked_unlisted(per_key, payment_types).agg(
         _sum_or_zero("fact_rows", "G11"),
@@ -210,51 +222,48 @@ def _marked_unlisted(per_key: DataFrame, payment_types: DataFrame) -> DataFrame:
 
     An outer join, because an anti join would need a second pass over the fact.
     """
-    listed = payment_types.select("payment_key").distinct().withColumn("listed", F.lit(True))
-    unlisted = F.col("listed").isNull() & F.col("payment_key").isNotNull()
-    return per_key.join(listed, "payment_key", "left").withColumn(
-        "unlisted_rows", F.when(unlisted, F.col("fact_rows"))
+    listed = payment_types.selectExpr("payment_key", "true AS listed").distinct()
+    unlisted = "CASE WHEN listed IS NULL AND payment_key IS NOT NULL THEN fact_rows END"
+    return per_key.join(listed, "payment_key", "left").selectExpr(
+        "*", f"{unlisted} AS unlisted_rows"
     )
 
 
 def _with_orphans(measures: DataFrame) -> DataFrame:
     """G10 and G13: fact rows whose key is NOT IN the dimension, as SQL defines it."""
 
-    def orphans(unlisted: str, fact_rows: str) -> Column:
+    def orphans(unlisted: str, fact_rows: str) -> str:
         return (
-            F.when(F.col("G04") == 0, F.col(fact_rows))
-            .when(F.col("null_payment_types") > 0, 0)
-            .otherwise(F.col(unlisted))
+            f"CASE WHEN G04 = 0 THEN {fact_rows} WHEN null_payment_types > 0 THEN 0"
+            f" ELSE {unlisted} END"
         )
 
-    return measures.withColumns(
-        {"G10": orphans("unlisted_trips", "G06"), "G13": orphans("unlisted_corrections", "G11")}
+    return measures.selectExpr(
+        "*",
+        f"{orphans('unlisted_trips', 'G06')} AS G10",
+        f"{orphans('unlisted_corrections', 'G11')} AS G13",
     )
 
 
-def _revenue_or_zero(revenue: Column) -> Column:
-    return F.coalesce(revenue, F.lit(0)).cast(TOTAL)
+def _revenue_or_zero(revenue: str, alias: str) -> Column:
+    return F.expr(f"CAST(coalesce({revenue}, 0) AS {TOTAL}) AS {alias}")
 
 
 def _silver_totals(silver: DataFrame) -> DataFrame:
-    is_valid = F.col("trip_status") == VALID
-    valid_total = F.when(is_valid, F.col("total_amount"))
+    valid_total = f"CASE WHEN trip_status = '{VALID}' THEN total_amount END"
     return silver.agg(
-        F.count_if(is_valid).alias("silver_trips"),
-        F.count_if(F.col("trip_status") == CORRECTION).alias("silver_corrections"),
-        _revenue_or_zero(total(sum_cents(valid_total))).alias("silver_revenue"),
+        _violations(f"trip_status = '{VALID}'", "silver_trips"),
+        _violations(f"trip_status = '{CORRECTION}'", "silver_corrections"),
+        _revenue_or_zero(total(sum_cents(valid_total)), "silver_revenue"),
     )
 
 
 def _with_pairs(measures: DataFrame) -> DataFrame:
-    def pair(name: str) -> Column:
-        return F.struct(F.col(f"gold_{name}").alias("gold"), F.col(f"silver_{name}").alias("silver"))
+    def pair(name: str) -> str:
+        return f"struct(gold_{name} AS gold, silver_{name} AS silver)"
 
-    return measures.select(
-        "*",
-        pair("trips").alias("G14"),
-        pair("corrections").alias("G15"),
-        pair("revenue").alias("G16"),
+    return measures.selectExpr(
+        "*", f"{pair('trips')} AS G14", f"{pair('corrections')} AS G15", f"{pair('revenue')} AS G16"
     )
 
 
@@ -265,8 +274,8 @@ def quality_gold(
     corrections: DataFrame,
     silver: DataFrame,
 ) -> DataFrame:
-    """All 16 rules, with one pass over each fact, each dimension and the cleaned table."""
-    measures = _meet(
+    """All 16 rules, with one pass over each fact, the calendar and the cleaned table."""
+    measures = meet(
         date_key_counts(dates),
         _payment_measures(payment_types),
         _trip_measures(trips, payment_types),
@@ -279,10 +288,10 @@ def quality_gold(
 
 def quality_cross_layer(trips: DataFrame, corrections: DataFrame, silver: DataFrame) -> DataFrame:
     """The three reconciliations of the facts with the cleaned table."""
-    measures = _meet(
+    measures = meet(
         trips.agg(
             _sum_or_zero("trip_count", "gold_trips"),
-            _revenue_or_zero(F.sum("total_revenue")).alias("gold_revenue"),
+            _revenue_or_zero("sum(total_revenue)", "gold_revenue"),
         ),
         corrections.agg(_sum_or_zero("correction_count", "gold_corrections")),
         _silver_totals(silver),
@@ -293,33 +302,3 @@ def quality_cross_layer(trips: DataFrame, corrections: DataFrame, silver: DataFr
 def orphan_check(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
     """Fact rows whose payment key is missing from the dimension, as one number."""
     return orphan_keys(fact, payment_types).agg(_sum_or_zero("fact_rows", "orphan_rows"))
-
-
-# --- shared ----------------------------------------------------------------------------------
-
-
-def _violations(condition: str, alias: str) -> Column:
-    return F.count_if(F.expr(condition)).alias(alias)
-
-
-def _sum_or_zero(name: str, alias: str) -> Column:
-    return F.coalesce(F.sum(name), F.lit(0)).alias(alias)
-
-
-def _meet(*one_row_frames: DataFrame) -> DataFrame:
-    """One row holding the columns of all the one-row frames, without a cross join."""
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row_frames)
-    return united.agg(*(F.max(name).alias(name) for name in united.columns))
-
-
-def _report(measures: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(test, result, details), a row per rule; a NULL measure fails."""
-    lines = (
-        F.struct(
-            F.lit(rule.name).alias("test"),
-            F.when(rule.passes(F.col(rule.code)), "PASS").otherwise("FAIL").alias("result"),
-            rule.details(F.col(rule.code)).alias("details"),
-        )
-        for rule in rules
-    )
-    return measures.select(F.inline(F.array(*lines)))

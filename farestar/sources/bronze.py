@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from farestar.lake import TRIP_DATASET, Lake
@@ -54,10 +54,14 @@ SOURCE_COLUMNS = ("source_file", "source_year")
 _MONTH_IN_PATH = rf"^(.*/{TRIP_DATASET}/([^/]+)/([^/]+\.parquet))(/[^/]+)?$"
 
 
+# The lower-case column wins.
+AIRPORT_FEE = "coalesce(airport_fee_lower, airport_fee_upper)"
+
+
 def merge_airport_fee(raw: DataFrame) -> DataFrame:
-    """Replaces the two cased inputs by one column; the lower-case one wins."""
-    fee = F.coalesce("airport_fee_lower", "airport_fee_upper")
-    return raw.withColumn("airport_fee", fee).drop("airport_fee_lower", "airport_fee_upper")
+    """Replaces the two cased inputs by one column."""
+    merged = raw.selectExpr("*", f"{AIRPORT_FEE} AS airport_fee")
+    return merged.drop("airport_fee_lower", "airport_fee_upper")
 
 
 def list_raw_files(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -126,20 +130,21 @@ def _bind(group: DataFrame, code_type: str, with_source: bool) -> DataFrame:
     """Projects one natively scanned group onto the declared fields."""
     physical = {field.name: field.dataType.simpleString() for field in group.schema.fields}
 
-    def column(name: str, stored_as: str, declared: str) -> Column:
+    def column(name: str, stored_as: str, declared: str) -> str:
         wanted = code_type if name in CODE_FIELDS else declared
         if stored_as not in physical:
-            return F.lit(None).cast(wanted).alias(name)
-        stored = F.col(stored_as)
+            return f"CAST(NULL AS {wanted}) AS {name}"
         # An unneeded cast would keep a filter from reaching the scan.
-        return (stored if physical[stored_as] == wanted else stored.cast(wanted)).alias(name)
+        cast = physical[stored_as] != wanted
+        return f"CAST({stored_as} AS {wanted}) AS {name}" if cast else f"{stored_as} AS {name}"
 
     columns = [column(*field) for field in RAW_FIELDS]
     if with_source:
-        path = F.col("_metadata.file_path")
-        columns.append(F.regexp_extract(path, _MONTH_IN_PATH, 3).alias("source_file"))
-        columns.append(F.regexp_extract(path, _MONTH_IN_PATH, 2).alias("source_year"))
-    return group.select(*columns)
+        columns += [
+            f"regexp_extract(_metadata.file_path, r'{_MONTH_IN_PATH}', {part}) AS {name}"
+            for name, part in (("source_file", 3), ("source_year", 2))
+        ]
+    return group.selectExpr(*columns)
 
 
 def _read(spark: SparkSession, lake: Lake, code_type: str, with_source: bool) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from farestar.functions.calendar import two_digits
 from farestar.lake import SOURCE_FOLDER, TRIP_DATASET
 
 # The years the published pipeline asks for.
@@ -13,34 +14,40 @@ FIRST_YEAR, LAST_YEAR = 2021, 2025
 def year_bounds(
     spark: SparkSession, start_year: int = FIRST_YEAR, end_year: int = LAST_YEAR
 ) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(start_year).alias("start_year"), F.lit(end_year).alias("end_year")
-    )
+    return spark.range(1).selectExpr(f"{start_year} AS start_year", f"{end_year} AS end_year")
 
 
 def month_grid(bounds: DataFrame) -> DataFrame:
     """(year STRING, month STRING '01'..'12') for every month of the bounded years."""
-    return bounds.select(
-        F.explode(F.sequence("start_year", "end_year")).alias("y")
-    ).select(
-        F.col("y").cast("string").alias("year"),
-        F.explode(F.transform(F.sequence(F.lit(1), F.lit(12)), _two_digits)).alias("month"),
+    years = bounds.selectExpr("explode(sequence(start_year, end_year)) AS y")
+    return years.selectExpr("y", "explode(sequence(1, 12)) AS m").selectExpr(
+        "CAST(y AS STRING) AS year", f"{two_digits('m')} AS month"
     )
 
 
-def _two_digits(month: Column) -> Column:
-    return F.lpad(month.cast("string"), 2, "0")
-
-
 def with_paths(grid: DataFrame) -> DataFrame:
     """Adds the relative source path and the bronze folder and file of each month."""
-    file_name = F.concat(
-        F.lit(f"{TRIP_DATASET}_"), "year", F.lit("-"), "month", F.lit(".parquet")
+    return (
+        grid.selectExpr(
+            "*", f"concat('{TRIP_DATASET}_', year, '-', month, '.parquet') AS file_name"
+        )
+        .selectExpr(
+            "*",
+            f"concat('/{SOURCE_FOLDER}/', file_name) AS source_path",
+            f"concat('{TRIP_DATASET}/', year, '/') AS sink_folder",
+        )
     )
+
+
+def months_of(trips: DataFrame, pickup: str) -> DataFrame:
+    """(year, month, trips): the months in which the rows were picked up."""
     return (
-        grid.withColumn("file_name", file_name)
-        .withColumn("source_path", F.concat(F.lit(f"/{SOURCE_FOLDER}/"), "file_name"))
-        .withColumn("sink_folder", F.concat(F.lit(f"{TRIP_DATASET}/"), "year", F.lit("/")))
+        trips.selectExpr(
+            f"CAST(year({pickup}) AS STRING) AS year", f"{two_digits(f'month({pickup})')} AS month"
+        )
+        .groupBy("year", "month")
+        .count()
+        .withColumnRenamed("count", "trips")
     )
 
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from farestar.functions.calendar import date_key_of, minutes_between
+from farestar.functions.calendar import date_key_of
 from farestar.functions.numbers import code, money
 from farestar.lake import DIM_DATE, DIM_PAYMENT_TYPE, FACT_CORRECTIONS, FACT_TRIPS
-from farestar.operators import cleaning, dimensions, facts, profiles, quality
+from farestar.operators import dimensions, facts, profiles, quality
+from farestar.operators.cleaning import (
+    CLEANED_COLUMNS, DROPOFF, DURATION, KEEP_RULES, PICKUP, TRIP_STATUS, clean_trips,
+)
 from farestar.operators.star import star_join
 from farestar.plans import reports
 from farestar.sources import bronze, months
@@ -18,37 +21,27 @@ from harness.trips import gold_tables, landed_lake, raw_fields, raw_trips, silve
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_PICKUP, _DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
-
 
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as DOUBLE and dates as text, so two engines' results compare by value."""
 
-    def column(field) -> Column:
+    def column(field) -> str:
         if isinstance(field.dataType, DecimalType):
-            return F.col(field.name).cast("double").alias(field.name)
+            return f"CAST({field.name} AS DOUBLE) AS {field.name}"
         if isinstance(field.dataType, DateType):
-            return F.col(field.name).cast("string").alias(field.name)
-        return F.col(field.name)
+            return f"CAST({field.name} AS STRING) AS {field.name}"
+        return field.name
 
-    return df.select(*(column(field) for field in df.schema.fields))
+    return df.selectExpr(*map(column, df.schema.fields))
 
 
 # --- files -----------------------------------------------------------------------------------
 
 
-def _months_of(raw: DataFrame) -> DataFrame:
-    return raw.groupBy(
-        F.year(_PICKUP).cast("string").alias("year"),
-        F.lpad(F.month(_PICKUP).cast("string"), 2, "0").alias("month"),
-    ).agg(F.count("*").alias("trips"))
-
-
 def _grid_of(raw: DataFrame) -> DataFrame:
     """All months of the years in which the raw table has trips inside the accepted dates."""
-    year = F.year(_PICKUP)
-    bounds = raw.where(cleaning.keep_rules()["date_range"]).agg(
-        F.min(year).alias("start_year"), F.max(year).alias("end_year")
+    bounds = raw.where(KEEP_RULES["date_range"]).agg(
+        F.expr(f"min(year({PICKUP})) AS start_year"), F.expr(f"max(year({PICKUP})) AS end_year")
     )
     return months.month_grid(bounds)
 
@@ -58,12 +51,12 @@ def month_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return months.with_paths(_months_of(raw_trips(spark, sf_dir)))
+    return months.with_paths(months.months_of(raw_trips(spark, sf_dir), PICKUP))
 
 
 def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_trips(spark, sf_dir)
-    return months.missing_months(_grid_of(raw), _months_of(raw))
+    return months.missing_months(_grid_of(raw), months.months_of(raw, PICKUP))
 
 
 def landed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,81 +70,44 @@ def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_airport_fee(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged fee of the landed files, whose casing differs by year."""
     raw = bronze.read_bronze(spark, landed_lake(spark, sf_dir))
-    return raw.groupBy("source_year", "airport_fee").agg(F.count("*").alias("trips"))
-
-
-def airport_fee_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = raw_fields(spark, sf_dir)
-    merged = F.coalesce("airport_fee_lower", "airport_fee_upper")
-    return fields.select(_PICKUP, "airport_fee_lower", "airport_fee_upper", merged.alias("airport_fee"))
-
-
-# --- cleaning --------------------------------------------------------------------------------
+    return raw.groupBy("source_year", "airport_fee").agg(F.expr("count(*) AS trips"))
 
 
-def cleaned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_trips(raw_trips(spark, sf_dir))
-
-
-def silver_money(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = (
-        "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
-        "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee",
-        "cbd_congestion_fee",
-    )
-    return raw_trips(spark, sf_dir).select(
-        *inputs, *(money(F.col(name)).alias(f"new_{name}") for name in inputs)
-    )
-
-
-def silver_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = bronze.CODE_FIELDS
-    return raw_trips(spark, sf_dir).select(
-        *names, *(code(F.col(name)).alias(f"new_{name}") for name in names)
-    )
+def _projected(*expressions: str) -> Query:
+    """Expressions over all raw rows: the inputs of an operator next to its result."""
+    return lambda spark, sf_dir: raw_trips(spark, sf_dir).selectExpr(*expressions)
 
 
-def silver_null_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    repaired = (
-        "passenger_count", "rate_code_id", "store_and_fwd_flag",
-        "congestion_surcharge", "airport_fee", "cbd_congestion_fee",
-    )
-    raw = raw_trips(spark, sf_dir)
-    return cleaning.clean_columns(raw, *repaired).select(
-        *profiles.REPAIRED_COLUMNS, *(f"new_{name}" for name in repaired)
-    )
-
+def airport_fee_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = raw_fields(spark, sf_dir).select(PICKUP, "airport_fee_lower", "airport_fee_upper")
+    return fields.selectExpr("*", f"{bronze.AIRPORT_FEE} AS airport_fee")
 
-def silver_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    minutes = minutes_between(F.col(_PICKUP), F.col(_DROPOFF))
-    return raw_trips(spark, sf_dir).select(
-        _PICKUP, _DROPOFF, minutes.alias("trip_duration_minutes")
-    )
 
+# --- cleaning --------------------------------------------------------------------------------
 
-def silver_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = ("trip_year", "trip_month", "trip_day", "trip_weekday", "pickup_hour")
-    raw = raw_trips(spark, sf_dir)
-    return cleaning.clean_columns(raw, *parts).select(_PICKUP, *(f"new_{p}" for p in parts))
+_AMOUNTS = (
+    "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+    "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee",
+    "cbd_congestion_fee",
+)
 
 
-def silver_trip_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_trips(spark, sf_dir)
-    return raw.select("fare_amount", "total_amount", cleaning.trip_status().alias("trip_status"))
+def _new(*columns: str) -> tuple[str, ...]:
+    """The expressions of silver columns, named apart from raw columns of the same name."""
+    return tuple(f"{CLEANED_COLUMNS[name]} AS new_{name}" for name in columns)
 
 
-def date_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_trips(spark, sf_dir)
-    return raw.select(_PICKUP, date_key_of(F.col(_PICKUP)).alias("date_key"))
+def cleaned_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_trips(raw_trips(spark, sf_dir))
 
 
 _FILTER_INPUTS = {
     "vendor": ("VendorID",),
     "distance": ("trip_distance",),
     "zones": ("PULocationID", "DOLocationID"),
-    "date_range": (_PICKUP,),
-    "time_order": (_PICKUP, _DROPOFF),
-    "duration": (_PICKUP, _DROPOFF),
+    "date_range": (PICKUP,),
+    "time_order": (PICKUP, DROPOFF),
+    "duration": (PICKUP, DROPOFF),
 }
 
 
@@ -159,8 +115,7 @@ def _filtered(rule: str) -> Query:
     """The rows that one cleaning rule keeps, reduced to the columns it reads."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kept = raw_trips(spark, sf_dir).where(cleaning.keep_rules()[rule])
-        return kept.select(*_FILTER_INPUTS[rule])
+        return raw_trips(spark, sf_dir).where(KEEP_RULES[rule]).select(*_FILTER_INPUTS[rule])
 
     return query
 
@@ -175,8 +130,8 @@ def _profile(build: Callable[[DataFrame], DataFrame]) -> Query:
 def _dates_of(silver: DataFrame) -> DataFrame:
     """The calendar of all years in which the cleaned table has trips."""
     bounds = silver.agg(
-        F.make_date(F.min("trip_year"), F.lit(1), F.lit(1)).alias("first_day"),
-        F.make_date(F.max("trip_year"), F.lit(12), F.lit(31)).alias("last_day"),
+        F.expr("make_date(min(trip_year), 1, 1) AS first_day"),
+        F.expr("make_date(max(trip_year), 12, 31) AS last_day"),
     )
     return dimensions.dim_date(bounds)
 
@@ -187,18 +142,10 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_payment_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension with the number of cleaned trips of each payment type."""
-    used = (
-        silver_trips(spark, sf_dir)
-        .groupBy(F.col("payment_type").alias("payment_key"))
-        .agg(F.count("*").alias("used"))
-    )
-    return (
-        dimensions.dim_payment_type(spark)
-        .join(used, "payment_key", "left")
-        .select(
-            "payment_key", "payment_name", "payment_category",
-            F.coalesce("used", F.lit(0)).alias("trips"),
-        )
+    used = silver_trips(spark, sf_dir).groupBy("payment_type").agg(F.expr("count(*) AS used"))
+    types = dimensions.dim_payment_type(spark)
+    return types.join(used, F.expr("payment_key = payment_type"), "left").selectExpr(
+        "payment_key", "payment_name", "payment_category", "coalesce(used, 0) AS trips"
     )
 
 
@@ -262,9 +209,8 @@ def quality_cross_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_date_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = quality.date_key_counts(dim_date(spark, sf_dir))
-    return counts.select(
-        F.col("G01").alias("days"), F.col("G02").alias("days_outside"),
-        F.col("G03").alias("most_rows_of_a_key"),
+    return counts.selectExpr(
+        "G01 AS days", "G02 AS days_outside", "G03 AS most_rows_of_a_key"
     )
 
 
@@ -302,13 +248,25 @@ _QUERIES: dict[str, Query] = {
     "bronze_airport_fee": bronze_airport_fee,
     "airport_fee_merge": airport_fee_merge,
     "silver_trips": cleaned_trips,
-    "silver_money": silver_money,
-    "silver_codes": silver_codes,
-    "silver_null_fix": silver_null_fix,
-    "silver_duration": silver_duration,
-    "silver_calendar": silver_calendar,
-    "silver_trip_status": silver_trip_status,
-    "date_key": date_key,
+    "silver_money": _projected(*_AMOUNTS, *(f"{money(a)} AS new_{a}" for a in _AMOUNTS)),
+    "silver_codes": _projected(
+        *bronze.CODE_FIELDS, *(f"{code(c)} AS new_{c}" for c in bronze.CODE_FIELDS)
+    ),
+    "silver_null_fix": _projected(
+        *profiles.REPAIRED_COLUMNS,
+        *_new(
+            "passenger_count", "rate_code_id", "store_and_fwd_flag",
+            "congestion_surcharge", "airport_fee", "cbd_congestion_fee",
+        ),
+    ),
+    "silver_duration": _projected(PICKUP, DROPOFF, f"{DURATION} AS trip_duration_minutes"),
+    "silver_calendar": _projected(
+        PICKUP, *_new("trip_year", "trip_month", "trip_day", "trip_weekday", "pickup_hour")
+    ),
+    "silver_trip_status": _projected(
+        "fare_amount", "total_amount", f"{TRIP_STATUS} AS trip_status"
+    ),
+    "date_key": _projected(PICKUP, f"{date_key_of(PICKUP)} AS date_key"),
     **{f"filter_{rule}": _filtered(rule) for rule in _FILTER_INPUTS},
     "filter_profile": _profile(profiles.filter_profile),
     "null_profile": _profile(profiles.null_profile),

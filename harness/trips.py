@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from farestar.functions.calendar import year_month
 from farestar.lake import Lake
-from farestar.operators.cleaning import clean_trips
+from farestar.operators.cleaning import PICKUP, clean_trips
 from farestar.plans.medallion import build_gold
 from farestar.session import scratch_folder
 from farestar.sources.bronze import merge_airport_fee
 from farestar.sources.landing import land_months
+from farestar.sources.months import months_of
 from farestar.sources.tables import create_table_as
 
 RAW_SQL = """
@@ -126,12 +128,13 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # (first year, last year, names and types as published in those years)
+_OLD = {"VendorID": "bigint", "passenger_count": "double", "RatecodeID": "double",
+        "payment_type": "bigint"}
+_NEW = {**_OLD, "passenger_count": "bigint", "RatecodeID": "bigint"}
 _ERAS = (
-    (0, 2022, {"VendorID": "bigint", "passenger_count": "double", "RatecodeID": "double"},
-     {"airport_fee_lower": "airport_fee"}),
-    (2023, 2024, {"VendorID": "bigint", "passenger_count": "bigint", "RatecodeID": "bigint"},
-     {"airport_fee_upper": "Airport_fee"}),
-    (2025, 9999, {"VendorID": "int", "passenger_count": "bigint", "RatecodeID": "bigint"},
+    (0, 2022, _OLD, {"airport_fee_lower": "airport_fee"}),
+    (2023, 2024, _NEW, {"airport_fee_upper": "Airport_fee"}),
+    (2025, 9999, {**_NEW, "VendorID": "int"},
      {"airport_fee_upper": "Airport_fee", "cbd_congestion_fee": "cbd_congestion_fee"}),
 )
 _OPTIONAL = ("airport_fee_lower", "airport_fee_upper", "cbd_congestion_fee")
@@ -143,19 +146,15 @@ def _publish(raw: DataFrame, folder: str) -> None:
     The rebalance hint gathers a month into few files and lets adaptive execution split a
     month that is far larger than the others.
     """
-    pickup = F.col("tpep_pickup_datetime")
     for first, last, types, optional in _ERAS:
-        era = raw.where(F.year(pickup).between(first, last))
         columns = [
-            F.col(name).cast("double").cast(types[name]).alias(name) if name in types
-            else F.col(name).cast("bigint").alias(name) if name == "payment_type"
-            else F.col(name)
+            f"CAST(CAST({name} AS DOUBLE) AS {types[name]}) AS {name}" if name in types else name
             for name in raw.columns if name not in _OPTIONAL
         ]
-        columns += [F.col(name).alias(stored) for name, stored in optional.items()]
-        month = F.concat_ws("-", F.year(pickup), F.lpad(F.month(pickup).cast("string"), 2, "0"))
+        columns += [f"{name} AS {stored}" for name, stored in optional.items()]
         (
-            era.select(*columns, month.alias("published"))
+            raw.where(f"year({PICKUP}) BETWEEN {first} AND {last}")
+            .selectExpr(*columns, f"{year_month(PICKUP)} AS published")
             .hint("rebalance", "published")
             .write.mode("append")
             .partitionBy("published")
@@ -171,14 +170,9 @@ def landed_lake(spark: SparkSession, sf_dir: str) -> Lake:
         published = f"{lake.root}/published"
         raw = raw_fields(spark, sf_dir)
         _publish(raw, published)
-        pickup = F.col("tpep_pickup_datetime")
-        months = raw.select(
-            F.year(pickup).cast("string").alias("year"),
-            F.lpad(F.month(pickup).cast("string"), 2, "0").alias("month"),
-        ).distinct()
         land_months(
             spark,
-            sorted((row.year, row.month) for row in months.collect()),
+            sorted((row.year, row.month) for row in months_of(raw, PICKUP).collect()),
             lambda year, month: f"{published}/published={year}-{month}",
             lake,
         )
