@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from farestar.functions.numbers import TOTAL, sum_cents, total
 from farestar.operators.cleaning import CORRECTION, VALID
 from farestar.operators.lines import as_lines, meet, text
-from farestar.operators.star import orphan_keys
 
 
 @dataclass(frozen=True)
@@ -229,19 +228,19 @@ def _marked_unlisted(per_key: DataFrame, payment_types: DataFrame) -> DataFrame:
     )
 
 
-def _with_orphans(measures: DataFrame) -> DataFrame:
-    """G10 and G13: fact rows whose key is NOT IN the dimension, as SQL defines it."""
+def _orphans(unlisted: str, fact_rows: str) -> str:
+    """Fact rows whose key is NOT IN the dimension, as SQL defines it for NULL and for no rows."""
+    return (
+        f"CASE WHEN G04 = 0 THEN {fact_rows} WHEN null_payment_types > 0 THEN 0"
+        f" ELSE {unlisted} END"
+    )
 
-    def orphans(unlisted: str, fact_rows: str) -> str:
-        return (
-            f"CASE WHEN G04 = 0 THEN {fact_rows} WHEN null_payment_types > 0 THEN 0"
-            f" ELSE {unlisted} END"
-        )
 
+def _with_orphans(measures: DataFrame) -> DataFrame:
     return measures.selectExpr(
         "*",
-        f"{orphans('unlisted_trips', 'G06')} AS G10",
-        f"{orphans('unlisted_corrections', 'G11')} AS G13",
+        f"{_orphans('unlisted_trips', 'G06')} AS G10",
+        f"{_orphans('unlisted_corrections', 'G11')} AS G13",
     )
 
 
@@ -301,4 +300,11 @@ def quality_cross_layer(trips: DataFrame, corrections: DataFrame, silver: DataFr
 
 def orphan_check(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
     """Fact rows whose payment key is missing from the dimension, as one number."""
-    return orphan_keys(fact, payment_types).agg(_sum_or_zero("fact_rows", "orphan_rows"))
+    per_key = fact.groupBy("payment_key").agg(_rows("fact_rows"))
+    measures = meet(
+        _payment_measures(payment_types),
+        _marked_unlisted(per_key, payment_types).agg(
+            _sum_or_zero("fact_rows", "all_rows"), _sum_or_zero("unlisted_rows", "unlisted")
+        ),
+    )
+    return measures.selectExpr(f"{_orphans('unlisted', 'all_rows')} AS orphan_rows")

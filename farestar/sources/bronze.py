@@ -12,7 +12,8 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -101,8 +102,8 @@ def _schema_groups(spark: SparkSession, lake: Lake) -> list[tuple[StructType, li
     def schema_of(path: str) -> StructType | None:
         try:
             return spark.read.option("mergeSchema", True).parquet(path).schema
-        except PySparkException as error:
-            if "MERGE_SCHEMA" in (error.getCondition() or ""):
+        except (PySparkException, Py4JJavaError) as error:
+            if "CANNOT_MERGE" in str(error):
                 return None
             raise
 

@@ -358,6 +358,13 @@ SELECT 'others', count(*) FROM fact_{kind} WHERE payment_key NOT IN
   (SELECT payment_key FROM dim_payment_type WHERE payment_category = 'Others')"""
         for kind in ("trips", "corrections")
     },
+    **{
+        f"orphan_keys_{kind}": f"""SELECT payment_key, count(*) AS fact_rows
+FROM fact_{kind} WHERE payment_key NOT IN
+  (SELECT payment_key FROM dim_payment_type WHERE payment_category = 'Others')
+GROUP BY payment_key"""
+        for kind in ("trips", "corrections")
+    },
     "report_overview": """SELECT year_month, payment_category,
   CAST(sum(trip_count) AS BIGINT) AS trips,
   CAST(sum(total_passengers) AS BIGINT) AS passengers,

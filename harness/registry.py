@@ -14,7 +14,7 @@ from farestar.operators import dimensions, facts, profiles, quality
 from farestar.operators.cleaning import (
     CLEANED_COLUMNS, DROPOFF, DURATION, KEEP_RULES, PICKUP, TRIP_STATUS, clean_trips,
 )
-from farestar.operators.star import star_join
+from farestar.operators.star import orphan_keys, star_join
 from farestar.plans import reports
 from farestar.sources import bronze, months
 from harness.trips import gold_tables, landed_lake, raw_fields, raw_trips, silver_trips
@@ -220,14 +220,25 @@ def _orphans(fact: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         gold = gold_tables(spark, sf_dir)
         rows, types = gold[fact], gold[DIM_PAYMENT_TYPE]
-        others = types.where(F.col("payment_category") == "Others")
-        whole = quality.orphan_check(rows, types).withColumn("lookup", F.lit("whole"))
-        part = quality.orphan_check(rows, others).withColumn("lookup", F.lit("others"))
+        others = types.where("payment_category = 'Others'")
+        whole = quality.orphan_check(rows, types).selectExpr("'whole' AS lookup", "orphan_rows")
+        part = quality.orphan_check(rows, others).selectExpr("'others' AS lookup", "orphan_rows")
         return whole.unionByName(part)
 
     return query
 
 
+def _keys_outside_others(fact: str) -> Query:
+    """Payment keys, with their fact rows, that are NOT IN one category of the dimension."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold = gold_tables(spark, sf_dir)
+        others = gold[DIM_PAYMENT_TYPE].where("payment_category = 'Others'")
+        return orphan_keys(gold[fact], others)
+
+    return query
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 
@@ -284,6 +295,8 @@ _QUERIES: dict[str, Query] = {
     "dim_date_key_unique": dim_date_key_unique,
     "orphan_payment_trips": _orphans(FACT_TRIPS),
     "orphan_payment_corrections": _orphans(FACT_CORRECTIONS),
+    "orphan_keys_trips": _keys_outside_others(FACT_TRIPS),
+    "orphan_keys_corrections": _keys_outside_others(FACT_CORRECTIONS),
     "report_overview": _report(reports.overview, FACT_TRIPS, DIM_DATE, DIM_PAYMENT_TYPE),
     "report_revenue": _report(reports.revenue, FACT_TRIPS, DIM_DATE, DIM_PAYMENT_TYPE),
     "report_zones": _report(reports.zones, FACT_TRIPS),
