@@ -10,6 +10,7 @@ reach the driver; footers are read by tasks.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -92,7 +93,16 @@ def landed_months(spark: SparkSession, lake: Lake) -> DataFrame:
     )
 
 
-def _schema_groups(spark: SparkSession, lake: Lake) -> list[tuple[StructType, list[str]]]:
+@dataclass
+class _Group:
+    """Paths that share a physical schema and a layout (one file or a folder for a month)."""
+
+    schema: StructType
+    in_folders: bool
+    paths: list[str] = field(default_factory=list)
+
+
+def _schema_groups(spark: SparkSession, lake: Lake) -> list[_Group]:
     """Month paths grouped by equal physical schema.
 
     The footers of a month are merged by a Spark job.  A month whose own files disagree on a
@@ -107,29 +117,31 @@ def _schema_groups(spark: SparkSession, lake: Lake) -> list[tuple[StructType, li
                 return None
             raise
 
-    def probe(paths: list[str]) -> list[tuple[str, StructType | None]]:
-        with ThreadPoolExecutor(8) as pool:
-            return list(zip(paths, pool.map(schema_of, paths)))
+    groups: dict[tuple, _Group] = {}
 
-    files = list_raw_files(spark, lake)
-    month_rows = files.select("month_path").distinct().orderBy("month_path").collect()
-    probed = probe([row.month_path for row in month_rows])
-    mixed = [path for path, schema in probed if schema is None]
+    def probe(paths: list[tuple[str, bool]]) -> list[str]:
+        """Sorts the paths into groups; returns those that have no single schema."""
+        with ThreadPoolExecutor(8) as pool:
+            schemas = list(pool.map(schema_of, (path for path, _ in paths)))
+        for (path, in_folder), schema in zip(paths, schemas):
+            if schema is not None:
+                types = frozenset((f.name, f.dataType.simpleString()) for f in schema.fields)
+                group = groups.setdefault((types, in_folder), _Group(schema, in_folder))
+                group.paths.append(path)
+        return [path for (path, _), schema in zip(paths, schemas) if schema is None]
+
+    files = list_raw_files(spark, lake).selectExpr("*", "path <> month_path AS in_folder")
+    months = files.select("month_path", "in_folder").distinct().orderBy("month_path")
+    mixed = probe([tuple(row) for row in months.collect()])
     if mixed:
-        parts = files.where(F.col("month_path").isin(mixed)).orderBy("path").collect()
-        probed += probe([row.path for row in parts])
-
-    groups: dict[frozenset, tuple[StructType, list[str]]] = {}
-    for path, schema in probed:
-        if schema is not None:
-            key = frozenset((f.name, f.dataType.simpleString()) for f in schema.fields)
-            groups.setdefault(key, (schema, []))[1].append(path)
+        parts = files.where(F.col("month_path").isin(mixed)).select("path", "in_folder")
+        probe([tuple(row) for row in parts.orderBy("path").collect()])
     return list(groups.values())
 
 
-def _bind(group: DataFrame, code_type: str, with_source: bool) -> DataFrame:
-    """Projects one natively scanned group onto the declared fields."""
-    physical = {field.name: field.dataType.simpleString() for field in group.schema.fields}
+def _bind(group: DataFrame, code_type: str) -> list[str]:
+    """Expressions that project one natively scanned group onto the declared fields."""
+    physical = {f.name: f.dataType.simpleString() for f in group.schema.fields}
 
     def column(name: str, stored_as: str, declared: str) -> str:
         wanted = code_type if name in CODE_FIELDS else declared
@@ -139,21 +151,26 @@ def _bind(group: DataFrame, code_type: str, with_source: bool) -> DataFrame:
         cast = physical[stored_as] != wanted
         return f"CAST({stored_as} AS {wanted}) AS {name}" if cast else f"{stored_as} AS {name}"
 
-    columns = [column(*field) for field in RAW_FIELDS]
-    if with_source:
-        columns += [
-            f"regexp_extract(_metadata.file_path, r'{_MONTH_IN_PATH}', {part}) AS {name}"
-            for name, part in (("source_file", 3), ("source_year", 2))
-        ]
-    return group.selectExpr(*columns)
+    return [column(*declared) for declared in RAW_FIELDS]
+
+
+def _source_columns(in_folders: bool) -> list[str]:
+    """File name and year, counted from the end of the path (a pattern per row is 20x dearer)."""
+
+    def part(position: int) -> str:
+        return f"substring_index(substring_index(_metadata.file_path, '/', -{position}), '/', 1)"
+
+    file_position = 2 if in_folders else 1
+    return [f"{part(file_position)} AS source_file", f"{part(file_position + 1)} AS source_year"]
 
 
 def _read(spark: SparkSession, lake: Lake, code_type: str, with_source: bool) -> DataFrame:
-    groups = [
-        _bind(spark.read.schema(schema).parquet(*paths), code_type, with_source)
-        for schema, paths in _schema_groups(spark, lake)
-    ]
-    return merge_airport_fee(reduce(DataFrame.unionByName, groups))
+    scans = []
+    for group in _schema_groups(spark, lake):
+        stored = spark.read.schema(group.schema).parquet(*group.paths)
+        source = _source_columns(group.in_folders) if with_source else []
+        scans.append(stored.selectExpr(*_bind(stored, code_type), *source))
+    return merge_airport_fee(reduce(DataFrame.unionByName, scans))
 
 
 def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
