@@ -113,13 +113,9 @@ DATA_LOSS_RULE = Rule(
 
 
 def _silver_measures(silver: DataFrame) -> DataFrame:
-    """One scan that keeps only violators, and a row count that reads file footers alone.
-
-    Counting behind the filter spares the clean rows sixteen counter updates each.
-    """
-    any_violation = " OR ".join(f"({test})" for test in SILVER_VIOLATIONS.values())
-    counts = (_violations(test, code) for code, test in SILVER_VIOLATIONS.items())
-    return meet(silver.agg(_rows("S01")), silver.where(any_violation).agg(*counts))
+    return silver.agg(
+        _rows("S01"), *(_violations(test, code) for code, test in SILVER_VIOLATIONS.items())
+    )
 
 
 def _with_kept_share(measures: DataFrame) -> DataFrame:

@@ -157,3 +157,16 @@ def test_the_whole_lake(spark, landed, lake):
     failed = [r.test for r in gold_report if r.result == "FAIL"]
     # These few trips hold no correction.
     assert failed == ["G11: fact_corrections not empty"]
+
+
+def test_steps_from_the_command_line(spark, landed, lake, capsys):
+    from farestar.__main__ import main, parse
+
+    for step in ("silver", "gold", "check"):
+        main([step, "--root", lake.root])
+    for name in ("overview", "revenue", "zones", "temporal", "corrections"):
+        main(["report", "--root", lake.root, "--name", name])
+    printed = capsys.readouterr().out
+    assert "S18: data loss < 10%" in printed and "G16: Gold revenue" in printed
+    with pytest.raises(SystemExit):
+        parse(["land", "--root", lake.root])
