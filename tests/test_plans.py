@@ -50,10 +50,29 @@ def test_a_fact_shuffles_once_and_reads_only_its_columns(plan_of, name):
     assert "pickup_datetime" not in text
 
 
-def test_silver_suite_reads_the_table_once(plan_of):
+def test_silver_suite_skips_clean_row_groups(spark, sf_dir, plan_of):
     text = plan_of("quality_silver")
-    assert scans(text, "passenger_count") == 1
     assert "Join" not in text and "CartesianProduct" not in text
+    # Two scans of the cleaned table: six columns of all rows, and the out-of-range filter.
+    assert scans(text, "fare_amount") == 1 and scans(text, "rate_code_id") == 1
+    report = registry.quality_silver(spark, sf_dir)
+    leaves = report._jdf.queryExecution().sparkPlan().collectLeaves()
+    pushed = [leaves.apply(i).metadata().apply("PushedFilters") for i in range(leaves.size())]
+    suspect = next(p for p in pushed if "rate_code_id" in p)
+    assert suspect.startswith("[Or(") and "IsNull(trip_year)" in suspect
+
+
+def test_clean_row_groups_are_not_read(spark, tmp_path):
+    from farestar.operators import quality
+
+    path = str(tmp_path / "silver")
+    silver = registry.cleaned_trips(spark, "/root/testdata/sf0.001")
+    silver.coalesce(1).write.parquet(path)
+    out_of_range = " OR ".join(f"({t})" for t in quality.RANGE_VIOLATIONS.values())
+    suspects = spark.read.parquet(path).where(out_of_range)
+    suspects.collect()
+    scan = suspects._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() == 0
 
 
 def test_gold_suite_reads_each_fact_once(plan_of):
