@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farestar.llm import exact, language, quality
+from farestar.llm import exact, language, quality, toxicity
 from farestar.llm.common import documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    held = id_remainder(5) == 0
+    model = toxicity.fit(docs, labels.where(~held))
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", "predicted"
+    )
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.rule_ledger(documents(spark, sf_dir))
     base = sum(quality.BIT[rule] for rule in quality.BASE)
