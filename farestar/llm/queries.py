@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farestar.llm import exact, language, quality, toxicity
+from farestar.llm import dac, exact, language, quality, toxicity
 from farestar.llm.common import documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,11 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return dac.read_codes(dac.write_codes(documents(spark, sf_dir), path, end_id=2))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held = id_remainder(4) == 2
