@@ -123,10 +123,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     A NULL text, or one without a letter, is ``und`` with score 0; so is every text when the
     model knows no language.  Repeated rows give repeated rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.languages, model.log_prob, model.log_prior)
+    )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = Model(*shared.value)
         for batch in batches:
             values = batch["text"].to_pylist()
             label, score = [UNKNOWN] * len(values), [0.0] * len(values)

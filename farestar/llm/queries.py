@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farestar.llm import dac, exact, language, quality, toxicity
+from farestar.llm import dac, exact, language, packing, quality, toxicity
 from farestar.llm.common import documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op7_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_codes(dac.write_codes(documents(spark, sf_dir), path, end_id=2))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held = id_remainder(4) == 2
