@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farestar.llm import bpe, dac, exact, language, packing, quality, toxicity
+from farestar.llm import bpe, dac, exact, language, minhash, packing, quality, toxicity
 from farestar.llm.common import documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.decode(bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN), ranks)
