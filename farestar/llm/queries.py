@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farestar.llm import bpe, dac, exact, language, minhash, packing, quality, toxicity
+from farestar.llm import bpe, chaining, dac, exact, language, minhash, packing, quality, toxicity
 from farestar.llm.common import documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op7_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_codes(dac.write_codes(documents(spark, sf_dir), path, end_id=2))
 
 
+def op8_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.summary(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 

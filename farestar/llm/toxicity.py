@@ -207,3 +207,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             "doc_id", (1 / (1 + F.exp(-gain))).alias("score")
         )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def drop_predicted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, map-only, with all their columns."""
+    if model.prior is not None:
+        return docs.where(F.lit(model.prior < 0.5))
+    shared = docs.sparkSession.sparkContext.broadcast((model.ordinary, model.toxic))
+    at, rank, threshold = docs.columns.index("text"), model.rank, model.threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        largest = gain_meter(*shared.value)
+        for batch in batches:
+            keep = [largest(text.as_py() or "")[rank - 1] < threshold for text in batch.column(at)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
