@@ -1,132 +1,18 @@
-"""Byte-level BPE by a global shuffle of distinct pre-tokens.
-
-1. A task splits its texts by the pattern, block by block.  A block's pre-tokens become a
-   dictionary of its distinct words, most frequent first, and a stream of positions into it.
-2. The words go, in packets by hash bucket, to the one task that owns the bucket.  It encodes
-   each distinct word once for the whole corpus and sends the ids back to the blocks.
-3. A block's ids meet its streams; documents are reassembled by position.
-
-A word that stands in every document crosses the network once a block, so no key is hot.
-"""
+"""Byte-level BPE by a global shuffle of distinct pre-tokens, and its decoding."""
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from farestar.llm.common import texts, written
+from farestar.llm.common import texts
 from farestar.llm.tokens import shared_file
-
-#: A block ends when its texts reach this many characters; a longer text is a block by itself.
-BLOCK_CHARS = 1 << 25
-#: A stream packet ends when it holds this many pre-tokens.
-PACKET_WORDS = 1 << 17
-
-_PACKET = (
-    "block long, kind int, bucket int, doc_ids array<long>, sizes array<int>, places binary, content binary"
-)
-_ARROW = pa.schema([
-    ("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()),
-    ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
-    ("places", pa.binary()), ("content", pa.binary()),
-])
-WORDS, STREAM = 0, 1
-
-
-def pack_numbers(values: np.ndarray) -> bytes:
-    """Unsigned numbers below 2^28 as little-endian groups of seven bits, compressed."""
-    values = np.asarray(values, np.uint32)
-    size = 1 + (values >= 1 << 7).astype(np.int64) + (values >= 1 << 14) + (values >= 1 << 21)
-    end = np.cumsum(size)
-    raw = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
-    for i in range(4):
-        there = size > i
-        more = (size[there] > i + 1).astype(np.uint8) << 7
-        raw[(end - size)[there] + i] = (values[there] >> np.uint32(7 * i)).astype(np.uint8) & 127 | more
-    return zstandard.compress(raw.tobytes(), 3)
-
-
-def unpack_numbers(packed: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
-    last = np.flatnonzero(raw < 128)
-    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
-    values = np.zeros(len(last), np.uint32)
-    for i in range(4):
-        there = first + i <= last
-        values[there] |= (raw[first[there] + i] & 127).astype(np.uint32) << np.uint32(7 * i)
-    return values
-
-
-def _packet(block: int, kind: int, bucket: int | None, doc_ids, sizes, places, content) -> pa.RecordBatch:
-    row = (block, kind, bucket, doc_ids, sizes, places, content)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([v], f.type) for v, f in zip(row, _ARROW)], schema=_ARROW
-    )
-
-
-def _block(block: int, doc_ids: list, streams: list[np.ndarray], words: dict[str, int], buckets: int):
-    """The packets of one block: its words by bucket, and its streams."""
-    everything = np.concatenate(streams) if streams else np.zeros(0, np.uint32)
-    by_use = np.argsort(-np.bincount(everything, minlength=len(words)), kind="stable")
-    place = np.empty(len(words), np.uint32)
-    place[by_use] = np.arange(len(words), dtype=np.uint32)
-    spelled = [w.encode() for w in words]
-    owner = np.fromiter((zlib.crc32(w) % buckets for w in spelled), np.int32, len(spelled))
-    order = np.lexsort((place, owner))
-    for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
-        if len(part):
-            own = [spelled[i] for i in part]
-            lengths = pack_numbers(np.fromiter(map(len, own), np.uint32, len(own)))
-            content = zstandard.compress(b"".join(own), 3)
-            gaps = pack_numbers(np.diff(place[part], prepend=np.uint32(0)))
-            yield _packet(
-                block, WORDS, int(owner[part[0]]), None, [len(lengths), len(content)], gaps, lengths + content
-            )
-    begin = size = 0
-    for i, stream in enumerate(streams, 1):
-        size += len(stream)
-        if size >= PACKET_WORDS or i == len(streams):
-            sizes = [len(s) for s in streams[begin:i]]
-            content = pack_numbers(place[np.concatenate(streams[begin:i])])
-            yield _packet(block, STREAM, None, doc_ids[begin:i], sizes, None, content)
-            begin, size = i, 0
-
-
-def split_words(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
-    """Step 1, written: the word packets and stream packets of every block."""
-    source = texts(docs).withColumn("part", F.spark_partition_id().cast("long"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).findall
-        part = blocks = size = 0
-        doc_ids: list[int | None] = []
-        streams: list[np.ndarray] = []
-        words: dict[str, int] = {}
-        for batch in batches:
-            for i in range(batch.num_rows):
-                part, text = batch["part"][i].as_py(), batch["text"][i].as_py()
-                found = find(text)
-                streams.append(
-                    np.fromiter((words.setdefault(w, len(words)) for w in found), np.uint32, len(found))
-                )
-                doc_ids.append(batch["doc_id"][i].as_py())
-                size += len(text)
-                if size >= BLOCK_CHARS:
-                    yield from _block(part << 24 | blocks, doc_ids, streams, words, buckets)
-                    blocks, size, doc_ids, streams, words = blocks + 1, 0, [], [], {}
-        if doc_ids:
-            yield from _block(part << 24 | blocks, doc_ids, streams, words, buckets)
-
-    return written(source.mapInArrow(run, _PACKET), "bpe_blocks")
+from farestar.llm.wordshuffle import encode_blocks
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -134,116 +20,35 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
 
 
-def _encode_words(packets: DataFrame, ranks, pattern: str, buckets: int) -> DataFrame:
-    """Step 2: the ids of each word packet.  A bucket's words are encoded once each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        coder = tiktoken.Encoding(
-            "ranks", pat_str=pattern, mergeable_ranks=read_ranks(ranks.value), special_tokens={}
-        )
-        known: dict[bytes, list[int]] = {}
-        bucket = None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch[name][i].as_py() for name in batch.schema.names}
-                if row["bucket"] != bucket:
-                    bucket, known = row["bucket"], {}
-                head, tail = row["sizes"]
-                lengths = unpack_numbers(row["content"][:head])
-                text = zstandard.decompress(row["content"][head:head + tail])
-                ends = np.cumsum(lengths, dtype=np.int64).tolist()
-                ids, start = [], 0
-                for end in ends:
-                    word = text[start:end]
-                    start = end
-                    found = known.get(word)
-                    if found is None:
-                        found = known[word] = coder.encode_ordinary(word.decode())
-                    ids.append(found)
-                counts = pack_numbers([len(x) for x in ids])
-                flat = pack_numbers(np.fromiter((t for x in ids for t in x), np.uint32))
-                yield _packet(
-                    row["block"], WORDS, row["bucket"], None, [len(counts), len(flat)],
-                    row["places"], counts + flat,
-                )
-
-    words = packets.where(F.col("kind") == WORDS)
-    return (
-        words.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-        .mapInArrow(run, _PACKET)
-    )
-
-
-class _Vocabulary:
-    """The ids of one block's words, gathered from its packets."""
-
-    def __init__(self):
-        self.places, self.counts, self.flat = [], [], []
-
-    def add(self, places: bytes, sizes: list[int], content: bytes) -> None:
-        self.places.append(np.cumsum(unpack_numbers(places), dtype=np.int64))
-        self.counts.append(unpack_numbers(content[:sizes[0]]))
-        self.flat.append(unpack_numbers(content[sizes[0]:]))
+def encode(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None) -> DataFrame:
+    """doc_id and ids (binary, unsigned 32-bit little-endian) of every row of ``docs``.
 
-    def close(self) -> None:
-        place = np.concatenate(self.places)
-        count, flat = np.concatenate(self.counts).astype(np.int64), np.concatenate(self.flat)
-        self.flat = flat
-        self.count = np.empty(len(place), np.int64)
-        self.start = np.empty(len(place), np.int64)
-        self.count[place] = count
-        self.start[place] = np.cumsum(count) - count
-        self.places = None
+    Each match of the pattern is encoded by itself, without special tokens.  NULL and empty
+    texts have no ids; repeated rows give repeated rows; NULL doc_ids stay NULL.
+    """
 
-    def ids(self, stream: np.ndarray) -> np.ndarray:
-        count = self.count[stream]
-        shift = self.start[stream] - (np.cumsum(count) - count)
-        return self.flat[np.repeat(shift, count) + np.arange(int(count.sum()))]
+    def splitter():
+        import regex
 
+        return regex.compile(pattern).findall
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None = None) -> DataFrame:
-    """doc_id and ids (binary, unsigned 32-bit little-endian) of every row of ``docs``.
+    def coder(content: bytes):
+        import tiktoken
 
-    NULL and empty texts have no ids; repeated rows give repeated rows; NULL doc_ids stay NULL.
-    ``buckets`` is the number of tasks that encode words, by default the shuffle partitions.
-    """
-    spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packets = split_words(docs, pattern, buckets)
-    encoded = _encode_words(packets, shared_file(spark, ranks_path), pattern, buckets)
-    both = encoded.unionByName(packets.where(F.col("kind") == STREAM))
+        encoding = tiktoken.Encoding(
+            "ranks", pat_str=pattern, mergeable_ranks=read_ranks(content), special_tokens={}
+        )
+        return lambda words: [encoding.encode_ordinary(word.decode()) for word in words]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, vocabulary = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {name: batch[name][i].as_py() for name in batch.schema.names}
-                if row["block"] != block:
-                    block, vocabulary = row["block"], _Vocabulary()
-                if row["kind"] == WORDS:
-                    vocabulary.add(row["places"], row["sizes"], row["content"])
-                    continue
-                stream = unpack_numbers(row["content"])
-                if vocabulary.places:
-                    vocabulary.close()
-                ids = vocabulary.ids(stream) if len(stream) else stream
-                counts = vocabulary.count[stream] if len(stream) else stream
-                word_ends = np.cumsum(row["sizes"])
-                ends = np.concatenate([[0], np.cumsum(counts)])[word_ends].tolist()
-                starts = [0, *ends[:-1]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["doc_ids"], pa.int64()),
-                        pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                    ],
-                    ["doc_id", "ids"],
-                )
+    def finish(block: int, packet: int, doc_ids: list, ids: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc_ids, pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
+            ["doc_id", "ids"],
+        )
 
-    return (
-        both.repartition("block").sortWithinPartitions("block", "kind", "bucket")
-        .mapInArrow(run, "doc_id long, ids binary")
+    return encode_blocks(
+        texts(docs), splitter, coder, shared_file(docs.sparkSession, ranks_path), finish,
+        "doc_id long, ids binary", buckets,
     )
 
 

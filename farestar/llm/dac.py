@@ -6,7 +6,7 @@ directory (set bits before every 512th position) finds an id's place on the next
 id is read with one popcount a level and no block is decoded.
 
 File format: a Parquet table of segments, ordered by doc_id.  A segment holds whole documents
-(about ``SEGMENT_IDS`` ids, more only for a single longer document), their doc_ids and lengths,
+(a packet of the word shuffle), their doc_ids and lengths,
 and per level the chunks, the continuation bitmap and the rank directory as binary.
 """
 
@@ -20,18 +20,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
-from farestar.llm.tokens import encoder, shared_file
+from farestar.llm.tokens import bare_words, json_coder, shared_file
+from farestar.llm.wordshuffle import encode_blocks
 
 CHUNK_BITS = 8
 RANK_EVERY = 512
-SEGMENT_IDS = 1 << 18
 
 SEGMENT = (
-    "part long, segment long, doc_ids array<long>, lengths array<long>, n_ids long,"
+    "block long, packet int, doc_ids array<long>, lengths array<long>, n_ids long,"
     " chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
 )
 _ARROW = pa.schema([
-    ("part", pa.int64()), ("segment", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("block", pa.int64()), ("packet", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
     ("lengths", pa.list_(pa.int64())), ("n_ids", pa.int64()), ("chunks", pa.list_(pa.binary())),
     ("bitmaps", pa.list_(pa.binary())), ("ranks", pa.list_(pa.binary())),
 ])
@@ -98,46 +98,29 @@ class Codes:
 def write_codes(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Encode every text, write the segments in ascending doc_id order, return the written table.
 
-    Texts are dealt by ranges of doc_id and sorted within them before they are encoded, so ids
-    are never shuffled.  NULL texts are empty and give the end id alone; a NULL doc_id comes
+    The tokenizer must treat white space only as a border of words.  Texts are dealt by ranges
+    of doc_id and sorted within them before they are cut into blocks, so ids are never
+    shuffled: segments ascend by (block, packet).  NULL texts are empty and give the end id alone; a NULL doc_id comes
     first; repeated doc_ids lie next to each other, in the order of a hash of their texts.
     """
-    content = shared_file(docs.sparkSession, tokenizer)
     first = F.col("doc_id").asc_nulls_first()
-    dealt = (
-        texts(docs).repartitionByRange(first).sortWithinPartitions(first, F.xxhash64("text"))
-        .withColumn("part", F.spark_partition_id().cast("long"))
+    source = texts(docs).repartitionByRange(first).sortWithinPartitions(first, F.xxhash64("text"))
+    end = np.array([end_id], np.uint32)
+
+    def finish(block: int, packet: int, doc_ids: list, ids: list[np.ndarray]) -> pa.RecordBatch:
+        flat = np.concatenate([x for one in ids for x in (one, end)])
+        row = [block, packet, doc_ids, [len(x) + 1 for x in ids], len(flat), *build(flat)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([c], f.type) for c, f in zip(row, _ARROW)], schema=_ARROW
+        )
+
+    return written(
+        encode_blocks(
+            source, lambda: bare_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, SEGMENT
+        ),
+        "token_codes",
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(content.value, end_id)
-        part, segment, size = 0, 0, 0
-        doc_ids: list[int | None] = []
-        pieces: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            row = [part, segment, doc_ids, [len(p) for p in pieces], size]
-            columns = [*row, *build(np.concatenate(pieces))]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([c], f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
-            )
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = batch["part"][0].as_py()
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist())):
-                doc_ids.append(doc_id)
-                pieces.append(ids)
-                size += len(ids)
-                if size >= SEGMENT_IDS:
-                    yield flush()
-                    segment, size, doc_ids, pieces = segment + 1, 0, [], []
-        if pieces:
-            yield flush()
-
-    return written(dealt.mapInArrow(run, SEGMENT), "token_codes")
-
 
 def read_codes(segments: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read back from the segments.
@@ -145,17 +128,19 @@ def read_codes(segments: DataFrame) -> DataFrame:
     ``start`` counts the ids of all segments before, from the segments' own counts, and those
     before the document in its segment.
     """
-    sizes = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # One row per part, that is per range of doc_id, however many documents there are.
-    before = sizes.select(
-        "part", F.expr("sum(n) OVER (ORDER BY part) - n").alias("part_start")
-    )
+    # One row per block, that is per 32 million characters.
+    sizes = segments.groupBy("block").agg(F.sum("n_ids").alias("n"))
+    before = sizes.select("block", F.expr("sum(n) OVER (ORDER BY block) - n").alias("block_start"))
     inside = segments.select(
-        "part", "segment",
-        F.expr("sum(n_ids) OVER (PARTITION BY part ORDER BY segment) - n_ids").alias("segment_start"),
+        "block", "packet",
+        F.expr("sum(n_ids) OVER (PARTITION BY block ORDER BY packet) - n_ids").alias("packet_start"),
     )
-    starts = inside.join(before, "part").select(
-        "part", "segment", (F.col("part_start") + F.col("segment_start")).alias("start")
+    # Written, so that its size is known and decides how the segments meet it.
+    starts = written(
+        inside.join(before, "block").select(
+            "block", "packet", (F.col("block_start") + F.col("packet_start")).alias("start")
+        ),
+        "token_starts",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,14 +163,14 @@ def read_codes(segments: DataFrame) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return segments.join(starts, ["part", "segment"]).mapInArrow(
+    return segments.join(starts, ["block", "packet"]).mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
 
 def get_ids(segments: DataFrame, positions: DataFrame) -> DataFrame:
-    """The ids at (part, segment, position) rows, each read alone: part, segment, position, id."""
-    asked = positions.groupBy("part", "segment").agg(F.collect_set("position").alias("positions"))
+    """The ids at (block, packet, position) rows, each read alone: block, packet, position, id."""
+    asked = positions.groupBy("block", "packet").agg(F.collect_set("position").alias("positions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,10 +179,11 @@ def get_ids(segments: DataFrame, positions: DataFrame) -> DataFrame:
                 codes = Codes(row["chunks"], row["bitmaps"], row["ranks"])
                 places = row["positions"]
                 yield pa.RecordBatch.from_pydict({
-                    "part": [row["part"]] * len(places), "segment": [row["segment"]] * len(places),
+                    "block": [row["block"]] * len(places),
+                    "packet": pa.array([row["packet"]] * len(places), pa.int32()),
                     "position": places, "id": [codes.get(p) for p in places],
                 })
 
-    return segments.join(asked, ["part", "segment"]).select(
-        "part", "segment", "positions", "chunks", "bitmaps", "ranks"
-    ).mapInArrow(run, "part long, segment long, position long, id long")
+    return segments.join(asked, ["block", "packet"]).select(
+        "block", "packet", "positions", "chunks", "bitmaps", "ranks"
+    ).mapInArrow(run, "block long, packet int, position long, id long")

@@ -19,16 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
-from farestar.llm.tokens import encoder, shared_file
+from farestar.llm.tokens import json_coder, shared_file, space_words
+from farestar.llm.wordshuffle import encode_blocks
 
 WINDOW = 2048
 #: Of the combinations of three, the middle length is a multiple of window / TRIPLE_STEPS.
 TRIPLE_STEPS = 256
 ITERATIONS = 300
-BATCH_IDS = 1 << 20
 
 CUT = (
-    "doc_id long, part long, tail int, nth long, windows_before long, n_ids long, width int, ids binary"
+    "doc_id long, block long, packet int, tail int, nth long, windows_before long, n_ids long,"
+    " width int, ids binary"
 )
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -145,41 +146,32 @@ def make_plan(histogram: np.ndarray, whole_windows: int, window: int = WINDOW) -
 
 
 def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> DataFrame:
-    """The ids of every document, its tail length and the tail's number in its task's rows."""
-    content = shared_file(docs.sparkSession, tokenizer)
-    source = texts(docs).withColumn("part", F.spark_partition_id().cast("long"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(content.value, end_id)
-        seen = np.zeros(window, np.int64)
-        windows = size = 0
-        rows: list[tuple] = []
-
-        def flush() -> pa.RecordBatch:
-            names = ("doc_id", "part", "tail", "nth", "windows_before", "n_ids", "width", "ids")
-            kinds = (*[pa.int64()] * 2, pa.int32(), *[pa.int64()] * 3, pa.int32(), pa.binary())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names
-            )
-
-        for batch in batches:
-            ids_of = encode(batch["text"].to_pylist())
-            for doc_id, part, ids in zip(batch["doc_id"].to_pylist(), batch["part"].to_pylist(), ids_of):
-                tail, width = len(ids) % window, 2 if ids.max() < 1 << 16 else 4
-                rows.append((
-                    doc_id, part, tail, int(seen[tail]), windows, len(ids), width,
-                    ids.astype(f"<u{width}").tobytes(),
-                ))
-                seen[tail] += 1
-                windows += len(ids) // window
-                size += len(ids)
-                if size >= BATCH_IDS:
-                    yield flush()
-                    size, rows = 0, []
-        if rows:
-            yield flush()
-
-    return written(source.mapInArrow(run, CUT), "cut_documents")
+    """The ids of every document, its tail length and the tail's number in its packet."""
+    end = np.array([end_id], np.uint32)
+
+    def finish(block: int, packet: int, doc_ids: list, ids: list[np.ndarray]) -> pa.RecordBatch:
+        seen: dict[int, int] = {}
+        windows, rows = 0, []
+        for doc_id, found in zip(doc_ids, ids):
+            found = np.concatenate([found, end])
+            whole, tail = divmod(len(found), window)
+            width = 2 if found.max() < 1 << 16 else 4
+            nth = seen[tail] = seen.get(tail, -1) + 1
+            rows.append((
+                doc_id, block, packet, tail, nth, windows, len(found), width,
+                found.astype(f"<u{width}").tobytes(),
+            ))
+            windows += whole
+        kinds = (*[pa.int64()] * 2, *[pa.int32()] * 2, *[pa.int64()] * 3, pa.int32(), pa.binary())
+        names = [field.split()[0] for field in CUT.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+    return written(
+        encode_blocks(
+            texts(docs), lambda: space_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, CUT
+        ),
+        "cut_documents",
+    )
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> DataFrame:
@@ -191,7 +183,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
     """
     cut = cut_documents(docs, tokenizer, end_id, window)
     counts = written(
-        cut.groupBy("part", "tail").agg(
+        cut.groupBy("block", "packet", "tail").agg(
             F.count("*").alias("n"), F.expr(f"sum(n_ids div {window})").alias("windows")
         ),
         "tail_counts",
@@ -203,14 +195,20 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
         histogram[row["tail"]] = row["n"]
         whole += row["windows"]
     plan = docs.sparkSession.sparkContext.broadcast(astuple(make_plan(histogram, whole, window)))
-    # One row per task of the cut, however many documents there are.
-    part_windows = counts.groupBy("part").agg(F.sum("windows").alias("w")).select(
-        "part", F.expr("sum(w) OVER (ORDER BY part) - w").alias("windows_base")
+    # One row per packet, that is per 131,072 words.
+    packet_windows = counts.groupBy("block", "packet").agg(F.sum("windows").alias("w"))
+    block_windows = packet_windows.groupBy("block").agg(F.sum("w").alias("b")).select(
+        "block", F.expr("sum(b) OVER (ORDER BY block) - b").alias("block_base")
+    )
+    packet_windows = packet_windows.join(block_windows, "block").select(
+        "block", "packet",
+        F.expr("block_base + sum(w) OVER (PARTITION BY block ORDER BY packet) - w").alias("windows_base"),
     )
     bases = counts.select(
-        "part", "tail", F.expr("sum(n) OVER (PARTITION BY tail ORDER BY part) - n").alias("nth_base")
-    ).join(part_windows, "part")
-    placed = cut.join(written(bases, "tail_bases"), ["part", "tail"]).select(
+        "block", "packet", "tail",
+        F.expr("sum(n) OVER (PARTITION BY tail ORDER BY block, packet) - n").alias("nth_base"),
+    ).join(packet_windows, ["block", "packet"])
+    placed = cut.join(written(bases, "tail_bases"), ["block", "packet", "tail"]).select(
         "doc_id", "tail", "n_ids", "width", "ids",
         (F.col("nth") + F.col("nth_base")).alias("rank"),
         (F.col("windows_before") + F.col("windows_base")).alias("window_id"),

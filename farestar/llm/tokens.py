@@ -1,16 +1,16 @@
-"""Token ids of whole texts by a public tokenizer file."""
+"""Words and ids of public tokenizer files (JSON), for the word shuffle."""
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+import re
 
-import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-#: Texts go to the tokenizer in groups of about so many characters, to bound what it holds.
-GROUP_CHARS = 1 << 19
+#: A space next to other white space; there a text is not cut.
+_RUN = re.compile(r"\s | \s")
+_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def shared_file(spark: SparkSession, path: str) -> Broadcast:
@@ -19,23 +19,31 @@ def shared_file(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(file.read())
 
 
-def encoder(content: bytes, end_id: int) -> Callable[[list[str]], Iterator[np.ndarray]]:
-    """A function from texts to arrays of uint32 ids, each with ``end_id`` after it."""
+def json_coder(content: bytes):
+    """Ids of words by the tokenizers library, without special tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_buffer(content)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    end = np.array([end_id], np.uint32)
-
-    def encode(values: list[str]) -> Iterator[np.ndarray]:
-        group, size = [], 0
-        for i, text in enumerate(values, 1):
-            group.append(text)
-            size += len(text)
-            if size >= GROUP_CHARS or i == len(values):
-                for found in tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                    yield np.concatenate([np.array(found.ids, np.uint32), end])
-                group, size = [], 0
+
+    def encode(words: list[bytes]) -> list[list[int]]:
+        texts = [word.decode() for word in words]
+        return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     return encode
+
+
+def space_words(text: str) -> list[str]:
+    """A text cut before each space that stands alone between other characters.
+
+    Byte-level pre-tokens may begin with one space and never hold one after another character,
+    so no pre-token spans such a cut.
+    """
+    parts = _LONE_SPACE.split(text) if _RUN.search(text) else text.split(" ")
+    return parts[:1] + [" " + part for part in parts[1:]]
+
+
+def bare_words(text: str) -> list[bytes]:
+    """Runs without ASCII white space, for tokenizers that drop white space between words."""
+    return text.encode().split()
