@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from farestar.llm.common import texts
 from farestar.llm.tokens import shared_file
-from farestar.llm.wordshuffle import encode_blocks
+from farestar.llm.wordshuffle import by_text, encode_blocks
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -30,7 +30,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None =
     def splitter():
         import regex
 
-        return regex.compile(pattern).findall
+        return by_text(regex.compile(pattern).findall)
 
     def coder(content: bytes):
         import tiktoken

@@ -116,7 +116,7 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     return written(
         encode_blocks(
-            source, lambda: bare_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, SEGMENT
+            source, bare_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, SEGMENT
         ),
         "token_codes",
     )

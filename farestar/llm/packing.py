@@ -168,7 +168,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WI
 
     return written(
         encode_blocks(
-            texts(docs), lambda: space_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, CUT
+            texts(docs), space_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, CUT
         ),
         "cut_documents",
     )

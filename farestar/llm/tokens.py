@@ -5,11 +5,19 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-#: A space next to other white space; there a text is not cut.
-_RUN = re.compile(r"\s | \s")
+from farestar.llm.wordshuffle import by_text
+
+_BLANK = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+#: A space next to other white space, or at an end; such texts are cut more carefully.
+_RUN = rf"{_BLANK} | {_BLANK}|^ | $"
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -34,16 +42,65 @@ def json_coder(content: bytes):
     return encode
 
 
-def space_words(text: str) -> list[str]:
-    """A text cut before each space that stands alone between other characters.
+def space_words():
+    """Splits texts before each space that stands alone between other characters.
 
     Byte-level pre-tokens may begin with one space and never hold one after another character,
     so no pre-token spans such a cut.
     """
-    parts = _LONE_SPACE.split(text) if _RUN.search(text) else text.split(" ")
-    return parts[:1] + [" " + part for part in parts[1:]]
-
 
-def bare_words(text: str) -> list[bytes]:
-    """Runs without ASCII white space, for tokenizers that drop white space between words."""
-    return text.encode().split()
+    def cut(text: str) -> list[str]:
+        parts = _LONE_SPACE.split(text)
+        return parts[:1] + [" " + part for part in parts[1:]]
+
+    slowly = by_text(cut)
+
+    def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
+        if pc.any(pc.match_substring_regex(texts, _RUN)).as_py():
+            return _mixed(texts, pc.match_substring_regex(texts, _RUN), split, slowly)
+        parts = pc.split_pattern(texts, " ")
+        sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words = coded.dictionary.cast(pa.binary())
+        # The first word of a text has no space before it: a word of its own.
+        first = (np.cumsum(sizes) - sizes)[sizes > 0]
+        which, numbers[first] = np.unique(numbers[first], return_inverse=True)
+        numbers[first] += len(words)
+        spaced = pc.binary_join_element_wise(pa.scalar(b" "), words, pa.scalar(b""))
+        return sizes, numbers, pa.concat_arrays([spaced, words.take(pa.array(which))])
+
+    return split
+
+
+def _mixed(texts: pa.Array, slow: pa.BooleanArray, split, slowly):
+    """Rows marked ``slow`` by one splitter, the others by the other, in the order of the rows."""
+    slow = slow.to_numpy(zero_copy_only=False).astype(bool)
+    size = np.zeros(len(texts), np.int64)
+    parts, words, base = {}, [], 0
+    for marked, way in ((False, split), (True, slowly)):
+        rows = np.flatnonzero(slow == marked)
+        if len(rows):
+            sizes, numbers, known = way(texts.take(pa.array(rows)))
+            size[rows] = sizes
+            parts[marked] = numbers + base
+            words.append(known)
+            base += len(known)
+    stream = np.empty(int(size.sum()), np.int64)
+    where = np.repeat(slow, size)
+    for marked, numbers in parts.items():
+        stream[where == marked] = numbers
+    return size, stream, pa.concat_arrays(words)
+
+
+def bare_words():
+    """Splits texts into runs without ASCII white space, for tokenizers that only see words."""
+
+    def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
+        parts = pc.ascii_split_whitespace(texts)
+        sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return sizes, numbers, coded.dictionary.cast(pa.binary())
+
+    return split

@@ -13,27 +13,30 @@ Splitting must not change the ids: the ids of a text are those of its words, one
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import written
 
-#: Makes, in a task, the function from a text to its words.
-Splitter = Callable[[], Callable[[str], list]]
+#: Makes, in a task, the function from an array of texts to the number of words of each text, the
+#: words of all as numbers, and the distinct words they number.
+Splitter = Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.BinaryArray]]]
 #: Makes, in a task, the function from distinct words to the ids of each.
 Coder = Callable[[bytes], Callable[[list[bytes]], list[list[int]]]]
 #: Rows from a block, the number of a packet in it, doc_ids and the ids of each document.
 Finish = Callable[[int, int, list, list[np.ndarray]], pa.RecordBatch]
 
-#: A block ends when its texts reach this many characters; a longer text is a block by itself.
+#: A block's texts have at most this many characters; a longer text is a block by itself.
 BLOCK_CHARS = 1 << 25
-#: A stream packet ends when it holds this many pre-tokens.
+#: A stream packet has at most this many words; a longer text is a packet by itself.
 PACKET_WORDS = 1 << 17
 
 _PACKET = (
@@ -78,65 +81,78 @@ def _packet(block: int, kind: int, bucket: int | None, doc_ids, sizes, places, c
     )
 
 
-def _block(block: int, doc_ids: list, streams: list[np.ndarray], words: dict, buckets: int):
-    """The packets of one block: its words by bucket, and its streams."""
-    everything = np.concatenate(streams) if streams else np.zeros(0, np.uint32)
-    by_use = np.argsort(-np.bincount(everything, minlength=len(words)), kind="stable")
-    place = np.empty(len(words), np.uint32)
-    place[by_use] = np.arange(len(words), dtype=np.uint32)
-    spelled = [w if isinstance(w, bytes) else w.encode() for w in words]
-    owner = np.fromiter((zlib.crc32(w) % buckets for w in spelled), np.int32, len(spelled))
-    order = np.lexsort((place, owner))
-    for part in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
-        if len(part):
-            own = [spelled[i] for i in part]
-            lengths = pack_numbers(np.fromiter(map(len, own), np.uint32, len(own)))
-            content = zstandard.compress(b"".join(own), 3)
-            gaps = pack_numbers(np.diff(place[part], prepend=np.uint32(0)))
-            yield _packet(
-                block, WORDS, int(owner[part[0]]), None, [len(lengths), len(content)], gaps, lengths + content
-            )
-    packet = begin = size = 0
-    for i, stream in enumerate(streams, 1):
-        size += len(stream)
-        if size >= PACKET_WORDS or i == len(streams):
-            sizes = [len(s) for s in streams[begin:i]]
-            content = pack_numbers(place[np.concatenate(streams[begin:i])])
-            yield _packet(block, STREAM, packet, doc_ids[begin:i], sizes, None, content)
-            packet, begin, size = packet + 1, i, 0
+def _block(
+    block: int, doc_ids: list, sizes: np.ndarray, stream: np.ndarray, words: pa.BinaryArray, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """The packets of one block: its words by bucket, and its stream."""
+    count = len(words)
+    place = np.empty(count, np.int64)
+    place[np.argsort(-np.bincount(stream, minlength=count), kind="stable")] = np.arange(count)
+    crc = zlib.crc32
+    owner = np.fromiter([crc(w) for w in words.to_pylist()], np.int64, count) % buckets
+    order = np.argsort(owner * count + place)
+    owner, ranked = owner[order], place[order]
+    spelled = words.take(pa.array(order))
+    lengths = pc.binary_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    content = b"".join(spelled.to_pylist())
+    heads = np.flatnonzero(np.diff(owner, prepend=-1))
+    for first, last in zip(heads.tolist(), [*heads[1:].tolist(), count]):
+        sized = pack_numbers(lengths[first:last])
+        body = zstandard.compress(content[ends[first] - lengths[first]:ends[last - 1]], 3)
+        gaps = pack_numbers(np.diff(ranked[first:last], prepend=0))
+        yield _packet(block, WORDS, int(owner[first]), None, [len(sized), len(body)], gaps, sized + body)
+    stops = np.cumsum(sizes)
+    begin = packet = 0
+    while begin < len(sizes):
+        base = int(stops[begin] - sizes[begin])
+        end = max(begin + 1, int(np.searchsorted(stops, base + PACKET_WORDS, side="right")))
+        numbers = pack_numbers(place[stream[base:int(stops[end - 1])]])
+        yield _packet(block, STREAM, packet, doc_ids[begin:end], sizes[begin:end].tolist(), None, numbers)
+        packet, begin = packet + 1, end
 
 
 def split_words(source: DataFrame, splitter: Splitter, buckets: int) -> DataFrame:
     """Step 1, written: the word packets and stream packets of every block.
 
-    Blocks are numbered by partition of ``source`` (doc_id, text) and place in it.
+    A block is a run of rows of one Arrow batch; blocks are numbered by partition of ``source``
+    (doc_id, text) and place in it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter()
-        part = blocks = size = 0
-        doc_ids: list[int | None] = []
-        streams: list[np.ndarray] = []
-        words: dict = {}
+        blocks = 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                part, text = batch["part"][i].as_py(), batch["text"][i].as_py()
-                found = split(text)
-                streams.append(
-                    np.fromiter([words.setdefault(w, len(words)) for w in found], np.uint32, len(found))
-                )
-                doc_ids.append(batch["doc_id"][i].as_py())
-                size += len(text)
-                if size >= BLOCK_CHARS:
-                    yield from _block(part << 24 | blocks, doc_ids, streams, words, buckets)
-                    blocks, size, doc_ids, streams, words = blocks + 1, 0, [], [], {}
-        if doc_ids:
-            yield from _block(part << 24 | blocks, doc_ids, streams, words, buckets)
+            sizes = pc.utf8_length(batch["text"]).to_numpy(zero_copy_only=False)
+            begin = 0
+            while begin < batch.num_rows:
+                reach = np.cumsum(sizes[begin:], dtype=np.int64)
+                rows = max(1, int(np.searchsorted(reach, BLOCK_CHARS, side="right")))
+                part = batch.slice(begin, rows)
+                block = part["part"][0].as_py() << 24 | blocks
+                yield from _block(block, part["doc_id"].to_pylist(), *split(part["text"]), buckets)
+                begin, blocks = begin + rows, blocks + 1
 
     parted = source.withColumn("part", F.spark_partition_id().cast("long"))
     return written(parted.mapInArrow(run, _PACKET), "word_blocks")
 
 
+def by_text(find: Callable[[str], list]) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.BinaryArray]]:
+    """A splitter of arrays from a function of one text."""
+
+    def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
+        words: dict = defaultdict()
+        words.default_factory = words.__len__
+        numbers = [
+            np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+            for found in map(find, texts.to_pylist())
+        ]
+        spelled = [w if isinstance(w, bytes) else w.encode() for w in words]
+        return np.fromiter(map(len, numbers), np.int64), np.concatenate(numbers), pa.array(spelled, pa.binary())
+
+    return split
+
+
 def _encode_words(packets: DataFrame, coder: Coder, vocabulary: Broadcast, buckets: int) -> DataFrame:
     """Step 2: the ids of each word packet.  A bucket's words are encoded once each."""
 
