@@ -23,6 +23,11 @@ def code(value: str) -> str:
     return f"CAST(CAST({value} AS DOUBLE) AS INT)"
 
 
+def blank_as_zero(text: str) -> str:
+    """Blank text as '0', as the published rules read it; any other text is left as it is."""
+    return f"if(trim({text}) = '', '0', {text})"
+
+
 def sum_cents(amount: str) -> str:
     """Sum of a DECIMAL(10,2), in hundredths (BIGINT).
 

@@ -12,6 +12,8 @@ DIM_DATE = "dim_date"
 DIM_PAYMENT_TYPE = "dim_payment_type"
 FACT_TRIPS = "fact_trips"
 FACT_CORRECTIONS = "fact_corrections"
+# Prefix of a month that is being replaced by a new copy.
+REPLACED = "_replaced-"
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,16 @@ class Lake:
         """Every raw month, any year: a file or a folder of part files."""
         return f"{self.layer('bronze')}/{TRIP_DATASET}/*/*.parquet"
 
+    @property
+    def replaced_glob(self) -> str:
+        """Months that a cut-short landing has put aside."""
+        return f"{self.layer('bronze')}/{TRIP_DATASET}/*/{REPLACED}*"
+
+    @property
+    def schemas(self) -> str:
+        """The recorded schemas of the landed months."""
+        return f"{self.layer('bronze')}/{TRIP_DATASET}_schemas"
+
     def month_path(self, year: int | str, month: str) -> str:
         return f"{self.layer('bronze')}/{TRIP_DATASET}/{year}/{month_file(year, month)}"
 

@@ -5,15 +5,16 @@ One map-only stage: no operator here shuffles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from farestar.functions.calendar import minutes_between, weekday_name
-from farestar.functions.numbers import code, money, money_or_zero
+from farestar.functions.numbers import blank_as_zero, code, money, money_or_zero
 
 VALID, CORRECTION = "valid", "correction"
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 DURATION = minutes_between(PICKUP, DROPOFF)
+CODES = ("passenger_count", "RatecodeID", "payment_type")
 
 # A row is kept when every rule is true; a NULL input drops it.  Cheap comparisons that the
 # Parquet scan can use come first, the computed duration last.
@@ -37,9 +38,11 @@ TRIP_STATUS = (
 )
 
 CLEANED_COLUMNS = {
-    "vendor_id": "VendorID",
-    "pickup_location_id": "PULocationID",
-    "dropoff_location_id": "DOLocationID",
+    # Months store ids as INT or BIGINT; the rules above compare what is stored, so that they
+    # reach the scan, and the cast follows.
+    "vendor_id": "CAST(VendorID AS INT)",
+    "pickup_location_id": "CAST(PULocationID AS INT)",
+    "dropoff_location_id": "CAST(DOLocationID AS INT)",
     "pickup_datetime": PICKUP,
     "dropoff_datetime": DROPOFF,
     "passenger_count": f"coalesce({code('passenger_count')}, 1)",
@@ -68,7 +71,12 @@ CLEANED_COLUMNS = {
 
 
 def clean_trips(raw: DataFrame) -> DataFrame:
-    """The silver table: 27 typed columns of the rows that pass every rule."""
-    return raw.where(KEEP_ALL).selectExpr(
+    """The silver table: 27 typed columns of the rows that pass every rule.
+
+    Codes may come as numbers or as text; blank text counts as 0, other bad text raises.
+    """
+    types = dict(raw.dtypes)
+    texts = {c: F.expr(blank_as_zero(c)) for c in CODES if types[c] == "string"}
+    return raw.withColumns(texts).where(KEEP_ALL).selectExpr(
         *(f"{sql} AS {name}" for name, sql in CLEANED_COLUMNS.items())
     )

@@ -7,7 +7,7 @@ is a row of the report, not an error.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -312,13 +312,39 @@ def quality_cross_layer(trips: DataFrame, corrections: DataFrame, silver: DataFr
     return _report(_with_pairs(measures), CROSS_LAYER_RULES)
 
 
-def orphan_check(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
-    """Fact rows whose payment key is missing from the dimension, as one number."""
+def orphan_counts(
+    fact: DataFrame, payment_types: DataFrame, lookups: Mapping[str, str]
+) -> DataFrame:
+    """Fact rows whose payment key is NOT IN each lookup: (lookup, orphan_rows).
+
+    A lookup is the part of the dimension that meets its condition.  The fact is reduced to one
+    row a key and meets the dimension once, whatever the number of lookups.
+    """
+    names = list(lookups)
     per_key = fact.groupBy("payment_key").agg(_rows("fact_rows"))
+    listed = payment_types.groupBy("payment_key").agg(
+        *(F.expr(f"count_if({lookups[n]}) > 0 AS listed_{i}") for i, n in enumerate(names))
+    )
+    outside = "CASE WHEN NOT coalesce(listed_{0}, false) AND payment_key IS NOT NULL THEN fact_rows END"
     measures = meet(
-        _payment_measures(payment_types),
-        _marked_unlisted(per_key, payment_types).agg(
-            _sum_or_zero("fact_rows", "all_rows"), _sum_or_zero("unlisted_rows", "unlisted")
+        payment_types.agg(
+            *(_violations(lookups[n], f"size_{i}") for i, n in enumerate(names)),
+            *(_violations(f"({lookups[n]}) AND payment_key IS NULL", f"nulls_{i}")
+              for i, n in enumerate(names)),
+        ),
+        per_key.join(listed, "payment_key", "left").agg(
+            _sum_or_zero("fact_rows", "all_rows"),
+            *(_sum_or_zero(outside.format(i), f"outside_{i}") for i in range(len(names))),
+        ),
+    )
+    return as_lines(
+        measures,
+        (
+            {
+                "lookup": text(name),
+                "orphan_rows": f"CASE WHEN size_{i} = 0 THEN all_rows"
+                f" WHEN nulls_{i} > 0 THEN 0 ELSE outside_{i} END",
+            }
+            for i, name in enumerate(names)
         ),
     )
-    return measures.selectExpr(f"{_orphans('unlisted', 'all_rows')} AS orphan_rows")

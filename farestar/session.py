@@ -49,9 +49,17 @@ def build_session(
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written intermediates, on storage every executor can reach.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``.  Only where that is
-    unset (local tests) is a temporary folder of this machine used.
+    The cluster names the shared folder in ``spark.checkpoint.dir``.  Only a local session may
+    leave it unset; it then uses a temporary folder of this machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not _is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="farestar-")
     return f"{root}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _is_local(spark: SparkSession) -> bool:
+    """Whether the executors are threads of this process (``local-cluster`` is not)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")

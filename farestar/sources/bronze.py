@@ -4,12 +4,11 @@ Published months drift: a column is BIGINT in one year and DOUBLE in the next, c
 casing, or does not exist yet.  One read schema cannot bind them all, so months are grouped
 by physical schema (a handful of groups), each group is scanned natively with its own schema
 and projected onto the declared one, and the groups are united.  Only month paths and schemas
-reach the driver; footers are read by tasks.
+reach the driver; landed months have their schema on record, footers of others are read by tasks.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,7 +17,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from farestar.lake import TRIP_DATASET, Lake
+from farestar.functions.numbers import blank_as_zero
+from farestar.lake import REPLACED, TRIP_DATASET, Lake
+from farestar.sources.files import Files
+from farestar.sources.schemas import month_key, recorded_schemas
 
 # Declared column, physical column (matched by exact name), declared type.
 RAW_FIELDS = (
@@ -46,6 +48,8 @@ RAW_FIELDS = (
 )
 # Columns whose physical type drifts; the view shows them as text.
 CODE_FIELDS = ("passenger_count", "RatecodeID", "payment_type")
+# Columns stored as INT in some months and as BIGINT in others.
+ID_FIELDS = ("VendorID", "PULocationID", "DOLocationID")
 
 TRIP_COLUMNS = (
     *(name for name, _, _ in RAW_FIELDS[:18]), "airport_fee", "cbd_congestion_fee",
@@ -102,51 +106,83 @@ class _Group:
     paths: list[str] = field(default_factory=list)
 
 
+def _landed(spark: SparkSession, lake: Lake) -> list[tuple[str, bool, int, int]]:
+    """(month path, stored as folder, files, bytes) of every month; raises if one is broken."""
+    months = (
+        list_raw_files(spark, lake)
+        .groupBy("month_path", F.expr("path <> month_path").alias("in_folder"))
+        .agg(F.count("*"), F.sum("length"))
+        .orderBy("month_path")
+    )
+    found = [tuple(row) for row in months.collect()]
+    keys = {month_key(path) for path, *_ in found}
+    files = Files(spark)
+    empty = [path for path in files.matching(lake.trips_glob) if month_key(path) not in keys]
+    if empty:
+        raise ValueError(f"landed months without any data file: {empty}")
+    for path in files.matching(lake.replaced_glob):
+        year, name = month_key(path).split("/")
+        if f"{year}/{name[len(REPLACED) + 33:]}" not in keys:
+            raise ValueError(f"a landing was cut short, its month is kept in {path}")
+    return found
+
+
 def _schema_groups(spark: SparkSession, lake: Lake) -> list[_Group]:
-    """Month paths grouped by equal physical schema.
+    """Month paths grouped by physical schema.
 
-    The footers of a month are merged by a Spark job.  A month whose own files disagree on a
-    type cannot be merged, and is split into its files.
+    Recorded schemas cost no footer.  Months without a record are merged together; where types
+    clash the list is halved, so the number of jobs follows the number of schema changes.  A
+    month whose own files disagree is split into its files the same way.
     """
+    groups: dict[tuple, _Group] = {}
+
+    def add(schema: StructType, in_folder: bool, paths: list[str]) -> None:
+        types = frozenset((f.name, f.dataType.simpleString()) for f in schema.fields)
+        groups.setdefault((types, in_folder), _Group(schema, in_folder)).paths.extend(paths)
 
-    def schema_of(path: str) -> StructType | None:
+    def merged(paths: list[str]) -> StructType | None:
         try:
-            return spark.read.option("mergeSchema", True).parquet(path).schema
+            return spark.read.option("mergeSchema", True).parquet(*paths).schema
         except (PySparkException, Py4JJavaError) as error:
             if "CANNOT_MERGE" in str(error):
                 return None
             raise
 
-    groups: dict[tuple, _Group] = {}
-
-    def probe(paths: list[tuple[str, bool]]) -> list[str]:
-        """Sorts the paths into groups; returns those that have no single schema."""
-        with ThreadPoolExecutor(8) as pool:
-            schemas = list(pool.map(schema_of, (path for path, _ in paths)))
-        for (path, in_folder), schema in zip(paths, schemas):
-            if schema is not None:
-                types = frozenset((f.name, f.dataType.simpleString()) for f in schema.fields)
-                group = groups.setdefault((types, in_folder), _Group(schema, in_folder))
-                group.paths.append(path)
-        return [path for (path, _), schema in zip(paths, schemas) if schema is None]
-
-    files = list_raw_files(spark, lake).selectExpr("*", "path <> month_path AS in_folder")
-    months = files.select("month_path", "in_folder").distinct().orderBy("month_path")
-    mixed = probe([tuple(row) for row in months.collect()])
-    if mixed:
-        parts = files.where(F.col("month_path").isin(mixed)).select("path", "in_folder")
-        probe([tuple(row) for row in parts.orderBy("path").collect()])
+    def infer(paths: list[str], in_folder: bool, are_files: bool = False) -> None:
+        schema = merged(paths) if paths else None
+        if schema is not None:
+            add(schema, in_folder, paths)
+        elif len(paths) > 1:
+            half = len(paths) // 2
+            infer(paths[:half], in_folder, are_files)
+            infer(paths[half:], in_folder, are_files)
+        elif paths and not are_files:
+            parts = list_raw_files(spark, lake).where(F.col("month_path") == paths[0])
+            infer([row.path for row in parts.select("path").orderBy("path").collect()], in_folder, True)
+
+    recorded = recorded_schemas(spark, lake)
+    unknown: dict[bool, list[str]] = {}
+    for path, in_folder, files, size in _landed(spark, lake):
+        known = recorded.get(month_key(path))
+        if known and known[:2] == (files, size):
+            add(known[2], in_folder, [path])
+        else:
+            unknown.setdefault(in_folder, []).append(path)
+    for in_folder, paths in unknown.items():
+        infer(paths, in_folder)
     return list(groups.values())
 
 
-def _bind(group: DataFrame, code_type: str) -> list[str]:
+def _bind(group: DataFrame, types: dict[str, str]) -> list[str]:
     """Expressions that project one natively scanned group onto the declared fields."""
     physical = {f.name: f.dataType.simpleString() for f in group.schema.fields}
 
     def column(name: str, stored_as: str, declared: str) -> str:
-        wanted = code_type if name in CODE_FIELDS else declared
+        wanted = types.get(name, declared)
         if stored_as not in physical:
             return f"CAST(NULL AS {wanted}) AS {name}"
+        if physical[stored_as] == "string" and name in CODE_FIELDS and wanted != "string":
+            return f"CAST({blank_as_zero(stored_as)} AS {wanted}) AS {name}"
         # An unneeded cast would keep a filter from reaching the scan.
         cast = physical[stored_as] != wanted
         return f"CAST({stored_as} AS {wanted}) AS {name}" if cast else f"{stored_as} AS {name}"
@@ -164,27 +200,33 @@ def _source_columns(in_folders: bool) -> list[str]:
     return [f"{part(file_position)} AS source_file", f"{part(file_position + 1)} AS source_year"]
 
 
-def _read(spark: SparkSession, lake: Lake, code_type: str, with_source: bool) -> DataFrame:
+def _read(
+    spark: SparkSession, lake: Lake, types: dict[str, str], with_source: bool
+) -> DataFrame:
+    if spark.conf.get("spark.sql.caseSensitive") != "true":
+        raise ValueError("set spark.sql.caseSensitive to true: a month may hold both casings of a column")
     scans = []
     for group in _schema_groups(spark, lake):
         stored = spark.read.schema(group.schema).parquet(*group.paths)
         source = _source_columns(group.in_folders) if with_source else []
-        scans.append(stored.selectExpr(*_bind(stored, code_type), *source))
+        scans.append(stored.selectExpr(*_bind(stored, types), *source))
     return merge_airport_fee(reduce(DataFrame.unionByName, scans))
 
 
 def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
     """The published view: all landed trips under the declared schema, 22 columns."""
-    return _read(spark, lake, "string", with_source=True).select(*TRIP_COLUMNS, *SOURCE_COLUMNS)
+    return _read(spark, lake, dict.fromkeys(CODE_FIELDS, "string"), with_source=True).select(*TRIP_COLUMNS, *SOURCE_COLUMNS)
 
 
 def read_bronze_trips(spark: SparkSession, lake: Lake) -> DataFrame:
     """The same trips, shaped for the cleaning step: no source columns, codes as DOUBLE.
 
     Spark builds the file metadata of every row once a query has mentioned it, even if the
-    column is dropped later, and codes as text would be formatted only to be parsed again.
+    column is dropped later, and codes as text would be formatted only to be parsed again.  Ids
+    are BIGINT: the optimizer takes a filter through a widening cast, not a narrowing one.
     """
-    return _read(spark, lake, "double", with_source=False).select(*TRIP_COLUMNS)
+    types = dict.fromkeys(CODE_FIELDS, "double") | dict.fromkeys(ID_FIELDS, "bigint")
+    return _read(spark, lake, types, with_source=False).select(*TRIP_COLUMNS)
 
 
 def create_raw_view(spark: SparkSession, lake: Lake, name: str = "vw_yellow_taxi_raw") -> None:

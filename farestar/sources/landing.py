@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from farestar.lake import Lake
+from farestar.lake import REPLACED, Lake
+from farestar.sources.files import Files
 from farestar.sources.months import month_grid, year_bounds
+from farestar.sources.schemas import record_schemas
 
 LANDED, MISSING = "landed", "missing"
 REPORT_SCHEMA = "year string, month string, status string, path string"
@@ -20,20 +24,40 @@ CONCURRENT_MONTHS = 4
 SourcePath = Callable[[str, str], str]
 
 
-def land_month(spark: SparkSession, source: str, sink: str) -> bool:
-    """Copy one month; returns False if the source does not exist.
+def land_month(spark: SparkSession, source: str, sink: str) -> StructType | None:
+    """Copy one month and return its schema; None if the source does not exist.
 
-    Replaces an earlier copy, so a run that was cut short is simply repeated.  The copy keeps
-    the names and types of the source file and needs no shuffle.
+    The copy keeps the names and types of the source file and needs no shuffle.  It is written
+    beside an earlier copy and takes its place when it is complete, so a run that fails leaves
+    the earlier month as it was.
     """
     try:
         month = spark.read.parquet(source)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
-    month.write.mode("overwrite").option("compression", "snappy").parquet(sink)
-    return True
+    parent, _, name = sink.rstrip("/").rpartition("/")
+    run = uuid.uuid4().hex
+    fresh, replaced = f"{parent}/_landing-{run}-{name}", f"{parent}/{REPLACED}{run}-{name}"
+    files = Files(spark)
+    try:
+        month.write.option("compression", "snappy").parquet(fresh)
+    except Exception:
+        files.delete(fresh)
+        raise
+    again = files.exists(sink)
+    if again:
+        files.rename(sink, replaced)
+    try:
+        files.rename(fresh, sink)
+    except Exception:
+        if again:
+            files.rename(replaced, sink)
+        raise
+    if again:
+        files.delete(replaced)
+    return month.schema
 
 
 def land_months(
@@ -45,13 +69,18 @@ def land_months(
     finished, while a month that is not published yet is only reported.
     """
 
-    def land(key: tuple[str, str]) -> tuple[str, str, str, str]:
-        sink = lake.month_path(*key)
-        done = land_month(spark, source(*key), sink)
-        return (*key, LANDED if done else MISSING, sink)
+    def land(key: tuple[str, str]) -> StructType | None:
+        return land_month(spark, source(*key), lake.month_path(*key))
 
     with ThreadPoolExecutor(CONCURRENT_MONTHS) as pool:
-        report = list(pool.map(land, months))
+        schemas = list(pool.map(land, months))
+    report = [
+        (*key, LANDED if schema else MISSING, lake.month_path(*key))
+        for key, schema in zip(months, schemas)
+    ]
+    record_schemas(
+        spark, lake, [(lake.month_path(*key), schema) for key, schema in zip(months, schemas) if schema]
+    )
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

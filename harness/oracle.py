@@ -20,7 +20,8 @@ raw AS (
 
 
 def _code(name: str) -> str:
-    return f"CAST(trunc(CAST({name} AS DOUBLE)) AS INTEGER)"
+    number = f"CASE WHEN trim({name}) = '' THEN '0' ELSE {name} END"
+    return f"CAST(trunc(CAST({number} AS DOUBLE)) AS INTEGER)"
 
 
 _MINUTES = "date_diff('minute', tpep_pickup_datetime, tpep_dropoff_datetime)"
@@ -195,7 +196,9 @@ WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p."year" = grid."year" AND p."mo
     "bronze_scan": _with(
         _RAW,
         """SELECT * REPLACE (
-    CASE WHEN year(tpep_pickup_datetime) < 2023 THEN passenger_count
+    CASE WHEN passenger_count = '' AND year(tpep_pickup_datetime) < 2023 THEN '0.0'
+         WHEN passenger_count = '' THEN '0'
+         WHEN year(tpep_pickup_datetime) < 2023 THEN passenger_count
          ELSE replace(passenger_count, '.0', '') END AS passenger_count,
     CASE WHEN year(tpep_pickup_datetime) < 2023 THEN RatecodeID
          ELSE replace(RatecodeID, '.0', '') END AS RatecodeID),

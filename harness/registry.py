@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
 from farestar.functions.calendar import date_key_of
-from farestar.functions.numbers import code, money
+from farestar.functions.numbers import blank_as_zero, code, money
 from farestar.lake import DIM_DATE, DIM_PAYMENT_TYPE, FACT_CORRECTIONS, FACT_TRIPS
 from farestar.operators import dimensions, facts, profiles, quality
 from farestar.operators.cleaning import (
@@ -219,11 +219,10 @@ def _orphans(fact: str) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         gold = gold_tables(spark, sf_dir)
-        rows, types = gold[fact], gold[DIM_PAYMENT_TYPE]
-        others = types.where("payment_category = 'Others'")
-        whole = quality.orphan_check(rows, types).selectExpr("'whole' AS lookup", "orphan_rows")
-        part = quality.orphan_check(rows, others).selectExpr("'others' AS lookup", "orphan_rows")
-        return whole.unionByName(part)
+        return quality.orphan_counts(
+            gold[fact], gold[DIM_PAYMENT_TYPE],
+            {"whole": "true", "others": "payment_category = 'Others'"},
+        )
 
     return query
 
@@ -261,12 +260,15 @@ _QUERIES: dict[str, Query] = {
     "silver_trips": cleaned_trips,
     "silver_money": _projected(*_AMOUNTS, *(f"{money(a)} AS new_{a}" for a in _AMOUNTS)),
     "silver_codes": _projected(
-        *bronze.CODE_FIELDS, *(f"{code(c)} AS new_{c}" for c in bronze.CODE_FIELDS)
+        *bronze.CODE_FIELDS,
+        *(f"{code(blank_as_zero(c))} AS new_{c}" for c in bronze.CODE_FIELDS),
     ),
     "silver_null_fix": _projected(
         *profiles.REPAIRED_COLUMNS,
+        f"coalesce({code(blank_as_zero('passenger_count'))}, 1) AS new_passenger_count",
+        f"coalesce({code(blank_as_zero('RatecodeID'))}, 1) AS new_rate_code_id",
         *_new(
-            "passenger_count", "rate_code_id", "store_and_fwd_flag",
+            "store_and_fwd_flag",
             "congestion_surcharge", "airport_fee", "cbd_congestion_fee",
         ),
     ),

@@ -6,13 +6,15 @@ string type.  Amounts carry two decimals, so both engines round them alike.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from farestar.functions.calendar import year_month
+from farestar.functions.numbers import blank_as_zero
 from farestar.lake import Lake
-from farestar.operators.cleaning import PICKUP, clean_trips
+from farestar.operators.cleaning import CODES, PICKUP, clean_trips
 from farestar.plans.medallion import build_gold
 from farestar.session import scratch_folder
 from farestar.sources.bronze import merge_airport_fee
@@ -24,7 +26,8 @@ RAW_SQL = """
 SELECT vid AS VendorID,
   pu AS tpep_pickup_datetime,
   pu + dur_s * INTERVAL '1' SECOND AS tpep_dropoff_datetime,
-  CASE WHEN k % 4 = 0 THEN NULL ELSE concat(CAST(k % 7 AS {text}), '.0') END AS passenger_count,
+  CASE WHEN k % 4 = 0 THEN NULL WHEN k % 97 = 11 THEN ''
+       ELSE concat(CAST(k % 7 AS {text}), '.0') END AS passenger_count,
   CASE WHEN k % 80 = 3 THEN 0.0e0 WHEN k % 499 = 2 THEN 600.0e0
        ELSE l_quantity * 0.5e0 END AS trip_distance,
   CASE WHEN k % 4 = 0 THEN NULL ELSE concat(CAST(1 + k % 6 AS {text}), '.0') END AS RatecodeID,
@@ -67,34 +70,29 @@ FROM (
 """
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spreads an input of fewer splits than cores, hence of a few hundred MB at most.
-
-    A larger input already has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def derive_raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     text = RAW_SQL.replace("{ntz}", "_NTZ").replace("{text}", "STRING")
     return spark.sql(text, lineitem=lineitem)
 
 
 _STAGED: dict[tuple[str, str, str], object] = {}
+# Stages build on earlier ones, so the thread that builds one may ask for another.
+_STAGING = threading.RLock()
 
 
 def _once(spark: SparkSession, sf_dir: str, stage: str, build: Callable[[], object]):
     """Result of ``build``, run once in an application for each table folder.
 
     Later layers read the written Parquet of earlier ones, as they do in production, so their
-    plans prune columns and push filters, and no query repeats the derivation.
+    plans prune columns and push filters, and no query repeats the derivation.  Threads that ask
+    for the same stage wait for the one that builds it.
     """
     key = (spark.sparkContext.applicationId, sf_dir, stage)
-    if key not in _STAGED:
-        _STAGED[key] = build()
-    return _STAGED[key]
+    with _STAGING:
+        if key not in _STAGED:
+            _STAGED[key] = build()
+        return _STAGED[key]
 
 
 def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
@@ -148,7 +146,8 @@ def _publish(raw: DataFrame, folder: str) -> None:
     """
     for first, last, types, optional in _ERAS:
         columns = [
-            f"CAST(CAST({name} AS DOUBLE) AS {types[name]}) AS {name}" if name in types else name
+            f"CAST(CAST({blank_as_zero(name) if name in CODES else name} AS DOUBLE)"
+            f" AS {types[name]}) AS {name}" if name in types else name
             for name in raw.columns if name not in _OPTIONAL
         ]
         columns += [f"{name} AS {stored}" for name, stored in optional.items()]

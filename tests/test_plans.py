@@ -31,10 +31,41 @@ def test_cleaning_filters_reach_the_scan(spark, sf_dir):
     node = df._jdf.queryExecution().executedPlan().collectLeaves().head()
     pushed = node.metadata().apply("PushedFilters")
     for wanted in ("In(VendorID, [1,2])", "LessThan(trip_distance,500.0)",
-                   "GreaterThanOrEqual(PULocationID,1)", "LessThan(tpep_pickup_datetime,2026"):
+                   "GreaterThanOrEqual(PULocationID,1)"):
         assert wanted in pushed
 
 
+@pytest.mark.parametrize("zone_type", ["INT", "BIGINT"])
+def test_id_rules_reach_the_scan_of_landed_months(spark, sf_dir, tmp_path, zone_type):
+    from farestar.lake import Lake
+    from farestar.operators.cleaning import clean_trips
+    from farestar.sources.bronze import read_bronze_trips
+    from harness.trips import landed_lake
+
+    lake = landed_lake(spark, sf_dir)
+    if zone_type == "BIGINT":
+        wide = Lake(str(tmp_path / "wide"))
+        for year, types in (("2021", "BIGINT"), ("2025", "INT")):
+            month = spark.read.parquet(lake.month_path(year, "01"))
+            zones = {c: month[c].cast("bigint") for c in ("PULocationID", "DOLocationID")}
+            zones["VendorID"] = month["VendorID"].cast(types)
+            month.withColumns(zones).write.parquet(wide.month_path(year, "01"))
+        lake = wide
+    leaves = clean_trips(read_bronze_trips(spark, lake))._jdf.queryExecution().executedPlan().collectLeaves()
+    groups = [leaves.apply(i).metadata().apply("PushedFilters") for i in range(leaves.size())]
+    assert len(groups) > 1
+    for pushed in groups:
+        for wanted in ("In(VendorID, [1,2])", "LessThan(trip_distance,500.0)",
+                       "GreaterThanOrEqual(PULocationID,1)", "LessThanOrEqual(DOLocationID,265)"):
+            assert wanted in pushed
+
+
+def test_orphans_scan_the_fact_once(plan_of):
+    text = plan_of("orphan_payment_trips")
+    # The fact once, the dimension for its size and for the join.
+    assert text.count("FileScan") == 3
+
+
 def test_duration_is_computed_once_by_the_filter(spark, sf_dir):
     condition = next(
         line for line in plan(registry.cleaned_trips(spark, sf_dir)).splitlines() if "Filter (" in line
