@@ -25,8 +25,8 @@ BANDS, ROWS = 32, 4
 UNIVERSE_BITS = 20
 SEED = 20240229
 GATHER = 4096
-#: How many more members of a bucket become pivots in each further round.
-PIVOT_GROWTH = 8
+#: How often members that cannot be linked are dropped before pairs are made.
+PRUNINGS = 3
 
 
 class Circulant:
@@ -118,14 +118,85 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the component label of their node; a node without links is its own."""
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    labels = components(ends.distinct(), links)
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The members of buckets that span several components, with the least set size there."""
+    keys = rows.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least_n")
+    ).where("low <> high").select("key", "least_n")
+    return rows.drop("least_n").join(written(keys, "minhash_mixed"), "key")
+
+
+def _prospects(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members that may still be linked, with how many of their shingles others have.
+
+    A shingle that no other open set has cannot be common, so ``s`` = n - unique bounds every
+    overlap; a link needs 7 * overlap >= 3 * (n + m).
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, raw in zip(batch["node"].to_pylist(), batch["shingles"]):
+                shingles = np.frombuffer(raw.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(shingles), node)), pa.array(shingles)], ["node", "shingle"]
+                )
+
+    nodes = rows.select("node").distinct()
+    unique = (
+        sets.join(nodes, "node", "left_semi").mapInArrow(spread, "node long, shingle long")
+        .groupBy("shingle").agg(F.count("*").alias("holders"), F.min("node").alias("node"))
+        .where("holders = 1").groupBy("node").agg(F.count("*").alias("u"))
+    )
+    part, whole = THRESHOLD
+    counted = rows.drop("s").join(written(unique, "minhash_unique"), "node", "left")
+    return counted.withColumn("s", F.expr("n - coalesce(u, 0)")).drop("u").where(
+        f"{part + whole}L * s >= {part}L * (n + greatest(least_n, ceil({part}L * n / {whole})))"
+    )
+
+
+def _open_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of members of one bucket and two components that the bound leaves.
+
+    In each bucket the members outside its largest component meet all members.  A pair is made
+    only in the first bucket that both share.
+    """
+    part, whole = THRESHOLD
+    sizes = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
+    major = written(
+        sizes.groupBy("key").agg(F.max_by("label", F.struct("members", "label")).alias("major")), "minhash_major"
+    )
+    met = written(rows.join(major, "key").join(classes.select("node", "bands"), "node"), "minhash_open")
+    names = ("node", "n", "s", "label", "bands")
+    left = met.where("label <> major").select("key", "band", *(F.col(c).alias(f"{c}_a") for c in names))
+    right = met.select("key", "major", *(F.col(c).alias(f"{c}_b") for c in names))
+    unlike = "n_a - s_a + n_b - s_b + greatest(s_a, s_b)"  # at least so large is the union
+    condition = (
+        "label_a <> label_b AND (label_b = major OR node_a < node_b)"
+        f" AND {whole}L * least(s_a, s_b) >= {part}L * ({unlike})"
+        " AND array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1"
+    )
+    left, right = left.alias("l"), right.withColumnRenamed("key", "key_b")
+    return left.join(right, F.expr(f"key = key_b AND {condition}")).selectExpr(
+        "least(node_a, node_b) AS a", "greatest(node_a, node_b) AS b"
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, digest, n_shingles, component_id and kept of every row of ``docs``.
 
     Rows with equal shingle sets form a class, linked without comparison; one row stands for
-    it.  In a bucket (a band key) every class is compared with a pivot; links make components.
-    Where a bucket still spans several components, further rounds take more and more of its
-    members as pivots until every pair of different components in it has been compared, so no
-    candidate is left out, and members of one component are never compared again.
+    it.  In a bucket (a band key) every class is compared with the member that stands in the
+    largest buckets; links make components.  Where a bucket still spans several components,
+    all pairs of different components in it are compared, but for those that shingles found in
+    no other open set rule out exactly.  So no candidate is left out, and members of one
+    component are never compared again.
 
     A text without words has n_shingles 0 and is linked with nothing; NULL counts as empty.  A
     NULL doc_id never names a component unless all its rows lack one.  Repeated rows share
@@ -139,62 +210,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ).withColumn("node", F.monotonically_increasing_id()),
         "minhash_classes",
     )
-    members = classes.select("node", "n", F.explode("bands").alias("key"))
-    buckets = (
-        members.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("pivot"))
-        .where("size > 1")
+    members = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = written(members.join(written(sizes, "minhash_sizes"), "key"), "minhash_members")
+    ends = shared.select("node").distinct()
+    wanted = classes.join(ends, "node").select("node", "row.doc_id", "row.digest")
+    sets = written(_shingle_sets(docs, wanted), "minhash_sets")
+
+    part, whole = THRESHOLD
+    weights = written(shared.groupBy("node").agg(F.sum("size").alias("weight")), "minhash_weights")
+    pivots = shared.join(weights, "node").groupBy("key").agg(
+        F.max(F.struct("weight", "node", "n")).alias("pivot")
+    )
+    first = written(
+        shared.join(written(pivots, "minhash_pivots"), "key").where(
+            f"node <> pivot.node AND {whole}L * least(n, pivot.n) >= {part}L * greatest(n, pivot.n)"
+        ).selectExpr("least(node, pivot.node) AS a", "greatest(node, pivot.node) AS b").distinct(),
+        "minhash_pairs",
     )
-    shared = written(
-        members.join(written(buckets, "minhash_buckets"), "key").select("key", "node", "n", "pivot"),
-        "minhash_members",
+    links = written(_confirmed(first, sets), "minhash_links")
+    rows = _mixed(_labelled(shared.drop("size"), links))
+    for _ in range(PRUNINGS):  # what leaves makes more shingles of the others unique
+        rows = written(_mixed(_prospects(rows, sets)), "minhash_prospects")
+    second = written(
+        _open_pairs(rows, classes).join(first, ["a", "b"], "left_anti"), "minhash_pairs"
     )
-    part, whole = THRESHOLD
-
-    def similar_size(a: str, b: str) -> str:
-        return f"{whole}L * least({a}, {b}) >= {part}L * greatest({a}, {b})"
+    more = written(_confirmed(second, sets), "minhash_links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
 
-    nodes = classes.select("node")
-    links = tested = None
-    pairs = shared.where("node <> pivot.node").where(similar_size("n", "pivot.n")).select(
-        F.col("pivot.node").alias("a"), F.col("node").alias("b")
-    )
-    low, high = 1, 1  # ranks of the pivots of this round
-    while True:
-        fresh = pairs.distinct()
-        if tested is not None:
-            fresh = fresh.join(tested, ["a", "b"], "left_anti")
-        fresh = written(fresh, "minhash_pairs")
-        if not fresh.isEmpty():
-            ends = fresh.select(F.col("a").alias("node")).unionByName(
-                fresh.select(F.col("b").alias("node"))
-            ).distinct()
-            wanted = classes.join(ends, "node").select("node", "row.doc_id", "row.digest")
-            sets = written(_shingle_sets(docs, wanted), "minhash_sets")
-            found = written(_confirmed(fresh, sets), "minhash_links")
-            links = found if links is None else links.unionByName(found)
-            tested = fresh if tested is None else tested.unionByName(fresh)
-        labels = components(nodes, links) if links is not None else nodes.withColumn("label", F.col("node"))
-        open_members = shared.join(labels, "node").select("key", "node", "n", "label")
-        mixed = open_members.groupBy("key").agg(
-            F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("size")
-        ).where(f"least <> most AND size > {high}").select("key")
-        ranked = written(
-            open_members.join(written(mixed, "minhash_mixed"), "key").withColumn(
-                "rank", F.expr("row_number() OVER (PARTITION BY key ORDER BY node)")
-            ),
-            "minhash_open",
-        )
-        if ranked.isEmpty():
-            break
-        low, high = high + 1, high * PIVOT_GROWTH
-        pivots = ranked.where(F.col("rank").between(low, high)).select(
-            "key", F.col("node").alias("a"), F.col("n").alias("n_a"),
-            F.col("label").alias("label_a"), F.col("rank").alias("rank_a"),
-        )
-        pairs = ranked.join(pivots, "key").where("label <> label_a AND rank > rank_a").where(
-            similar_size("n", "n_a")
-        ).select("a", F.col("node").alias("b"))
-    firsts = labels.join(classes.select("node", "first", "set_hash"), "node")
+    firsts = _labelled(classes.select("node", "first", "set_hash"), links)
     named = written(
         firsts.groupBy("label").agg(F.min("first").alias("component_id")), "minhash_names"
     )
