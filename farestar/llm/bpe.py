@@ -14,6 +14,9 @@ from farestar.llm.common import texts
 from farestar.llm.tokens import shared_file
 from farestar.llm.wordshuffle import by_text, encode_blocks
 
+#: Larger blocks repeat fewer words; a block's words and numbers stay below 200 MB.
+BLOCK_CHARS = 1 << 25
+
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
     """The token bytes and ranks of a rank file (base64 token, space, rank a line)."""
@@ -48,7 +51,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, buckets: int | None =
 
     return encode_blocks(
         texts(docs), splitter, coder, shared_file(docs.sparkSession, ranks_path), finish,
-        "doc_id long, ids binary", buckets,
+        "doc_id long, ids binary", buckets, block_chars=BLOCK_CHARS,
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from farestar.session import scratch_folder
+from farestar.sources.files import Files
 
 #: The white space that separates words: \x20 and \x09-\x0D.  ``bytes.split()`` splits on the same.
 SPACES = " \t\n\x0b\x0c\r"
@@ -21,11 +22,17 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
+def written(df: DataFrame, purpose: str, instead_of: str | None = None) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: cuts lineage, survives lost executors.
+
+    ``instead_of`` names a scratch folder that only served to make these rows; it is deleted
+    once they are written.
+    """
     spark = df.sparkSession
     folder = scratch_folder(spark, purpose)
     df.write.parquet(folder)
+    if instead_of:
+        Files(spark).delete(instead_of)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
-from farestar.llm.tokens import bare_words, json_coder, shared_file
+from farestar.llm.tokens import bare_words, word_coder, word_vocabulary
 from farestar.llm.wordshuffle import encode_blocks
 
 CHUNK_BITS = 8
@@ -114,11 +114,9 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             [pa.array([c], f.type) for c, f in zip(row, _ARROW)], schema=_ARROW
         )
 
-    return written(
-        encode_blocks(
-            source, bare_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, SEGMENT
-        ),
-        "token_codes",
+    return encode_blocks(
+        source, bare_words, word_coder, word_vocabulary(docs.sparkSession, tokenizer), finish, SEGMENT,
+        purpose="token_codes",
     )
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
-from farestar.llm.tokens import json_coder, shared_file, space_words
+from farestar.llm.tokens import byte_coder, byte_vocabulary, space_words
 from farestar.llm.wordshuffle import encode_blocks
 
 WINDOW = 2048
@@ -166,11 +166,9 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WI
         names = [field.split()[0] for field in CUT.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    return written(
-        encode_blocks(
-            texts(docs), space_words, json_coder, shared_file(docs.sparkSession, tokenizer), finish, CUT
-        ),
-        "cut_documents",
+    return encode_blocks(
+        texts(docs), space_words, byte_coder, byte_vocabulary(docs.sparkSession, tokenizer), finish, CUT,
+        purpose="cut_documents",
     )
 
 
@@ -208,7 +206,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
         "block", "packet", "tail",
         F.expr("sum(n) OVER (PARTITION BY tail ORDER BY block, packet) - n").alias("nth_base"),
     ).join(packet_windows, ["block", "packet"])
-    placed = cut.join(written(bases, "tail_bases"), ["block", "packet", "tail"]).select(
+    # The bases grow with the corpus, so this join is never a broadcast, however small they are.
+    bases = written(bases, "tail_bases").hint("merge")
+    placed = cut.join(bases, ["block", "packet", "tail"]).select(
         "doc_id", "tail", "n_ids", "width", "ids",
         (F.col("nth") + F.col("nth_base")).alias("rank"),
         (F.col("windows_before") + F.col("windows_base")).alias("window_id"),

@@ -25,17 +25,19 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import written
+from farestar.session import scratch_folder
 
 #: Makes, in a task, the function from an array of texts to the number of words of each text, the
 #: words of all as numbers, and the distinct words they number.
 Splitter = Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.BinaryArray]]]
-#: Makes, in a task, the function from distinct words to the ids of each.
-Coder = Callable[[bytes], Callable[[list[bytes]], list[list[int]]]]
+#: Makes, in a task and from the broadcast vocabulary, the function from distinct words to the ids
+#: of each.
+Coder = Callable[[object], Callable[[list[bytes]], list[list[int]]]]
 #: Rows from a block, the number of a packet in it, doc_ids and the ids of each document.
 Finish = Callable[[int, int, list, list[np.ndarray]], pa.RecordBatch]
 
 #: A block's texts have at most this many characters; a longer text is a block by itself.
-BLOCK_CHARS = 1 << 25
+BLOCK_CHARS = 1 << 24
 #: A stream packet has at most this many words; a longer text is a packet by itself.
 PACKET_WORDS = 1 << 17
 
@@ -112,8 +114,8 @@ def _block(
         packet, begin = packet + 1, end
 
 
-def split_words(source: DataFrame, splitter: Splitter, buckets: int) -> DataFrame:
-    """Step 1, written: the word packets and stream packets of every block.
+def split_words(source: DataFrame, splitter: Splitter, buckets: int, folder: str, block_chars: int) -> DataFrame:
+    """Step 1, written to a folder: the word packets and stream packets of every block.
 
     A block is a run of rows of one Arrow batch; blocks are numbered by partition of ``source``
     (doc_id, text) and place in it.
@@ -127,14 +129,16 @@ def split_words(source: DataFrame, splitter: Splitter, buckets: int) -> DataFram
             begin = 0
             while begin < batch.num_rows:
                 reach = np.cumsum(sizes[begin:], dtype=np.int64)
-                rows = max(1, int(np.searchsorted(reach, BLOCK_CHARS, side="right")))
+                rows = max(1, int(np.searchsorted(reach, block_chars, side="right")))
                 part = batch.slice(begin, rows)
                 block = part["part"][0].as_py() << 24 | blocks
                 yield from _block(block, part["doc_id"].to_pylist(), *split(part["text"]), buckets)
                 begin, blocks = begin + rows, blocks + 1
 
     parted = source.withColumn("part", F.spark_partition_id().cast("long"))
-    return written(parted.mapInArrow(run, _PACKET), "word_blocks")
+    packets = parted.mapInArrow(run, _PACKET)
+    packets.write.parquet(folder)
+    return source.sparkSession.read.schema(packets.schema).parquet(folder)
 
 
 def by_text(find: Callable[[str], list]) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.BinaryArray]]:
@@ -144,7 +148,7 @@ def by_text(find: Callable[[str], list]) -> Callable[[pa.Array], tuple[np.ndarra
         words: dict = defaultdict()
         words.default_factory = words.__len__
         numbers = [
-            np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+            np.fromiter(map(words.__getitem__, found), np.uint32, len(found))
             for found in map(find, texts.to_pylist())
         ]
         spelled = [w if isinstance(w, bytes) else w.encode() for w in words]
@@ -215,16 +219,19 @@ class _Vocabulary:
 
 def encode_blocks(
     source: DataFrame, splitter: Splitter, coder: Coder, vocabulary: Broadcast, finish: Finish,
-    schema: str, buckets: int | None = None,
+    schema: str, buckets: int | None = None, purpose: str | None = None, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """What ``finish`` makes of each packet of documents, in ``schema``.
 
     ``source`` has doc_id and text, never NULL.  Packets keep the order of the rows of
     ``source`` within a partition: by block, then by packet number.  ``buckets`` is the number
-    of tasks that encode words, by default the shuffle partitions.
+    of tasks that encode words, by default the shuffle partitions.  With a ``purpose`` the
+    result is written and the blocks behind it are deleted; without, it is evaluated when read.
     """
-    buckets = buckets or int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packets = split_words(source, splitter, buckets)
+    spark = source.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = scratch_folder(spark, "word_blocks")
+    packets = split_words(source, splitter, buckets, folder, block_chars)
     encoded = _encode_words(packets, coder, vocabulary, buckets)
     both = encoded.unionByName(packets.where(F.col("kind") == STREAM))
 
@@ -247,7 +254,8 @@ def encode_blocks(
                 documents = np.split(ids, ends[:-1])
                 yield finish(block, row["bucket"], row["doc_ids"], documents)
 
-    return (
+    made = (
         both.repartition("block").sortWithinPartitions("block", "kind", "bucket")
         .mapInArrow(run, schema)
     )
+    return written(made, purpose, instead_of=folder) if purpose else made
