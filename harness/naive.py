@@ -6,15 +6,19 @@ scan for each rule, decimals summed as they are, built-in averages, text formatt
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from farestar.lake import DIM_PAYMENT_TYPE, FACT_CORRECTIONS, FACT_TRIPS
+from farestar.operators.cleaning import KEEP_ALL, KEEP_RULES, clean_trips
 from farestar.operators.quality import SILVER_RULES, SILVER_VIOLATIONS
+from farestar.sources import bronze
+from harness.oracle import _CROSS_TESTS, _TABLE_TESTS
 from harness.registry import portable
-from harness.trips import gold_tables, raw_trips, silver_trips
+from harness.trips import gold_tables, landed_lake, raw_trips, silver_trips
 
 _DATE_KEY = "CAST(date_format(pickup_datetime, 'yyyyMMdd') AS INT)"
 
@@ -109,7 +113,62 @@ def orphan_payment_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def quality_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen statements, each with its own scans."""
+    tables = {**gold_tables(spark, sf_dir), "silver": silver_trips(spark, sf_dir)}
+    statement = " UNION ALL ".join([*_TABLE_TESTS, *_CROSS_TESTS]).replace("VARCHAR", "STRING")
+    named = re.sub(rf"FROM ({'|'.join(tables)})\b", r"FROM {\1}", statement)
+    return spark.sql(named, **tables)
+
+
+def filter_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan of the raw table for each rule, and one for their conjunction."""
+    rules = {**KEEP_RULES, "any": KEEP_ALL}
+    earlier, parts = "true", []
+    for name, rule in rules.items():
+        reached = "true" if name == "any" else earlier
+        removed = f"NOT coalesce({rule}, false)"
+        parts.append(
+            f"SELECT '{name}' AS rule, count_if({removed}) AS removed_alone,"
+            f" count_if({removed} AND {reached}) AS removed_in_order,"
+            f" count_if({removed}) / CAST(count(*) AS DOUBLE) AS share_alone FROM {{raw}}"
+        )
+        earlier = f"{earlier} AND coalesce({rule}, false)"
+    return spark.sql(" UNION ALL ".join(parts), raw=raw_trips(spark, sf_dir))
+
+
+def report_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the cleaned trips instead of the fact: month and category of every trip."""
+    statement = """
+SELECT date_format(pickup_datetime, 'yyyy-MM') AS year_month, p.payment_category,
+  count(*) AS trips, sum(passenger_count) AS passengers,
+  CAST(sum(total_amount) AS DECIMAL(38,2)) AS revenue,
+  CAST(sum(tip_amount) AS DECIMAL(38,2)) AS tips,
+  CAST(sum(total_amount) AS DOUBLE) / count(*) AS revenue_per_trip,
+  CAST(sum(tip_amount) AS DOUBLE) / nullif(CAST(sum(total_amount) AS DOUBLE), 0) AS tips_share
+FROM {silver} LEFT JOIN {types} p ON payment_type = p.payment_key
+WHERE trip_status = 'valid' GROUP BY 1, 2"""
+    types = gold_tables(spark, sf_dir)[DIM_PAYMENT_TYPE]
+    return spark.sql(statement, silver=silver_trips(spark, sf_dir), types=types)
+
+
+def build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed month inferred, read and bound by itself, then united and cleaned."""
+    lake = landed_lake(spark, sf_dir)
+    types = dict.fromkeys(bronze.CODE_FIELDS, "double")
+    months = []
+    for path in bronze.Files(spark).matching(lake.trips_glob):
+        stored = spark.read.parquet(path)
+        months.append(stored.selectExpr(*bronze._bind(stored, types)))
+    raw = bronze.merge_airport_fee(reduce(DataFrame.unionByName, months))
+    return clean_trips(raw.select(*bronze.TRIP_COLUMNS))
+
+
 FORMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "build_silver": build_silver,
+    "quality_gold": quality_gold,
+    "filter_profile": filter_profile,
+    "report_overview": report_overview,
     "quality_silver": quality_silver,
     "quality_cross_layer": quality_cross_layer,
     "fact_trips": fact_trips,

@@ -172,8 +172,13 @@ def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
-def _doubles(*names: str) -> str:
-    return ", ".join(f"CAST({name} AS DOUBLE) AS {name}" for name in names)
+def _exact(sql: str, digits: int = 2) -> str:
+    """A decimal as its text, so that engines compare every digit and the scale."""
+    return f"CAST(CAST({sql} AS DECIMAL(38,{digits})) AS VARCHAR)"
+
+
+def _exacts(digits: int, *names: str) -> str:
+    return ", ".join(f"{_exact(name, digits)} AS {name}" for name in names)
 
 
 _FILE_SQL = {
@@ -205,6 +210,17 @@ WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p."year" = grid."year" AND p."mo
   strftime(tpep_pickup_datetime, 'yellow_tripdata_%Y-%m.parquet') AS source_file,
   strftime(tpep_pickup_datetime, '%Y') AS source_year
 FROM raw""",
+    ),
+    "raw_view": _with(
+        _RAW,
+        """SELECT strftime(tpep_pickup_datetime, 'yellow_tripdata_%Y-%m.parquet') AS source_file,
+  count(*) AS trips, count(RatecodeID) AS rated FROM raw GROUP BY 1""",
+    ),
+    "landed_years": _with(
+        _MONTHS,
+        """SELECT "year", "month", CASE WHEN EXISTS (
+    SELECT 1 FROM present p WHERE p."year" = grid."year" AND p."month" = grid."month")
+  THEN 'landed' ELSE 'missing' END AS status FROM grid""",
     ),
     "bronze_airport_fee": _with(
         _RAW,
@@ -238,7 +254,7 @@ def _silver_sql() -> dict[str, str]:
 
     def new(name: str) -> str:
         sql = _SILVER_COLUMNS[name]
-        return f"CAST({sql} AS DOUBLE)" if name in _SILVER_DECIMALS else sql
+        return _exact(sql) if name in _SILVER_DECIMALS else sql
 
     pickup, dropoff = "tpep_pickup_datetime", "tpep_dropoff_datetime"
     inputs = {
@@ -248,7 +264,7 @@ def _silver_sql() -> dict[str, str]:
     }
     selects = {
         "silver_money": ", ".join(amounts) + ", " + ", ".join(
-            f"CAST(CAST({a} AS {_MONEY}) AS DOUBLE) AS new_{a}" for a in amounts
+            f"{_exact(f'CAST({a} AS {_MONEY})')} AS new_{a}" for a in amounts
         ),
         "silver_codes": ", ".join(codes) + ", " + ", ".join(
             f"{_code(c)} AS new_{c}" for c in codes
@@ -267,7 +283,7 @@ def _silver_sql() -> dict[str, str]:
             _RAW, f"SELECT {columns} FROM raw WHERE {_KEEP[rule]}"
         )
     whole = ", ".join(
-        f"CAST({name} AS DOUBLE) AS {name}" if name in _SILVER_DECIMALS else name
+        f"{_exact(name)} AS {name}" if name in _SILVER_DECIMALS else name
         for name in _SILVER_COLUMNS
     )
     statements["silver_trips"] = _with(_SILVER, f"SELECT {whole} FROM silver")
@@ -323,7 +339,7 @@ FROM (SELECT 'valid' AS trip_status, count(*) AS trips FROM silver WHERE trip_st
 _TRIP_MEASURES = (
     "date_key, payment_key, pickup_location_id, dropoff_location_id, pickup_hour, trip_count,"
     " total_passengers, total_duration_minutes, avg_duration_minutes, "
-    + _doubles(*_TRIP_SUMS, *_TRIP_AVERAGES, "revenue_per_mile")
+    + _exacts(2, *_TRIP_SUMS) + ", " + _exacts(6, *_TRIP_AVERAGES, "revenue_per_mile")
 )
 
 _GOLD_SQL = {
@@ -333,18 +349,18 @@ _GOLD_SQL = {
 FROM dim_payment_type""",
     "fact_trips": f"SELECT {_TRIP_MEASURES} FROM fact_trips",
     "fact_corrections": f"""SELECT date_key, payment_key, pickup_location_id, correction_count,
-  {_doubles("total_refunded_fare", "total_refunded_amount", "avg_refunded_fare")}
+  {_exacts(2, "total_refunded_fare", "total_refunded_amount")}, {_exacts(6, "avg_refunded_fare")}
 FROM fact_corrections""",
     "star_trips": """SELECT f.date_key, CAST(d.full_date AS VARCHAR) AS full_date, d.day_name,
   d.year_month, d.quarter, f.payment_key, p.payment_name, p.payment_category,
   f.pickup_location_id, f.dropoff_location_id, f.pickup_hour, f.trip_count,
-  CAST(f.total_revenue AS DOUBLE) AS total_revenue
+  CAST(CAST(f.total_revenue AS DECIMAL(38,2)) AS VARCHAR) AS total_revenue
 FROM fact_trips f LEFT JOIN dim_date d ON f.date_key = d.date_key
 LEFT JOIN dim_payment_type p ON f.payment_key = p.payment_key""",
     "star_corrections": """SELECT f.date_key, CAST(d.full_date AS VARCHAR) AS full_date,
   d.month_name, d.year_month, d.weekday_num, f.payment_key, p.payment_name,
   p.payment_category, f.pickup_location_id, f.correction_count,
-  CAST(f.total_refunded_amount AS DOUBLE) AS total_refunded_amount
+  CAST(CAST(f.total_refunded_amount AS DECIMAL(38,2)) AS VARCHAR) AS total_refunded_amount
 FROM fact_corrections f LEFT JOIN dim_date d ON f.date_key = d.date_key
 LEFT JOIN dim_payment_type p ON f.payment_key = p.payment_key""",
     "dim_date_key_unique": """SELECT CAST(sum(n) AS BIGINT) AS days,
@@ -371,7 +387,7 @@ GROUP BY payment_key"""
     "report_overview": """SELECT year_month, payment_category,
   CAST(sum(trip_count) AS BIGINT) AS trips,
   CAST(sum(total_passengers) AS BIGINT) AS passengers,
-  CAST(sum(total_revenue) AS DOUBLE) AS revenue, CAST(sum(total_tips) AS DOUBLE) AS tips,
+  CAST(CAST(sum(total_revenue) AS DECIMAL(38,2)) AS VARCHAR) AS revenue, CAST(CAST(sum(total_tips) AS DECIMAL(38,2)) AS VARCHAR) AS tips,
   CAST(sum(total_revenue) AS DOUBLE) / CAST(sum(trip_count) AS DOUBLE) AS revenue_per_trip,
   CAST(sum(total_tips) AS DOUBLE) / CAST(sum(total_revenue) AS DOUBLE) AS tips_share
 FROM fact_trips f LEFT JOIN dim_date d ON f.date_key = d.date_key
@@ -379,24 +395,24 @@ LEFT JOIN dim_payment_type p ON f.payment_key = p.payment_key
 GROUP BY year_month, payment_category""",
     "report_revenue": f"""SELECT "year", quarter, payment_name,
   CAST(sum(trip_count) AS BIGINT) AS trips,
-  {", ".join(f"CAST(sum({n}) AS DOUBLE) AS {n}" for n in list(_TRIP_SUMS)[:9])}
+  {", ".join(f"{_exact(f'sum({n})')} AS {n}" for n in list(_TRIP_SUMS)[:9])}
 FROM fact_trips f LEFT JOIN dim_date d ON f.date_key = d.date_key
 LEFT JOIN dim_payment_type p ON f.payment_key = p.payment_key
 GROUP BY "year", quarter, payment_name""",
     "report_zones": """SELECT pickup_location_id, CAST(sum(trip_count) AS BIGINT) AS trips,
-  CAST(sum(total_revenue) AS DOUBLE) AS revenue,
-  CAST(sum(total_distance_miles) AS DOUBLE) AS miles,
+  CAST(CAST(sum(total_revenue) AS DECIMAL(38,2)) AS VARCHAR) AS revenue,
+  CAST(CAST(sum(total_distance_miles) AS DECIMAL(38,2)) AS VARCHAR) AS miles,
   CAST(sum(total_revenue) AS DOUBLE) / CAST(sum(total_distance_miles) AS DOUBLE)
     AS revenue_per_mile
 FROM fact_trips GROUP BY pickup_location_id""",
     "report_temporal": """SELECT weekday_num, day_name, pickup_hour,
-  CAST(sum(trip_count) AS BIGINT) AS trips, CAST(sum(total_revenue) AS DOUBLE) AS revenue
+  CAST(sum(trip_count) AS BIGINT) AS trips, CAST(CAST(sum(total_revenue) AS DECIMAL(38,2)) AS VARCHAR) AS revenue
 FROM fact_trips f LEFT JOIN dim_date d ON f.date_key = d.date_key
 GROUP BY weekday_num, day_name, pickup_hour""",
     "report_corrections": """SELECT year_month, payment_name,
   CAST(sum(correction_count) AS BIGINT) AS corrections,
-  CAST(sum(total_refunded_fare) AS DOUBLE) AS refunded_fare,
-  CAST(sum(total_refunded_amount) AS DOUBLE) AS refunded_amount
+  CAST(CAST(sum(total_refunded_fare) AS DECIMAL(38,2)) AS VARCHAR) AS refunded_fare,
+  CAST(CAST(sum(total_refunded_amount) AS DECIMAL(38,2)) AS VARCHAR) AS refunded_amount
 FROM fact_corrections f LEFT JOIN dim_date d ON f.date_key = d.date_key
 LEFT JOIN dim_payment_type p ON f.payment_key = p.payment_key
 GROUP BY year_month, payment_name""",

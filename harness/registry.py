@@ -17,18 +17,18 @@ from farestar.operators.cleaning import (
 from farestar.operators.star import orphan_keys, star_join
 from farestar.plans import reports
 from farestar.sources import bronze, months
-from harness.trips import gold_tables, landed_lake, raw_fields, raw_trips, silver_trips
+from harness.trips import (
+    gold_tables, landed_lake, landing_report, raw_fields, raw_trips, silver_trips,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Decimals as DOUBLE and dates as text, so two engines' results compare by value."""
+    """Decimals and dates as text, so two engines' results compare digit by digit."""
 
     def column(field) -> str:
-        if isinstance(field.dataType, DecimalType):
-            return f"CAST({field.name} AS DOUBLE) AS {field.name}"
-        if isinstance(field.dataType, DateType):
+        if isinstance(field.dataType, (DecimalType, DateType)):
             return f"CAST({field.name} AS STRING) AS {field.name}"
         return field.name
 
@@ -67,6 +67,19 @@ def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.read_bronze(spark, landed_lake(spark, sf_dir))
 
 
+def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published view, read by name."""
+    bronze.create_raw_view(spark, landed_lake(spark, sf_dir), "vw_yellow_taxi_raw")
+    return spark.table("vw_yellow_taxi_raw").groupBy("source_file").agg(
+        F.expr("count(*) AS trips"), F.expr("count(RatecodeID) AS rated")
+    )
+
+
+def landed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of all months of the years of the trips, landed again year by year."""
+    return landing_report(spark, sf_dir).select("year", "month", "status")
+
+
 def bronze_airport_fee(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged fee of the landed files, whose casing differs by year."""
     raw = bronze.read_bronze(spark, landed_lake(spark, sf_dir))
@@ -255,6 +268,8 @@ _QUERIES: dict[str, Query] = {
     "missing_months": missing_months,
     "landed_months": landed_months,
     "bronze_scan": bronze_scan,
+    "raw_view": raw_view,
+    "landed_years": landed_years,
     "bronze_airport_fee": bronze_airport_fee,
     "airport_fee_merge": airport_fee_merge,
     "silver_trips": cleaned_trips,

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from farestar.functions.calendar import year_month
 from farestar.functions.numbers import blank_as_zero
 from farestar.lake import Lake
-from farestar.operators.cleaning import CODES, PICKUP, clean_trips
+from farestar.operators.cleaning import CODES, KEEP_RULES, PICKUP, clean_trips
 from farestar.plans.medallion import build_gold
 from farestar.session import scratch_folder
 from farestar.sources.bronze import merge_airport_fee
-from farestar.sources.landing import land_months
+from farestar.sources.landing import land_months, land_years
 from farestar.sources.months import months_of
 from farestar.sources.tables import create_table_as
 
@@ -161,14 +161,40 @@ def _publish(raw: DataFrame, folder: str) -> None:
         )
 
 
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """The folder that holds the raw rows month by month, as a source would publish them."""
+
+    def publish() -> str:
+        folder = f"{lake_of(spark, sf_dir).root}/published"
+        _publish(raw_fields(spark, sf_dir), folder)
+        return folder
+
+    return _once(spark, sf_dir, "published", publish)
+
+
+def landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of whole years landed in a lake of their own: (year, month, status, path)."""
+
+    def land() -> DataFrame:
+        published = _published(spark, sf_dir)
+        years = raw_trips(spark, sf_dir).where(KEEP_RULES["date_range"]).selectExpr(
+            f"min(year({PICKUP})) AS low", f"max(year({PICKUP})) AS high"
+        ).first()
+        return land_years(
+            spark, years.low, years.high, lambda y, m: f"{published}/published={y}-{m}",
+            Lake(f"{lake_of(spark, sf_dir).root}/years"),
+        )
+
+    return _once(spark, sf_dir, "landing_report", land)
+
+
 def landed_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake whose bronze layer holds the derived trips, landed month by month."""
 
     def land() -> Lake:
         lake = lake_of(spark, sf_dir)
-        published = f"{lake.root}/published"
+        published = _published(spark, sf_dir)
         raw = raw_fields(spark, sf_dir)
-        _publish(raw, published)
         land_months(
             spark,
             sorted((row.year, row.month) for row in months_of(raw, PICKUP).collect()),

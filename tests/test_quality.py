@@ -119,6 +119,6 @@ def test_only_the_known_contradiction_fails(spark, sf_dir):
 
 @pytest.mark.parametrize("name", naive.FORMS)
 def test_literal_forms_agree(spark, sf_dir, name):
-    ours = registry.all_queries()[name](spark, sf_dir)
-    literal = naive.FORMS[name](spark, sf_dir).select(*ours.columns)
+    ours = registry.all_queries()[{"build_silver": "silver_trips"}.get(name, name)](spark, sf_dir)
+    literal = registry.portable(naive.FORMS[name](spark, sf_dir)).select(*ours.columns)
     assert sorted(map(str, ours.collect())) == sorted(map(str, literal.collect()))
