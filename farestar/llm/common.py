@@ -9,6 +9,7 @@ from farestar.sources.files import Files
 
 #: The white space that separates words: \x20 and \x09-\x0D.  ``bytes.split()`` splits on the same.
 SPACES = " \t\n\x0b\x0c\r"
+BATCH_BYTES = 8 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(docs: DataFrame) -> DataFrame:
     """Only doc_id (long) and text (null: empty); extra columns cannot clash with what follows."""
+    bounded_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
@@ -36,6 +38,14 @@ def written(df: DataFrame, purpose: str, instead_of: str | None = None) -> DataF
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Python tasks get their rows in Arrow batches of at most 8 MB, or one row.
+
+    The default of 64 MB is held several times over by each task, in the JVM and in Python.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def id_remainder(modulus: int) -> Column:
     """crc32 of the decimal doc_id, modulo ``modulus``; NULL ids count as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))

@@ -7,7 +7,7 @@ import xxhash
 
 WORDS = 5
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 
 def mix(values: np.ndarray) -> np.ndarray:

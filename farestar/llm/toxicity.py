@@ -21,7 +21,7 @@ from farestar.llm.common import texts, written
 SAMPLE_TOXIC = 4000
 SAMPLE_ORDINARY = 6000
 #: Bound of what trains the ordinary dictionary: samples of eight words.
-ORDINARY_SAMPLES = 60_000
+ORDINARY_SAMPLES = 16_000
 DICTIONARY_BYTES = 4000
 TOXIC_WORDS = 4000
 #: A word trains the toxic dictionary if it follows so many different words in toxic text, and
@@ -33,7 +33,7 @@ SEPARATOR = b"\n\n\n"
 CARRIER = b"0123456789abcdef01234567"
 LEVEL = 12
 RANKS = 2
-CACHED_WINDOWS = 400_000
+CACHED_WINDOWS = 200_000
 
 
 @dataclass(frozen=True)

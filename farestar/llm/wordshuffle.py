@@ -117,23 +117,34 @@ def _block(
 def split_words(source: DataFrame, splitter: Splitter, buckets: int, folder: str, block_chars: int) -> DataFrame:
     """Step 1, written to a folder: the word packets and stream packets of every block.
 
-    A block is a run of rows of one Arrow batch; blocks are numbered by partition of ``source``
-    (doc_id, text) and place in it.
+    Blocks are numbered by partition of ``source`` (doc_id, text) and place in it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter()
-        blocks = 0
+        pending: list[pa.RecordBatch] = []
+        blocks = size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            block = pending[0]["part"][0].as_py() << 24 | blocks
+            doc_ids = [i for piece in pending for i in piece["doc_id"].to_pylist()]
+            return _block(block, doc_ids, *split(pa.concat_arrays([p["text"] for p in pending])), buckets)
+
         for batch in batches:
-            sizes = pc.utf8_length(batch["text"]).to_numpy(zero_copy_only=False)
-            begin = 0
+            chars = np.cumsum(pc.utf8_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64)
+            begin = base = 0
             while begin < batch.num_rows:
-                reach = np.cumsum(sizes[begin:], dtype=np.int64)
-                rows = max(1, int(np.searchsorted(reach, block_chars, side="right")))
-                part = batch.slice(begin, rows)
-                block = part["part"][0].as_py() << 24 | blocks
-                yield from _block(block, part["doc_id"].to_pylist(), *split(part["text"]), buckets)
-                begin, blocks = begin + rows, blocks + 1
+                end = int(np.searchsorted(chars, base + block_chars - size, side="right"))
+                end = max(end, begin if pending else begin + 1)
+                if end > begin:
+                    pending.append(batch.slice(begin, end - begin))
+                    size += int(chars[end - 1]) - base
+                    begin, base = end, int(chars[end - 1])
+                if begin < batch.num_rows:
+                    yield from flush()
+                    blocks, size, pending = blocks + 1, 0, []
+        if pending:
+            yield from flush()
 
     parted = source.withColumn("part", F.spark_partition_id().cast("long"))
     packets = parted.mapInArrow(run, _PACKET)
