@@ -53,12 +53,12 @@ WORDS, STREAM = 0, 1
 
 
 def pack_numbers(values: np.ndarray) -> bytes:
-    """Unsigned numbers below 2^28 as little-endian groups of seven bits, compressed."""
+    """Unsigned 32-bit numbers as little-endian groups of seven bits, compressed."""
     values = np.asarray(values, np.uint32)
-    size = 1 + (values >= 1 << 7).astype(np.int64) + (values >= 1 << 14) + (values >= 1 << 21)
+    size = 1 + sum((values >= 1 << 7 * i).astype(np.int64) for i in range(1, 5))
     end = np.cumsum(size)
     raw = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
-    for i in range(4):
+    for i in range(5):
         there = size > i
         more = (size[there] > i + 1).astype(np.uint8) << 7
         raw[(end - size)[there] + i] = (values[there] >> np.uint32(7 * i)).astype(np.uint8) & 127 | more
@@ -70,7 +70,7 @@ def unpack_numbers(packed: bytes) -> np.ndarray:
     last = np.flatnonzero(raw < 128)
     first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
     values = np.zeros(len(last), np.uint32)
-    for i in range(4):
+    for i in range(5):
         there = first + i <= last
         values[there] |= (raw[first[there] + i] & 127).astype(np.uint32) << np.uint32(7 * i)
     return values

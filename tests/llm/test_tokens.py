@@ -41,3 +41,12 @@ def test_ids_of_words_are_ids_of_texts(spark, samples, file, splitter, vocabular
     for text, size in zip(samples, sizes):
         assert [i for n in numbers[at:at + size] for i in ids[n]] == expected(text)
         at += size
+
+
+def test_numbers_survive_packing():
+    import numpy as np
+
+    from farestar.llm.wordshuffle import pack_numbers, unpack_numbers
+
+    for values in ([], [0], [0, 127, 128, 1 << 14, (1 << 14) - 1, 1 << 21, 1 << 28, (1 << 32) - 1, 5]):
+        assert unpack_numbers(pack_numbers(np.array(values, np.uint32))).tolist() == values
