@@ -28,7 +28,9 @@ def test_stages_are_built_once_by_many_threads(spark, sf_dir):
     assert len(built) == 1 and results[0] is results[1]
 
 
-@pytest.mark.parametrize("master, local", [("local[4]", True), ("local", True), ("local-cluster[3,2,900]", False), ("yarn", False)])
+@pytest.mark.parametrize("master, local", [
+    ("local[4]", True), ("local", True), ("local-cluster[3,2,900]", False), ("yarn", False),
+])
 def test_scratch_needs_a_shared_folder_on_a_cluster(master, local):
     from types import SimpleNamespace
 
