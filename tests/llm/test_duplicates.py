@@ -185,6 +185,14 @@ def test_exact_passages_are_covered(spark):
     assert exact and caught >= 0.99 * exact
 
 
+def test_nth_occurrence_meets_the_nth_of_the_owner():
+    key = np.array([7] * 7 + [8], np.int64)
+    doc = np.array([1, 1, 1, 2, 2, 2, 2, 2], np.int64)
+    place = np.array([4, 4, 9, 0, 0, 3, 6, 5], np.int64)  # a repeated row has its places twice
+    owner, other = chaining._owned(key, doc, place)
+    assert owner.tolist() == [1] * 7 + [2] and other.tolist() == [4, 4, 9, 4, 4, 9, 9, 5]
+
+
 def test_cut_words():
     text = "  One two\nthree  four five "
     assert chaining.cut_words(text, [(1, 3)]) == "  One four five "
