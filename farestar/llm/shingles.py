@@ -27,10 +27,14 @@ class Shingler:
 
     def words(self, text: str) -> np.ndarray:
         """A hash of each word."""
+        return self.words_of(text.encode().lower())
+
+    def words_of(self, text: bytes) -> np.ndarray:
+        """A hash of each word of lower-cased bytes."""
         known = self._known
         if len(known) > CACHED_WORDS:
             known.clear()
-        words = text.encode().lower().split()
+        words = text.split()
         for word in words:
             if word not in known:
                 known[word] = xxhash.xxh3_64_intdigest(word)

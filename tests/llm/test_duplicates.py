@@ -185,6 +185,51 @@ def test_exact_passages_are_covered(spark):
     assert exact and caught >= 0.99 * exact
 
 
+def repeated_words(rows):
+    """By doc_id the places of words in runs of 50 that an earlier document has."""
+    seen, found = set(), {}
+    for doc_id, text in sorted(rows):
+        words = text.encode().lower().split()
+        windows = [tuple(words[k:k + 50]) for k in range(len(words) - 49)]
+        found[doc_id] = {k + i for k, w in enumerate(windows) if w in seen for i in range(50)}
+        seen.update(windows)
+    return found
+
+
+def removed_words(docs):
+    found = {}
+    for p in chaining.repeated_passages(docs).collect():
+        assert p.owner < p.doc and p.stop - p.start >= 50
+        found.setdefault(p.doc, set()).update(range(p.start, p.stop))
+    return found
+
+
+def test_text_that_repeats_itself_is_found(docs_of, prose):
+    heti, refrain = " ".join(["Heti"] * 93), " ".join(["la", "lo", "li"] * 30)
+    rows = [(1, prose(1) + " " + heti), (2, heti + " " + prose(2)), (3, prose(3) + " " + refrain)]
+    rows += [(4, refrain + " " + prose(4) + " " + heti), (5, " ".join(["Heti"] * 49))]
+    expected, found = repeated_words(rows), removed_words(docs_of(rows))
+    assert {d: len(w) for d, w in expected.items()} == {1: 0, 2: 93, 3: 0, 4: 183, 5: 0}
+    assert all(expected[d] <= found.get(d, set()) for d in expected) and set(found) == {2, 4}
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_a_passage_whose_lines_earlier_documents_have_is_found(docs_of, partitions):
+    pick = random.Random(5)
+
+    def fresh(n):
+        return " ".join(f"v{pick.randrange(10**6)}" for _ in range(n))
+
+    rows = []
+    for k in range(0, 120, 4):
+        one, two = fresh(30), fresh(30)
+        rows += [(k, fresh(20) + " " + one), (k + 1, two + " " + fresh(20))]
+        rows += [(k + 2, fresh(20) + f" {one} {two} " + fresh(9)), (k + 3, f"{one} {two}")]
+    expected, found = repeated_words(rows), removed_words(docs_of(rows, partitions))
+    assert all(len(expected[k + 3]) == 60 for k in range(0, 120, 4))
+    assert all(expected[d] <= found.get(d, set()) for d in expected)
+
+
 def test_nth_occurrence_meets_the_nth_of_the_owner():
     key = np.array([7] * 7 + [8], np.int64)
     doc = np.array([1, 1, 1, 2, 2, 2, 2, 2], np.int64)
