@@ -85,7 +85,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted classes, from the text of the row that stands for each."""
     source = texts(docs).withColumn("digest", F.xxhash64("text"))
-    rows = source.join(wanted, ["doc_id", "digest"]).select("node", "text")
+    same = F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.digest") == F.col("w.digest"))
+    rows = source.alias("r").join(wanted.alias("w"), same).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -205,7 +206,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prints = written(fingerprints(docs), "minhash_prints")
     classes = written(
         prints.where("set_hash IS NOT NULL").groupBy("set_hash").agg(
-            F.min(F.struct("doc_id", "digest")).alias("row"), F.min("doc_id").alias("first"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("row"), F.min("doc_id").alias("first"),
             F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
         ).withColumn("node", F.monotonically_increasing_id()),
         "minhash_classes",

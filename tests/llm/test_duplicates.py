@@ -115,6 +115,14 @@ def test_substrings_over_many_blocks(docs_of, corpus, monkeypatch):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+def test_a_copy_without_doc_id_does_not_hide_its_class(docs_of, prose):
+    base, alone = prose(70, 3), prose(80, 3)
+    rows = [(None, base), (5, base), (9, edited(base, 2, 1)), (None, alone), (12, edited(alone, 2, 2))]
+    rows += [(13, edited(alone, 2, 3))]
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(rows)).collect() if r.doc_id}
+    assert found == {5: 5, 9: 5, 12: 12, 13: 12}
+
+
 # --- chaining --------------------------------------------------------------------------------
 
 
