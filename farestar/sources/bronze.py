@@ -127,16 +127,25 @@ def _landed(spark: SparkSession, lake: Lake) -> list[tuple[str, bool, int, int]]
     return found
 
 
+BOTH_CASINGS = "set spark.sql.caseSensitive to true: a month holds both casings of a column"
+
+
 def _schema_groups(spark: SparkSession, lake: Lake) -> list[_Group]:
     """Month paths grouped by physical schema.
 
     Recorded schemas cost no footer.  Months without a record are merged together; where types
     clash the list is halved, so the number of jobs follows the number of schema changes.  A
     month whose own files disagree is split into its files the same way.
+
+    Columns are bound by exact name in any session.  Only a month that holds two names equal but
+    for case needs a case-sensitive one, and is refused in another.
     """
     groups: dict[tuple, _Group] = {}
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
 
     def add(schema: StructType, in_folder: bool, paths: list[str]) -> None:
+        if not exact and len({name.lower() for name in schema.names}) < len(schema.names):
+            raise ValueError(f"{BOTH_CASINGS}: {paths[0]}")
         types = frozenset((f.name, f.dataType.simpleString()) for f in schema.fields)
         groups.setdefault((types, in_folder), _Group(schema, in_folder)).paths.extend(paths)
 
@@ -146,6 +155,8 @@ def _schema_groups(spark: SparkSession, lake: Lake) -> list[_Group]:
         except (PySparkException, Py4JJavaError) as error:
             if "CANNOT_MERGE" in str(error):
                 return None
+            if "COLUMN_ALREADY_EXISTS" in str(error):
+                raise ValueError(BOTH_CASINGS) from error
             raise
 
     def infer(paths: list[str], in_folder: bool, are_files: bool = False) -> None:
@@ -203,8 +214,6 @@ def _source_columns(in_folders: bool) -> list[str]:
 def _read(
     spark: SparkSession, lake: Lake, types: dict[str, str], with_source: bool
 ) -> DataFrame:
-    if spark.conf.get("spark.sql.caseSensitive") != "true":
-        raise ValueError("set spark.sql.caseSensitive to true: a month may hold both casings of a column")
     scans = []
     for group in _schema_groups(spark, lake):
         stored = spark.read.schema(group.schema).parquet(*group.paths)

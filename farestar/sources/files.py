@@ -41,3 +41,13 @@ class Files:
             if status.getPath().getName()[0] not in "_."
         ]
         return len(found), sum(status.getLen() for status in found)
+
+    def stamp(self, path: str) -> str | None:
+        """Names, sizes and times of the data files at a path, as text; None if it does not exist."""
+        system, place = self._at(path)
+        if not system.exists(place):
+            return None
+        return " ".join(sorted(
+            f"{status.getPath().getName()}:{status.getLen()}:{status.getModificationTime()}"
+            for status in system.listStatus(place) if status.getPath().getName()[0] not in "_."
+        ))

@@ -13,9 +13,9 @@ from pyspark.sql.types import StructType
 from farestar.lake import REPLACED, Lake
 from farestar.sources.files import Files
 from farestar.sources.months import month_grid, year_bounds
-from farestar.sources.schemas import record_schemas
+from farestar.sources.schemas import month_key, record_schemas, recorded_stamps
 
-LANDED, MISSING = "landed", "missing"
+LANDED, UNCHANGED, MISSING = "landed", "unchanged", "missing"
 REPORT_SCHEMA = "year string, month string, status string, path string"
 
 # Months in flight at once: enough to fill the cluster while one month drains its last tasks.
@@ -66,21 +66,27 @@ def land_months(
     """Lands the given (year, month) pairs and reports one row for each.
 
     Every month is its own distributed job; a failing job fails the call once the others have
-    finished, while a month that is not published yet is only reported.
+    finished, while a month that is not published yet is only reported.  A month is not copied
+    again while what is published has the stamp of the last landing and the copy its size.
     """
+    files, known = Files(spark), recorded_stamps(spark, lake)
 
-    def land(key: tuple[str, str]) -> StructType | None:
-        return land_month(spark, source(*key), lake.month_path(*key))
+    def land(key: tuple[str, str]) -> tuple[str, StructType | None, str | None]:
+        published, sink = source(*key), lake.month_path(*key)
+        stamp = files.stamp(published)
+        before = known.get(month_key(sink))
+        if before and stamp == before[2] and files.exists(sink) and files.size(sink) == before[:2]:
+            return UNCHANGED, None, None
+        schema = land_month(spark, published, sink)
+        return LANDED if schema else MISSING, schema, stamp
 
     with ThreadPoolExecutor(CONCURRENT_MONTHS) as pool:
-        schemas = list(pool.map(land, months))
-    report = [
-        (*key, LANDED if schema else MISSING, lake.month_path(*key))
-        for key, schema in zip(months, schemas)
-    ]
-    record_schemas(
-        spark, lake, [(lake.month_path(*key), schema) for key, schema in zip(months, schemas) if schema]
-    )
+        landed = list(pool.map(land, months))
+    record_schemas(spark, lake, [
+        (lake.month_path(*key), schema, stamp)
+        for key, (_, schema, stamp) in zip(months, landed) if schema
+    ])
+    report = [(*key, status, lake.month_path(*key)) for key, (status, *_) in zip(months, landed)]
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

@@ -15,6 +15,16 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     assert differences(df, sf_dir, entry_points.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", ["bronze_scan", "raw_view", "bronze_airport_fee", "quality_data_loss"])
+def test_query_runs_with_default_case(spark, sf_dir, name):
+    spark.conf.set("spark.sql.caseSensitive", "false")
+    try:
+        df = entry_points.queries()[name](spark, sf_dir)
+        assert differences(df, sf_dir, entry_points.oracle_sql()[name]) is None
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "true")
+
+
 def test_stages_are_built_once_by_many_threads(spark, sf_dir):
     from concurrent.futures import ThreadPoolExecutor
 

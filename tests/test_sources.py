@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import shutil
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -152,13 +153,47 @@ def test_a_changed_month_is_looked_at_again(spark, landed, lake):
     assert counts == {"2", "2.0"}
 
 
-def test_reader_needs_case_sensitive_names(spark, landed, lake):
+@pytest.fixture
+def any_case(spark):
+    """The session without this package's setting of case."""
+    spark.conf.unset("spark.sql.caseSensitive")
     spark.conf.set("spark.sql.caseSensitive", "false")
-    try:
-        with pytest.raises(ValueError, match="caseSensitive"):
-            bronze.read_bronze(spark, lake)
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", "true")
+    yield
+    spark.conf.set("spark.sql.caseSensitive", "true")
+
+
+@pytest.mark.parametrize("recorded", [True, False])
+def test_only_a_month_with_both_casings_needs_case_sensitive_names(spark, landed, lake, any_case, recorded):
+    if not recorded:
+        shutil.rmtree(lake.schemas)
+    with pytest.raises(ValueError, match="caseSensitive"):
+        bronze.read_bronze(spark, lake)
+    shutil.rmtree(lake.month_path(2024, "01"))
+    fees = {r.source_year: r.airport_fee for r in bronze.read_bronze(spark, lake).collect()}
+    assert fees == {"2021": 1.25, "2023": 1.75, "2025": 1.75}
+
+
+def test_unchanged_months_are_not_copied_again(spark, lake, tmp_path, monkeypatch):
+    base, keys = str(tmp_path / "site"), [("2021", "01"), ("2021", "02"), ("2021", "03")]
+    for key in keys[:2]:
+        month(spark, f"2021-{key[1]}-05").write.parquet(source_path(base, *key))
+    copied = []
+    copy = landing.land_month
+    monkeypatch.setattr(landing, "land_month", lambda s, source, sink: copied.append(sink) or copy(s, source, sink))
+
+    def land():
+        copied.clear()
+        report = landing.land_months(spark, keys, lambda y, m: source_path(base, y, m), lake)
+        return [r.status for r in report.orderBy("month").collect()], len(copied)
+
+    assert land() == (["landed", "landed", "missing"], 3)
+    assert land() == (["unchanged", "unchanged", "missing"], 1)
+    month(spark, "2021-02-06").write.mode("append").parquet(source_path(base, "2021", "02"))
+    month(spark, "2021-03-05").write.parquet(source_path(base, "2021", "03"))
+    assert land() == (["unchanged", "landed", "landed"], 2)
+    shutil.rmtree(lake.month_path(2021, "01"))
+    assert land() == (["landed", "unchanged", "unchanged"], 1)
+    assert bronze.read_bronze(spark, lake).count() == 4
 
 
 def test_blank_text_codes_count_as_zero(spark, lake):
