@@ -36,12 +36,15 @@ def shared_file(spark: SparkSession, path: str) -> Broadcast:
 
 
 def _tokenizer(content: bytes):
-    """Distinct words -> ids by the tokenizers library, without special tokens."""
+    """Distinct words -> ids by the tokenizers library, which adds no tokens of its own.
+
+    A string in a text that spells an added token of the file gets that token's id, as the
+    library has it.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_buffer(content)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def encode(words: list[str]) -> list[list[int]]:
         return [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -49,6 +52,24 @@ def _tokenizer(content: bytes):
     return encode
 
 
+def _added(file: dict) -> tuple[str, ...]:
+    """The strings that the file turns into one token wherever a text holds them.
+
+    Words are encoded one by one, so such a string must lie in one word and take no white space
+    from its neighbours.
+    """
+    tokens = [t for t in file.get("added_tokens") or () if t["content"]]
+    for t in tokens:
+        if t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or t["content"].split() != [t["content"]]:
+            raise ValueError(f"added token {t['content']!r} does not stay within a word")
+    return tuple(t["content"] for t in tokens)
+
+
+def _holds(added: tuple[str, ...]):
+    """Whether a word holds one of the strings."""
+    return re.compile("|".join(map(re.escape, added)) or r"(?!)").search
+
+
 def _ranked(vocabulary: dict[str, int], merges: list, first: int) -> bool:
     """Whether ids follow the order of the merges, so that an id is the rank of its merge."""
     pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
@@ -78,10 +99,10 @@ def byte_vocabulary(spark: SparkSession, path: str) -> Broadcast:
             bytes(map(symbol.__getitem__, token)): i for token, i in model["vocab"].items()
             if set(token) <= set(symbol)
         }
-    return spark.sparkContext.broadcast((content, ranks))
+    return spark.sparkContext.broadcast((content, ranks, _added(file)))
 
 
-def byte_coder(vocabulary: tuple[bytes, dict | None]):
+def byte_coder(vocabulary: tuple[bytes, dict | None, tuple]):
     """Ids of words by a byte-level BPE file.
 
     Where ids follow the order of the merges, the merges are done by rank, several times faster
@@ -89,12 +110,17 @@ def byte_coder(vocabulary: tuple[bytes, dict | None]):
     """
     import tiktoken
 
-    content, ranks = vocabulary
+    content, ranks, added = vocabulary
+    encode, special = _tokenizer(content), _holds(added)
     if ranks is None:
-        encode = _tokenizer(content)
         return lambda words: encode([word.decode() for word in words])
     merges = tiktoken.Encoding("ranks", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda words: [merges.encode_ordinary(word.decode()) for word in words]
+
+    def ids(words: list[bytes]) -> list[list[int]]:
+        texts = [word.decode() for word in words]
+        return [encode([text])[0] if special(text) else merges.encode_ordinary(text) for text in texts]
+
+    return ids
 
 
 def word_vocabulary(spark: SparkSession, path: str) -> Broadcast:
@@ -105,7 +131,8 @@ def word_vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """
     with open(path, "rb") as handle:
         content = handle.read()
-    model = json.loads(content)["model"]
+    file = json.loads(content)
+    model = file["model"]
     ranks = None
     if model.get("end_of_word_suffix") == "</w>" and _ranked(model["vocab"], model["merges"], 512):
         symbol, ranks = _bytes_of_symbols(), {}
@@ -120,20 +147,21 @@ def word_vocabulary(spark: SparkSession, path: str) -> Broadcast:
                 ranks[raw[:-1] + raw[-1:].upper()] = i
         # Bytes that no lower-case word holds still need a rank.
         ranks |= {bytes([b]): len(model["vocab"]) + b for b in range(256) if bytes([b]) not in ranks}
-    return spark.sparkContext.broadcast((content, ranks))
+    return spark.sparkContext.broadcast((content, ranks, _added(file)))
 
 
-def word_coder(vocabulary: tuple[bytes, dict | None]):
+def word_coder(vocabulary: tuple[bytes, dict | None, tuple]):
     """Ids of words by a BPE file with word ends (``</w>``), lower case.
 
     Where ids follow the order of the merges, runs of letters that end in a-z are merged by rank;
-    all other pieces go through the tokenizers library, once each.
+    all other pieces go through the tokenizers library, once each.  Words that hold an added token
+    go there whole.
     """
     import regex
     import tiktoken
 
-    content, ranks = vocabulary
-    encode = _tokenizer(content)
+    content, ranks, added = vocabulary
+    encode, special = _tokenizer(content), _holds(added)
     if ranks is None:
         return lambda words: encode([word.decode() for word in words])
     merges = tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
@@ -159,7 +187,7 @@ def word_coder(vocabulary: tuple[bytes, dict | None]):
 
     def ids(words: list[bytes]) -> list[list[int]]:
         texts = [word.decode() for word in words]
-        hard = [text for text in texts if not simple(text)]
+        hard = [text for text in texts if not simple(text) or special(text)]
         others = dict(zip(hard, encode(hard) if hard else ()))
         return [others[text] if text in others else pieces(text) for text in texts]
 

@@ -20,7 +20,6 @@ def library(path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -84,6 +83,16 @@ def test_single_ids_are_read_alone(spark, docs_of, prose):
     assert got == {place: flat[place] for place in list(flat)[::7]}
 
 
+def test_added_tokens_in_texts_are_as_the_library_has_them(docs_of, prose):
+    rows = [(1, "hello <|endoftext|> x"), (2, prose(1) + "<|endoftext|>"), (3, "<|startoftext|>a <|ENDOFTEXT|>")]
+    codes = {r.doc_id: r for r in dac.read_codes(dac.write_codes(docs_of(rows), WORD_JSON, end_id=2)).collect()}
+    packed = {r.doc_id: r for r in packing.pack(docs_of(rows), BYTE_JSON, end_id=1).collect()}
+    for doc_id, text in rows:
+        assert codes[doc_id].ids_crc32 == crc(library(WORD_JSON)(text) + [2])
+        assert packed[doc_id].ids_crc32 == crc(library(BYTE_JSON)(text) + [1])
+    assert 50256 in library(BYTE_JSON)(rows[0][1])
+
+
 def test_codes_of_an_empty_table(docs_of):
     assert dac.read_codes(dac.write_codes(docs_of([]), WORD_JSON, end_id=2)).count() == 0
 
