@@ -30,17 +30,27 @@ class Model:
     log_prior: np.ndarray
 
 
-def ngrams(text: str) -> np.ndarray:
-    """Feature numbers of all n-grams of a text, lower case, with a space at either end."""
+def ngrams(text: str) -> Iterator[np.ndarray]:
+    """Feature numbers of all n-grams of a text, lower case, with a space at either end.
+
+    They come in slices of at most ``BLOCK_CHARS`` places, however long the text.
+    """
     code = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    parts = []
-    for order in ORDERS:
-        value = np.full(max(len(code) - order + 1, 0), order, np.uint32)
-        for shift in range(order):
-            value = value * np.uint32(0x01000193) ^ code[shift:shift + len(value)]
-        value = value * np.uint32(0x9E3779B1)
-        parts.append(value >> np.uint32(32 - FEATURES.bit_length() + 1))
-    return np.concatenate(parts)
+    for start in range(0, len(code), BLOCK_CHARS):
+        parts = []
+        for order in ORDERS:
+            piece = code[start:start + BLOCK_CHARS + order - 1]
+            value = np.full(max(len(piece) - order + 1, 0), order, np.uint32)
+            for shift in range(order):
+                value = value * np.uint32(0x01000193) ^ piece[shift:shift + len(value)]
+            value = value * np.uint32(0x9E3779B1)
+            parts.append(value >> np.uint32(32 - FEATURES.bit_length() + 1))
+        yield np.concatenate(parts)
+
+
+def picked_below(docs: int, expected: int) -> int | None:
+    """Signed 64-bit hashes below this are sampled, so that ``expected`` of ``docs`` are; None: all."""
+    return None if docs <= expected else (expected << 64) // docs - (1 << 63)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +59,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
             total = counts.setdefault(lang.as_py(), np.zeros(FEATURES, np.int64))
-            total += np.bincount(ngrams(text.as_py()), minlength=FEATURES)
+            for features in ngrams(text.as_py()):
+                total += np.bincount(features, minlength=FEATURES)
     for lang, total in counts.items():
         feature = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -70,11 +81,11 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Mode
     languages = tuple(sorted(sizes))
     if not languages:
         return Model((), np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32))
-    share = F.create_map(*[
-        x for lang, n in sizes.items()
-        for x in (F.lit(lang), F.lit(int(min(1.0, docs_per_language / n) * 1_000_000)))
-    ])
-    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")]
+    picked = F.lit(False)
+    for lang, n in sizes.items():
+        below = picked_below(n, docs_per_language)
+        sampled = F.lit(True) if below is None else F.xxhash64("doc_id") < F.lit(below)
+        picked = picked | ((F.col("lang") == lang) & sampled)
     rows = (
         known.where(picked).select("lang", F.coalesce("text", F.lit("")).alias("text"))
         .mapInArrow(_count, "lang string, feature int, n long")
@@ -89,13 +100,14 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Mode
 
 
 def _blocks(values: list[str]) -> Iterator[list[str]]:
+    """Runs of texts of about BLOCK_CHARS characters; a longer text is one by itself."""
     block, size = [], 0
     for text in values:
-        block.append(text)
-        size += len(text)
-        if size >= BLOCK_CHARS:
+        if block and size + len(text) > BLOCK_CHARS:
             yield block
             block, size = [], 0
+        block.append(text)
+        size += len(text)
     if block:
         yield block
 
@@ -104,12 +116,18 @@ def score_texts(model: Model, values: list[str]) -> tuple[list[str], list[float]
     """Predicted language and its share of the posterior, tempered by the number of n-grams."""
     labels, scores = [], []
     for block in _blocks(values):
-        features = [ngrams(text) for text in block]
-        sizes = np.array([len(f) for f in features])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         # A sparse row per text times the matrix: gather the rows of its n-grams, add them up.
-        total = np.add.reduceat(model.log_prob[np.concatenate(features)], starts, axis=0)
-        total = total.astype(float) / np.sqrt(sizes)[:, None] + model.log_prior
+        if len(block) == 1:
+            sizes, total = np.zeros(1), np.zeros((1, len(model.languages)))
+            for features in ngrams(block[0]):
+                sizes += len(features)
+                total += model.log_prob[features].sum(0, dtype=float)
+        else:
+            features = [np.concatenate(list(ngrams(text))) for text in block]
+            sizes = np.array([len(f) for f in features])
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            total = np.add.reduceat(model.log_prob[np.concatenate(features)], starts, axis=0, dtype=float)
+        total = total / np.sqrt(sizes)[:, None] + model.log_prior
         odds = np.exp(total - total.max(1, keepdims=True))
         best = odds.argmax(1)
         scores += (odds.max(1) / odds.sum(1)).tolist()

@@ -1,6 +1,8 @@
 import hashlib
+import math
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -229,6 +231,54 @@ def test_language_learns_and_holds_out(spark, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
 
 
+def plain_language(model, text):
+    """The language of a text and its score, n-gram by n-gram."""
+    code = [ord(c) for c in f" {text.lower()} "]
+    total, n = [0.0] * len(model.languages), 0
+    for order in language.ORDERS:
+        for at in range(len(code) - order + 1):
+            value = order
+            for c in code[at:at + order]:
+                value = (value * 0x01000193 ^ c) % (1 << 32)
+            feature = (value * 0x9E3779B1) % (1 << 32) >> (32 - 15)
+            total = [t + float(p) for t, p in zip(total, model.log_prob[feature])]
+            n += 1
+    total = [t / n ** 0.5 + float(p) for t, p in zip(total, model.log_prior)]
+    odds = [math.exp(t - max(total)) for t in total]
+    return model.languages[odds.index(max(odds))], max(odds) / sum(odds)
+
+
+def test_language_equals_brute_force(spark, sf_dir, odd_rows, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fit(docs)
+    texts = [r.text for r in docs.where("text <> ''").limit(40).collect()] + [t for _, t in odd_rows if t]
+    for block in (language.BLOCK_CHARS, 700):
+        monkeypatch.setattr(language, "BLOCK_CHARS", block)
+        for text, *got in zip(texts, *language.score_texts(model, texts)):
+            expected = plain_language(model, text)
+            assert got[0] == expected[0] and abs(got[1] - expected[1]) < 1e-5
+
+
+@pytest.mark.parametrize("docs", [7000, 10**6, 10**10, 10**13])
+def test_a_language_of_any_size_is_learned_from(docs):
+    assert language.picked_below(6000, 6000) is None
+    share = (language.picked_below(docs, 6000) + 2**63) / 2**64
+    assert share * docs == pytest.approx(6000, rel=1e-5)
+
+
+def test_a_very_long_text_is_scored_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    model = language.Model(("a", "b"), rng.random((language.FEATURES, 2), np.float32), np.zeros(2))
+    text = "some words of a long text " * 800_000
+    tracemalloc.start()
+    language.score_texts(model, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text) > 20_000_000 and peak < 300 << 20
+
+
 def test_language_of_odd_texts(spark, docs_of, odd_rows):
     labelled = spark.createDataFrame(
         [(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de"), (3, None, "en"), (4, "x", None)],
