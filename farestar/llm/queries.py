@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farestar.llm import bpe, chaining, dac, exact, language, minhash, packing, quality, substrings, toxicity
+from farestar.llm import audit, bpe, chaining, dac, exact, language, minhash, packing, quality, substrings, toxicity
 from farestar.llm.common import documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    return audit.audit(documents(spark, sf_dir), labels)
+
+
 def all_queries() -> dict[str, Query]:
     found = {
         name: query for name, query in globals().items()
