@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
 from farestar.llm.tokens import bare_words, word_coder, word_vocabulary
-from farestar.llm.wordshuffle import encode_blocks
+from farestar.llm.wordshuffle import bucket_count, encode_blocks
 
 CHUNK_BITS = 8
 RANK_EVERY = 512
@@ -116,7 +116,7 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     return encode_blocks(
         source, bare_words, word_coder, word_vocabulary(docs.sparkSession, tokenizer), finish, SEGMENT,
-        purpose="token_codes",
+        buckets=bucket_count(texts(docs)), purpose="token_codes",
     )
 
 

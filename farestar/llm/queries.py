@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farestar.llm import audit, bpe, chaining, dac, exact, language, minhash, neighbours, packing, quality, substrings, toxicity
+from farestar.llm import alignment, audit, bpe, chaining, dac, exact, language, minhash, neighbours, packing, quality, substrings, toxicity
 from farestar.llm.common import documents, id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,13 @@ def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_of_every(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50, k=5)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     found = {
         name: query for name, query in globals().items()

@@ -35,16 +35,17 @@ def shared_file(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(file.read())
 
 
-def _tokenizer(content: bytes):
+def _tokenizer(content: bytes, plain: bool = False):
     """Distinct words -> ids by the tokenizers library, which adds no tokens of its own.
 
     A string in a text that spells an added token of the file gets that token's id, as the
-    library has it.
+    library has it; with ``plain`` it is ordinary text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_buffer(content)
+    tokenizer.encode_special_tokens = plain
 
     def encode(words: list[str]) -> list[list[int]]:
         return [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -83,6 +84,15 @@ def _bytes_of_symbols() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def token_bytes(content: bytes) -> list[bytes]:
+    """The bytes of every token of a byte-level BPE file, by id; added tokens by their string."""
+    file, symbol = json.loads(content), _bytes_of_symbols()
+    added = {t["id"]: t["content"].encode() for t in file.get("added_tokens") or ()}
+    spelled = {i: bytes(map(symbol.__getitem__, t)) for t, i in file["model"]["vocab"].items() if i not in added}
+    spelled |= added
+    return [spelled.get(i, b"") for i in range(max(spelled) + 1)]
+
+
 def byte_vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """For ``byte_coder``: the file, and the rank of every token where ids follow the merges."""
     with open(path, "rb") as handle:
@@ -102,8 +112,8 @@ def byte_vocabulary(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast((content, ranks, _added(file)))
 
 
-def byte_coder(vocabulary: tuple[bytes, dict | None, tuple]):
-    """Ids of words by a byte-level BPE file.
+def byte_coder(vocabulary: tuple[bytes, dict | None, tuple], plain: bool = False):
+    """Ids of words by a byte-level BPE file; with ``plain`` no string in a word spells a token.
 
     Where ids follow the order of the merges, the merges are done by rank, several times faster
     than by the tokenizers library and with the same ids; other files go through the library.
@@ -111,7 +121,7 @@ def byte_coder(vocabulary: tuple[bytes, dict | None, tuple]):
     import tiktoken
 
     content, ranks, added = vocabulary
-    encode, special = _tokenizer(content), _holds(added)
+    encode, special = _tokenizer(content, plain), _holds(() if plain else added)
     if ranks is None:
         return lambda words: encode([word.decode() for word in words])
     merges = tiktoken.Encoding("ranks", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -225,6 +235,26 @@ def space_words():
     return split
 
 
+def space_units():
+    """Splits texts like ``space_words``, into what stands between the cuts.
+
+    A text is its units joined by single spaces.
+    """
+    slowly = by_text(_LONE_SPACE.split)
+
+    def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
+        slow = pc.match_substring_regex(texts, _RUN)
+        if pc.any(slow).as_py():
+            return _mixed(texts, slow, split, slowly)
+        parts = pc.split_pattern(texts, " ")
+        sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.uint32)
+        return sizes, numbers, coded.dictionary.cast(pa.binary())
+
+    return split
+
+
 def _mixed(texts: pa.Array, slow: pa.BooleanArray, split, slowly):
     """Rows marked ``slow`` by one splitter, the others by the other, in the order of the rows."""
     slow = slow.to_numpy(zero_copy_only=False).astype(bool)

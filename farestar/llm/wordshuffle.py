@@ -38,6 +38,10 @@ Finish = Callable[[int, int, list, list[np.ndarray]], pa.RecordBatch]
 
 #: A block's texts have at most this many characters; a longer text is a block by itself.
 BLOCK_CHARS = 1 << 24
+#: A block's number: its partition above these bits, its place in it below.
+PART_SHIFT = 24
+#: Bytes of text for each task that owns words, at most.
+BUCKET_BYTES = 1 << 30
 #: A stream packet has at most this many words; a longer text is a packet by itself.
 PACKET_WORDS = 1 << 17
 
@@ -114,6 +118,62 @@ def _block(
         packet, begin = packet + 1, end
 
 
+def blocks_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, list, pa.Array]]:
+    """(number, doc_ids, texts) of the blocks of one partition's (doc_id, text, part) rows."""
+    pending: list[pa.RecordBatch] = []
+    blocks = size = 0
+
+    def block() -> tuple[int, list, pa.Array]:
+        doc_ids = [i for piece in pending for i in piece["doc_id"].to_pylist()]
+        return pending[0]["part"][0].as_py() << PART_SHIFT | blocks, doc_ids, pa.concat_arrays([p["text"] for p in pending])
+
+    for batch in batches:
+        chars = np.cumsum(pc.utf8_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = base = 0
+        while begin < batch.num_rows:
+            end = int(np.searchsorted(chars, base + block_chars - size, side="right"))
+            end = max(end, begin if pending else begin + 1)
+            if end > begin:
+                pending.append(batch.slice(begin, end - begin))
+                size += int(chars[end - 1]) - base
+                begin, base = end, int(chars[end - 1])
+            if begin < batch.num_rows:
+                yield block()
+                blocks, size, pending = blocks + 1, 0, []
+    if pending:
+        yield block()
+
+
+def bucket_count(source: DataFrame) -> int:
+    """How many tasks own words: the shuffle partitions, more where texts exceed 1 GB for each.
+
+    So what one task owns stays level when the input grows; measured by a scan of the texts.
+    """
+    size = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
+def by_block(rows: DataFrame, blocks: DataFrame, number: str) -> DataFrame:
+    """Rows dealt so that a task has whole blocks, in their order; sorted by block, kind, number.
+
+    Tasks follow one another in the order of the blocks.  ``blocks`` is the written table of all
+    packets: its largest part number and how many blocks there are decide the number of tasks.
+    """
+    part = F.shiftright("block", PART_SHIFT)
+    size = blocks.agg(F.max(part).alias("last"), F.count_distinct("block").alias("n")).first()
+    parts = (size["last"] or 0) + 1
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(max(parts, least), max(1, size["n"]))
+    if tasks <= parts:
+        place = F.floor(part * tasks / parts)
+    else:  # few parts of many blocks each
+        inside = blocks.groupBy(part.alias("p")).agg((F.max("block") - F.shiftleft(F.max(part), PART_SHIFT)).alias("m"))
+        most = (inside.agg(F.max("m").alias("m")).first()["m"] or 0) + 1
+        offset = F.col("block") - F.shiftleft(part, PART_SHIFT)
+        place = F.floor((part * most + offset) * tasks / (parts * most))
+    return rows.repartitionById(tasks, place.cast("int")).sortWithinPartitions("block", "kind", number)
+
+
 def split_words(source: DataFrame, splitter: Splitter, buckets: int, folder: str, block_chars: int) -> DataFrame:
     """Step 1, written to a folder: the word packets and stream packets of every block.
 
@@ -122,29 +182,8 @@ def split_words(source: DataFrame, splitter: Splitter, buckets: int, folder: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter()
-        pending: list[pa.RecordBatch] = []
-        blocks = size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            block = pending[0]["part"][0].as_py() << 24 | blocks
-            doc_ids = [i for piece in pending for i in piece["doc_id"].to_pylist()]
-            return _block(block, doc_ids, *split(pa.concat_arrays([p["text"] for p in pending])), buckets)
-
-        for batch in batches:
-            chars = np.cumsum(pc.utf8_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64)
-            begin = base = 0
-            while begin < batch.num_rows:
-                end = int(np.searchsorted(chars, base + block_chars - size, side="right"))
-                end = max(end, begin if pending else begin + 1)
-                if end > begin:
-                    pending.append(batch.slice(begin, end - begin))
-                    size += int(chars[end - 1]) - base
-                    begin, base = end, int(chars[end - 1])
-                if begin < batch.num_rows:
-                    yield from flush()
-                    blocks, size, pending = blocks + 1, 0, []
-        if pending:
-            yield from flush()
+        for block, doc_ids, values in blocks_of(batches, block_chars):
+            yield from _block(block, doc_ids, *split(values), buckets)
 
     parted = source.withColumn("part", F.spark_partition_id().cast("long"))
     packets = parted.mapInArrow(run, _PACKET)
@@ -235,12 +274,12 @@ def encode_blocks(
     """What ``finish`` makes of each packet of documents, in ``schema``.
 
     ``source`` has doc_id and text, never NULL.  Packets keep the order of the rows of
-    ``source`` within a partition: by block, then by packet number.  ``buckets`` is the number
-    of tasks that encode words, by default the shuffle partitions.  With a ``purpose`` the
+    ``source``: by block, then by packet number, from task to task.  ``buckets`` is the number of
+    tasks that encode words, by default as many as the size of the texts asks for.  With a ``purpose`` the
     result is written and the blocks behind it are deleted; without, it is evaluated when read.
     """
     spark = source.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or bucket_count(source)
     folder = scratch_folder(spark, "word_blocks")
     packets = split_words(source, splitter, buckets, folder, block_chars)
     encoded = _encode_words(packets, coder, vocabulary, buckets)
@@ -265,8 +304,5 @@ def encode_blocks(
                 documents = np.split(ids, ends[:-1])
                 yield finish(block, row["bucket"], row["doc_ids"], documents)
 
-    made = (
-        both.repartition("block").sortWithinPartitions("block", "kind", "bucket")
-        .mapInArrow(run, schema)
-    )
+    made = by_block(both, packets, "bucket").mapInArrow(run, schema)
     return written(made, purpose, instead_of=folder) if purpose else made
