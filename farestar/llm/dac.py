@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
+from farestar.llm.scan import running_totals
 from farestar.llm.tokens import bare_words, word_coder, word_vocabulary
 from farestar.llm.wordshuffle import bucket_count, encode_blocks
 
@@ -126,17 +127,11 @@ def read_codes(segments: DataFrame) -> DataFrame:
     ``start`` counts the ids of all segments before, from the segments' own counts, and those
     before the document in its segment.
     """
-    # One row per block, that is per 32 million characters.
-    sizes = segments.groupBy("block").agg(F.sum("n_ids").alias("n"))
-    before = sizes.select("block", F.expr("sum(n) OVER (ORDER BY block) - n").alias("block_start"))
-    inside = segments.select(
-        "block", "packet",
-        F.expr("sum(n_ids) OVER (PARTITION BY block ORDER BY packet) - n_ids").alias("packet_start"),
-    )
+    sizes = segments.select("block", "packet", "n_ids")
     # Written, so that its size is known and decides how the segments meet it.
     starts = written(
-        inside.join(before, "block").select(
-            "block", "packet", (F.col("block_start") + F.col("packet_start")).alias("start")
+        running_totals(sizes, ["block", "packet"], ["n_ids"]).select(
+            "block", "packet", F.col("n_ids_before").alias("start")
         ),
         "token_starts",
     )

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
+from farestar.llm.scan import running_totals
 from farestar.llm.tokens import byte_coder, byte_vocabulary, space_words
 from farestar.llm.wordshuffle import encode_blocks
 
@@ -193,19 +194,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
         histogram[row["tail"]] = row["n"]
         whole += row["windows"]
     plan = docs.sparkSession.sparkContext.broadcast(astuple(make_plan(histogram, whole, window)))
-    # One row per packet, that is per 131,072 words.
-    packet_windows = counts.groupBy("block", "packet").agg(F.sum("windows").alias("w"))
-    block_windows = packet_windows.groupBy("block").agg(F.sum("w").alias("b")).select(
-        "block", F.expr("sum(b) OVER (ORDER BY block) - b").alias("block_base")
-    )
-    packet_windows = packet_windows.join(block_windows, "block").select(
-        "block", "packet",
-        F.expr("block_base + sum(w) OVER (PARTITION BY block ORDER BY packet) - w").alias("windows_base"),
-    )
-    bases = counts.select(
-        "block", "packet", "tail",
-        F.expr("sum(n) OVER (PARTITION BY tail ORDER BY block, packet) - n").alias("nth_base"),
-    ).join(packet_windows, ["block", "packet"])
+    packet_windows = running_totals(
+        counts.groupBy("block", "packet").agg(F.sum("windows").alias("windows")), ["block", "packet"], ["windows"]
+    ).select("block", "packet", F.col("windows_before").alias("windows_base"))
+    bases = running_totals(
+        counts.select("block", "packet", "tail", "n"), ["block", "packet"], ["n"], group=["tail"]
+    ).select("block", "packet", "tail", F.col("n_before").alias("nth_base")).join(packet_windows, ["block", "packet"])
     # The bases grow with the corpus, so this join is never a broadcast, however small they are.
     bases = written(bases, "tail_bases").hint("merge")
     placed = cut.join(bases, ["block", "packet", "tail"]).select(
