@@ -22,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts
+from farestar.llm.keycounts import DOCS, KEYS, ROW, answers, dealt, packets, restore, row, squeeze, totals
 from farestar.llm.tokens import byte_coder, byte_vocabulary, shared_file, space_units, token_bytes
 from farestar.llm.wordshuffle import blocks_of, bucket_count, by_block, pack_numbers, unpack_numbers
 from farestar.session import scratch_folder
@@ -37,34 +37,9 @@ BLOCK_CHARS = 1 << 23
 PACKET_DOCS = 4096
 #: Aligned units that a task keeps, and the longest unit that it keeps.
 CACHED_UNITS, CACHED_BYTES = 100_000, 64
-#: A task merges the pairs it has gathered when there are so many.
-GATHERED = 1 << 21
-
-_ROW = (
-    "block long, kind int, part int, doc_ids array<long>, measures array<long>, hashes array<string>,"
-    " sizes array<int>, places binary, pairs binary, counts binary"
-)
-_ARROW = pa.schema([
-    ("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
-    ("measures", pa.list_(pa.int64())), ("hashes", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())),
-    ("places", pa.binary()), ("pairs", pa.binary()), ("counts", pa.binary()),
-])
-TOTALS, PAIRS, DOCS = range(3)
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _row(**values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in _ARROW], schema=_ARROW)
-
-
-def _squeeze(values: np.ndarray) -> bytes:
-    return zstandard.compress(values.astype("<i8").tobytes(), 3)
-
-
-def _restore(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(packed), "<i8")
-
-
 # --- one text --------------------------------------------------------------------------------
 
 
@@ -174,7 +149,7 @@ def _of_block(
     empty = (pc.utf8_length(values).to_numpy(zero_copy_only=False) == 0).tolist()
 
     holders = np.zeros(len(keys), np.int64)
-    packets, rows, at = [], [], 0
+    packed, rows, at = [], [], 0
     for doc_id, size, nothing in zip(doc_ids, sizes.tolist(), empty):
         stream = numbers[at:at + size]
         at += size
@@ -190,31 +165,26 @@ def _of_block(
             digest = hashlib.sha256(";".join(map(shown.__getitem__, stream.tolist())).encode()).hexdigest()
             rows.append((doc_id, (measures[held] * often[:, None]).sum(0).tolist(), digest, linked, count))
         if len(rows) == PACKET_DOCS:
-            packets.append(rows)
+            packed.append(rows)
             rows = []
-    packets += [rows] if rows else []
+    packed += [rows] if rows else []
 
     # Positions in descending frequency are small numbers where documents have many of them.
     position = np.empty(len(keys), np.int64)
     position[np.argsort(-holders, kind="stable")] = np.arange(len(keys))
-    for part, rows in enumerate(packets):
+    for part, rows in enumerate(packed):
         ids, own, hashes, linked, count = zip(*rows)
-        yield _row(
+        yield row(
             block=block, kind=DOCS, part=part, doc_ids=list(ids), hashes=list(hashes),
-            measures=[n for m in own for n in m], sizes=[len(x) for x in linked],
-            places=pack_numbers(position[np.concatenate(linked)]), counts=_squeeze(np.concatenate(count)),
+            numbers=[n for m in own for n in m], sizes=[len(x) for x in linked],
+            places=pack_numbers(position[np.concatenate(linked)]), counts=squeeze(np.concatenate(count)),
         )
     held = np.flatnonzero(holders)
-    owner = _bucket(keys[held], buckets)
-    order = np.lexsort((position[held], owner))
-    held, owner = held[order], owner[order]
-    heads = np.flatnonzero(np.diff(owner, prepend=-1))
-    for low, high in zip(heads.tolist(), [*heads[1:].tolist(), len(held)]):
-        mine = held[low:high]
-        yield _row(
-            block=block, kind=PAIRS, part=int(owner[low]), pairs=_squeeze(keys[mine]),
-            counts=_squeeze(holders[mine]), places=pack_numbers(np.diff(position[mine], prepend=0)),
-        )
+    held = held[np.argsort(position[held])]
+    yield from packets(
+        block, keys[held], holders[held], _bucket(keys[held], buckets),
+        lambda mine: pack_numbers(np.diff(position[held[mine]], prepend=0)),
+    )
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -222,52 +192,11 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> 32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % buckets
 
 
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, where, np.concatenate(counts))
-    return distinct, total
-
-
-def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents of every pair of a bucket: one row a bucket."""
-    part, keys, counts, size = None, [], [], 0
-
-    def finish() -> pa.RecordBatch:
-        distinct, total = _merged(keys, counts)
-        return _row(kind=TOTALS, part=part, pairs=_squeeze(distinct), counts=_squeeze(total))
-
-    for batch in batches:
-        for i in range(batch.num_rows):
-            if batch["part"][i].as_py() != part:
-                if keys:
-                    yield finish()
-                part, keys, counts, size = batch["part"][i].as_py(), [], [], 0
-            keys.append(_restore(batch["pairs"][i].as_py()))
-            counts.append(_restore(batch["counts"][i].as_py()))
-            size += len(keys[-1])
-            if size > GATHERED + 2 * len(keys[0]):
-                keys, counts = ([x] for x in _merged(keys, counts))
-                size = len(keys[0])
-    if keys:
-        yield finish()
-
-
-def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every packet of pairs the count of each, negative unless it is its first id's highest."""
-    keys = total = None
-    for batch in batches:
-        for i in range(batch.num_rows):
-            pairs, counts = (_restore(batch[c][i].as_py()) for c in ("pairs", "counts"))
-            if batch["kind"][i].as_py() == TOTALS:
-                head = np.flatnonzero(np.diff(pairs >> 32, prepend=-1))
-                highest = np.repeat(np.maximum.reduceat(counts, head), np.diff(np.append(head, len(pairs))))
-                keys, total = pairs, np.where(counts == highest, counts, -counts)
-                continue
-            yield _row(
-                block=batch["block"][i].as_py(), kind=PAIRS, part=batch["part"][i].as_py(),
-                places=batch["places"][i].as_py(), counts=_squeeze(total[np.searchsorted(keys, pairs)]),
-            )
+def _signed(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The count of each pair (ascending), negative unless it is its first id's highest."""
+    head = np.flatnonzero(np.diff(keys >> 32, prepend=-1))
+    highest = np.repeat(np.maximum.reduceat(counts, head), np.diff(np.append(head, len(keys))))
+    return np.where(counts == highest, counts, -counts)
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,28 +205,28 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [field.split()[0] for field in RESULT.split(", ")]
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {name: batch[name][i].as_py() for name in batch.schema.names}
-            if row["block"] != block:
-                block, places, signed, known = row["block"], [], [], None
-            if row["kind"] == PAIRS:
-                places.append(np.cumsum(unpack_numbers(row["places"]), dtype=np.int64))
-                signed.append(_restore(row["counts"]))
+            got = {name: batch[name][i].as_py() for name in batch.schema.names}
+            if got["block"] != block:
+                block, places, signed, known = got["block"], [], [], None
+            if got["kind"] == KEYS:
+                places.append(np.cumsum(unpack_numbers(got["places"]), dtype=np.int64))
+                signed.append(restore(got["counts"]))
                 continue
             if known is None:
                 known = np.zeros(sum(map(len, places)), np.int64)
                 for where, values in zip(places, signed):
                     known[where] = values
                 places, signed = [], []
-            found = known[unpack_numbers(row["places"])] if len(known) else np.zeros(0, np.int64)
-            times, ends = _restore(row["counts"]), np.cumsum([0, *row["sizes"]])
+            found = known[unpack_numbers(got["places"])] if len(known) else np.zeros(0, np.int64)
+            times, ends = restore(got["counts"]), np.cumsum([0, *got["sizes"]])
             sums = [
                 np.diff(np.concatenate([[0], np.cumsum(values)])[ends])
                 for values in (np.where(found > 0, times, 0), np.abs(found) * times)
             ]
-            own = np.array(row["measures"], np.int64).reshape(-1, 4)
+            own = np.array(got["numbers"], np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row["doc_ids"], pa.int64()), *map(pa.array, [*own.T, *sums]),
-                 pa.array(row["hashes"], pa.string())],
+                [pa.array(got["doc_ids"], pa.int64()), *map(pa.array, [*own.T, *sums]),
+                 pa.array(got["hashes"], pa.string())],
                 names,
             )
 
@@ -316,15 +245,10 @@ def align(docs: DataFrame, byte_file: str, piece_file: str, buckets: int | None
     first, second = byte_vocabulary(spark, byte_file), shared_file(spark, piece_file)
     folder = scratch_folder(spark, "alignment_blocks")
     _split(source, first, second, buckets, folder)
-    blocks = spark.read.schema(_ROW).parquet(folder)
-    pairs = blocks.where(F.col("kind") == PAIRS)
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition(buckets, "part").sortWithinPartitions("part", "kind", "block")
-
-    totals = dealt(pairs).mapInArrow(_totals, _ROW)
-    replies = dealt(totals.unionByName(pairs)).mapInArrow(_replies, _ROW)
-    both = replies.unionByName(blocks.where(F.col("kind") == DOCS))
+    blocks = spark.read.schema(ROW).parquet(folder)
+    both = answers(blocks.where(F.col("kind") == KEYS), buckets, _signed).unionByName(
+        blocks.where(F.col("kind") == DOCS)
+    )
     return by_block(both, blocks, "part").mapInArrow(_sums, RESULT)
 
 
@@ -336,7 +260,7 @@ def _split(source: DataFrame, first: Broadcast, second: Broadcast, buckets: int,
             yield from _of_block(block, doc_ids, values, split, aligner, buckets)
 
     parted = source.withColumn("part", F.spark_partition_id().cast("long"))
-    parted.mapInArrow(run, _ROW).write.parquet(folder)
+    parted.mapInArrow(run, ROW).write.parquet(folder)
 
 
 def id_pairs(docs: DataFrame, byte_file: str, piece_file: str, buckets: int | None = None) -> DataFrame:
@@ -350,16 +274,15 @@ def id_pairs(docs: DataFrame, byte_file: str, piece_file: str, buckets: int | No
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pairs, counts in zip(batch["pairs"], batch["counts"]):
-                key, n = _restore(pairs.as_py()), _restore(counts.as_py())
+            for pairs, counts in zip(batch["keys"], batch["counts"]):
+                key, n = restore(pairs.as_py()), restore(counts.as_py())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key >> 32), pa.array(key & 0xFFFFFFFF), pa.array(n)], ["a", "b", "n_docs"]
                 )
 
-    pairs = spark.read.schema(_ROW).parquet(folder).where(F.col("kind") == PAIRS)
-    found = (
-        pairs.repartition(buckets, "part").sortWithinPartitions("part").mapInArrow(_totals, _ROW)
-        .select("pairs", "counts").mapInArrow(spread, "a long, b long, n_docs long")
+    pairs = spark.read.schema(ROW).parquet(folder).where(F.col("kind") == KEYS)
+    found = dealt(pairs, buckets).mapInArrow(totals, ROW).select("keys", "counts").mapInArrow(
+        spread, "a long, b long, n_docs long"
     )
     highest = found.groupBy("a").agg(F.max("n_docs").alias("highest"))  # at most one row an id
     return found.join(highest, "a").select("a", "b", "n_docs", (F.col("n_docs") == F.col("highest")).alias("best"))

@@ -5,7 +5,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 
-from farestar.llm import alignment, tokens
+from farestar.llm import alignment, keycounts, tokens
 from farestar.llm.queries import op13_alignment
 
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -87,7 +87,7 @@ def test_alignment_equals_brute_force(docs_of, odd_rows, prose, plain, monkeypat
     rows += [(400 + i, "".join(pick.choice(letters) for _ in range(pick.randrange(60)))) for i in range(150)]
     monkeypatch.setattr(alignment, "BLOCK_CHARS", block)
     monkeypatch.setattr(alignment, "PACKET_DOCS", 16)
-    monkeypatch.setattr(alignment, "GATHERED", 50)
+    monkeypatch.setattr(keycounts, "GATHERED", 50)
     expected, held, best = plain(rows)
     assert sum(r[1] > 0 for r in expected) > 80 and any(t and not r[1] for (_, t), r in zip(rows, expected))
     got = alignment.align(docs_of(rows), BYTE_JSON, PIECES, buckets=5).collect()
