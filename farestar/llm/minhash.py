@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import texts, written
 from farestar.llm.components import components
+from farestar.llm.keycounts import DOCS, KEYS, ROW, answers, packets, restore, row, squeeze
 from farestar.llm.shingles import Shingler, mix
+from farestar.llm.wordshuffle import PART_SHIFT, bucket_count, by_block
+from farestar.session import scratch_folder
 
 #: Links: 100 * intersection >= 75 * union.
 THRESHOLD = (75, 100)
@@ -25,8 +28,8 @@ BANDS, ROWS = 32, 4
 UNIVERSE_BITS = 20
 SEED = 20240229
 GATHER = 4096
-#: How often members that cannot be linked are dropped before pairs are made.
-PRUNINGS = 3
+#: Shingles whose holders a task asks for at once.
+BLOCK_SHINGLES = 1 << 21
 
 
 class Circulant:
@@ -127,64 +130,143 @@ def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """The members of buckets that span several components, with the least set size there."""
+    """The members of buckets that span several components."""
     keys = rows.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least_n")
-    ).where("low <> high").select("key", "least_n")
-    return rows.drop("least_n").join(written(keys, "minhash_mixed"), "key")
+        F.min("label").alias("low"), F.max("label").alias("high")
+    ).where("low <> high").select("key")
+    return rows.join(written(keys, "minhash_keys"), "key")
 
 
-def _prospects(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members that may still be linked, with how many of their shingles others have.
+def _star(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's pivot with the members of another component, by size."""
+    part, whole = THRESHOLD
+    return rows.join(written(pivots, "minhash_pivots"), "key").where(
+        f"node <> pivot.node AND label <> pivot.label"
+        f" AND {whole}L * least(n, pivot.n) >= {part}L * greatest(n, pivot.n)"
+    ).selectExpr("least(node, pivot.node) AS a", "greatest(node, pivot.node) AS b").distinct()
+
 
-    A shingle that no other open set has cannot be common, so ``s`` = n - unique bounds every
-    overlap; a link needs 7 * overlap >= 3 * (n + m).
+def _heaviest(rows: DataFrame) -> DataFrame:
+    """Of each bucket the member that stands in the largest buckets."""
+    sizes = written(rows.groupBy("key").agg(F.count("*").alias("size")), "minhash_sizes")
+    weights = written(
+        rows.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("weight")), "minhash_weights"
+    )
+    return rows.join(weights, "node").groupBy("key").agg(
+        F.max(F.struct("weight", "node", "n", "label")).alias("pivot")
+    )
+
+
+def _outsiders(rows: DataFrame) -> DataFrame:
+    """The members of a bucket outside its largest component, where they span several themselves."""
+    sizes = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
+    largest = written(
+        sizes.groupBy("key").agg(F.max(F.struct("members", "label")).alias("largest"), F.count("*").alias("labels"))
+        .where("labels > 2").select("key", F.col("largest.label").alias("major")),
+        "minhash_major",
+    )
+    return written(rows.join(largest, "key").where("label <> major").drop("major"), "minhash_outsiders")
+
+
+def _ordered_prefixes(sets: DataFrame, buckets: int) -> DataFrame:
+    """(node, prefix): the shingles of each set that come first by (holders, shingle).
+
+    Two sets of sizes m <= n that are similar enough share at least 3 / 7 * (m + n) shingles, so
+    in any one order of all shingles they share one of the first n - ceil(3 / 4 n) + 1 of the
+    larger and the first m - ceil(6 / 7 m) + 1 of the smaller.  Rare shingles come first, so few
+    sets share them.  Holders are counted by the owners of shingles and sent back to the blocks.
     """
+    folder = scratch_folder(sets.sparkSession, "minhash_blocks")
+    part, whole = THRESHOLD
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, held, size, blocks = [], [], 0, 0
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> Iterator[pa.RecordBatch]:
+            block = part_of[0] << PART_SHIFT | blocks
+            shingles = np.concatenate(held)
+            keys, counts = np.unique(shingles, return_counts=True)
+            yield row(block=block, kind=DOCS, part=0, doc_ids=nodes, sizes=[len(x) for x in held], keys=squeeze(shingles))
+            yield from packets(block, keys, counts, (mix(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64))
+
+        part_of = [0]
         for batch in batches:
+            if batch.num_rows:
+                part_of[0] = batch["part"][0].as_py()
             for node, raw in zip(batch["node"].to_pylist(), batch["shingles"]):
-                shingles = np.frombuffer(raw.as_py(), np.int64)
+                nodes.append(node)
+                held.append(np.frombuffer(raw.as_py(), np.int64))
+                size += len(held[-1])
+                if size >= BLOCK_SHINGLES:
+                    yield from flush()
+                    nodes, held, size, blocks = [], [], 0, blocks + 1
+        if held:
+            yield from flush()
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, keys, counts = None, [], []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                got = {c: batch[c][i].as_py() for c in ("block", "kind", "doc_ids", "sizes", "keys", "counts")}
+                if got["block"] != block:
+                    block, keys, counts = got["block"], [], []
+                if got["kind"] == KEYS:
+                    keys.append(restore(got["keys"]))
+                    counts.append(restore(got["counts"]))
+                    continue
+                known, holders = np.concatenate(keys), np.concatenate(counts)
+                sort = np.argsort(known)
+                known, holders = known[sort], holders[sort]
+                found = []
+                for shingles in np.split(restore(got["keys"]), np.cumsum(got["sizes"])[:-1]):
+                    n = len(shingles)
+                    rank = np.lexsort((shingles, holders[np.searchsorted(known, shingles)]))
+                    found.append(shingles[rank[:n - -(-part * n // whole) + 1]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(shingles), node)), pa.array(shingles)], ["node", "shingle"]
+                    [pa.array(got["doc_ids"], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["node", "prefix"]
                 )
 
-    nodes = rows.select("node").distinct()
-    unique = (
-        sets.join(nodes, "node", "left_semi").mapInArrow(spread, "node long, shingle long")
-        .groupBy("shingle").agg(F.count("*").alias("holders"), F.min("node").alias("node"))
-        .where("holders = 1").groupBy("node").agg(F.count("*").alias("u"))
-    )
-    part, whole = THRESHOLD
-    counted = rows.drop("s").join(written(unique, "minhash_unique"), "node", "left")
-    return counted.withColumn("s", F.expr("n - coalesce(u, 0)")).drop("u").where(
-        f"{part + whole}L * s >= {part}L * (n + greatest(least_n, ceil({part}L * n / {whole})))"
-    )
+    parted = sets.withColumn("part", F.spark_partition_id().cast("long"))
+    parted.mapInArrow(split, ROW).write.parquet(folder)
+    blocks = sets.sparkSession.read.schema(ROW).parquet(folder)
+    asked = answers(blocks.where(F.col("kind") == KEYS), buckets, lambda keys, counts: counts)
+    both = asked.unionByName(blocks.where(F.col("kind") == DOCS))
+    return by_block(both, blocks, "part").mapInArrow(order, "node long, prefix array<long>")
 
 
-def _open_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket and two components that the bound leaves.
+def _prefix_pairs(rows: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
+    """Pairs (a, b) of members of two components that a prefix index does not rule out.
 
-    In each bucket the members outside its largest component meet all members.  A pair is made
-    only in the first bucket that both share.
+    The larger of a pair probes with its longer prefix, the smaller is indexed with its shorter
+    one.  A pair is made at the first shingle that both prefixes share; what is left of both sets
+    behind it must still reach the overlap that a link needs.
     """
     part, whole = THRESHOLD
-    sizes = rows.groupBy("key", "label").agg(F.count("*").alias("members"))
-    major = written(
-        sizes.groupBy("key").agg(F.max_by("label", F.struct("members", "label")).alias("major")), "minhash_major"
+    nodes = written(rows.select("node", "n", "label").distinct(), "minhash_open")
+    prefixes = _ordered_prefixes(sets.join(nodes.select("node"), "node", "left_semi"), buckets)
+    known = written(prefixes.join(nodes, "node"), "minhash_prefixes")
+    probes = known.select(
+        *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "label", "prefix")),
+        F.posexplode("prefix").alias("place_a", "shingle_a"),
+    )
+    short = F.slice("prefix", F.lit(1), F.expr(f"CAST(n - ceil({2 * part}L * n / {part + whole}) + 1 AS INT)"))
+    indexed = known.withColumn("prefix", short).select(
+        *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "label", "prefix")),
+        F.posexplode("prefix").alias("place_b", "shingle_b"),
     )
-    met = written(rows.join(major, "key").join(classes.select("node", "bands"), "node"), "minhash_open")
-    names = ("node", "n", "s", "label", "bands")
-    left = met.where("label <> major").select("key", "band", *(F.col(c).alias(f"{c}_a") for c in names))
-    right = met.select("key", "major", *(F.col(c).alias(f"{c}_b") for c in names))
-    unlike = "n_a - s_a + n_b - s_b + greatest(s_a, s_b)"  # at least so large is the union
+    # Shingles that one set alone has can make no pair; they are most of what is rare.
+    shared = written(
+        indexed.groupBy("shingle_b").agg(F.min("label_b").alias("low"), F.max("label_b").alias("high")),
+        "minhash_indexed",
+    )
+    probes = probes.join(shared, F.expr("shingle_a = shingle_b AND (low <> label_a OR high <> label_a)"), "left_semi")
     condition = (
-        "label_a <> label_b AND (label_b = major OR node_a < node_b)"
-        f" AND {whole}L * least(s_a, s_b) >= {part}L * ({unlike})"
-        " AND array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1"
+        "shingle_a = shingle_b AND label_a <> label_b AND (n_b < n_a OR (n_b = n_a AND node_b < node_a))"
+        f" AND {whole}L * n_b >= {part}L * n_a"
+        f" AND {part + whole}L * least(n_a - place_a, n_b - place_b) >= {part}L * (n_a + n_b)"
+        " AND element_at(array_intersect(prefix_b, prefix_a), 1) = shingle_a"
     )
-    left, right = left.alias("l"), right.withColumnRenamed("key", "key_b")
-    return left.join(right, F.expr(f"key = key_b AND {condition}")).selectExpr(
+    return probes.join(indexed, F.expr(condition)).selectExpr(
         "least(node_a, node_b) AS a", "greatest(node_a, node_b) AS b"
     )
 
@@ -194,10 +276,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows with equal shingle sets form a class, linked without comparison; one row stands for
     it.  In a bucket (a band key) every class is compared with the member that stands in the
-    largest buckets; links make components.  Where a bucket still spans several components,
-    all pairs of different components in it are compared, but for those that shingles found in
-    no other open set rule out exactly.  So no candidate is left out, and members of one
-    component are never compared again.
+    largest buckets; links make components.  Where a bucket still spans several components, its
+    members outside the largest are compared with one of their own in the same way, and what is
+    still apart goes through an exact prefix index, which rules out only pairs that cannot be
+    linked.  So no candidate is left out, and members of one component are never compared again.
 
     A text without words has n_shingles 0 and is linked with nothing; NULL counts as empty.  A
     NULL doc_id never names a component unless all its rows lack one.  Repeated rows share
@@ -211,34 +293,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ).withColumn("node", F.monotonically_increasing_id()),
         "minhash_classes",
     )
-    members = classes.select("node", "n", F.posexplode("bands").alias("band", "key"))
+    members = classes.select("node", "n", F.posexplode("bands").alias("band", "key")).drop("band")
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = written(members.join(written(sizes, "minhash_sizes"), "key"), "minhash_members")
+    shared = written(
+        members.join(written(sizes, "minhash_sizes"), "key").drop("size").withColumn("label", F.col("node")),
+        "minhash_members",
+    )
     ends = shared.select("node").distinct()
     wanted = classes.join(ends, "node").select("node", "row.doc_id", "row.digest")
     sets = written(_shingle_sets(docs, wanted), "minhash_sets")
 
-    part, whole = THRESHOLD
-    weights = written(shared.groupBy("node").agg(F.sum("size").alias("weight")), "minhash_weights")
-    pivots = shared.join(weights, "node").groupBy("key").agg(
-        F.max(F.struct("weight", "node", "n")).alias("pivot")
-    )
-    first = written(
-        shared.join(written(pivots, "minhash_pivots"), "key").where(
-            f"node <> pivot.node AND {whole}L * least(n, pivot.n) >= {part}L * greatest(n, pivot.n)"
-        ).selectExpr("least(node, pivot.node) AS a", "greatest(node, pivot.node) AS b").distinct(),
-        "minhash_pairs",
-    )
-    links = written(_confirmed(first, sets), "minhash_links")
-    rows = _mixed(_labelled(shared.drop("size"), links))
-    for _ in range(PRUNINGS):  # what leaves makes more shingles of the others unique
-        rows = written(_mixed(_prospects(rows, sets)), "minhash_prospects")
-    second = written(
-        _open_pairs(rows, classes).join(first, ["a", "b"], "left_anti"), "minhash_pairs"
-    )
-    more = written(_confirmed(second, sets), "minhash_links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
+    compared = written(_star(shared, _heaviest(shared)), "minhash_pairs")
+    links = written(_confirmed(compared, sets), "minhash_links")
+    for last in (False, True):
+        open_rows = written(_mixed(_labelled(shared.drop("label"), links)), "minhash_mixed")
+        if last:
+            pairs = _prefix_pairs(open_rows, sets, bucket_count(texts(docs)))
+        else:
+            outside = _outsiders(open_rows)
+            pairs = _star(outside, _heaviest(outside))
+        pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "minhash_pairs")
+        more = written(_confirmed(pairs, sets), "minhash_links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+        compared = compared.unionByName(pairs)
 
     firsts = _labelled(classes.select("node", "first", "set_hash"), links)
     named = written(

@@ -73,6 +73,37 @@ def test_a_bucket_that_spans_components_is_searched_whole(docs_of, prose, monkey
     assert got == near_components(rows)
 
 
+def half_shared(n):
+    """Documents of one base whose edits each stand in about two of them: alike, but not linked."""
+    pick = random.Random(n)
+    base, pool = [f"b{i}" for i in range(300)], [f"e{i}" for i in range(9 * n)]
+    rows = []
+    for doc_id in range(n):
+        words = list(base)
+        for at in pick.sample(range(300), 18):
+            words[at] = pick.choice(pool)
+        rows.append((doc_id, " ".join(words)))
+    return rows
+
+
+def test_candidates_grow_with_the_rows(docs_of, monkeypatch):
+    made, confirmed = [], minhash._confirmed
+
+    def counted(pairs, sets):
+        made.append(pairs.count())
+        return confirmed(pairs, sets)
+
+    monkeypatch.setattr(minhash, "_confirmed", counted)
+    totals = []
+    for n in (100, 200):
+        rows = half_shared(n)
+        made.clear()
+        found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(rows)).collect()}
+        assert found == near_components(rows)
+        totals.append(sum(made))
+    assert totals[0] < 10 * 100 and totals[1] < 2.5 * totals[0]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(5)
     circulant = minhash.Circulant()
