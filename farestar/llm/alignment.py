@@ -15,9 +15,11 @@ documents, kept as positions into the pairs, are summed up.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,13 @@ from farestar.llm.wordshuffle import blocks_of, bucket_count, by_block, pack_num
 from farestar.session import scratch_folder
 
 #: A block's texts have at most this many characters; a longer text is a block by itself.
-BLOCK_CHARS = 1 << 23
+BLOCK_CHARS = 6 << 20
 #: Documents a row of a block.
 PACKET_DOCS = 4096
-#: Aligned units that a task keeps, and the longest unit that it keeps.
-CACHED_UNITS, CACHED_BYTES = 100_000, 64
+#: The longest aligned unit that a task remembers.
+CACHED_BYTES = 64
+#: Links of a group that are listed one by one.
+LARGE_GROUP = 64
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -45,14 +49,15 @@ RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best l
 
 def _cut(a: list[int], b: list[int], lo: int, hi: int, low: int, high: int) -> tuple[int, int] | None:
     """The common end nearest the middle of a[lo:hi], before the last: its places in a and b."""
-    if high - low < 2:
+    last, end = hi - 1, high - 1
+    if last <= lo or end <= low:
         return None
-    middle = (lo + hi - 2) // 2
-    for step in range(hi - lo):
-        for i in {middle - step, middle + step}:
-            if lo <= i < hi - 1:
-                j = bisect_left(b, a[i], low, high - 1)
-                if j < high - 1 and b[j] == a[i]:
+    middle = (lo + last) // 2
+    for step in range(last - lo + 1):
+        for i in (middle - step, middle + step) if step else (middle,):
+            if lo <= i < last:
+                j = bisect_left(b, a[i], low, end)
+                if j < end and b[j] == a[i]:
                     return i, j
     return None
 
@@ -62,6 +67,8 @@ def groups(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
 
     Both lists ascend strictly and end at the same byte.
     """
+    if len(a) == 1 or len(b) == 1:
+        return [(0, len(a), 0, len(b))]
     found, waiting = [], [(0, len(a), 0, len(b))] if a else []
     while waiting:
         lo, hi, low, high = waiting.pop()
@@ -91,41 +98,49 @@ class Aligner:
             bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode()
             for i, piece in enumerate(pieces)
         ]
+        self._a_shown, self._b_shown = ([str(i) for i in range(len(x))] for x in (self._a_bytes, self._b_bytes))
         self._known: dict[bytes, tuple | None] = {}
 
     def of_units(self, units: list[bytes]) -> list[tuple | None]:
-        """(n_a, n_b, n_groups, n_links, text, pairs, times) of each unit.
+        """(n_a, n_b, n_groups, n_links, text, pairs, times) of each distinct unit of a block.
 
-        None if a tokenizer's bytes are not those of a space and the unit.
+        None if a tokenizer's bytes are not those of a space and the unit.  Pairs are 64-bit
+        numbers as bytes; times is None if each is linked once.  Units of the block before are
+        remembered.
         """
-        known = self._known
-        if len(known) > CACHED_UNITS:
-            known.clear()
+        known = {unit: self._known[unit] for unit in units if unit in self._known}
         fresh = [unit for unit in units if unit not in known]
-        long = {}
-        if fresh:
-            for unit, a, b in zip(fresh, self._a([b" " + unit for unit in fresh]), self._b(fresh)):
-                (known if len(unit) <= CACHED_BYTES else long)[unit] = self._align(b" " + unit, a, b)
-        return [long[unit] if unit in long else known[unit] for unit in units]
+        for low in range(0, len(fresh), 1 << 14):
+            some = fresh[low:low + (1 << 14)]
+            for unit, a, b in zip(some, self._a([b" " + unit for unit in some]), self._b(some)):
+                known[unit] = self._align(b" " + unit, a, b)
+        self._known = {unit: x for unit, x in known.items() if len(unit) <= CACHED_BYTES}
+        return [known[unit] for unit in units]
 
     def _align(self, raw: bytes, a: list[int], b: list[int]) -> tuple | None:
         ours, theirs = [self._a_bytes[i] for i in a], [self._b_bytes[i] for i in b]
         if b"".join(ours) != raw or b"".join(theirs) != raw:
             return None
-        ends = [np.cumsum([len(x) for x in parts]).tolist() for parts in (ours, theirs)]
-        found = groups(*ends)
-        links, total, shown = Counter(), 0, []
+        found = groups(list(accumulate(map(len, ours))), list(accumulate(map(len, theirs))))
+        shown, pairs, times, total = [], [], None, 0
+        shown_a, shown_b = [self._a_shown[i] for i in a], [self._b_shown[i] for i in b]
         for lo, hi, low, high in found:
-            total += (hi - lo) * (high - low)
-            shown.append(f"{','.join(map(str, a[lo:hi]))}|{','.join(map(str, b[low:high]))}")
-            if hi - lo == high - low == 1:
-                links[a[lo] << 32 | b[low]] += 1
-                continue
-            right = Counter(b[low:high])
-            for i, m in Counter(a[lo:hi]).items():
-                for j, n in right.items():
-                    links[i << 32 | j] += m * n
-        return len(a), len(b), len(found), total, ";".join(shown), list(links), list(links.values())
+            shown.append(f"{','.join(shown_a[lo:hi])}|{','.join(shown_b[low:high])}")
+            links = (hi - lo) * (high - low)
+            total += links
+            if links == 1:
+                pairs.append(a[lo] << 32 | b[low])
+            elif links <= LARGE_GROUP:
+                pairs += [i << 32 | j for i in a[lo:hi] for j in b[low:high]]
+            else:  # each id once, with how often it is there
+                times = [1] * len(pairs) if times is None else times + [1] * (len(pairs) - len(times))
+                right = Counter(b[low:high])
+                for i, m in Counter(a[lo:hi]).items():
+                    pairs += [i << 32 | j for j in right]
+                    times += [m * n for n in right.values()]
+        if times is not None:
+            times = array("q", times + [1] * (len(pairs) - len(times))).tobytes()
+        return len(a), len(b), len(found), total, ";".join(shown), array("q", pairs).tobytes(), times
 
 
 # --- blocks of texts -------------------------------------------------------------------------
@@ -138,12 +153,15 @@ def _of_block(
     sizes, numbers, units = split(values)
     aligned = aligner.of_units(units.to_pylist())
     bad = np.array([x is None for x in aligned], bool)
-    aligned = [x or (0, 0, 0, 0, "", [], []) for x in aligned]
+    aligned = [x or (0, 0, 0, 0, "", b"", None) for x in aligned]
     measures = np.array([x[:4] for x in aligned], np.int64).reshape(-1, 4)
-    width = np.array([len(x[5]) for x in aligned], np.int64)
+    width = np.array([len(x[5]) // 8 for x in aligned], np.int64)
     first = np.cumsum(width) - width
-    keys, key = np.unique(np.array([k for x in aligned for k in x[5]], np.int64), return_inverse=True)
-    times = np.array([n for x in aligned for n in x[6]], np.int64)
+    keys, key = np.unique(np.frombuffer(b"".join([x[5] for x in aligned]), np.int64), return_inverse=True)
+    times = np.ones(len(key), np.int64)
+    for i, x in enumerate(aligned):
+        if x[6] is not None:
+            times[first[i]:first[i] + width[i]] = np.frombuffer(x[6], np.int64)
     shown = [x[4] for x in aligned]
     del aligned
     empty = (pc.utf8_length(values).to_numpy(zero_copy_only=False) == 0).tolist()
