@@ -58,28 +58,29 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     the few keys that are dropped meet the rows.  Of identical rows of which one is kept, one
     stays.
     """
-    key = ["__id", "__digest"]
+    key = ["id", "digest"]
     verdicts = (
-        decided.select(
-            F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"),
-            F.col("kept").cast("int").alias("kept"),
-        )
+        decided.select(F.col("doc_id").alias("id"), "digest", F.col("kept").cast("int").alias("kept"))
         .groupBy(*key).agg(F.count("*").alias("rows"), F.sum("kept").alias("kept"))
         .where("rows > 1 OR kept = 0")
     )
     verdicts = written(verdicts, "verdicts")
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__digest": text_digest()})
+    # Whole rows as one column, so that no column of ``docs`` clashes with the key.
+    keyed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("doc_id").cast("long").alias("id"), text_digest().alias("digest"),
+    )
 
     def meets(table: DataFrame, how: str) -> DataFrame:
         left, right = keyed.alias("l"), table.alias("r")
         on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in key]
         return left.join(right, on, how)
 
-    settled = meets(verdicts, "left_anti").drop(*key)
+    settled = meets(verdicts, "left_anti").select("row.*")
     repeated = verdicts.where("kept > 0")
     if repeated.isEmpty():
         return settled
-    return settled.unionByName(meets(repeated, "left_semi").dropDuplicates(key).drop(*key))
+    return settled.unionByName(meets(repeated, "left_semi").dropDuplicates(key).select("row.*"))
 
 
 def text_digest() -> Column:

@@ -144,13 +144,13 @@ def blocks_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[t
         yield block()
 
 
-def bucket_count(source: DataFrame) -> int:
-    """How many tasks own words: the shuffle partitions, more where texts exceed 1 GB for each.
+def bucket_count(source: DataFrame, each: int = BUCKET_BYTES) -> int:
+    """How many tasks own words: the shuffle partitions, more where texts exceed ``each`` bytes for one.
 
     So what one task owns stays level when the input grows; measured by a scan of the texts.
     """
     size = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    return max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    return max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 
 def by_block(rows: DataFrame, blocks: DataFrame, number: str) -> DataFrame:

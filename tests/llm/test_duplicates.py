@@ -161,7 +161,7 @@ def test_chain_prefers_order_and_short_gaps():
     x = [0, 10, 20, 30, 500, 31]
     y = [5, 15, 25, 35, 900, 2]
     order = sorted(range(6), key=lambda i: (x[i], -y[i]))
-    found = chaining.chain([x[i] for i in order], [y[i] for i in order])
+    found = chaining.chain([x[i] for i in order], [y[i] for i in order], [1, 0, 0, 0, 0, 0])
     assert [[x[order[i]] for i in links] for links in found] == [[0, 10, 20, 30]]
 
 
@@ -243,10 +243,15 @@ def removed_words(docs):
     return found
 
 
-def test_text_that_repeats_itself_is_found(docs_of, prose):
+def fresh_words(pick, n):
+    return " ".join(f"v{pick.randrange(10**6)}" for _ in range(n))
+
+
+def test_text_that_repeats_itself_is_found(docs_of):
+    own = [fresh_words(random.Random(i), 80) for i in range(5)]  # ``prose`` has 7 of 8 words in common
     heti, refrain = " ".join(["Heti"] * 93), " ".join(["la", "lo", "li"] * 30)
-    rows = [(1, prose(1) + " " + heti), (2, heti + " " + prose(2)), (3, prose(3) + " " + refrain)]
-    rows += [(4, refrain + " " + prose(4) + " " + heti), (5, " ".join(["Heti"] * 49))]
+    rows = [(1, own[1] + " " + heti), (2, heti + " " + own[2]), (3, own[3] + " " + refrain)]
+    rows += [(4, refrain + " " + own[4] + " " + heti), (5, " ".join(["Heti"] * 49))]
     expected, found = repeated_words(rows), removed_words(docs_of(rows))
     assert {d: len(w) for d, w in expected.items()} == {1: 0, 2: 93, 3: 0, 4: 183, 5: 0}
     assert all(expected[d] <= found.get(d, set()) for d in expected) and set(found) == {2, 4}
@@ -282,3 +287,89 @@ def test_cut_words():
     assert chaining.cut_words(text, [(1, 3)]) == "  One four five "
     assert chaining.cut_words(text, [(0, 1), (4, 9)]) == "  two\nthree  four "
     assert chaining.cut_words(text, []) == text
+
+
+def found_share(rows, targets, docs_of):
+    """Of the targets {doc_id: words planted}, the share of which at least 40 words are removed."""
+    found = removed_words(docs_of(rows))
+    assert set(found) <= set(targets)
+    return sum(len(found.get(d, set()) & words) >= 40 for d, words in targets.items()) / len(targets)
+
+
+@pytest.mark.parametrize("rate", [0.05, 0.1, 0.15, 0.2])
+def test_recall_of_passages_with_replaced_words(docs_of, rate):
+    pick, rows, targets = random.Random(11), [], {}
+    for k in range(0, 300, 2):
+        shared = fresh_words(pick, 70)
+        copy = edited(shared, round(70 * rate), k)
+        rows += [(k, f"{fresh_words(pick, 40)} {shared} {fresh_words(pick, 30)}")]
+        rows += [(k + 1, f"{fresh_words(pick, 25)} {copy} {fresh_words(pick, 45)}")]
+        targets[k + 1] = set(range(25, 95))
+    assert found_share(rows, targets, docs_of) >= 0.9
+
+
+def test_recall_where_earlier_documents_have_the_halves(docs_of):
+    pick, rows, targets = random.Random(12), [], {}
+    for k in range(0, 400, 4):
+        shared = fresh_words(pick, 80).split()
+        copy = list(shared)
+        copy[::12] = [f"other{k}n{i}" for i in range(7)]
+        rows += [(k + i, f"{fresh_words(pick, 20)} {' '.join(copy[40 * i:40 * i + 40])} {fresh_words(pick, 20)}") for i in (0, 1)]
+        rows += [(k + 2, " ".join(shared)), (k + 3, f"{fresh_words(pick, 30)} {' '.join(copy)}")]
+        targets[k + 3] = set(range(30, 110))
+    assert found_share(rows, targets, docs_of) >= 0.9
+
+
+def test_passages_equal_a_search_of_all_pairs(docs_of):
+    """Edited passages, with words left out and put in, against an alignment of every pair."""
+    pick, rows = random.Random(13), []
+    for k in range(12):
+        shared = fresh_words(pick, 90)
+        for i in range(3):
+            words = edited(shared, 4 * i, k).split()
+            del words[30:30 + 2 * i]
+            words[60:60] = ["put", "in"] * i
+            rows.append((3 * k + i, f"{fresh_words(pick, 30)} {' '.join(words)} {fresh_words(pick, 30)}"))
+
+    def repeats(a, b):
+        """Words that a has too, in windows of b of which three quarters stand in a in order."""
+        a, b = (x.encode().split() for x in (a, b))
+        known, found = set(a), set()
+        for at in range(0, len(b) - 49):
+            same = {at + i for i, w in enumerate(b[at:at + 50]) if w in known}
+            if len(same) >= 38 and chaining.common_words(a, b[at:at + 50]) >= 38:
+                found |= same
+        return found
+
+    found = removed_words(docs_of(rows))
+    for n, (doc_id, text) in enumerate(rows):
+        expected = set().union(*(repeats(a, text) for _, a in rows[:n]))
+        got = found.get(doc_id, set())
+        assert bool(got) == bool(expected)
+        assert len(got & expected) >= 0.95 * len(expected)
+        assert not got or min(expected) - 3 <= min(got) and max(got) <= max(expected) + 3
+
+
+def test_rows_of_one_doc_id_with_several_texts(docs_of):
+    pick = random.Random(14)
+    shared = fresh_words(pick, 80)
+    rows = [(1, shared), (2, fresh_words(pick, 50) + " " + shared), (2, "two words"), (3, shared)]
+    got = sorted(map(tuple, chaining.summary(docs_of(rows)).collect()), key=str)
+    assert [r[:2] for r in got] == [(1, 80), (2, 130), (2, 2), (3, 80)]
+    assert got[3][2] == 80 and got[0][2] == 0 and got[2][2] == 0 and got[1][2] in (0, 80)
+    left = sorted((r.doc_id, r.text) for r in chaining.remove_passages(docs_of(rows)).collect())
+    assert [d for d, _ in left] == [1, 2, 2, 3] and ("two words" in (t for _, t in left)) and left[3][1] == ""
+
+
+def test_clashing_columns_survive(spark):
+    from farestar.llm import exact
+    from farestar.llm.common import keep_rows
+
+    shared = fresh_words(random.Random(15), 60)
+    names = "doc_id long, text string, spans int, doc string, `__id` int, id int, digest int, row int, `a b` int"
+    rows = [(i, shared, 1, "d", 2, 3, 4, 5, 6) for i in (1, 2)]
+    docs = spark.createDataFrame(rows, names)
+    cut = chaining.remove_passages(docs)
+    assert cut.columns == docs.columns and sorted(map(tuple, cut.collect())) == [rows[0], (2, "", *rows[1][2:])]
+    kept = keep_rows(docs, exact.exact_groups(docs))
+    assert kept.columns == docs.columns and list(map(tuple, kept.collect())) == rows[:1]

@@ -15,7 +15,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 def test_all_are_registered():
     found = entry_points.queries()
     numbers = {name[2:].split("_")[0] for name in found if name.startswith("op") and name[2].isdigit()}
-    assert numbers == {str(n) for n in range(1, 11)} and "pipeline" in found
+    assert numbers == {str(n) for n in range(1, 14)} and "pipeline" in found
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact_dedup", "near_dedup", "substring_dedup", "packing"
     ]
