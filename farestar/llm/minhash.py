@@ -238,21 +238,19 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
     """Pairs (a, b) of members of two components that a prefix index does not rule out.
 
     The larger of a pair probes with its longer prefix, the smaller is indexed with its shorter
-    one.  A pair is made at the first shingle that both prefixes share; what is left of both sets
-    behind it must still reach the overlap that a link needs.
+    one.  At the first shingle that both prefixes share, what is left of both sets must still reach
+    the overlap that a link needs; a pair is made where that holds for a shared shingle.
     """
     part, whole = THRESHOLD
     nodes = written(rows.select("node", "n", "label").distinct(), "minhash_open")
     prefixes = _ordered_prefixes(sets.join(nodes.select("node"), "node", "left_semi"), buckets)
     known = written(prefixes.join(nodes, "node"), "minhash_prefixes")
     probes = known.select(
-        *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "label", "prefix")),
-        F.posexplode("prefix").alias("place_a", "shingle_a"),
+        *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "label")), F.posexplode("prefix").alias("place_a", "shingle_a"),
     )
     short = F.slice("prefix", F.lit(1), F.expr(f"CAST(n - ceil({2 * part}L * n / {part + whole}) + 1 AS INT)"))
     indexed = known.withColumn("prefix", short).select(
-        *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "label", "prefix")),
-        F.posexplode("prefix").alias("place_b", "shingle_b"),
+        *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "label")), F.posexplode("prefix").alias("place_b", "shingle_b"),
     )
     # Shingles that one set alone has can make no pair; they are most of what is rare.
     shared = written(
@@ -264,11 +262,10 @@ def _prefix_pairs(rows: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
         "shingle_a = shingle_b AND label_a <> label_b AND (n_b < n_a OR (n_b = n_a AND node_b < node_a))"
         f" AND {whole}L * n_b >= {part}L * n_a"
         f" AND {part + whole}L * least(n_a - place_a, n_b - place_b) >= {part}L * (n_a + n_b)"
-        " AND element_at(array_intersect(prefix_b, prefix_a), 1) = shingle_a"
     )
     return probes.join(indexed, F.expr(condition)).selectExpr(
         "least(node_a, node_b) AS a", "greatest(node_a, node_b) AS b"
-    )
+    ).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
