@@ -1,8 +1,9 @@
 """Toxicity by compression distance: two zstandard dictionaries, calibrated on labelled text.
 
-A window is one lower-case word between separators.  Its gain is how many bytes shorter it gets
-under the dictionary of toxic text than under that of ordinary text.  A document's measure is
-its k-th largest gain over distinct windows; k and the threshold are calibrated.
+zstandard trains one dictionary on ordinary text and one on toxic text, both cut into windows of
+words between separators.  The gain of a window is how many bytes shorter it gets when the toxic
+dictionary is added to the ordinary one.  A document's measure is its k-th largest gain over
+distinct windows; the length of the windows, k and the threshold are calibrated.
 """
 
 from __future__ import annotations
@@ -20,14 +21,17 @@ from farestar.llm.common import texts, written
 #: Bounds of the labelled sample, in documents of a class; half fits, half calibrates.
 SAMPLE_TOXIC = 4000
 SAMPLE_ORDINARY = 6000
-#: Bound of what trains the ordinary dictionary: samples of eight words.
-ORDINARY_SAMPLES = 16_000
+#: Bound of what trains each dictionary: windows of TRAINING_WORDS words, picked by a hash.
+TRAINING_WINDOWS, TRAINING_WORDS = 16_000, 8
 DICTIONARY_BYTES = 4000
-TOXIC_WORDS = 4000
-#: A word trains the toxic dictionary if it follows so many different words in toxic text, and
-#: is so many times as common there as in ordinary text.
+#: How zstandard picks segments of toxic windows: their length, and what it counts.
+SEGMENT, COUNTED = 32, 8
+#: Toxic documents are mostly ordinary text.  Their windows keep the words that follow so many
+#: different words there, and are so many times as common there as in ordinary text.
 LEAST_CONTEXTS = 4
 LEAST_RATIO = 30
+#: Words of a scored window; the calibration picks one.
+WIDTHS = (1, 2, 4)
 SEPARATOR = b"\n\n\n"
 #: Stands before every window and ends both dictionaries, so no frame falls back to raw bytes.
 CARRIER = b"0123456789abcdef01234567"
@@ -39,7 +43,8 @@ CACHED_WINDOWS = 200_000
 @dataclass(frozen=True)
 class Model:
     ordinary: bytes
-    toxic: bytes
+    toxic: bytes  # with the ordinary one before it
+    width: int  # words of a window
     rank: int  # which of the largest gains counts
     threshold: float
     prior: float | None  # the score of every text where one class had no examples
@@ -56,34 +61,37 @@ def _length(content: bytes) -> Callable[[bytes], int]:
     )
     dictionary.precompute_compress(compression_params=parameters)
     compressor = zstandard.ZstdCompressor(compression_params=parameters, dict_data=dictionary)
-    return lambda word: len(compressor.compress(CARRIER + SEPARATOR + word + SEPARATOR))
+    return lambda window: len(compressor.compress(CARRIER + SEPARATOR + window + SEPARATOR))
 
 
-def gain_meter(ordinary: bytes, toxic: bytes) -> Callable[[str], list[int]]:
+def gain_meter(ordinary: bytes, toxic: bytes, width: int) -> Callable[[str], list[int]]:
     """A function from a text to its ``RANKS`` largest gains, largest first, padded with 0."""
     by_ordinary, by_toxic, known = _length(ordinary), _length(toxic), {}
 
-    def gain(word: bytes) -> int:
-        value = known.get(word)
+    def gain(window: bytes) -> int:
+        value = known.get(window)
         if value is None:
             if len(known) >= CACHED_WINDOWS:
                 known.clear()
-            value = known[word] = by_ordinary(word) - by_toxic(word)
+            value = known[window] = by_ordinary(window) - by_toxic(window)
         return value
 
     def largest(text: str) -> list[int]:
-        gains = sorted(map(gain, set(text.lower().encode().split())), reverse=True)[:RANKS]
+        words = text.lower().encode().split()
+        if width > 1:
+            words = [SEPARATOR.join(words[i:i + width]) for i in range(0, len(words), width)]
+        gains = sorted(map(gain, set(words)), reverse=True)[:RANKS]
         return [max(g, 0) for g in gains] + [0] * (RANKS - len(gains))
 
     return largest
 
 
-def _measure(docs: DataFrame, ordinary: bytes, toxic: bytes) -> DataFrame:
+def _measure(docs: DataFrame, ordinary: bytes, toxic: bytes, width: int) -> DataFrame:
     """doc_id and the gains of every row."""
     shared = docs.sparkSession.sparkContext.broadcast((ordinary, toxic))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        largest = gain_meter(*shared.value)
+        largest = gain_meter(*shared.value, width)
         for batch in batches:
             gains = [largest(text.as_py()) for text in batch["text"]]
             yield pa.RecordBatch.from_arrays(
@@ -96,7 +104,8 @@ def _measure(docs: DataFrame, ordinary: bytes, toxic: bytes) -> DataFrame:
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled texts of a bounded sample: doc_id, text, toxic, fits (else it calibrates)."""
     order = F.xxhash64("doc_id")
-    classes = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").dropDuplicates(["doc_id"])
+    # Of several labels of a document the toxic one counts.
+    classes = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     picked = [
         classes.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(bound)
         for label, bound in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))
@@ -106,25 +115,43 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts(docs).join(F.broadcast(ids), "doc_id")
 
 
-def calibrate(ordinary: list[list[int]], toxic: list[list[int]]) -> tuple[int, float]:
-    """The rank and threshold of gains with the fewest errors, the widest gap first on a tie."""
-    best = (1, 4.0)
-    fewest = None
+def calibrate(ordinary: list[list[int]], toxic: list[list[int]]) -> tuple[int, int, float]:
+    """The fewest errors, and the rank and threshold of gains with them, the widest gap first on a tie."""
+    best = None
     for rank in range(1, RANKS + 1):
         no = np.sort([g[rank - 1] for g in ordinary])
         yes = np.sort([g[rank - 1] for g in toxic])
         top = int(max([0, *no[-1:], *yes[-1:]]))
         errors = [
-            (len(no) - np.searchsorted(no, t)) + np.searchsorted(yes, t) for t in range(1, top + 2)
+            int((len(no) - np.searchsorted(no, t)) + np.searchsorted(yes, t)) for t in range(1, top + 2)
         ]
         least = min(errors)
-        if fewest is None or least < fewest:
+        if best is None or least < best[0]:
             run = [t for t, e in enumerate(errors, 1) if e == least]
             end = next((a for a, b in zip(run, run[1:]) if b > a + 1), run[-1])
-            best, fewest = (rank, (run[0] + end) / 2 - 0.5), least
+            best = (least, rank, (run[0] + end) / 2 - 0.5)
     return best
 
 
+def _windows(words: DataFrame) -> list[bytes]:
+    """Distinct windows of (doc_id, words) rows, a bounded number picked by a hash."""
+    rows = (
+        words.where("size(words) > 0")
+        .select("words", F.explode(F.expr(f"sequence(1, size(words), {TRAINING_WORDS})")).alias("i"))
+        .select(F.slice("words", F.col("i"), TRAINING_WORDS).alias("s")).distinct()
+        .orderBy(F.xxhash64("s"), "s").limit(TRAINING_WINDOWS).collect()
+    )
+    return [SEPARATOR + SEPARATOR.join(w.encode() for w in r["s"]) + SEPARATOR for r in rows]
+
+
+def _dictionary(samples: list[bytes], **picking: int) -> bytes:
+    """A dictionary that zstandard trains; of too few samples to train on, the samples themselves."""
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, **picking).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-DICTIONARY_BYTES:]
+
+
 def _train(sample: DataFrame) -> tuple[bytes, bytes] | None:
     """The ordinary and the toxic dictionary; None if either class has no word."""
     split = sample.select(
@@ -151,46 +178,43 @@ def _train(sample: DataFrame) -> tuple[bytes, bytes] | None:
             F.expr("coalesce(sum(n) FILTER (WHERE toxic = 0), 0)").alias("o"),
         )
         .where(f"t >= {LEAST_CONTEXTS} AND t / {size[1]}D > {LEAST_RATIO} * (o + 0.5D) / {size[0]}D")
-        .orderBy(F.desc("t"), "word").limit(TOXIC_WORDS).collect()
     )
-    eights = (
-        split.where("toxic = 0 AND size(words) > 0")
-        .select("doc_id", "words", F.explode(F.expr("sequence(1, size(words), 8)")).alias("i"))
-        .select(F.xxhash64("doc_id", "i").alias("order"), F.slice("words", F.col("i"), 8).alias("s"))
-        .orderBy("order", "s").limit(ORDINARY_SAMPLES).collect()
+    placed = split.where("toxic = 1").select("doc_id", F.posexplode("words").alias("i", "word"))
+    told = (  # a document's words again, at most all of them
+        placed.join(telling.select("word"), "word", "left_semi").groupBy("doc_id")
+        .agg(F.sort_array(F.collect_list(F.struct("i", "word"))).alias("found"))
+        .select("doc_id", F.col("found.word").alias("words"))
     )
-    samples = [SEPARATOR + SEPARATOR.join(w.encode() for w in r["s"]) + SEPARATOR for r in eights]
-    try:
-        ordinary = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:  # too few samples to train on: the samples themselves
-        ordinary = b"".join(samples)[-DICTIONARY_BYTES:]
-    toxic = b"".join(SEPARATOR + r["word"].encode() for r in reversed(telling)) + SEPARATOR
+    ordinary = _dictionary(_windows(split.where("toxic = 0").select("doc_id", "words")))
+    toxic = _dictionary(_windows(told), k=SEGMENT, d=COUNTED, steps=4, level=3)
     return ordinary, ordinary + toxic
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train and calibrate on a bounded sample of labelled rows (the constants above).
 
-    The toxic dictionary holds words of toxic text that keep different company (copies of one
-    document count once) and are rare in ordinary text; the ordinary one is trained by
-    zstandard on samples of ordinary text and is shared by both, so that only what is toxic
-    tells them apart.  Threshold and rank come from one half of the sample, measured by
-    dictionaries of the other half; the final dictionaries use both.
+    The ordinary dictionary stands before the toxic one in both measures, so that only what is
+    toxic tells them apart.  Toxic windows keep the words that are common in toxic text only and
+    keep different company there (copies of one document count once).  Width, rank and threshold
+    come from one half of the sample, measured by dictionaries of the other half; the final
+    dictionaries use both.  Of several labels of a document the toxic one counts.
     """
     sample = written(_sample(docs, labels), "toxicity_sample")
     whole = _train(sample)
     if whole is None:
-        return Model(b"", b"", 1, 0.0, float(not sample.where("toxic = 1").isEmpty()))
+        return Model(b"", b"", 1, 1, 0.0, float(not sample.where("toxic = 1").isEmpty()))
     half = _train(sample.where("fits")) or whole
-    gains = {
-        label: [
-            r["gains"] for r in
-            _measure(sample.where(f"NOT fits AND toxic = {label}"), *half).select("gains").collect()
-        ]
-        for label in (0, 1)
-    }
-    rank, threshold = calibrate(gains[0], gains[1])
-    return Model(*whole, rank, threshold, None)
+    best = None
+    for width in WIDTHS:
+        gains = {0: [], 1: []}
+        rest = sample.where("NOT fits")
+        for label in gains:
+            measured = _measure(rest.where(f"toxic = {label}"), *half, width)
+            gains[label] = [r["gains"] for r in measured.select("gains").collect()]
+        errors, rank, threshold = calibrate(gains[0], gains[1])
+        if best is None or errors < best[0]:
+            best = (errors, width, rank, threshold)
+    return Model(*whole, *best[1:], None)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -203,7 +227,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         scored = texts(docs).select("doc_id", F.lit(model.prior).alias("score"))
     else:
         gain = F.col("gains")[model.rank - 1] - F.lit(float(model.threshold))
-        scored = _measure(docs, model.ordinary, model.toxic).select(
+        scored = _measure(docs, model.ordinary, model.toxic, model.width).select(
             "doc_id", (1 / (1 + F.exp(-gain))).alias("score")
         )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -214,10 +238,10 @@ def drop_predicted(docs: DataFrame, model: Model) -> DataFrame:
     if model.prior is not None:
         return docs.where(F.lit(model.prior < 0.5))
     shared = docs.sparkSession.sparkContext.broadcast((model.ordinary, model.toxic))
-    at, rank, threshold = docs.columns.index("text"), model.rank, model.threshold
+    at, width, rank, threshold = docs.columns.index("text"), model.width, model.rank, model.threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        largest = gain_meter(*shared.value)
+        largest = gain_meter(*shared.value, width)
         for batch in batches:
             keep = [largest(text.as_py() or "")[rank - 1] < threshold for text in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
