@@ -146,6 +146,37 @@ def test_substrings_over_many_blocks(docs_of, corpus, monkeypatch):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("hot", [1, 2, 20])
+def test_frequent_pieces_are_spread(docs_of, corpus, monkeypatch, hot):
+    """A template line in many documents, with varying surroundings, some of which repeat."""
+    monkeypatch.setattr(substrings, "HOT_DOCUMENTS", hot)
+    monkeypatch.setattr(substrings, "RUN_BYTES", 700)
+    rows = corpus + [
+        (700 + i, f"{i % 37}th note of {i}: all rights to this line are kept by nobody in {i % 11} places, {'z' * (i % 70)}")
+        for i in range(80)
+    ]
+    rows += [(800 + i, "a" * (60 + i)) for i in range(3)] + [(810, "ab" * 50), (811, "ab" * 40)]
+    got = substrings.remove_repeats(docs_of(rows, 4)).collect()
+    found = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got]
+    expected = [(d, *rest) for (d, _), rest in zip(rows, without_repeats(rows))]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_hot_segments_are_cut_alike():
+    rng = np.random.default_rng(9)
+    line = rng.integers(97, 123, 24).astype(np.uint8)
+    raw = np.concatenate([np.concatenate([rng.integers(97, 123, 60).astype(np.uint8), line]) for _ in range(50)])
+    raw = np.concatenate([raw, raw[300:900]])
+    value, doc, start, count = substrings.segments(raw, np.array([4200, 600]))
+    cut = substrings._cut_hot(raw, value, doc, start, count)
+    assert cut[3].sum() == count.sum() and len(cut[0]) > len(value)
+    keys = {}
+    for key, first, n in zip(cut[0].tolist(), cut[2].tolist(), cut[3].tolist()):
+        for at in range(first, first + n):
+            keys.setdefault(raw[at:at + 50].tobytes(), set()).add(key)
+    assert all(len(k) == 1 for k in keys.values()) and len(keys) > 3000
+
+
 def test_a_copy_without_doc_id_does_not_hide_its_class(docs_of, prose):
     base, alone = prose(70, 3), prose(80, 3)
     rows = [(None, base), (5, base), (9, edited(base, 2, 1)), (None, alone), (12, edited(alone, 2, 2))]
