@@ -328,5 +328,10 @@ def _portable(query: Query) -> Query:
     return lambda spark, sf_dir: portable(query(spark, sf_dir))
 
 
+def plain_queries() -> dict[str, Query]:
+    """The queries as an application runs them, decimals and dates in their own types."""
+    return dict(_QUERIES)
+
+
 def all_queries() -> dict[str, Query]:
     return {name: _portable(query) for name, query in _QUERIES.items()}
