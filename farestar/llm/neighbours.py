@@ -78,7 +78,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, copies: int) -> DataFrame:
-    """The index table: one row a shard, written.
+    """The index table: one row a shard, written.  Shards are numbered over all dimensions.
 
     Of equal vectors the ``copies`` least vec_ids are kept, which is all that a search for fewer
     neighbours can return; they are one node.  A vector in any number of rows leaves each task
@@ -105,12 +105,14 @@ def build_index(vectors: DataFrame, copies: int) -> DataFrame:
     nodes = written(
         usable(vectors).mapInArrow(combine, "dim int, width int, vector binary, ids array<long>"), "vector_nodes"
     )
-    sizes = nodes.groupBy("dim", "width").agg(F.count("*").alias("n"))
-    room = F.least(F.lit(SHARD_NODES), F.expr(f"greatest(1, {SHARD_BYTES} div (dim * width))"))
-    shards = sizes.select("dim", F.ceil(F.col("n") / room).cast("int").alias("shards"))
-    # One row a dimension.
-    dealt = nodes.join(F.broadcast(shards), "dim").withColumn(
-        "shard", F.pmod(F.xxhash64("vector"), "shards").cast("int")
+    first, rooms = 0, []
+    for dim, width, n in nodes.groupBy("dim", "width").agg(F.count("*")).collect():  # a row a dimension
+        shards = -(-n // min(SHARD_NODES, max(1, SHARD_BYTES // (dim * width))))
+        rooms.append((dim, first, shards))
+        first += shards
+    deal = nodes.sparkSession.createDataFrame(rooms, "dim int, first int, shards int")
+    dealt = nodes.join(F.broadcast(deal), "dim").withColumn(
+        "shard", F.expr("CAST(first + pmod(xxhash64(vector), shards) AS INT)")
     )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,9 +137,8 @@ def build_index(vectors: DataFrame, copies: int) -> DataFrame:
         if held:
             yield finish()
 
-    tasks = max(1, sum(r["shards"] for r in shards.select("shards").collect()))  # a row a dimension
     return written(
-        dealt.repartition(tasks, "dim", "shard").sortWithinPartitions("dim", "shard")
+        dealt.repartitionById(max(1, first), "shard").sortWithinPartitions("dim", "shard")
         .select("dim", "shard", "width", "vector", "ids").mapInArrow(build, INDEX),
         "vector_index",
     )
@@ -211,9 +212,9 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = hnsw.SEARCH
                 at = end
 
     both = tables.unionByName(dealt)
-    tasks = max(1, index.count())
+    tasks = (index.agg(F.max("shard")).first()[0] or 0) + 1
     answers = (
-        both.repartition(tasks, "dim", "shard").sortWithinPartitions("dim", "shard", F.col("vectors").isNull())
+        both.repartitionById(tasks, "shard").sortWithinPartitions("dim", "shard", F.col("vectors").isNull())
         .mapInArrow(run, found)
     )
     best = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "vec_id")
