@@ -9,22 +9,24 @@ def test_every_query_states_its_result():
     assert set(all_queries()) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
+@pytest.fixture
+def default_session(spark):
+    """The session with none of this package's settings that Spark has otherwise."""
+    ours = {key: spark.conf.get(key) for key in ("spark.sql.caseSensitive", "spark.sql.session.timeZone")}
+    spark.conf.set("spark.sql.caseSensitive", "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield spark
+    for key, value in ours.items():
+        spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("name", all_queries())
-def test_query_equals_its_sql(spark, sf_dir, name):
+def test_query_equals_its_sql(default_session, sf_dir, name):
+    spark = default_session
     df = entry_points.queries()[name](spark, sf_dir)
     assert differences(df, sf_dir, entry_points.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", ["bronze_scan", "raw_view", "bronze_airport_fee", "quality_data_loss"])
-def test_query_runs_with_default_case(spark, sf_dir, name):
-    spark.conf.set("spark.sql.caseSensitive", "false")
-    try:
-        df = entry_points.queries()[name](spark, sf_dir)
-        assert differences(df, sf_dir, entry_points.oracle_sql()[name]) is None
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", "true")
-
-
 def test_stages_are_built_once_by_many_threads(spark, sf_dir):
     from concurrent.futures import ThreadPoolExecutor
 
