@@ -1,10 +1,14 @@
+import re
+from collections import Counter
+
 import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from farestar.llm import oracle, queries
-from farestar.llm.common import keep_rows, text_digest
+from farestar.llm import oracle, queries, toxicity
+from farestar.llm.common import documents, id_remainder, keep_rows, text_digest, written
 from harness.compare import differences
+from tests.llm.brute import near_components
 
 
 @pytest.mark.parametrize("name", oracle.all_sql())
@@ -50,3 +54,58 @@ def test_run(spark, sf_dir):
     kept = pieces.select("doc_id").distinct().count()
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert 0.6 * documents < kept < documents
+
+
+def plain_exact(rows):
+    """Of texts equal but for white space, the longest row, then the least doc_id."""
+    groups = {}
+    for doc_id, text in rows:
+        key = re.sub(r"[\x20\x09-\x0D]", "", text or "")
+        groups.setdefault(key, []).append((-len(text or ""), doc_id, text))
+    return {(d, t) for _, d, t in map(min, groups.values())}
+
+
+def test_stages_equal_brute_force(spark, sf_dir):
+    """Each stage over what the one before it kept, on a given table."""
+    from tests.llm.test_duplicates import repeated_words
+    from tests.llm.test_text_operators import BYTE_JSON, crc, library, plain_toxicity
+
+    given = documents(spark, sf_dir)
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name, docs):
+        found = written(stages[name](spark, docs, sf_dir), "brute")
+        return found, {(r.doc_id, r.text) for r in found.collect()} if "text" in found.columns else None
+
+    rows = {(r.doc_id, r.text) for r in given.collect()}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(given, labels.where(id_remainder(5) != 0))
+    docs, kept = run("toxicity", given)
+    assert kept == {(d, t) for d, t in rows if plain_toxicity(model, t) < 0.5}
+    docs, singles = run("exact_dedup", docs)
+    assert singles == plain_exact(kept)
+    docs, apart = run("near_dedup", docs)
+    component = near_components(sorted(singles))
+    assert apart == {(d, t) for d, t in singles if component[d] == d}
+    docs, cut = run("substring_dedup", docs)
+    before, after = dict(apart), dict(cut)
+    repeated, seen = repeated_words([(d, t or "") for d, t in apart]), set()
+    for doc_id in sorted(before):
+        words = (before[doc_id] or "").lower().split()
+        fives = {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+        if not fives & seen:
+            assert after[doc_id] == before[doc_id]
+        left = Counter((after[doc_id] or "").lower().split())
+        assert left <= Counter(words)
+        assert sum((Counter(words) - left).values()) >= len(repeated[doc_id])
+        seen |= fives
+    assert set(after) == set(before)
+    encode, pieces = library(BYTE_JSON), {}
+    for piece in stages["packing"](spark, docs, sf_dir).collect():
+        pieces.setdefault(piece.doc_id, []).append(piece)
+    assert set(pieces) == set(after)
+    for doc_id, text in after.items():
+        ids, found = [*encode(text), 1], sorted(pieces[doc_id], key=lambda p: p.start)
+        assert [p.start for p in found] == [sum(p.length for p in found[:i]) for i in range(len(found))]
+        assert sum(p.length for p in found) == len(ids) == found[0].doc_tokens
+        assert all(p.ids_crc32 == crc(ids[p.start:p.start + p.length]) for p in found)

@@ -85,6 +85,20 @@ def test_single_ids_are_read_alone(spark, docs_of, prose):
     assert got == {place: flat[place] for place in list(flat)[::7]}
 
 
+def test_segment_files_ascend_by_doc_id(spark, docs_of, prose):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        segments = dac.write_codes(docs_of([(i, prose(i)) for i in range(90, 0, -1)]), WORD_JSON, end_id=2)
+        rows = segments.select(F.input_file_name().alias("file"), "block", "packet", "doc_ids").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len({r.file for r in rows}) > 1
+    rows.sort(key=lambda r: (r.file, r.block, r.packet))
+    assert [d for r in rows for d in r.doc_ids] == list(range(1, 91))
+
+
 def test_added_tokens_in_texts_are_as_the_library_has_them(docs_of, prose):
     rows = [(1, "hello <|endoftext|> x"), (2, prose(1) + "<|endoftext|>"), (3, "<|startoftext|>a <|ENDOFTEXT|>")]
     codes = {r.doc_id: r for r in dac.read_codes(dac.write_codes(docs_of(rows), WORD_JSON, end_id=2)).collect()}
@@ -312,6 +326,46 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def plain_toxicity(model, text):
+    """The score of a text: every window compressed afresh under both dictionaries."""
+    import zstandard
+
+    def length(content, window):
+        dictionary = zstandard.ZstdCompressionDict(
+            content + toxicity.CARRIER, dict_type=zstandard.DICT_TYPE_RAWCONTENT
+        )
+        parameters = zstandard.ZstdCompressionParameters.from_level(
+            toxicity.LEVEL, source_size=128, dict_size=len(content) + len(toxicity.CARRIER),
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        dictionary.precompute_compress(compression_params=parameters)
+        packed = zstandard.ZstdCompressor(compression_params=parameters, dict_data=dictionary)
+        return len(packed.compress(toxicity.CARRIER + window))
+
+    words = (text or "").lower().encode().split()
+    gains = []
+    for at in range(0, len(words), model.width):
+        window = b"".join(toxicity.SEPARATOR + w for w in words[at:at + model.width]) + toxicity.SEPARATOR
+        if window not in (w for w, _ in gains):
+            gains.append((window, length(model.ordinary, window) - length(model.toxic, window)))
+    ranked = sorted((g for _, g in gains), reverse=True) + [0] * model.rank
+    return 1 / (1 + math.exp(model.threshold - max(ranked[model.rank - 1], 0)))
+
+
+@pytest.mark.parametrize("width, rank", [(1, 1), (1, 2), (4, 2)])
+def test_toxicity_equals_brute_force(docs_of, odd_rows, prose, width, rank):
+    samples = [b"\n\n\nvile\n\n\nscoundrel\n\n\n", b"\n\n\nthe\n\n\nquick\n\n\nriver\n\n\n" * 3]
+    model = toxicity.Model(samples[1], samples[1] + samples[0], width, rank, 2.5, None)
+    rows = [(d, t) for d, t in odd_rows if len(t or "") < 5000]
+    rows += [(50, "a vile scoundrel"), (51, prose(3) + " Vile  scoundrel vile"), (52, "vile " * 9)]
+    got = sorted(map(tuple, toxicity.score(docs_of(rows), model).collect()), key=key)
+    expected = [(d, s := plain_toxicity(model, t), int(s >= 0.5)) for d, t in rows]
+    assert [(r[0], round(r[1], 9), r[2]) for r in got] == [
+        (r[0], round(r[1], 9), r[2]) for r in sorted(expected, key=key)
+    ]
+    assert {r[2] for r in got} == ({0, 1} if (width, rank) == (1, 1) else {r[2] for r in expected})
+
+
 def test_toxicity_of_odd_texts(spark, docs_of, odd_rows, prose):
     rows = [(i, prose(i) + (" vile scoundrel" if i % 2 else "")) for i in range(100, 160)]
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
