@@ -122,10 +122,30 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the component label of their node; a node without links is its own."""
+def _labels(links: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(node, label) of the nodes that (a, b) links or ``before`` have, written.
+
+    Links between components that are known already join their labels, not their nodes.
+    """
+    if before is not None:
+        for end in ("a", "b"):
+            known = before.select(F.col("node").alias(end), "label")
+            links = links.join(known, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+        links = written(links, "minhash_moves")
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     labels = components(ends.distinct(), links)
+    if before is not None:
+        moved = written(labels, "minhash_moved")
+        fresh = moved.join(before, "node", "left_anti").select("node", F.col("node").alias("label"))
+        steps = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        labels = before.unionByName(fresh).join(steps, "label", "left").select(
+            "node", F.coalesce("to", "label").alias("label")
+        )
+    return written(labels, "minhash_labels")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component label of their node; a node without links is its own."""
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
@@ -301,9 +321,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = written(_shingle_sets(docs, wanted), "minhash_sets")
 
     compared = written(_star(shared, _heaviest(shared)), "minhash_pairs")
-    links = written(_confirmed(compared, sets), "minhash_links")
+    labels = _labels(written(_confirmed(compared, sets), "minhash_links"))
+    members = shared.drop("label")
+    open_rows = written(_mixed(_labelled(members, labels)), "minhash_mixed")
     for last in (False, True):
-        open_rows = written(_mixed(_labelled(shared.drop("label"), links)), "minhash_mixed")
         if last:
             pairs = _prefix_pairs(open_rows, sets, bucket_count(texts(docs)))
         else:
@@ -311,11 +332,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = _star(outside, _heaviest(outside))
         pairs = written(pairs.join(compared, ["a", "b"], "left_anti"), "minhash_pairs")
         more = written(_confirmed(pairs, sets), "minhash_links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
         compared = compared.unionByName(pairs)
+        if more.isEmpty():
+            continue
+        labels = _labels(more, labels)
+        if not last:
+            open_rows = written(_mixed(_labelled(members, labels)), "minhash_mixed")
 
-    firsts = _labelled(classes.select("node", "first", "set_hash"), links)
+    firsts = _labelled(classes.select("node", "first", "set_hash"), labels)
     named = written(
         firsts.groupBy("label").agg(F.min("first").alias("component_id")), "minhash_names"
     )
