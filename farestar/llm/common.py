@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from farestar.session import scratch_folder
@@ -46,6 +51,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def tidy(run):
+    """``run`` for mapInArrow, after which its task hands freed memory back to the machine.
+
+    Python workers serve many tasks, and keep what one has freed unless they are told not to.
+    """
+    def tidied(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def id_remainder(modulus: int) -> Column:
     """crc32 of the decimal doc_id, modulo ``modulus``; NULL ids count as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))

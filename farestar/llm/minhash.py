@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from farestar.llm.common import texts, written
+from farestar.llm.common import texts, tidy, written
 from farestar.llm.components import components
 from farestar.llm.keycounts import DOCS, KEYS, ROW, answers, packets, restore, row, squeeze
 from farestar.llm.shingles import Shingler, mix
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             )
 
     return texts(docs).withColumn("digest", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, digest long, n_shingles long, set_hash binary, bands array<long>"
+        tidy(run), "doc_id long, digest long, n_shingles long, set_hash binary, bands array<long>"
     )
 
 
@@ -99,7 +99,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [batch["node"], pa.array(sets, pa.binary())], ["node", "shingles"]
             )
 
-    return rows.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
+    return rows.mapInArrow(tidy(run), "node long, shingles binary").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -247,11 +247,11 @@ def _ordered_prefixes(sets: DataFrame, buckets: int) -> DataFrame:
                 )
 
     parted = sets.withColumn("part", F.spark_partition_id().cast("long"))
-    parted.mapInArrow(split, ROW).write.parquet(folder)
+    parted.mapInArrow(tidy(split), ROW).write.parquet(folder)
     blocks = sets.sparkSession.read.schema(ROW).parquet(folder)
     asked = answers(blocks.where(F.col("kind") == KEYS), buckets, lambda keys, counts: counts)
     both = asked.unionByName(blocks.where(F.col("kind") == DOCS))
-    return by_block(both, blocks, "part").mapInArrow(order, "node long, prefix array<long>")
+    return by_block(both, blocks, "part").mapInArrow(tidy(order), "node long, prefix array<long>")
 
 
 def _prefix_pairs(rows: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:

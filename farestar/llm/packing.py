@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from farestar.llm.common import texts, written
+from farestar.llm.common import texts, tidy, written
 from farestar.llm.scan import running_totals
 from farestar.llm.tokens import byte_coder, byte_vocabulary, space_words
 from farestar.llm.wordshuffle import encode_blocks
@@ -227,4 +227,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
             columns = list(zip(*rows)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    return placed.mapInArrow(run, PIECES)
+    return placed.mapInArrow(tidy(run), PIECES)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from farestar.llm.common import texts, written
+from farestar.llm.common import texts, tidy, written
 
 #: Bounds of the labelled sample, in documents of a class; half fits, half calibrates.
 SAMPLE_TOXIC = 4000
@@ -98,7 +98,7 @@ def _measure(docs: DataFrame, ordinary: bytes, toxic: bytes, width: int) -> Data
                 [batch["doc_id"], pa.array(gains, pa.list_(pa.int32()))], ["doc_id", "gains"]
             )
 
-    return texts(docs).mapInArrow(run, "doc_id long, gains array<int>")
+    return texts(docs).mapInArrow(tidy(run), "doc_id long, gains array<int>")
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -246,4 +246,4 @@ def drop_predicted(docs: DataFrame, model: Model) -> DataFrame:
             keep = [largest(text.as_py() or "")[rank - 1] < threshold for text in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

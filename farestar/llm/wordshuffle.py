@@ -24,7 +24,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from farestar.llm.common import written
+from farestar.llm.common import tidy, written
 from farestar.session import scratch_folder
 
 #: Makes, in a task, the function from an array of texts to the number of words of each text, the
@@ -186,7 +186,7 @@ def split_words(source: DataFrame, splitter: Splitter, buckets: int, folder: str
             yield from _block(block, doc_ids, *split(values), buckets)
 
     parted = source.withColumn("part", F.spark_partition_id().cast("long"))
-    packets = parted.mapInArrow(run, _PACKET)
+    packets = parted.mapInArrow(tidy(run), _PACKET)
     packets.write.parquet(folder)
     return source.sparkSession.read.schema(packets.schema).parquet(folder)
 
@@ -236,7 +236,7 @@ def _encode_words(packets: DataFrame, coder: Coder, vocabulary: Broadcast, bucke
     words = packets.where(F.col("kind") == WORDS)
     return (
         words.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
-        .mapInArrow(run, _PACKET)
+        .mapInArrow(tidy(run), _PACKET)
     )
 
 
@@ -304,5 +304,5 @@ def encode_blocks(
                 documents = np.split(ids, ends[:-1])
                 yield finish(block, row["bucket"], row["doc_ids"], documents)
 
-    made = by_block(both, packets, "bucket").mapInArrow(run, schema)
+    made = by_block(both, packets, "bucket").mapInArrow(tidy(run), schema)
     return written(made, purpose, instead_of=folder) if purpose else made
