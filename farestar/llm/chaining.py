@@ -7,6 +7,10 @@ document with an owner on one diagonal are runs; runs that keep their order are
 cost; chains are aligned on the words to find passages that repeat, also with differences.  The
 first document keeps a passage.
 
+Frequent seeds, which more documents have, are matched once more by twos: two seeds of a document
+that stand APART words, one of them frequent, are a key, and words that are not yet in a passage
+are matched with all earlier documents that have their key.
+
 Runs of MIN_WORDS equal words do not depend on chains: every one that an earlier document has is
 found by its hash, among the runs whose picked longer seed another document has.
 """
@@ -31,8 +35,12 @@ from farestar.llm.wordshuffle import blocks_of, bucket_count, pack_numbers, unpa
 #: Words of a seed; of all k-mers one in PICK is a seed.
 KMER, PICK = 5, 3
 #: So many earlier documents are matched with an occurrence of a seed: all there are, of a seed
-#: that no more than OWNERS + 1 documents have.
+#: that no more than OWNERS + 1 documents have.  Other seeds are frequent.
 OWNERS = 3
+#: Two seeds so many words apart, at least and at most, are a key if one of them is frequent.
+APART = 30, 60
+#: So many matches by keys are put together at a time.
+MATCHED = 1 << 20
 #: A repeated passage has at least so many words, and so large a share of them matches.
 MIN_WORDS, MIN_MATCH = 50, 0.75
 #: Cost of a word of gap on either side, in words of score.
@@ -160,7 +168,7 @@ def _matches(key: np.ndarray, doc: np.ndarray, place: np.ndarray, late: np.ndarr
 
 # --- packets: rows (document, place, ...) dealt by a bucket of a key, then by one of the document ---
 
-SEEDS, MATCHES, RUNS, SPANS, EXACT = range(5)
+SEEDS, MATCHES, RUNS, SPANS, EXACT, SHARED, TWOS = range(7)
 
 
 def _steps(values: np.ndarray) -> bytes:
@@ -213,7 +221,7 @@ def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict]]:
                 if held:
                     yield finish()
                 part, held = got["part"], {}
-            kind = np.uint32 if got["kind"] == SEEDS else np.int64
+            kind = np.uint32 if got["kind"] in (SEEDS, SHARED) else np.int64
             held.setdefault(got["kind"], []).append((
                 np.repeat(np.array(got["doc_ids"], np.int64), got["sizes"]), _walk(got["places"]),
                 np.frombuffer(zstandard.decompress(got["keys"]), kind), _walk(got["counts"]),
@@ -238,22 +246,27 @@ def _passed(kind: int, part: int, rows: list[np.ndarray]) -> Iterator[pa.RecordB
 def _seed_packets(block: int, doc_ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, buckets: int):
     """A block's seeds, dealt by their hash, and what is matched within the block.
 
-    Of a seed only the first OWNERS + 1 documents of the block go on; the others have their owners
-    here.  Within a bucket 32 bits tell seeds apart; a clash is a match that no alignment keeps.
+    Of a seed only the first OWNERS + 1 documents of the block go on, and a mark that there are
+    others; those have their owners here, and go to their documents as frequent ones.  Within a
+    bucket 32 bits tell seeds apart; a clash is a match that no alignment keeps.
     """
     key, at, place = seeds(words, sizes)
     if not len(key):
         return
     key, doc, place = _once(key, doc_ids[at], place)
     rank, *_ = _holders(key, doc)
-    late = rank > OWNERS
+    late, more = rank > OWNERS, np.zeros_like(place)
     if late.any():
         own, at, owner, other = _matches(key, doc, place, late)
         yield from _send(block, MATCHES, _by_doc(own, buckets), own, at, owner, other)
+        own, many = doc[late], (key[late] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        yield from _send(block, SHARED, _by_doc(own, buckets), own, place[late], many, more[late])
+        crowd = np.unique(key[late])
         key, doc, place = key[~late], doc[~late], place[~late]
+        more = (crowd[np.minimum(np.searchsorted(crowd, key), len(crowd) - 1)] == key).astype(np.int64)
     short = (key >> np.uint64(32)).astype(np.uint32)
     part = (mix(key) % np.uint64(buckets)).astype(np.int64)
-    yield from _send(block, SEEDS, part, doc, place, short, np.zeros_like(place))
+    yield from _send(block, SEEDS, part, doc, place, short, more)
 
 
 def _span_packets(block: int, doc_ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, buckets: int):
@@ -295,17 +308,35 @@ def _span_packets(block: int, doc_ids: np.ndarray, words: np.ndarray, sizes: np.
     )
 
 
+def _frequent(key: np.ndarray, doc: np.ndarray, crowd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by key and document: whether several documents have the key, and more than
+    OWNERS + 1.  Keys in ``crowd`` have more than are here."""
+    rank, head, _ = _holders(key, doc)
+    first = np.flatnonzero(head == np.arange(len(key)))
+    last = np.repeat(np.maximum.reduceat(rank, first), np.diff(np.append(first, len(key))))
+    many = (last > OWNERS) | np.isin(key, crowd)
+    return (last > 0) | many, many
+
+
 def _settled(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Step 2: what the seeds of a bucket match, and the spans whose seed two documents have."""
+    """Step 2: what the seeds of a bucket match, the seeds that several documents have, and the
+    spans whose seed two documents have."""
     for part, kinds in _received(batches):
-        for kind in (MATCHES, RUNS):
+        for kind in (MATCHES, RUNS, SHARED):
             if kind in kinds:
                 yield from _passed(kind, part, kinds.pop(kind))
         if SEEDS in kinds:
-            doc, place, key, _ = kinds.pop(SEEDS)
-            own, at, owner, other = _matches(*_once(key, doc, place))
+            doc, place, key, more = kinds.pop(SEEDS)
+            crowd = np.unique(key[more > 0])
+            key, doc, place = _once(key, doc, place)
+            own, at, owner, other = _matches(key, doc, place)
             if len(own):
                 yield from _send(part, MATCHES, _by_doc(own, buckets), own, at, owner, other)
+                del own, at, owner, other
+                several, many = _frequent(key, doc, crowd)
+                key = key[several] & ~np.uint32(1) | many[several]
+                doc, place = doc[several], place[several]
+                yield from _send(part, SHARED, _by_doc(doc, buckets), doc, place, key, np.zeros_like(place))
         if SPANS in kinds:
             doc, start, key, length = kinds.pop(SPANS)
             order = np.lexsort((doc, key))
@@ -340,13 +371,19 @@ _CANDIDATE_KINDS = [pa.int64(), *[pa.int32()] * 2, pa.int64(), *[pa.int32()] * 2
 
 
 def _candidates_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3: the chains of a bucket of documents, and their spans without an owner."""
+    """Step 3: the chains of a bucket of documents, their spans without an owner, and the seeds
+    that each shares: places and keys (odd: of a frequent seed) as xs and ys of a row without span.
+
+    Documents without a frequent seed have no such row.
+    """
     names = [field.split()[0] for field in _CANDIDATE.split(", ")]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _CANDIDATE_KINDS)], names)
 
     for _, kinds in _received(batches):
+        if SHARED in kinds:
+            yield from _shared_rows(*kinds.pop(SHARED)[:3], names)
         if RUNS in kinds:
             doc, start, _, length = kinds.pop(RUNS)
             found = [*_joined(doc, start, start + length)]
@@ -369,6 +406,25 @@ def _candidates_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield batch_of(rows)
 
 
+def _shared_rows(doc: np.ndarray, place: np.ndarray, key: np.ndarray, names: list) -> Iterator[pa.RecordBatch]:
+    doc, place, key = _once(doc, place, key)
+    head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    size = np.diff(np.append(head, len(doc)))
+    odd = np.bitwise_or.reduceat(key & np.uint32(1), head) > 0
+    if not odd.any():
+        return
+    kept, offsets = np.repeat(odd, size), pa.array(np.append(0, np.cumsum(size[odd])), pa.int32())
+    columns = {
+        "doc": pa.array(doc[head[odd]]),
+        "xs": pa.ListArray.from_arrays(offsets, pa.array(place[kept].astype(np.int32))),
+        "ys": pa.ListArray.from_arrays(offsets, pa.array(key[kept].view(np.int32))),
+    }
+    blank = int(odd.sum())
+    yield pa.RecordBatch.from_arrays(
+        [columns[n] if n in columns else pa.nulls(blank, t) for n, t in zip(names, _CANDIDATE_KINDS)], names
+    )
+
+
 def _pairs(found: tuple) -> Iterator[tuple]:
     """(document, owner, xs, ys, reaches) of runs sorted by document and owner."""
     if not len(found[0]):
@@ -411,6 +467,106 @@ def candidates(docs: DataFrame, buckets: int) -> DataFrame:
     return _dealt(settled, buckets).mapInArrow(tidy(_candidates_of), _CANDIDATE)
 
 
+# --- frequent seeds, by twos ----------------------------------------------------------------------
+
+
+def _within(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, spans: list[np.ndarray]) -> np.ndarray:
+    """Whether one of the spans (documents, starts, stops) holds each stretch; documents are small numbers."""
+    owner, first, last = spans
+    if not len(owner):
+        return np.zeros(len(doc), bool)
+    order = np.lexsort((first, owner))
+    low = (owner << 32 | first)[order]
+    far = np.maximum.accumulate((owner << 32 | last)[order])
+    at = np.searchsorted(low, doc << 32 | start, side="right") - 1
+    return (at >= 0) & (far[np.maximum(at, 0)] >= (doc << 32 | stop))
+
+
+def _twos(sizes: np.ndarray, place: np.ndarray, key: np.ndarray, passages: list[np.ndarray], exact: np.ndarray):
+    """(document, place, key, distance and whether wanted) of two seeds APART words, one of them frequent.
+
+    ``sizes`` are the numbers of seeds of each document, ``passages`` (document, start, stop) are
+    those found so far.  Wanted are stretches that passages do not cover.  A stretch in an exact
+    passage is left out: its first document has the same two.
+    """
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    at = doc << 32 | place
+    low, high = np.searchsorted(at, at + APART[0]), np.searchsorted(at, at + APART[1], side="right")
+    count = high - low
+    one = np.repeat(np.arange(len(at)), count)
+    two = np.arange(len(one)) + np.repeat(low - (np.cumsum(count) - count), count)
+    odd = ((key[one] | key[two]) & np.uint32(1)) > 0
+    one, two = one[odd], two[odd]
+    start, stop = place[one], place[two] + KMER
+    kept = ~_within(doc[one], start, stop, [x[exact] for x in passages])
+    one, two, start, stop = one[kept], two[kept], start[kept], stop[kept]
+    joined = _joined(*passages) if len(passages[0]) else passages
+    wanted = ~_within(doc[one], start, stop, joined)
+    bare = (key >> np.uint32(1)).astype(np.uint64)
+    both = mix(mix(bare[one]) * np.uint64(0x9E3779B97F4A7C15) + bare[two]).view(np.int64)
+    return doc[one], start, both, (place[two] - start) << 1 | wanted
+
+
+def _all_matches(key: np.ndarray, doc: np.ndarray, place: np.ndarray, other: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """(doc, owner, place, owner place) of wanted rows sorted by key and doc with all earlier documents."""
+    rank, head, start = _holders(key, doc)
+    at = np.arange(len(key))
+    begin = np.flatnonzero(start == at)
+    first = np.searchsorted(begin, head)
+    sizes = np.diff(np.append(begin, len(key)))
+    wanted = np.flatnonzero((other & 1 > 0) & (rank > 0))
+    ends = np.cumsum(rank[wanted])
+    low = 0
+    while low < len(wanted):
+        base = ends[low] - rank[wanted[low]]
+        high = max(low + 1, int(np.searchsorted(ends, base + MATCHED, side="right")))
+        rows, count = wanted[low:high], rank[wanted[low:high]]
+        nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        rows = np.repeat(rows, count)
+        owner = first[rows] + nth
+        theirs = begin[owner] + np.minimum((at - start)[rows], sizes[owner] - 1)
+        mine, x, their, y = doc[rows], place[rows], doc[theirs], place[theirs]
+        yield _once(
+            np.tile(mine, 2), np.tile(their, 2),
+            np.concatenate([x, x + (other[rows] >> 1)]), np.concatenate([y, y + (other[theirs] >> 1)]),
+        )
+        low = high
+
+
+def by_twos(shared: DataFrame, passages: DataFrame, buckets: int) -> DataFrame:
+    """Chains (rows like those of ``candidates``) of documents with any earlier one that has the
+    same two seeds APART words, one of them frequent, where ``passages`` leave words of it uncovered.
+
+    ``shared`` has the places and keys of the seeds that several documents have.
+    """
+    spans = passages.groupBy("doc").agg(F.collect_set(F.struct("start", "stop", "exact")).alias("found"))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, batch in enumerate(batches):
+            ids = batch["doc"].to_numpy()
+            sizes = np.diff(batch["xs"].offsets.to_numpy())
+            place, key = (batch[c].flatten().to_numpy() for c in ("xs", "ys"))
+            found = [
+                (n, span["start"], span["stop"], span["exact"])
+                for n, several in enumerate(batch["found"].to_pylist()) for span in several or ()
+            ]
+            taken = [np.array(c, np.int64) for c in zip(*found)] or [np.zeros(0, np.int64)] * 4
+            doc, start, both, other = _twos(sizes, place.astype(np.int64), key.view(np.uint32), taken[:3], taken[3] > 0)
+            if len(doc):
+                yield from _send(number, TWOS, _by_key(both, buckets), ids[doc], start, both, other)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, kinds in _received(batches):
+            doc, place, key, other = kinds.pop(TWOS)
+            key, doc, place, other = _once(key, doc, place, other)
+            for mine, owner, x, y in _all_matches(key, doc, place, other):
+                yield from _send(part, MATCHES, _by_doc(mine, buckets), mine, x, owner, y)
+
+    sent = shared.join(spans.hint("merge"), "doc", "left").mapInArrow(tidy(keys), ROW)
+    matched = _dealt(sent, buckets).mapInArrow(tidy(match), ROW)
+    return _dealt(matched, buckets).mapInArrow(tidy(_candidates_of), _CANDIDATE)
+
+
 # --- exact runs -----------------------------------------------------------------------------------
 
 _PASSAGE = "doc long, start int, stop int, owner long, owner_start int, owner_stop int"
@@ -624,10 +780,11 @@ def align(
     return list(passages(0, len(xs)))
 
 
-def _segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _segments(docs: DataFrame, wanted: DataFrame, hint: str | None = "merge") -> DataFrame:
     """(doc, start, stop, exact, words) of the wanted word spans, clipped at the text's end.
 
-    A document's spans meet its text as one array, so the text goes to Python once.
+    A document's spans meet its text as one array, so the text goes to Python once.  Without a
+    hint texts are only shuffled where the spans are many.
     """
     names = ["doc", "start", "stop", "exact", "words"]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
@@ -647,8 +804,9 @@ def _segments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
     spans = wanted.groupBy("doc").agg(F.collect_set(F.struct("start", "stop", "exact")).alias("spans"))
+    spans = spans.hint(hint) if hint else written(spans, "passage_wanted")
     source = docs.withColumnRenamed("doc_id", "doc")
-    return source.join(spans.hint("merge"), "doc").select("doc", "text", "spans").mapInArrow(
+    return source.join(spans, "doc").select("doc", "text", "spans").mapInArrow(
         tidy(run), "doc long, start int, stop int, exact boolean, words binary"
     )
 
@@ -674,7 +832,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     with the least hash stands for the document, and the others have no passage.
     """
     docs = texts(docs)
-    return _passages(docs, several_texts(docs))
+    return _passages(docs, several_texts(docs)).select(*_NAMES)
 
 
 def _passages(docs: DataFrame, several: DataFrame) -> DataFrame:
@@ -686,15 +844,31 @@ def _passages(docs: DataFrame, several: DataFrame) -> DataFrame:
     buckets = bucket_count(docs, BUCKET_BYTES)
     everything = written(candidates(docs, buckets), "passage_candidates")
     found = everything.where("owner IS NOT NULL")
-    wanted = everything.select("doc", "start", "stop", F.col("owner").isNull().alias("exact")).unionByName(
-        found.select(
-            F.col("owner").alias("doc"), F.col("owner_start").alias("start"), F.col("owner_stop").alias("stop"),
-            F.lit(False).alias("exact"),
-        )
-    )
-    cut = written(_segments(docs, wanted), "passage_segments")
+    spans = everything.where("owner IS NULL AND start IS NOT NULL").select("doc", "start", "stop", F.lit(True).alias("exact"))
+    cut = written(_segments(docs, spans.unionByName(_to_align(found))), "passage_segments")
     exact = exact_passages(cut.where("exact"), buckets)
-    segments = cut.where("NOT exact").drop("exact")
+    first = written(
+        _aligned(found, cut.where("NOT exact")).withColumn("exact", F.lit(False)).unionByName(
+            exact.withColumn("exact", F.lit(True))
+        ), "passage_first"
+    )
+    shared = everything.where("start IS NULL").select("doc", "xs", "ys")
+    more = written(by_twos(shared, first, buckets), "passage_more")
+    first = first.drop("exact")
+    if more.isEmpty():
+        return first
+    return first.unionByName(_aligned(more, written(_segments(docs, _to_align(more), None), "passage_more_segments")))
+
+
+def _to_align(found: DataFrame) -> DataFrame:
+    """The word spans of both sides of chains."""
+    theirs = found.selectExpr("owner AS doc", "owner_start AS start", "owner_stop AS stop", "false AS exact")
+    return found.selectExpr("doc", "start", "stop", "false AS exact").unionByName(theirs)
+
+
+def _aligned(found: DataFrame, segments: DataFrame) -> DataFrame:
+    """The passages of chains, aligned on the words of their segments."""
+    segments = segments.drop("exact")
     theirs = segments.select(
         F.col("doc").alias("owner"), F.col("start").alias("owner_start"),
         F.col("stop").alias("owner_stop"), F.col("words").alias("owner_words"),
@@ -722,7 +896,7 @@ def _passages(docs: DataFrame, several: DataFrame) -> DataFrame:
                 ["doc", "start", "stop", "owner", "owner_start", "owner_stop"],
             )
 
-    return both.mapInArrow(tidy(run), _PASSAGE).unionByName(exact)
+    return both.mapInArrow(tidy(run), _PASSAGE)
 
 
 def merged_spans(passages: DataFrame) -> DataFrame:

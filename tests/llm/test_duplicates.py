@@ -404,3 +404,53 @@ def test_clashing_columns_survive(spark):
     assert cut.columns == docs.columns and sorted(map(tuple, cut.collect())) == [rows[0], (2, "", *rows[1][2:])]
     kept = keep_rows(docs, exact.exact_groups(docs))
     assert kept.columns == docs.columns and list(map(tuple, kept.collect())) == rows[:1]
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_recall_of_passages_whose_seeds_are_all_frequent(docs_of, partitions):
+    """Ten earlier documents have the lines of a passage in another order, one has the passage."""
+    pick, rows, targets = random.Random(21), [], {}
+
+    def fresh(n):
+        return [f"v{pick.randrange(10**6)}" for _ in range(n)]
+
+    for k in range(0, 1000, 50):
+        shared = fresh(72)
+        for d in range(10):
+            lines = [shared[i:i + 12] for i in range(6 * (d % 2), 72, 12)]
+            rows.append((k + d, " ".join(w for line in lines[::-1] for w in fresh(30) + line)))
+        copy = list(shared)
+        copy[6::12] = fresh(6)
+        rows += [(k + 20, " ".join(fresh(20) + shared + fresh(20))), (k + 21, " ".join(fresh(20) + copy + fresh(20)))]
+        targets[k + 21] = set(range(20, 92))
+    assert found_share(rows, targets, lambda given: docs_of(given, partitions)) >= 0.9
+
+
+def test_twos_and_their_matches_equal_brute_force():
+    pick = random.Random(22)
+    low, high = chaining.APART
+    sizes = np.array([40, 0, 60, 25])
+    place = np.concatenate([np.sort(pick.sample(range(200), n)) for n in sizes if n]).astype(np.int64)
+    key = np.array([pick.randrange(8) for _ in place], np.uint32)
+    spans = [(0, 10, 70, True), (0, 60, 120, False), (2, 0, 90, True), (2, 80, 150, True), (2, 150, 170, False)]
+    doc, start, both, other = chaining._twos(
+        sizes, place, key, [np.array(c) for c in list(zip(*spans))[:3]], np.array([s[3] for s in spans])
+    )
+    expected, at = [], np.repeat(np.arange(4), sizes)
+    for i in range(len(place)):
+        for j in range(len(place)):
+            if at[i] != at[j] or not low <= place[j] - place[i] <= high or not (key[i] | key[j]) & 1:
+                continue
+            mine, stop = [s for s in spans if s[0] == at[i]], place[j] + chaining.KMER
+            if any(s[3] and s[1] <= place[i] and stop <= s[2] for s in mine):
+                continue
+            covered = {w for s in mine for w in range(s[1], s[2])}
+            expected.append((at[i], place[i], place[j] - place[i], not set(range(place[i], stop)) <= covered))
+    got = sorted(zip(doc.tolist(), start.tolist(), (other >> 1).tolist(), (other & 1 > 0).tolist()))
+    assert got == sorted(expected) and {x[3] for x in got} == {True, False}
+    key, doc, start, other = chaining._once(both, doc, start, other)
+    found = {pair for rows in chaining._all_matches(key, doc, start, other) for pair in zip(*(c.tolist() for c in rows[:2]))}
+    assert found == {
+        (int(doc[i]), int(doc[j])) for i in range(len(key)) for j in range(len(key))
+        if key[i] == key[j] and doc[j] < doc[i] and other[i] & 1
+    }
