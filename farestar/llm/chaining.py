@@ -313,9 +313,10 @@ def _frequent(key: np.ndarray, doc: np.ndarray, crowd: np.ndarray) -> tuple[np.n
     OWNERS + 1.  Keys in ``crowd`` have more than are here."""
     rank, head, _ = _holders(key, doc)
     first = np.flatnonzero(head == np.arange(len(key)))
-    last = np.repeat(np.maximum.reduceat(rank, first), np.diff(np.append(first, len(key))))
-    many = (last > OWNERS) | np.isin(key, crowd)
-    return (last > 0) | many, many
+    sizes = np.diff(np.append(first, len(key)))
+    last = np.maximum.reduceat(rank, first)
+    many = (last > OWNERS) | np.isin(key[first], crowd)
+    return np.repeat((last > 0) | many, sizes), np.repeat(many, sizes)
 
 
 def _settled(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -374,7 +375,7 @@ def _candidates_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Step 3: the chains of a bucket of documents, their spans without an owner, and the seeds
     that each shares: places and keys (odd: of a frequent seed) as xs and ys of a row without span.
 
-    Documents without a frequent seed have no such row.
+    Seeds that no frequent one stands near make no key and are left out.
     """
     names = [field.split()[0] for field in _CANDIDATE.split(", ")]
 
@@ -408,20 +409,23 @@ def _candidates_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _shared_rows(doc: np.ndarray, place: np.ndarray, key: np.ndarray, names: list) -> Iterator[pa.RecordBatch]:
     doc, place, key = _once(doc, place, key)
-    head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    size = np.diff(np.append(head, len(doc)))
-    odd = np.bitwise_or.reduceat(key & np.uint32(1), head) > 0
-    if not odd.any():
+    at = np.cumsum(np.concatenate([[True], doc[1:] != doc[:-1]])) << 32 | place
+    odd = at[key & np.uint32(1) > 0]
+    if not len(odd):
         return
-    kept, offsets = np.repeat(odd, size), pa.array(np.append(0, np.cumsum(size[odd])), pa.int32())
+    after = np.searchsorted(odd, at)
+    near = at - odd[np.maximum(after, 1) - 1], odd[np.minimum(after, len(odd) - 1)] - at
+    kept = np.logical_or.reduce([(n >= 0) & (n <= APART[1]) for n in near])
+    doc, place, key = doc[kept], place[kept], key[kept]
+    head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    offsets = pa.array(np.append(head, len(doc)), pa.int32())
     columns = {
-        "doc": pa.array(doc[head[odd]]),
-        "xs": pa.ListArray.from_arrays(offsets, pa.array(place[kept].astype(np.int32))),
-        "ys": pa.ListArray.from_arrays(offsets, pa.array(key[kept].view(np.int32))),
+        "doc": pa.array(doc[head]),
+        "xs": pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32))),
+        "ys": pa.ListArray.from_arrays(offsets, pa.array(key.view(np.int32))),
     }
-    blank = int(odd.sum())
     yield pa.RecordBatch.from_arrays(
-        [columns[n] if n in columns else pa.nulls(blank, t) for n, t in zip(names, _CANDIDATE_KINDS)], names
+        [columns[n] if n in columns else pa.nulls(len(head), t) for n, t in zip(names, _CANDIDATE_KINDS)], names
     )
 
 
