@@ -6,7 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farestar.llm import chaining, exact, minhash, packing, toxicity
-from farestar.llm.common import documents, id_remainder, keep_rows, written
+from farestar.llm.common import bounded_batches, documents, id_remainder, keep_rows, written
+
+#: Executors keep native memory of all stages before, so tasks hold less at once than in an operator
+#: that runs alone: bytes of an Arrow batch, characters of a block that is packed.
+BATCH_BYTES = 2 << 20
+PACKED_CHARS = 1 << 22
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +45,9 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in windows of 2048 ids."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+    return packing.pack(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, block_chars=PACKED_CHARS
+    )
 
 
 STAGES = [
@@ -57,6 +64,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
+    bounded_batches(spark, BATCH_BYTES)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")

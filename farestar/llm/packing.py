@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from farestar.llm.common import texts, tidy, written
 from farestar.llm.scan import running_totals
 from farestar.llm.tokens import byte_coder, byte_vocabulary, space_words
-from farestar.llm.wordshuffle import encode_blocks
+from farestar.llm.wordshuffle import BLOCK_CHARS, encode_blocks
 
 WINDOW = 2048
 #: Of the combinations of three, the middle length is a multiple of window / TRIPLE_STEPS.
@@ -146,7 +146,9 @@ def make_plan(histogram: np.ndarray, whole_windows: int, window: int = WINDOW) -
     )
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> DataFrame:
+def cut_documents(
+    docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, block_chars: int = BLOCK_CHARS
+) -> DataFrame:
     """The ids of every document, its tail length and the tail's number in its packet."""
     end = np.array([end_id], np.uint32)
 
@@ -169,18 +171,21 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = WI
 
     return encode_blocks(
         texts(docs), space_words, byte_coder, byte_vocabulary(docs.sparkSession, tokenizer), finish, CUT,
-        purpose="cut_documents",
+        purpose="cut_documents", block_chars=block_chars,
     )
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, block_chars: int = BLOCK_CHARS
+) -> DataFrame:
     """Every piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Each sequence is filled from offset 0 without gaps; all but the last hold exactly
     ``window`` ids.  NULL and empty texts are the end id alone; repeated rows and NULL doc_ids
-    are packed like any other; an empty table gives no piece.
+    are packed like any other; an empty table gives no piece.  A task holds ``block_chars`` of text
+    at once; with fewer, a word crosses the network more often.
     """
-    cut = cut_documents(docs, tokenizer, end_id, window)
+    cut = cut_documents(docs, tokenizer, end_id, window, block_chars)
     counts = written(
         cut.groupBy("block", "packet", "tail").agg(
             F.count("*").alias("n"), F.expr(f"sum(n_ids div {window})").alias("windows")

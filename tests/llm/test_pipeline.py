@@ -109,3 +109,27 @@ def test_stages_equal_brute_force(spark, sf_dir):
         assert [p.start for p in found] == [sum(p.length for p in found[:i]) for i in range(len(found))]
         assert sum(p.length for p in found) == len(ids) == found[0].doc_tokens
         assert all(p.ids_crc32 == crc(ids[p.start:p.start + p.length]) for p in found)
+
+
+def test_tasks_of_the_pipeline_hold_less_at_once(spark, docs_of, prose, monkeypatch):
+    """Batches stay small in every stage, and packing is done in the smaller blocks."""
+    from farestar.llm import common, packing
+
+    held, given = spark.conf.get(common._BATCH_CONF), []
+    blocks = packing.encode_blocks
+
+    def seen(*values, **named):
+        given.append((named["block_chars"], spark.conf.get(common._BATCH_CONF)))
+        return blocks(*values, **named)
+
+    monkeypatch.setattr(packing, "encode_blocks", seen)
+    monkeypatch.setattr(corpus_pipeline, "documents", lambda *_: docs_of([(i, prose(i)) for i in range(9)]))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[1:])
+    try:
+        for most in ("8388608", "64MB"):
+            spark.conf.set(common._BATCH_CONF, most)
+            assert corpus_pipeline.run(spark, "").select("doc_id").distinct().count() > 0
+    finally:
+        spark.conf.set(common._BATCH_CONF, held)
+    assert set(given) == {(corpus_pipeline.PACKED_CHARS, str(corpus_pipeline.BATCH_BYTES))}
+    assert corpus_pipeline.BATCH_BYTES < common.BATCH_BYTES
