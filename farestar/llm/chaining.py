@@ -27,10 +27,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from farestar.llm.common import texts, tidy, written
+from farestar.llm.common import free_shuffles, texts, tidy, written, written_to
 from farestar.llm.keycounts import ROW, row
-from farestar.llm.shingles import Shingler, mix
+from farestar.llm.shingles import mix, word_hashes
 from farestar.llm.wordshuffle import blocks_of, bucket_count, pack_numbers, unpack_numbers
+from farestar.session import scratch_folder
 
 #: Words of a seed; of all k-mers one in PICK is a seed.
 KMER, PICK = 5, 3
@@ -216,14 +217,15 @@ def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict]]:
 
     for batch in batches:
         for i in range(batch.num_rows):
-            got = {c: batch[c][i].as_py() for c in ("kind", "part", "keys", "counts", "places", "doc_ids", "sizes")}
+            got = {c: batch[c][i].as_py() for c in ("kind", "part", "keys", "counts", "places")}
+            doc_ids, sizes = (batch[c][i].values.to_numpy() for c in ("doc_ids", "sizes"))
             if got["part"] != part:
                 if held:
                     yield finish()
                 part, held = got["part"], {}
             kind = np.uint32 if got["kind"] in (SEEDS, SHARED) else np.int64
             held.setdefault(got["kind"], []).append((
-                np.repeat(np.array(got["doc_ids"], np.int64), got["sizes"]), _walk(got["places"]),
+                np.repeat(doc_ids, sizes), _walk(got["places"]),
                 np.frombuffer(zstandard.decompress(got["keys"]), kind), _walk(got["counts"]),
             ))
     if held:
@@ -458,10 +460,8 @@ def candidates(docs: DataFrame, buckets: int) -> DataFrame:
     another document has the longer seed picked from it.
     """
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         for block, doc_ids, values in blocks_of(batches, BLOCK_CHARS):
-            words = [shingler.words(t.as_py()) for t in values]
-            sizes, words, ids = np.array([len(w) for w in words]), np.concatenate(words), np.array(doc_ids, np.int64)
+            (words, sizes), ids = word_hashes(values), np.array(doc_ids, np.int64)
             yield from _seed_packets(block, ids, words, sizes, buckets)
             yield from _span_packets(block, ids, words, sizes, buckets)
 
@@ -583,9 +583,9 @@ def exact_passages(segments: DataFrame, buckets: int) -> DataFrame:
     Of a run that several documents of a block have, one row is shuffled by its hash; the others
     have an earlier document in the block.
     """
-    def of_block(block: int, doc_ids: list[int], starts: list[int], words: list) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(w) for w in words])
-        key = grams(np.concatenate(words), MIN_WORDS).view(np.int64)
+    def of_block(block: int, doc_ids: list[int], starts: list[int], texts: list[str]) -> Iterator[pa.RecordBatch]:
+        words, sizes = word_hashes(pa.array(texts, pa.string()))
+        key = grams(words, MIN_WORDS).view(np.int64)
         ends = np.cumsum(sizes)
         at = np.repeat(np.arange(len(sizes)), sizes)[:len(key)]
         inside = np.flatnonzero(np.arange(len(key)) + MIN_WORDS <= ends[at])
@@ -603,14 +603,12 @@ def exact_passages(segments: DataFrame, buckets: int) -> DataFrame:
         yield from _send(block, EXACT, _by_key(key, buckets), doc, place, key, np.zeros_like(place))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         held, size, number = ([], [], []), 0, 0
         for batch in batches:
-            for doc, start, words in zip(batch["doc"], batch["start"], batch["words"]):
-                text = words.as_py()
-                for column, x in zip(held, (doc.as_py(), start.as_py(), shingler.words_of(text))):
+            for doc, start, words in zip(*(batch[c].to_pylist() for c in ("doc", "start", "words"))):
+                for column, x in zip(held, (doc, start, words.decode())):
                     column.append(x)
-                size += len(text)
+                size += len(words)
                 if size >= BLOCK_CHARS:
                     yield from of_block(number, *held)
                     held, size, number = ([], [], []), 0, number + 1
@@ -845,19 +843,22 @@ def _passages(docs: DataFrame, several: DataFrame) -> DataFrame:
         docs = docs.join(several, docs["doc_id"] == several["doc"], "left").where(
             "digest IS NULL OR digest = xxhash64(text)"
         ).select("doc_id", "text")
+    spark = docs.sparkSession
+    free_shuffles(spark)
+    chains, texts_cut = (scratch_folder(spark, name) for name in ("passage_candidates", "passage_segments"))
     buckets = bucket_count(docs, BUCKET_BYTES)
-    everything = written(candidates(docs, buckets), "passage_candidates")
+    everything = written_to(candidates(docs, buckets), chains)
     found = everything.where("owner IS NOT NULL")
     spans = everything.where("owner IS NULL AND start IS NOT NULL").select("doc", "start", "stop", F.lit(True).alias("exact"))
-    cut = written(_segments(docs, spans.unionByName(_to_align(found))), "passage_segments")
-    exact = exact_passages(cut.where("exact"), buckets)
+    cut = written_to(_segments(docs, spans.unionByName(_to_align(found))), texts_cut)
+    exact = written(exact_passages(cut.where("exact"), buckets), "passage_exact")
     first = written(
         _aligned(found, cut.where("NOT exact")).withColumn("exact", F.lit(False)).unionByName(
             exact.withColumn("exact", F.lit(True))
-        ), "passage_first"
+        ), "passage_first", instead_of=texts_cut
     )
     shared = everything.where("start IS NULL").select("doc", "xs", "ys")
-    more = written(by_twos(shared, first, buckets), "passage_more")
+    more = written(by_twos(shared, first, buckets), "passage_more", instead_of=chains)
     first = first.drop("exact")
     if more.isEmpty():
         return first

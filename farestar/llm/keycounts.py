@@ -30,8 +30,14 @@ _ARROW = pa.schema([
 TOTALS, KEYS, DOCS = range(3)
 
 
+def _cell(value, kind: pa.DataType) -> pa.Array:
+    if isinstance(value, np.ndarray):
+        return pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), pa.array(value, kind.value_type))
+    return pa.array([value], kind)
+
+
 def row(**values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in _ARROW], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([_cell(values.get(f.name), f.type) for f in _ARROW], schema=_ARROW)
 
 
 def squeeze(values: np.ndarray) -> bytes:

@@ -454,3 +454,45 @@ def test_twos_and_their_matches_equal_brute_force():
         (int(doc[i]), int(doc[j])) for i in range(len(key)) for j in range(len(key))
         if key[i] == key[j] and doc[j] < doc[i] and other[i] & 1
     }
+
+
+def test_passages_leave_no_shuffles_and_no_intermediate_texts(spark, docs_of, prose, monkeypatch, tmp_path):
+    """The files of a step go when it ends, not when the driver happens to collect garbage."""
+    import re
+    import time
+
+    from farestar.llm import common
+
+    def folder(_, purpose):
+        return str(tmp_path / f"{purpose}-{time.time_ns()}")
+
+    def shuffles():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {int(n) for n in re.findall(r"shuffle_(\d+)_", disk.getAllBlocks().mkString(" "))}
+
+    monkeypatch.setattr(common, "scratch_folder", folder)
+    monkeypatch.setattr(chaining, "scratch_folder", folder, raising=False)
+    before = shuffles()
+    docs = docs_of([(i, prose(i % 5) + " " + prose(90 + i)) for i in range(20)])
+    assert chaining.repeated_passages(docs).localCheckpoint().count() > 0
+    for _ in range(50):
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    names = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert "passage_first" in names and not names & {"passage_candidates", "passage_segments"}
+
+
+def test_words_of_many_texts_have_the_hashes_of_single_ones():
+    import pyarrow as pa
+
+    from farestar.llm.shingles import Shingler, word_hashes
+
+    texts = ["", " \n", "One two\tTWO", "one", "é É ab\x85c \x1c abcdefghi\x00\x0b\x0c  abc", "  x ", "one two two"]
+    for first, last in ((0, 7), (2, 4), (0, 1), (0, 0)):
+        values, sizes = word_hashes(pa.array(texts, pa.string())[first:last])
+        expected = [Shingler().words(t).tolist() for t in texts[first:last]]
+        assert sizes.tolist() == [len(x) for x in expected]
+        assert values.tolist() == [x for row in expected for x in row]
