@@ -129,6 +129,73 @@ def test_suffix_order_equals_sorting(budget):
         assert suffix_order(text, len(text), budget).tolist() == expected
 
 
+def test_suffixes_told_apart_are_not_sorted_again(monkeypatch):
+    """Only equal runs that are shorter than the depth are ranked anew, and order holds to the depth."""
+    rng = np.random.default_rng(2)
+    repeated, single = rng.integers(2, 6, 120), rng.integers(2, 200, 20000)
+    text = np.concatenate([repeated, [1], single, [1], repeated, [1], [0]]).astype(np.uint16)
+    sizes, argsort = [], np.argsort
+
+    def counted(values, kind=None, **named):
+        if kind is None:
+            sizes.append(len(values))
+        return argsort(values, kind=kind, **named)
+
+    monkeypatch.setattr(np, "argsort", counted)
+    order = suffix_order(text, 50).tolist()
+    assert sum(sizes) < 1000
+    symbols = text.tolist()
+    cut = [symbols[i:i + 50] for i in order]
+    assert sorted(order) == list(range(len(symbols))) and cut == sorted(cut)
+
+
+def test_shards_sorted_in_parts_equal_brute_force(corpus, monkeypatch):
+    """Segments of different minimizers are sorted apart; small shards take every path of it."""
+    most, sort = [], substrings._gone
+
+    def seen(raw, *rest):
+        most.append(len(raw))
+        return sort(raw, *rest)
+
+    rows = corpus
+    texts = [(i, (t or "").encode()) for i, t in rows if i is not None]
+    raw = np.frombuffer(b"".join(t for _, t in texts), np.uint8)
+    value, doc, start, count = substrings.segments(raw, np.array([len(t) for _, t in texts], np.int64))
+    ids = np.array([i for i, _ in texts])[doc].tolist()
+    pieces = [raw[a:a + n + substrings.LENGTH - 1].tobytes() for a, n in zip(start.tolist(), count.tolist())]
+    parts = [substrings.pack_numbers(x) for x in (count, np.ones_like(count), start)]
+    parts.append(substrings.zstandard.compress(b"".join(pieces)))
+    row = {"block": 0, "doc_ids": ids, "sizes": [len(p) for p in parts], "content": b"".join(parts)}
+    monkeypatch.setattr(substrings, "_gone", seen, raising=False)
+    removed = []
+    for size in (1 << 30, 1 << 9):
+        monkeypatch.setattr(substrings, "SORT_BYTES", size, raising=False)
+        runs = [substrings._read_runs(p["content"][0].as_py()) for p in substrings._judge([row])]
+        removed.append({i for first, last in runs for a, b in zip(first.tolist(), last.tolist()) for i in range(a, b)})
+    assert len(most) > 2 and max(most[1:]) < most[0]
+    first = {}
+    strings = [(a + i, d, p[i:i + substrings.LENGTH]) for a, d, p in zip(start.tolist(), ids, pieces) for i in range(len(p) - substrings.LENGTH + 1)]
+    for _, d, text in strings:
+        first[text] = min(d, first.get(text, d))
+    assert removed[0] == removed[1] == {at for at, d, text in strings if d > first[text]}
+
+
+def test_segments_are_runs_of_one_minimizer():
+    pick = random.Random(3)
+    for _ in range(60):
+        texts = [bytes(pick.choice(b"abc") for _ in range(pick.choice([0, 1, 49, 50, 51, 70, 300]))) for _ in range(pick.randrange(7))]
+        expected = []
+        for n, text in enumerate(texts):
+            least = substrings.minimizers(np.frombuffer(text, np.uint8)).tolist() if len(text) >= 50 else []
+            for i, value in enumerate(least):
+                if i and least[i - 1] == value:
+                    expected[-1][3] += 1
+                else:
+                    expected.append([value, n, sum(map(len, texts[:n])) + i, 1])
+        found = substrings.segments(np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64))
+        assert [list(x) for x in zip(*(c.tolist() for c in found))] == expected
+
+
 def test_substrings_equal_brute_force(docs_of, corpus):
     got = substrings.remove_repeats(docs_of(corpus)).collect()
     found = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got]
