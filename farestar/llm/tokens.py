@@ -6,6 +6,7 @@ import json
 import os
 import re
 import string
+from itertools import compress
 
 import numpy as np
 import public_tokenizers
@@ -93,6 +94,22 @@ def token_bytes(content: bytes) -> list[bytes]:
     return [spelled.get(i, b"") for i in range(max(spelled) + 1)]
 
 
+#: Stands between words that are encoded at once: white space that is a pre-token by itself there.
+_MARK, _SEPARATOR = "\x0b", b"\x0b"
+#: A word that a mark on either side leaves as it is: at most one space before it, none after it.
+_BOUND = re.compile(r" ?\S(?:[^\x0b]*\S)?").fullmatch
+#: Whether joined words hold one that is not bound.
+_LOOSE = re.compile(r"(?:\A|\x0b)(?! ?\S)|[^\S\x0b](?:\x0b|\Z)").search
+
+
+def _split_ids(merges, joined: str) -> list[list[int]]:
+    """The ids of each of the words that marks join, encoded at once."""
+    found = merges.encode_to_numpy(joined, disallowed_special=())
+    ends = np.append(np.flatnonzero(found == merges.encode_single_token(_SEPARATOR)), len(found)).tolist()
+    ids = found.tolist()
+    return [ids[a:b] for a, b in zip([0, *(e + 1 for e in ends)], ends)]
+
+
 def byte_vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """For ``byte_coder``: the file, and the rank of every token where ids follow the merges."""
     with open(path, "rb") as handle:
@@ -126,9 +143,17 @@ def byte_coder(vocabulary: tuple[bytes, dict | None, tuple], plain: bool = False
         return lambda words: encode([word.decode() for word in words])
     merges = tiktoken.Encoding("ranks", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def one(text: str) -> list[int]:
+        return encode([text])[0] if special(text) else merges.encode_ordinary(text)
+
     def ids(words: list[bytes]) -> list[list[int]]:
+        joined = _SEPARATOR.join(words).decode()
+        if joined.count(_MARK) == len(words) - 1 and not special(joined) and not _LOOSE(joined):
+            return _split_ids(merges, joined)
         texts = [word.decode() for word in words]
-        return [encode([text])[0] if special(text) else merges.encode_ordinary(text) for text in texts]
+        bound = [bool(_BOUND(text)) and not special(text) for text in texts]
+        found = iter(_split_ids(merges, _MARK.join(compress(texts, bound))) if any(bound) else ())
+        return [next(found) if at_once else one(text) for text, at_once in zip(texts, bound)]
 
     return ids
 

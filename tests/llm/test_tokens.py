@@ -56,3 +56,28 @@ def test_numbers_survive_packing():
 
     for values in ([], [0], [0, 127, 128, 1 << 14, (1 << 14) - 1, 1 << 21, 1 << 28, (1 << 32) - 1, 5]):
         assert unpack_numbers(pack_numbers(np.array(values, np.uint32))).tolist() == values
+
+
+@pytest.mark.parametrize("file, vocabulary, coder, separator", [
+    ("byte_bpe_50k.json", tokens.byte_vocabulary, tokens.byte_coder, " "),
+])
+def test_words_are_encoded_many_at_a_time(spark, monkeypatch, file, vocabulary, coder, separator):
+    """Few calls for many words, and words that white space or marks would join are still right."""
+    import tiktoken
+
+    calls = []
+    for name in ("encode_ordinary", "encode_to_numpy"):
+        def counted(self, *values, _real=getattr(tiktoken.Encoding, name), **named):
+            calls.append(1)
+            return _real(self, *values, **named)
+
+        monkeypatch.setattr(tiktoken.Encoding, name, counted)
+    path = public_tokenizers.path(file)
+    encode, expected = coder(vocabulary(spark, path).value), library(path)
+    words = [f"{separator}word{i}'s,Zürich{i}x" for i in range(500)]
+    assert encode([w.encode() for w in words]) == [expected(w) for w in words]
+    assert len(calls) < 10
+    odd = ["", "a", "a\x0b", "\x0bb", "c\x0b\x0bd", "'s", "x\n", "\x85", "y\xa0", "\x1cz", "<|endoftext|>", "ß", "ΑΣ", "ok"]
+    odd += [" " + w for w in odd] if separator else []
+    for mixed in (odd, odd[::-1], odd[1:2], [odd[1], odd[-1]], []):
+        assert encode([w.encode() for w in mixed]) == [expected(w) for w in mixed]
