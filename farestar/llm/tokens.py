@@ -199,32 +199,46 @@ def word_coder(vocabulary: tuple[bytes, dict | None, tuple]):
     encode, special = _tokenizer(content), _holds(added)
     if ranks is None:
         return lambda words: encode([word.decode() for word in words])
-    merges = tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-    split = regex.compile(WORD_PATTERN).findall
+    # Neither words nor pieces hold the mark, so a stretch without it is merged as a whole.
+    merges = tiktoken.Encoding("ranks", pat_str=r"[^\x0b]+|\x0b", mergeable_ranks=ranks, special_tokens={})
+    split = regex.compile(WORD_PATTERN + r"|\x0b").findall
     # Letters of these blocks have no combining marks and one-character lower case.
     simple = regex.compile(r"[\x00-\x7f\u00a1-\u012f\u0131-\u017f]*").fullmatch
-    known: dict[str, list[int]] = {}
+    known: dict[str, list[int]] = {_MARK: []}
 
     def piece(text: str) -> list[int]:
-        if text[-1] in _LOWER:
-            return merges.encode_ordinary(text[:-1] + text[-1].upper())
         if text not in known:
             if len(known) > 100_000:
                 known.clear()
+                known[_MARK] = []
             known[text] = encode([text])[0]
         return known[text]
 
-    def pieces(text: str) -> list[int]:
-        text = text.lower()
-        if text.isalpha():
-            return piece(text)
-        return [i for part in split(text) for i in piece(part)]
+    def pieces(texts: list[str]) -> list[list[int]]:
+        """The ids of simple words: of their pieces, those that end in a-z are merged at once."""
+        parts = split(_MARK.join(texts).lower() + _MARK)
+        ranked = [part[:-1] + part[-1].upper() for part in parts if part[-1] in _LOWER]
+        merged = iter(_split_ids(merges, _MARK.join(ranked)) if ranked else ())
+        found, word = [], []
+        for part in parts:
+            if part[-1] in _LOWER:
+                word = word + next(merged) if word else next(merged)
+            elif part == _MARK:
+                found.append(word)
+                word = []
+            else:
+                word = word + piece(part)
+        return found
 
     def ids(words: list[bytes]) -> list[list[int]]:
+        joined = _SEPARATOR.join(words).decode()
+        if joined.count(_MARK) == len(words) - 1 and simple(joined) and not special(joined):
+            return pieces(joined.split(_MARK))
         texts = [word.decode() for word in words]
-        hard = [text for text in texts if not simple(text) or special(text)]
+        hard = [text for text in texts if not simple(text) or special(text) or _MARK in text]
         others = dict(zip(hard, encode(hard) if hard else ()))
-        return [others[text] if text in others else pieces(text) for text in texts]
+        easy = iter(pieces([text for text in texts if text not in others]) if len(others) < len(set(texts)) else ())
+        return [others[text] if text in others else next(easy) for text in texts]
 
     return ids
 

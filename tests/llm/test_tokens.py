@@ -60,6 +60,7 @@ def test_numbers_survive_packing():
 
 @pytest.mark.parametrize("file, vocabulary, coder, separator", [
     ("byte_bpe_50k.json", tokens.byte_vocabulary, tokens.byte_coder, " "),
+    ("word_bpe_49k.json", tokens.word_vocabulary, tokens.word_coder, ""),
 ])
 def test_words_are_encoded_many_at_a_time(spark, monkeypatch, file, vocabulary, coder, separator):
     """Few calls for many words, and words that white space or marks would join are still right."""
