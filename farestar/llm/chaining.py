@@ -19,18 +19,17 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import free_shuffles, texts, tidy, written, written_to
-from farestar.llm.keycounts import ROW, row
+from farestar.llm.rowpackets import PACKET, Rows, dealt, packed, received
 from farestar.llm.shingles import mix, word_hashes
-from farestar.llm.wordshuffle import blocks_of, bucket_count, pack_numbers, unpack_numbers
+from farestar.llm.wordshuffle import blocks_of, bucket_count
 from farestar.session import scratch_folder
 
 #: Words of a seed; of all k-mers one in PICK is a seed.
@@ -167,37 +166,16 @@ def _matches(key: np.ndarray, doc: np.ndarray, place: np.ndarray, late: np.ndarr
     return [np.concatenate(x) for x in zip(*found)]
 
 
-# --- packets: rows (document, place, ...) dealt by a bucket of a key, then by one of the document ---
+# --- rows (document, place, ...) dealt by a bucket of a key, then by one of the document ----------
 
 SEEDS, MATCHES, RUNS, SPANS, EXACT, SHARED, TWOS = range(7)
+#: Kinds whose keys are hashes; other keys are owners, or 0.
+HASHED = {SEEDS: np.uint32, SHARED: np.uint32, SPANS: np.int64, EXACT: np.int64, TWOS: np.int64}
 
 
-def _steps(values: np.ndarray) -> bytes:
-    """Numbers as packed differences."""
-    step = np.diff(values, prepend=0)
-    return pack_numbers((step << 1 ^ step >> 63).astype(np.uint32))
-
-
-def _walk(packed: bytes) -> np.ndarray:
-    step = unpack_numbers(packed).astype(np.int64)
-    return np.cumsum(step >> 1 ^ -(step & 1))
-
-
-def _send(
-    block: int, kind: int, part: np.ndarray, doc: np.ndarray, place: np.ndarray, key: np.ndarray, other: np.ndarray
-) -> Iterator[pa.RecordBatch]:
-    """One packet a part: documents and how many rows of each, keys (or owners), places, others."""
-    order = np.lexsort((place, key, doc, part) if kind == MATCHES else (place, doc, part))
-    heads = np.flatnonzero(np.diff(part[order], prepend=-1))
-    for low, high in zip(heads.tolist(), [*heads[1:].tolist(), len(order)]):
-        mine = order[low:high]
-        ids = doc[mine]
-        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        yield row(
-            block=block, kind=kind, part=int(part[mine[0]]), doc_ids=ids[first],
-            sizes=np.diff(np.append(first, len(ids))).astype(np.int32), places=_steps(place[mine]),
-            keys=zstandard.compress(key[mine].tobytes(), 1), counts=_steps(other[mine]),
-        )
+def _sent(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[Rows]]):
+    """For mapInArrow: the packets of the rows that a task makes."""
+    return tidy(lambda batches: packed(rows(batches), HASHED))
 
 
 def _by_doc(doc: np.ndarray, buckets: int) -> np.ndarray:
@@ -209,43 +187,18 @@ def _by_key(key: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict]]:
-    """(part, {kind: [doc, place, key, other]}) of each part of rows sorted by part."""
-    part, held = None, {}
-
-    def finish() -> tuple[int, dict]:
-        return part, {kind: [np.concatenate(x) for x in zip(*rows)] for kind, rows in held.items()}
-
-    for batch in batches:
-        for i in range(batch.num_rows):
-            got = {c: batch[c][i].as_py() for c in ("kind", "part", "keys", "counts", "places")}
-            doc_ids, sizes = (batch[c][i].values.to_numpy() for c in ("doc_ids", "sizes"))
-            if got["part"] != part:
-                if held:
-                    yield finish()
-                part, held = got["part"], {}
-            kind = np.uint32 if got["kind"] in (SEEDS, SHARED) else np.int64
-            held.setdefault(got["kind"], []).append((
-                np.repeat(doc_ids, sizes), _walk(got["places"]),
-                np.frombuffer(zstandard.decompress(got["keys"]), kind), _walk(got["counts"]),
-            ))
-    if held:
-        yield finish()
+    return received(batches, HASHED)
 
 
-def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
-    return rows.repartition(buckets, "part").sortWithinPartitions("part")
-
-
-def _passed(kind: int, part: int, rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _passed(kind: int, part: int, rows: list[np.ndarray]) -> Rows:
     """Rows that were settled in their block go on to the bucket of their document."""
-    doc, place, key, other = rows
-    yield from _send(part, kind, np.full(len(doc), part, np.int64), doc, place, key, other)
+    return kind, np.full(len(rows[0]), part, np.int32), *rows
 
 
 # --- candidates: matches of seeds, and spans that may hold exact runs -----------------------------
 
 
-def _seed_packets(block: int, doc_ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, buckets: int):
+def _seed_rows(doc_ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, buckets: int) -> Iterator[Rows]:
     """A block's seeds, dealt by their hash, and what is matched within the block.
 
     Of a seed only the first OWNERS + 1 documents of the block go on, and a mark that there are
@@ -260,18 +213,18 @@ def _seed_packets(block: int, doc_ids: np.ndarray, words: np.ndarray, sizes: np.
     late, more = rank > OWNERS, np.zeros_like(place)
     if late.any():
         own, at, owner, other = _matches(key, doc, place, late)
-        yield from _send(block, MATCHES, _by_doc(own, buckets), own, at, owner, other)
+        yield MATCHES, _by_doc(own, buckets), own, at, owner, other
         own, many = doc[late], (key[late] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-        yield from _send(block, SHARED, _by_doc(own, buckets), own, place[late], many, more[late])
+        yield SHARED, _by_doc(own, buckets), own, place[late], many, more[late]
         crowd = np.unique(key[late])
         key, doc, place = key[~late], doc[~late], place[~late]
         more = (crowd[np.minimum(np.searchsorted(crowd, key), len(crowd) - 1)] == key).astype(np.int64)
     short = (key >> np.uint64(32)).astype(np.uint32)
     part = (mix(key) % np.uint64(buckets)).astype(np.int64)
-    yield from _send(block, SEEDS, part, doc, place, short, more)
+    yield SEEDS, part, doc, place, short, more
 
 
-def _span_packets(block: int, doc_ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, buckets: int):
+def _span_rows(doc_ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, buckets: int) -> Iterator[Rows]:
     """Spans of runs of MIN_WORDS words with one picked seed of EXACT_KMER words, dealt by the seed.
 
     Where two documents of the block have it, the spans are settled, and one row without length
@@ -300,11 +253,11 @@ def _span_packets(block: int, doc_ids: np.ndarray, words: np.ndarray, sizes: np.
     done = np.repeat(several, size)
     if done.any():
         own = doc[done]
-        yield from _send(block, RUNS, _by_doc(own, buckets), own, start[done], np.zeros(len(own), np.int64), length[done])
+        yield RUNS, _by_doc(own, buckets), own, start[done], np.zeros(len(own), np.int64), length[done]
     marks = head[several]
     key = np.concatenate([key[~done], key[marks]])
-    yield from _send(
-        block, SPANS, _by_key(key, buckets), np.concatenate([doc[~done], doc[marks]]),
+    yield (
+        SPANS, _by_key(key, buckets), np.concatenate([doc[~done], doc[marks]]),
         np.concatenate([start[~done], start[marks]]), key,
         np.concatenate([length[~done], np.zeros(len(marks), np.int64)]),
     )
@@ -321,25 +274,25 @@ def _frequent(key: np.ndarray, doc: np.ndarray, crowd: np.ndarray) -> tuple[np.n
     return np.repeat((last > 0) | many, sizes), np.repeat(many, sizes)
 
 
-def _settled(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _settled(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[Rows]:
     """Step 2: what the seeds of a bucket match, the seeds that several documents have, and the
     spans whose seed two documents have."""
     for part, kinds in _received(batches):
         for kind in (MATCHES, RUNS, SHARED):
             if kind in kinds:
-                yield from _passed(kind, part, kinds.pop(kind))
+                yield _passed(kind, part, kinds.pop(kind))
         if SEEDS in kinds:
             doc, place, key, more = kinds.pop(SEEDS)
             crowd = np.unique(key[more > 0])
             key, doc, place = _once(key, doc, place)
             own, at, owner, other = _matches(key, doc, place)
             if len(own):
-                yield from _send(part, MATCHES, _by_doc(own, buckets), own, at, owner, other)
+                yield MATCHES, _by_doc(own, buckets), own, at, owner, other
                 del own, at, owner, other
                 several, many = _frequent(key, doc, crowd)
                 key = key[several] & ~np.uint32(1) | many[several]
                 doc, place = doc[several], place[several]
-                yield from _send(part, SHARED, _by_doc(doc, buckets), doc, place, key, np.zeros_like(place))
+                yield SHARED, _by_doc(doc, buckets), doc, place, key, np.zeros_like(place)
         if SPANS in kinds:
             doc, start, key, length = kinds.pop(SPANS)
             order = np.lexsort((doc, key))
@@ -350,9 +303,7 @@ def _settled(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
             wanted = np.repeat(known, size) & (length > 0)
             if wanted.any():
                 own = doc[wanted]
-                yield from _send(
-                    part, RUNS, _by_doc(own, buckets), own, start[wanted], np.zeros(len(own), np.int64), length[wanted]
-                )
+                yield RUNS, _by_doc(own, buckets), own, start[wanted], np.zeros(len(own), np.int64), length[wanted]
 
 
 def _joined(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -459,16 +410,16 @@ def candidates(docs: DataFrame, buckets: int) -> DataFrame:
     shuffled, and each occurrence is matched with OWNERS documents at most.  A run is in a span if
     another document has the longer seed picked from it.
     """
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, doc_ids, values in blocks_of(batches, BLOCK_CHARS):
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
+        for _, doc_ids, values in blocks_of(batches, BLOCK_CHARS):
             (words, sizes), ids = word_hashes(values), np.array(doc_ids, np.int64)
-            yield from _seed_packets(block, ids, words, sizes, buckets)
-            yield from _span_packets(block, ids, words, sizes, buckets)
+            yield from _seed_rows(ids, words, sizes, buckets)
+            yield from _span_rows(ids, words, sizes, buckets)
 
     source = docs.where("doc_id IS NOT NULL").withColumn("part", F.spark_partition_id().cast("long"))
-    picked = _dealt(source.mapInArrow(tidy(pick), ROW), buckets)
-    settled = picked.mapInArrow(tidy(lambda batches: _settled(batches, buckets)), ROW)
-    return _dealt(settled, buckets).mapInArrow(tidy(_candidates_of), _CANDIDATE)
+    picked = dealt(source.mapInArrow(_sent(pick), PACKET), buckets)
+    settled = picked.mapInArrow(_sent(lambda batches: _settled(batches, buckets)), PACKET)
+    return dealt(settled, buckets).mapInArrow(tidy(_candidates_of), _CANDIDATE)
 
 
 # --- frequent seeds, by twos ----------------------------------------------------------------------
@@ -545,8 +496,8 @@ def by_twos(shared: DataFrame, passages: DataFrame, buckets: int) -> DataFrame:
     """
     spans = passages.groupBy("doc").agg(F.collect_set(F.struct("start", "stop", "exact")).alias("found"))
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
+        for batch in batches:
             ids = batch["doc"].to_numpy()
             sizes = np.diff(batch["xs"].offsets.to_numpy())
             place, key = (batch[c].flatten().to_numpy() for c in ("xs", "ys"))
@@ -557,18 +508,18 @@ def by_twos(shared: DataFrame, passages: DataFrame, buckets: int) -> DataFrame:
             taken = [np.array(c, np.int64) for c in zip(*found)] or [np.zeros(0, np.int64)] * 4
             doc, start, both, other = _twos(sizes, place.astype(np.int64), key.view(np.uint32), taken[:3], taken[3] > 0)
             if len(doc):
-                yield from _send(number, TWOS, _by_key(both, buckets), ids[doc], start, both, other)
+                yield TWOS, _by_key(both, buckets), ids[doc], start, both, other
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, kinds in _received(batches):
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
+        for _, kinds in _received(batches):
             doc, place, key, other = kinds.pop(TWOS)
             key, doc, place, other = _once(key, doc, place, other)
             for mine, owner, x, y in _all_matches(key, doc, place, other):
-                yield from _send(part, MATCHES, _by_doc(mine, buckets), mine, x, owner, y)
+                yield MATCHES, _by_doc(mine, buckets), mine, x, owner, y
 
-    sent = shared.join(spans.hint("merge"), "doc", "left").mapInArrow(tidy(keys), ROW)
-    matched = _dealt(sent, buckets).mapInArrow(tidy(match), ROW)
-    return _dealt(matched, buckets).mapInArrow(tidy(_candidates_of), _CANDIDATE)
+    sent = shared.join(spans.hint("merge"), "doc", "left").mapInArrow(_sent(keys), PACKET)
+    matched = dealt(sent, buckets).mapInArrow(_sent(match), PACKET)
+    return dealt(matched, buckets).mapInArrow(tidy(_candidates_of), _CANDIDATE)
 
 
 # --- exact runs -----------------------------------------------------------------------------------
@@ -583,7 +534,7 @@ def exact_passages(segments: DataFrame, buckets: int) -> DataFrame:
     Of a run that several documents of a block have, one row is shuffled by its hash; the others
     have an earlier document in the block.
     """
-    def of_block(block: int, doc_ids: list[int], starts: list[int], texts: list[str]) -> Iterator[pa.RecordBatch]:
+    def of_block(doc_ids: list[int], starts: list[int], texts: list[str]) -> Iterator[Rows]:
         words, sizes = word_hashes(pa.array(texts, pa.string()))
         key = grams(words, MIN_WORDS).view(np.int64)
         ends = np.cumsum(sizes)
@@ -598,27 +549,27 @@ def exact_passages(segments: DataFrame, buckets: int) -> DataFrame:
         local = doc != owner
         if local.any():
             own = doc[local]
-            yield from _send(block, MATCHES, _by_doc(own, buckets), own, place[local], owner[local], other[local])
+            yield MATCHES, _by_doc(own, buckets), own, place[local], owner[local], other[local]
             key, doc, place = key[~local], doc[~local], place[~local]
-        yield from _send(block, EXACT, _by_key(key, buckets), doc, place, key, np.zeros_like(place))
+        yield EXACT, _by_key(key, buckets), doc, place, key, np.zeros_like(place)
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, number = ([], [], []), 0, 0
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
+        held, size = ([], [], []), 0
         for batch in batches:
             for doc, start, words in zip(*(batch[c].to_pylist() for c in ("doc", "start", "words"))):
                 for column, x in zip(held, (doc, start, words.decode())):
                     column.append(x)
                 size += len(words)
                 if size >= BLOCK_CHARS:
-                    yield from of_block(number, *held)
-                    held, size, number = ([], [], []), 0, number + 1
+                    yield from of_block(*held)
+                    held, size = ([], [], []), 0
         if held[0]:
-            yield from of_block(number, *held)
+            yield from of_block(*held)
 
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
         for part, kinds in _received(batches):
             if MATCHES in kinds:
-                yield from _passed(MATCHES, part, kinds.pop(MATCHES))
+                yield _passed(MATCHES, part, kinds.pop(MATCHES))
             if EXACT in kinds:
                 doc, place, key, _ = kinds.pop(EXACT)
                 key, doc, place = _once(key, doc, place)
@@ -627,9 +578,7 @@ def exact_passages(segments: DataFrame, buckets: int) -> DataFrame:
                 shared = doc != doc[head]
                 if shared.any():
                     mine, first = doc[shared], head[shared]
-                    yield from _send(
-                        part, MATCHES, _by_doc(mine, buckets), mine, place[shared], doc[first], place[first]
-                    )
+                    yield MATCHES, _by_doc(mine, buckets), mine, place[shared], doc[first], place[first]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, kinds in _received(batches):
@@ -647,8 +596,8 @@ def exact_passages(segments: DataFrame, buckets: int) -> DataFrame:
             kinds = (np.int64, np.int32, np.int32) * 2
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, kinds)], _NAMES)
 
-    packed = _dealt(segments.mapInArrow(tidy(hashed), ROW), buckets).mapInArrow(tidy(own), ROW)
-    return _dealt(packed, buckets).mapInArrow(tidy(merge), _PASSAGE)
+    first = dealt(segments.mapInArrow(_sent(hashed), PACKET), buckets).mapInArrow(_sent(own), PACKET)
+    return dealt(first, buckets).mapInArrow(tidy(merge), _PASSAGE)
 
 
 # --- chains and alignment -------------------------------------------------------------------------

@@ -563,3 +563,31 @@ def test_words_of_many_texts_have_the_hashes_of_single_ones():
         expected = [Shingler().words(t).tolist() for t in texts[first:last]]
         assert sizes.tolist() == [len(x) for x in expected]
         assert values.tolist() == [x for row in expected for x in row]
+
+
+def test_packets_follow_the_parts_and_not_the_blocks():
+    """A task that meets many blocks sends one packet a part and kind, and all packets in a few batches."""
+    from farestar.llm import rowpackets
+
+    pick = np.random.default_rng(7)
+    edge = np.iinfo(np.int64)
+    blocks, hashed = [], {0: np.uint32, 2: np.int64}
+    for _ in range(60):
+        n = int(pick.integers(0, 40))
+        doc = np.concatenate([pick.integers(edge.min, edge.max, n), [edge.min, edge.max, -1, 0]])
+        for kind in range(3):
+            n, big = len(doc), pick.integers(edge.min, edge.max, len(doc))
+            key = (big % 2**32).astype(np.uint32) if kind == 0 else big
+            blocks.append((kind, pick.integers(0, 8, n), doc, pick.integers(0, 2**31 - 1, n), key, pick.integers(0, 3, n)))
+    batches = list(rowpackets.packed(iter(blocks), hashed))
+    assert len(batches) <= 3 and sum(b.num_rows for b in batches) == 3 * 8
+    rows = [(int(b["part"][i].as_py()), b["kind"][i].as_py(), n, i) for n, b in enumerate(batches) for i in range(b.num_rows)]
+    got = {
+        (part, kind, *row)
+        for part, kinds in rowpackets.received((batches[n].slice(i, 1) for *_, n, i in sorted(rows)), hashed)
+        for kind, columns in kinds.items() for row in zip(*(c.tolist() for c in columns))
+    }
+    assert got == {
+        (int(row[0]), kind, *map(int, row[1:])) for kind, *columns in blocks for row in zip(*columns)
+    }
+    assert not list(rowpackets.packed(iter(()), hashed)) and not list(rowpackets.received(iter(()), hashed))
