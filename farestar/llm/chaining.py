@@ -9,7 +9,9 @@ first document keeps a passage.
 
 Frequent seeds, which more documents have, are matched once more by twos: two seeds of a document
 that stand APART words, one of them frequent, are a key, and words that are not yet in a passage
-are matched with all earlier documents that have their key.
+are matched with all earlier documents that have their key.  A line that n documents have is n * n / 2
+such matches, so they are looked at in bulk, by the words around them: only where a passage may be long
+enough are two documents chained and aligned.
 
 Runs of MIN_WORDS equal words do not depend on chains: every one that an earlier document has is
 found by its hash, among the runs whose picked longer seed another document has.
@@ -18,6 +20,7 @@ found by its hash, among the runs whose picked longer seed another document has.
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from farestar.llm.common import free_shuffles, texts, tidy, written, written_to
 from farestar.llm.rowpackets import PACKET, Rows, dealt, packed, received
-from farestar.llm.shingles import mix, word_hashes
+from farestar.llm.shingles import CACHED_WORDS, mix, word_hashes
 from farestar.llm.wordshuffle import blocks_of, bucket_count
 from farestar.session import scratch_folder
 
@@ -39,8 +42,13 @@ KMER, PICK = 5, 3
 OWNERS = 3
 #: Two seeds so many words apart, at least and at most, are a key if one of them is frequent.
 APART = 30, 60
-#: So many matches by keys are put together at a time.
-MATCHED = 1 << 20
+#: So many matches by keys are put together at a time, and by one task for one key.
+MATCHED, KEY_MATCHES = 1 << 20, 1 << 24
+#: So many words on either side of a key tell how far a passage may go on there; a key is seen with them.
+AROUND = 24
+SEEN = 2 * AROUND + APART[1] + KMER
+#: So many matches at a time are compared word by word.
+COMPARED = 1 << 12
 #: A repeated passage has at least so many words, and so large a share of them matches.
 MIN_WORDS, MIN_MATCH = 50, 0.75
 #: Cost of a word of gap on either side, in words of score.
@@ -168,7 +176,7 @@ def _matches(key: np.ndarray, doc: np.ndarray, place: np.ndarray, late: np.ndarr
 
 # --- rows (document, place, ...) dealt by a bucket of a key, then by one of the document ----------
 
-SEEDS, MATCHES, RUNS, SPANS, EXACT, SHARED, TWOS = range(7)
+SEEDS, MATCHES, RUNS, SPANS, EXACT, SHARED, TWOS, PAIRED = range(8)
 #: Kinds whose keys are hashes; other keys are owners, or 0.
 HASHED = {SEEDS: np.uint32, SHARED: np.uint32, SPANS: np.int64, EXACT: np.int64, TWOS: np.int64}
 
@@ -345,6 +353,10 @@ def _candidates_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             columns = [pa.array(c, t) for c, t in zip(found, _CANDIDATE_KINDS)]
             columns += [pa.nulls(blank, t) for t in _CANDIDATE_KINDS[3:]]
             yield pa.RecordBatch.from_arrays(columns, names)
+        if PAIRED in kinds:
+            doc, x, owner, y = _hopeful(*kinds.pop(PAIRED))
+            if len(doc):
+                kinds[MATCHES] = doc, x, owner, y
         if MATCHES in kinds:
             doc, x, owner, y = kinds.pop(MATCHES)
             order = np.lexsort((x, x - y, owner, doc))
@@ -462,8 +474,105 @@ def _twos(sizes: np.ndarray, place: np.ndarray, key: np.ndarray, passages: list[
     return doc[one], start, both, (place[two] - start) << 1 | wanted
 
 
-def _all_matches(key: np.ndarray, doc: np.ndarray, place: np.ndarray, other: np.ndarray) -> Iterator[list[np.ndarray]]:
-    """(doc, owner, place, owner place) of wanted rows sorted by key and doc with all earlier documents."""
+def _live(doc: np.ndarray, place: np.ndarray, key: np.ndarray, other: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """(document, key, place, other) of the rows that a match needs, of rows like those of ``_twos``.
+
+    The matches of a key are dealt to several keys of its own where they are many; a row is then in
+    several of them, and wanted in one.
+    """
+    key, doc, place, other = _once(key, doc, place, other)
+    rank, head, _ = _holders(key, doc)
+    wanted = (other & 1 > 0) & (rank > 0)
+    first = np.flatnonzero(head == np.arange(len(key)))
+    group = np.searchsorted(first, head)
+    matches = np.cumsum(np.where(wanted, rank, 0))
+    before = (matches - np.where(wanted, rank, 0))[first]
+    share = (matches - before[group]) // KEY_MATCHES  # of the matches of its key, for wanted rows
+    for n in range(int(share.max()) + 1):
+        if n == 1:  # few keys have so many
+            many = np.maximum.reduceat(share, first)[group] > 0
+            key, doc, place, other, rank, wanted, share = (c[many] for c in (key, doc, place, other, rank, wanted, share))
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
+        mine = wanted & (share == n)
+        needed = rank <= np.maximum.reduceat(np.where(mine, rank, -1), first)[group]
+        if needed.any():
+            own = key[needed].view(np.uint64)
+            own = mix(own + np.uint64(n)) if n else own
+            yield [doc[needed], own.view(np.int64), place[needed], other[needed] & ~1 | mine[needed]]
+
+
+class _Codes(dict):
+    """A number from 1 to 65535 for each word."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        self[word] = code = zlib.crc32(word) % 65535 + 1
+        return code
+
+
+def _around(words: list[bytes], place: np.ndarray, codes: _Codes) -> np.ndarray:
+    """One row a place: the codes of SEEN words from AROUND before it on; 0 stands beyond the text's ends."""
+    padded = np.zeros(len(words) + 2 * SEEN, np.uint16)
+    padded[SEEN:SEEN + len(words)] = np.fromiter(map(codes.__getitem__, words), np.uint16, len(words))
+    return padded[place[:, None] + np.arange(SEEN - AROUND, 2 * SEEN - AROUND)]
+
+
+def _reaches(codes: np.ndarray, mine: np.ndarray, x: np.ndarray, theirs: np.ndarray, y: np.ndarray, step: int):
+    """How far a passage goes on from columns x and y of two rows of ``codes``, as ``_reach`` has it,
+    and where that is not known within AROUND words."""
+    far, score = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int16)
+    best, live, unknown = score, np.arange(len(mine)), np.zeros(len(mine), bool)
+    flat, width = codes.ravel(), codes.shape[1]
+    one, two = mine * width + x, theirs * width + y
+    for n in range(AROUND):
+        code = flat[one]
+        score = score + np.where((code == flat[two]) & (code > 0), np.int16(1), np.int16(-MISS))
+        far[live[score > best]] = n + 1
+        best = np.maximum(score, best)
+        on = score >= best - DROP
+        live, score, best, one, two = live[on], score[on], best[on], one[on] + step, two[on] + step
+    unknown[live] = True
+    return far, unknown
+
+
+def _shared_words(codes: np.ndarray, mine, start, stop, theirs, first, last) -> np.ndarray:
+    """How many words in columns start to stop of one row stand between columns first and last of another."""
+    found = np.zeros(len(mine), np.int64)
+    at = np.arange(codes.shape[1])
+    for low in range(0, len(mine), COMPARED):
+        part = slice(low, low + COMPARED)
+        ours = np.where((at >= start[part, None]) & (at < stop[part, None]), codes[mine[part]], 0)
+        other = np.where((at >= first[part, None]) & (at < last[part, None]), codes[theirs[part]], 0)
+        for n in range(int(start[part].min()), int(stop[part].max())):
+            found[part] += (other == ours[:, n, None]).any(1) & (ours[:, n] > 0)
+    return found
+
+
+def _hopes(codes: np.ndarray, mine: np.ndarray, near: np.ndarray, theirs: np.ndarray, far: np.ndarray):
+    """(words before and after, hope) of matches of rows of ``codes``, by the distances of their two seeds.
+
+    A passage that begins or ends with a seed of the match has so many words before and after it, and
+    without hope those would not make one: they are too few, or too few of them stand in the other.
+    """
+    begin, after = np.full(len(mine), AROUND), AROUND + KMER
+    back, unknown = _reaches(codes, mine, begin - 1, theirs, begin - 1, -1)
+    on, hope = _reaches(codes, mine, near + after, theirs, far + after, 1)
+    hope |= unknown
+    # A seed's other side: on one diagonal it leads through the other seed, with no more beyond.
+    rows = np.flatnonzero((near != far) & ~hope)
+    for x, y, step in ((begin + KMER, begin + KMER, 1), (near + AROUND - 1, far + AROUND - 1, -1)):
+        hope[rows] |= _reaches(codes, mine[rows], x[rows], theirs[rows], y[rows], step)[1]
+    rows = np.flatnonzero((back + near + KMER + on >= MIN_WORDS) & ~hope)
+    start, ends = AROUND - back[rows], on[rows] + after
+    shared = _shared_words(codes, mine[rows], start, near[rows] + ends, theirs[rows], start, far[rows] + ends)
+    hope[rows] = shared >= MIN_MATCH * MIN_WORDS
+    return back, on, hope
+
+
+def _all_pairs(key: np.ndarray, doc: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Wanted rows, of rows sorted by key and doc, each with a row of every earlier document of its key."""
     rank, head, start = _holders(key, doc)
     at = np.arange(len(key))
     begin = np.flatnonzero(start == at)
@@ -479,18 +588,58 @@ def _all_matches(key: np.ndarray, doc: np.ndarray, place: np.ndarray, other: np.
         nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         rows = np.repeat(rows, count)
         owner = first[rows] + nth
-        theirs = begin[owner] + np.minimum((at - start)[rows], sizes[owner] - 1)
-        mine, x, their, y = doc[rows], place[rows], doc[theirs], place[theirs]
-        yield _once(
-            np.tile(mine, 2), np.tile(their, 2),
-            np.concatenate([x, x + (other[rows] >> 1)]), np.concatenate([y, y + (other[theirs] >> 1)]),
-        )
+        yield rows, begin[owner] + np.minimum((at - start)[rows], sizes[owner] - 1)
         low = high
 
 
-def by_twos(shared: DataFrame, passages: DataFrame, buckets: int) -> DataFrame:
+def _all_matches(key: np.ndarray, doc: np.ndarray, place: np.ndarray, other: np.ndarray, around: np.ndarray | None = None):
+    """(doc, owner, place, owner place) of wanted rows sorted by key and doc with all earlier documents.
+
+    With the codes ``around`` the rows there is a fifth column, for ``_hopeful``.
+    """
+    for rows, theirs in _all_pairs(key, doc, other):
+        found = [doc[rows], doc[theirs], place[rows], place[theirs]]
+        if around is not None:
+            near, far = other[rows] >> 1, other[theirs] >> 1
+            back, on, hope = _hopes(around, rows, near, theirs, far)
+            fields = found[3]
+            for value, bits in zip((near, far, back, on, hope), _FIELDS):
+                fields = fields << bits | value
+            found.append(fields)
+        yield found
+
+
+#: Bits of a match's two distances, of the words before and after it, and of hope.
+_FIELDS = 6, 6, 5, 5, 1
+
+
+def _hopeful(doc: np.ndarray, x: np.ndarray, owner: np.ndarray, fields: np.ndarray) -> list[np.ndarray]:
+    """(doc, place, owner, owner place) of the seeds of matches of two documents that may have a passage.
+
+    A passage begins and ends with seeds, so it lies in the stretch of their matches with the words
+    before and after.  Without hope in any match there is none if the stretch is one match's, or too short.
+    """
+    order = np.lexsort((owner, doc))
+    doc, x, owner, y = (c[order] for c in (doc, x, owner, fields))
+    values = []
+    for bits in _FIELDS[::-1]:
+        values.append(y & (1 << bits) - 1)
+        y = y >> bits
+    hope, on, back, far, near = values
+    head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1])]))
+    most, least = (lambda c: np.maximum.reduceat(c, head)), (lambda c: np.minimum.reduceat(c, head))
+    start, stop = x - back, x + near + KMER + on
+    several = np.logical_or.reduce([most(c) > least(c) for c in (start, stop, y - back, y + far + on)])
+    kept = (most(hope) > 0) | several & (most(stop) - least(start) >= MIN_WORDS)
+    kept = np.repeat(kept, np.diff(np.append(head, len(doc))))
+    doc, x, owner, y, far, near = (c[kept] for c in (doc, x, owner, y, far, near))
+    return [np.tile(doc, 2), np.concatenate([x, x + near]), np.tile(owner, 2), np.concatenate([y, y + far])]
+
+
+def by_twos(docs: DataFrame, shared: DataFrame, passages: DataFrame, buckets: int) -> DataFrame:
     """Chains (rows like those of ``candidates``) of documents with any earlier one that has the
-    same two seeds APART words, one of them frequent, where ``passages`` leave words of it uncovered.
+    same two seeds APART words, one of them frequent, where ``passages`` leave words of it uncovered
+    and one of MIN_WORDS may be.
 
     ``shared`` has the places and keys of the seeds that several documents have.
     """
@@ -510,18 +659,65 @@ def by_twos(shared: DataFrame, passages: DataFrame, buckets: int) -> DataFrame:
             if len(doc):
                 yield TWOS, _by_key(both, buckets), ids[doc], start, both, other
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
+    def live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, kinds in _received(batches):
-            doc, place, key, other = kinds.pop(TWOS)
-            key, doc, place, other = _once(key, doc, place, other)
-            for mine, owner, x, y in _all_matches(key, doc, place, other):
-                yield MATCHES, _by_doc(mine, buckets), mine, x, owner, y
+            for columns in _live(*kinds.pop(TWOS)):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "key", "place", "other"])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes()
+        for batch in batches:
+            for doc, value, found in zip(batch["doc"].to_pylist(), batch["text"], batch["found"]):
+                words = value.as_py().encode().lower().split()
+                key, place, other = (found.values.field(c).to_numpy() for c in ("key", "place", "other"))
+                around = _around(words, place, codes)
+                part = _by_key(key, buckets)
+                columns = [pa.array(c) for c in (part, key, np.full(len(key), doc, np.int64), place, other)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(map(bytes, around), pa.binary())], names)
 
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
+        for columns, around in _gathered(batches, names):
+            key, doc, place, other = columns
+            order = np.lexsort((other, place, doc, key))
+            again = np.logical_and.reduce([np.diff(c[order]) == 0 for c in columns])  # of a row that is there twice
+            order = order[np.append(True, ~again)]
+            key, doc, place, other = (c[order] for c in columns)
+            for mine, owner, x, _, fields in _all_matches(key, doc, place, other, around[order]):
+                yield PAIRED, _by_doc(mine, buckets), mine, x, owner, fields
+
+    names = ["part", "key", "doc", "place", "other", "around"]
     sent = shared.join(spans.hint("merge"), "doc", "left").mapInArrow(_sent(keys), PACKET)
-    matched = dealt(sent, buckets).mapInArrow(_sent(match), PACKET)
+    needed = dealt(sent, buckets).mapInArrow(tidy(live), "doc long, key long, place long, other long")
+    wanted = needed.groupBy("doc").agg(F.collect_list(F.struct("key", "place", "other")).alias("found"))
+    seen = docs.withColumnRenamed("doc_id", "doc").join(wanted.hint("merge"), "doc").select("doc", "text", "found").mapInArrow(
+        tidy(look), "part long, key long, doc long, place long, other long, around binary"
+    )
+    matched = seen.repartition(buckets, "part").sortWithinPartitions("part").mapInArrow(_sent(match), PACKET)
     return dealt(matched, buckets).mapInArrow(tidy(_candidates_of), _CANDIDATE)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """(key, document, place, other) of each part of rows sorted by part, and the codes around them."""
+    part, held = None, []
+
+    def finish() -> tuple[list[np.ndarray], np.ndarray]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        codes = np.frombuffer(b"".join(table["around"].to_pylist()), np.uint16)
+        return [table[c].to_numpy() for c in names[1:5]], codes.reshape(-1, SEEN)
+
+    for batch in batches:
+        parts = batch["part"].to_numpy()
+        cuts = np.flatnonzero(np.diff(parts, prepend=-1)) if len(parts) else []
+        for low, high in zip(cuts, [*cuts[1:], len(parts)]):
+            if parts[low] != part:
+                if held:
+                    yield finish()
+                part, held = parts[low], []
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield finish()
+
+
 # --- exact runs -----------------------------------------------------------------------------------
 
 _PASSAGE = "doc long, start int, stop int, owner long, owner_start int, owner_stop int"
@@ -807,7 +1003,7 @@ def _passages(docs: DataFrame, several: DataFrame) -> DataFrame:
         ), "passage_first", instead_of=texts_cut
     )
     shared = everything.where("start IS NULL").select("doc", "xs", "ys")
-    more = written(by_twos(shared, first, buckets), "passage_more", instead_of=chains)
+    more = written(by_twos(docs, shared, first, buckets), "passage_more", instead_of=chains)
     first = first.drop("exact")
     if more.isEmpty():
         return first
@@ -822,18 +1018,18 @@ def _to_align(found: DataFrame) -> DataFrame:
 
 def _aligned(found: DataFrame, segments: DataFrame) -> DataFrame:
     """The passages of chains, aligned on the words of their segments."""
-    segments = segments.drop("exact")
-    theirs = segments.select(
-        F.col("doc").alias("owner"), F.col("start").alias("owner_start"),
-        F.col("stop").alias("owner_stop"), F.col("words").alias("owner_words"),
+    names = ["doc", "start", "owner", "owner_start", "xs", "ys", "reach", "its_words", "their_words"]
+    # Renamed on both sides, so that both joins share one shuffle of the segments.
+    mine, theirs = (
+        segments.select(*(F.col(c).alias(f"{side}_{c}") for c in ("doc", "start", "stop", "words")))
+        for side in ("its", "their")
     )
     # Both sides grow with the corpus, so these joins are never broadcast, however small.
-    both = found.join(segments.hint("merge"), ["doc", "start", "stop"]).join(
-        theirs.hint("merge"), ["owner", "owner_start", "owner_stop"]
+    both = found.join(mine.hint("merge"), F.expr("doc = its_doc AND start = its_start AND stop = its_stop")).join(
+        theirs.hint("merge"), F.expr("owner = their_doc AND owner_start = their_start AND owner_stop = their_stop")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("doc", "start", "owner", "owner_start", "xs", "ys", "reach", "words", "owner_words")
         for batch in batches:
             rows = []
             for doc, start, owner, first, xs, ys, reach, mine, other in zip(*(batch[c].to_pylist() for c in names)):
@@ -850,7 +1046,7 @@ def _aligned(found: DataFrame, segments: DataFrame) -> DataFrame:
                 ["doc", "start", "stop", "owner", "owner_start", "owner_stop"],
             )
 
-    return both.mapInArrow(tidy(run), _PASSAGE)
+    return both.select(*names).mapInArrow(tidy(run), _PASSAGE)
 
 
 def merged_spans(passages: DataFrame) -> DataFrame:

@@ -80,6 +80,12 @@ def _walked(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total - np.repeat(total[head] - step[head], sizes)
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Numbers, of which there is at least one, in 32 bits if they fit."""
+    fit = np.iinfo(np.int32)
+    return values.astype(np.int32) if values.min() >= fit.min and values.max() <= fit.max else values
+
+
 def _binary(raw: np.ndarray, edges: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(
         pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(raw)]
@@ -114,14 +120,14 @@ def _batches(kind: int, hashed: bool, pieces: list[tuple]) -> Iterator[pa.Record
 
 def packed(rows: Iterator[Rows], hashed: dict[int, type]) -> Iterator[pa.RecordBatch]:
     """The packets of rows.  ``hashed`` has the kinds whose keys are hashes, and their type; the
-    keys of other kinds are numbers that repeat.  Places and others have 32 bits."""
+    keys of other kinds are numbers that repeat."""
     held, size = {}, 0
     for kind, part, doc, place, key, other in rows:
         if not len(part):
             continue
         held.setdefault(kind, []).append((
-            part.astype(np.int32), doc, place.astype(np.int32), key.astype(hashed.get(kind, np.int64), copy=False),
-            other.astype(np.int32),
+            part.astype(np.int32), doc, _narrow(place), key.astype(hashed.get(kind, np.int64), copy=False),
+            _narrow(other),
         ))
         size += len(part)
         if size >= HELD:
@@ -168,8 +174,8 @@ def received(batches: Iterator[pa.RecordBatch], hashed: dict[int, type]) -> Iter
             kind, mine = int(kinds[low]), sizes[low:high].astype(np.int64)
             doc, place, key, other = (_content(batch[c], low, high) for c in ("docs", "places", "keys", "others"))
             held.setdefault(kind, []).append((
-                _walked(doc, mine), _walked(place, mine).astype(np.int32),
-                key.view(hashed[kind]).copy() if kind in hashed else _walked(key, mine), _walked(other, mine).astype(np.int32),
+                _walked(doc, mine), _narrow(_walked(place, mine)),
+                key.view(hashed[kind]).copy() if kind in hashed else _walked(key, mine), _narrow(_walked(other, mine)),
             ))
     if held:
         yield finish()

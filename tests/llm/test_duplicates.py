@@ -591,3 +591,88 @@ def test_packets_follow_the_parts_and_not_the_blocks():
         (int(row[0]), kind, *map(int, row[1:])) for kind, *columns in blocks for row in zip(*columns)
     }
     assert not list(rowpackets.packed(iter(()), hashed)) and not list(rowpackets.received(iter(()), hashed))
+
+
+def lines_by_chance(pick, count):
+    """Texts of random words of their own in which two short lines stand some way apart, and some real copies."""
+    lines = [[f"line{n}x{i}" for i in range(size)] for n, size in ((0, 14), (1, 9))]
+    common = ["the", "of", "and", "to", "in"]
+
+    def fresh(n):
+        return [pick.choice(common) if pick.random() < 0.3 else f"v{pick.randrange(10**6)}" for _ in range(n)]
+
+    texts = []
+    for n in range(count):
+        if n % 10 == 9:
+            copy = list(texts[pick.randrange(n)])
+            for i in range(0, len(copy), pick.choice((6, 9, 14))):
+                copy[i:i + 1] = fresh(pick.choice((0, 1, 1, 2)))
+            texts.append(fresh(7) + copy + fresh(5))
+        else:
+            texts.append(fresh(pick.randrange(3, 30)) + lines[0] + fresh(pick.randrange(14, 34)) + lines[1] + fresh(30))
+    return texts
+
+
+def test_matches_without_hope_have_no_passage():
+    import pyarrow as pa
+
+    from farestar.llm.shingles import word_hashes
+
+    texts = lines_by_chance(random.Random(31), 90)
+    words = [t[:] and [w.encode() for w in t] for t in texts]
+    hashes, sizes = word_hashes(pa.array([" ".join(t) for t in texts]))
+    value, doc, place = chaining.seeds(hashes, sizes)
+    counts = np.bincount(doc, minlength=len(texts))
+    none = np.zeros(0, np.int64)
+    doc, place, key, other = chaining._twos(
+        counts, place, (value >> np.uint64(32)).astype(np.uint32) | np.uint32(1), [none] * 3, none > 0
+    )
+    key, doc, place, other = chaining._once(key, doc, place, other)
+    codes = chaining._Codes()
+    around = np.concatenate([chaining._around(words[d], place[i:i + 1], codes) for i, d in enumerate(doc)])
+    found = [np.concatenate(c) for c in zip(*chaining._all_matches(key, doc, place, other, around))]
+    mine, owner, x, y, fields = found
+    kept = set(zip(*(c.tolist() for c in chaining._hopeful(mine, x, owner, fields)[:3:2])))
+    near, far = fields >> 17 & 63, fields >> 11 & 63
+    rows = [np.tile(mine, 2), np.tile(owner, 2), np.concatenate([x, x + near]), np.concatenate([y, y + far])]
+    order = np.lexsort((rows[2], rows[2] - rows[3], rows[1], rows[0]))
+    pairs = list(chaining._pairs(chaining.runs_of(*(c[order] for c in rows))))
+    real = {
+        (a, b) for a, b, *places in pairs for row in chaining.link(a, b, *places)
+        if chaining.align(words[a], words[b], *row[6:])
+    }
+    assert real and real <= kept and len(pairs) > 20 * len(kept)
+
+
+def test_lines_that_many_documents_have_by_chance_are_not_aligned(docs_of, monkeypatch):
+    texts = lines_by_chance(random.Random(32), 60)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    chains, real = [], chaining.by_twos
+
+    def spied(*given):
+        made = real(*given).localCheckpoint()
+        chains.append(made.count())
+        return made
+
+    monkeypatch.setattr(chaining, "by_twos", spied)
+    assert {p.doc for p in chaining.repeated_passages(docs_of(rows)).collect()} <= set(range(9, 60, 10))
+    assert chains[0] < 60
+
+
+def test_matches_of_a_key_are_dealt_out_whole(monkeypatch):
+    pick = np.random.default_rng(33)
+    key, doc = np.repeat([5, 6, 7], 70), pick.integers(0, 30, 210)
+    place, other = pick.integers(0, 400, 210), pick.integers(30, 61, 210) << 1 | (pick.random(210) < 0.5)
+
+    def matched():
+        found = []
+        for d, k, p, o in chaining._live(doc, place, key, other):
+            k, d, p, o = chaining._once(k, d, p, o)
+            found += [tuple(row) for rows in chaining._all_matches(k, d, p, o) for row in zip(*(c.tolist() for c in rows))]
+        return sorted(found)
+
+    whole = matched()
+    k, d, p, o = chaining._once(key, doc, place, other)
+    assert whole == sorted(row for rows in chaining._all_matches(k, d, p, o) for row in zip(*(c.tolist() for c in rows)))
+    monkeypatch.setattr(chaining, "KEY_MATCHES", 40)
+    assert matched() == whole and len(list(chaining._live(doc, place, key, other))) > 5
