@@ -43,7 +43,7 @@ OWNERS = 3
 #: Two seeds so many words apart, at least and at most, are a key if one of them is frequent.
 APART = 30, 60
 #: So many matches by keys are put together at a time, and by one task for one key.
-MATCHED, KEY_MATCHES = 1 << 20, 1 << 24
+MATCHED, KEY_MATCHES = 1 << 18, 1 << 24
 #: So many words on either side of a key tell how far a passage may go on there; a key is seen with them.
 AROUND = 24
 SEEN = 2 * AROUND + APART[1] + KMER
@@ -516,7 +516,7 @@ def _around(words: list[bytes], place: np.ndarray, codes: _Codes) -> np.ndarray:
     """One row a place: the codes of SEEN words from AROUND before it on; 0 stands beyond the text's ends."""
     padded = np.zeros(len(words) + 2 * SEEN, np.uint16)
     padded[SEEN:SEEN + len(words)] = np.fromiter(map(codes.__getitem__, words), np.uint16, len(words))
-    return padded[place[:, None] + np.arange(SEEN - AROUND, 2 * SEEN - AROUND)]
+    return np.lib.stride_tricks.sliding_window_view(padded, SEEN)[place + SEEN - AROUND]
 
 
 def _reaches(codes: np.ndarray, mine: np.ndarray, x: np.ndarray, theirs: np.ndarray, y: np.ndarray, step: int):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: A task sends its rows on when it holds so many.
-HELD = 1 << 20
+HELD = 1 << 18
 #: A packet has at most so many rows, an Arrow batch of packets about so many bytes.
 PACKET_ROWS, BATCH_BYTES = 1 << 18, 1 << 21
 
